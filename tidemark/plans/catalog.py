@@ -178,6 +178,123 @@ def registry() -> dict[str, Query]:
         "sum_if_any", "guarded_difference", "sum_minus_required", "required_minus_optional", "first_present",
         "sector_banks", "sector_financing", "sector_investment", "sector_insurance", "sector_other",
         "sector_union", "sector_one_pass", "sector_null_dropped",
-    ]
+    ] + MERGE_QUERIES
     g = globals()
     return {n: g[n] for n in names}
+
+
+# ---------------------------------------------------------------- merge
+# Overlapping batches: the target holds everything before a cut, the
+# incoming batch everything after an earlier cut, recomputed from a subset,
+# so the overlap changes, the tail is new and the head is untouched.
+
+OLD_ORDERS = "o_orderdate < TIMESTAMP_NTZ'1998-01-01 00:00:00'"
+NEW_ORDERS = "o_orderdate >= TIMESTAMP_NTZ'1997-07-01 00:00:00' AND o_orderstatus <> 'P'"
+OLD_TICKS = "l_shipdate < TIMESTAMP_NTZ'1999-07-01 00:00:00'"
+NEW_TICKS = "l_shipdate >= TIMESTAMP_NTZ'1999-01-01 00:00:00' AND l_returnflag <> 'R'"
+ALL_NEW_TICKS = "l_shipdate >= TIMESTAMP_NTZ'1999-01-01 00:00:00'"
+
+
+def _filing_summary(fl: DataFrame) -> DataFrame:
+    return fl.select(
+        "ticker", "tahun", "triwulan",
+        F.size("facts").cast("int").alias("n_facts"),
+        S.fact(S.SECTOR_KEY).alias("sector"),
+        S.fact(f"SalesAndRevenue_{S.D}").alias("sales_text"),
+        S.fact(f"Assets_{S.I}").alias("assets_text"),
+    )
+
+
+def replace_upsert_filings(spark, sf):
+    from tidemark.operators import merge as M
+
+    old = V.filings(spark, sf, F.expr(OLD_ORDERS))
+    new = V.filings(spark, sf, F.expr(NEW_ORDERS))
+    return _filing_summary(M.replace_upsert(old, new, ["ticker", "tahun", "triwulan"]))
+
+
+def set_upsert_rows(spark, sf):
+    from tidemark.operators import merge as M
+
+    old = S.sector_rows(V.filings(spark, sf, F.expr(OLD_ORDERS)))
+    new = S.sector_rows(V.filings(spark, sf, F.expr(NEW_ORDERS)))
+    return present(M.set_upsert(old, new, ["emiten", "tahun", "triwulan"]))
+
+
+def _monthly_pair(spark, sf):
+    old = R.monthly_average(V.ticks(spark, sf, F.expr(OLD_TICKS)))
+    new = R.monthly_average(V.ticks(spark, sf, F.expr(NEW_TICKS)))
+    return old, new
+
+
+def replace_upsert_monthly(spark, sf):
+    from tidemark.operators import merge as M
+
+    old, new = _monthly_pair(spark, sf)
+    return present(M.replace_upsert(old, new, ["Year", "Month", "ticker"], null_safe=True))
+
+
+def replace_upsert_yearly(spark, sf):
+    from tidemark.operators import merge as M
+
+    old = R.yearly_average(V.ticks(spark, sf, F.expr(OLD_TICKS)))
+    new = R.yearly_average(V.ticks(spark, sf, F.expr(NEW_TICKS)))
+    return present(M.replace_upsert(old, new, ["Year", "ticker"], null_safe=True))
+
+
+def merge_outcomes(spark, sf):
+    from tidemark.operators import merge as M
+
+    old, new = _monthly_pair(spark, sf)
+    return M.merge_outcomes(old, new, ["Year", "Month", "ticker"], mode="replace", null_safe=True)
+
+
+def last_write_wins(spark, sf):
+    from tidemark.operators import merge as M
+
+    b = V.ticks_with_seq(spark, sf).select("Date", "ticker", "seq", "Open", "Close")
+    return M.last_write_wins(b, ["Date", "ticker"], "seq", keep_seq=True)
+
+
+def set_fold_batch(spark, sf):
+    from tidemark.operators import merge as M
+
+    b = V.ticks_with_seq(spark, sf).select(
+        "Date", "ticker", "seq", "Open",
+        F.when(F.col("l_linenumber") == 1, F.lit(None)).otherwise(F.col("Close")).alias("Close"),
+        F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(F.col("Dividends")).alias("Dividends"),
+    )
+    return M.set_fold(b, ["Date", "ticker"], "seq")
+
+
+def _daily_appended(spark, sf):
+    from tidemark.operators import merge as M
+
+    old = R.daily_average(V.ticks(spark, sf, F.expr(OLD_TICKS)))
+    new = R.daily_average(V.ticks(spark, sf, F.expr(ALL_NEW_TICKS)))
+    return M.append(old, new)
+
+
+def append_daily(spark, sf):
+    return present(_daily_appended(spark, sf))
+
+
+def duplicate_keys(spark, sf):
+    from tidemark.operators import merge as M
+
+    return present(M.duplicate_keys(_daily_appended(spark, sf), ["Date", "ticker"]))
+
+
+def required_keys(spark, sf):
+    from tidemark.operators import merge as M
+
+    t = V.ticks_with_seq(spark, sf)
+    t = t.withColumn("Date", F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(F.col("Date")))
+    monthly = R.monthly_average(t.drop("seq", "l_returnflag", "l_linenumber"))
+    return present(M.required_keys(monthly, ["Year", "Month", "ticker"]))
+
+
+MERGE_QUERIES = [
+    "replace_upsert_filings", "set_upsert_rows", "replace_upsert_monthly", "replace_upsert_yearly",
+    "last_write_wins", "set_fold_batch", "merge_outcomes", "append_daily", "duplicate_keys", "required_keys",
+]

@@ -34,7 +34,8 @@ ticks AS (
            || lpad(CAST(l_linenumber AS VARCHAR), 2, '0') || ':00:00' AS fetch_timestamp,
          l_orderkey * 8 + l_linenumber AS seq,
          l_returnflag,
-         l_linenumber
+         l_linenumber,
+         l_shipdate
   FROM lineitem
 )"""
 
@@ -49,7 +50,7 @@ def _avgs(prefix: str = "") -> str:
     )
 
 
-def _filing_flat() -> str:
+def _filing_flat(where: str = "TRUE", g: str = "g", ff: str = "ff") -> str:
     conds = ["TRUE", "o_orderstatus = 'F'", "o_orderstatus = 'O'",
              "o_orderpriority IN ('1-URGENT', '2-HIGH')"]
     aggs = ",\n    ".join(
@@ -67,12 +68,12 @@ def _filing_flat() -> str:
         )
     facts_sql = ",\n    ".join(facts)
     return f"""
-g AS (
+{g} AS (
   SELECT o_custkey, year(o_orderdate) AS yr, quarter(o_orderdate) AS qt,
     {aggs}
-  FROM orders GROUP BY 1, 2, 3
+  FROM orders WHERE {where} GROUP BY 1, 2, 3
 ),
-ff AS (
+{ff} AS (
   SELECT 'C' || lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS ticker,
     CAST(yr AS VARCHAR) AS tahun,
     'TW' || CAST(qt AS VARCHAR) AS triwulan,
@@ -83,7 +84,7 @@ ff AS (
     CASE WHEN c_nationkey < 12 THEN 'IDR' ELSE 'USD' END AS "DescriptionOfPresentationCurrency_CurrentYearInstant",
     CASE WHEN c_acctbal < 0 THEN 'Thousands' ELSE 'Full amount' END AS "LevelOfRoundingUsedInFinancialStatements_CurrentYearInstant",
     {facts_sql}
-  FROM g JOIN customer ON o_custkey = c_custkey
+  FROM {g} JOIN customer ON o_custkey = c_custkey
 )"""
 
 
@@ -204,7 +205,7 @@ IDENTITY = (f'{f("EntityName")} AS entity_name, ticker AS emiten, tahun, triwula
             f'{f("LevelOfRoundingUsedInFinancialStatements")} AS pembulatan')
 
 
-def sector_select(sector: str) -> str:
+def sector_select(sector: str, src: str = "ff") -> str:
     cols = []
     for c in MONEY_ORDER:
         expr = SECTOR_SQL[sector].get(c) or COMMON_SQL[c]
@@ -213,7 +214,7 @@ def sector_select(sector: str) -> str:
         where = f"{SECTOR_FACT} NOT IN ('{S.BANKS}', '{S.FINANCING}', '{S.INVESTMENT}', '{S.INSURANCE}')"
     else:
         where = f"{SECTOR_FACT} = '{sector}'"
-    return f"SELECT {IDENTITY},\n  " + ",\n  ".join(cols) + f"\nFROM ff WHERE {where}"
+    return f"SELECT {IDENTITY},\n  " + ",\n  ".join(cols) + f"\nFROM {src} WHERE {where}"
 
 
 def with_filings(body: str) -> str:
@@ -224,8 +225,8 @@ def with_ticks(body: str, extra: str = "") -> str:
     return f"WITH {TICKS}{extra}\n{body}"
 
 
-def sector_all() -> str:
-    return "\nUNION ALL\n".join(sector_select(s) for s in S.SECTORS)
+def sector_all(src: str = "ff") -> str:
+    return "\nUNION ALL\n".join(sector_select(s, src) for s in S.SECTORS)
 
 
 # ------------------------------------------------------------- registry
@@ -322,4 +323,90 @@ def queries_sql() -> dict[str, str]:
     q["sector_union"] = with_filings(sector_all())
     q["sector_one_pass"] = with_filings(sector_all())
     q["sector_null_dropped"] = with_filings(f"SELECT {keys} FROM ff WHERE {SECTOR_FACT} IS NULL")
+    q.update(merge_sql())
+    return q
+
+
+# ------------------------------------------------------------------ merge
+
+OLD_ORDERS = "o_orderdate < TIMESTAMP '1998-01-01 00:00:00'"
+NEW_ORDERS = "o_orderdate >= TIMESTAMP '1997-07-01 00:00:00' AND o_orderstatus <> 'P'"
+OLD_TICKS = "l_shipdate < TIMESTAMP '1999-07-01 00:00:00'"
+NEW_TICKS = "l_shipdate >= TIMESTAMP '1999-01-01 00:00:00' AND l_returnflag <> 'R'"
+ALL_NEW_TICKS = "l_shipdate >= TIMESTAMP '1999-01-01 00:00:00'"
+DAY = 'TRY_CAST("Date" AS DATE)'
+
+
+def _monthly_from(where: str) -> str:
+    return (f"SELECT CAST(year({DAY}) AS INTEGER) AS \"Year\", CAST(month({DAY}) AS INTEGER) AS \"Month\", ticker,"
+            f"\n  {_avgs()}\nFROM ticks WHERE {where} GROUP BY 1, 2, 3")
+
+
+def _yearly_from(where: str) -> str:
+    return (f"SELECT CAST(year({DAY}) AS INTEGER) AS \"Year\", ticker,\n  {_avgs()}\n"
+            f"FROM ticks WHERE {where} GROUP BY 1, 2")
+
+
+def _daily_from(where: str) -> str:
+    return (f"SELECT strftime({DAY}, '%Y-%m-%d') AS \"Date\", ticker,\n  {_avgs()}\n"
+            f"FROM ticks WHERE {where} GROUP BY {DAY}, ticker")
+
+
+def _nsafe(keys: list[str], a: str = "o", b: str = "n") -> str:
+    return " AND ".join(f'{a}."{k}" IS NOT DISTINCT FROM {b}."{k}"' for k in keys)
+
+
+def _replace(old: str, new: str, keys: list[str]) -> str:
+    return (f"WITH {TICKS}, old AS ({old}), new AS ({new})\n"
+            f"SELECT * FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE {_nsafe(keys)})\n"
+            f"UNION ALL SELECT * FROM new")
+
+
+def merge_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    fo = _filing_flat(OLD_ORDERS, "g_old", "ff_old")
+    fn = _filing_flat(NEW_ORDERS, "g_new", "ff_new")
+    keys = ["ticker", "tahun", "triwulan"]
+    count_present = " + ".join(f'(CASE WHEN "{k}" IS NOT NULL THEN 1 ELSE 0 END)' for k in S.rule_keys())
+    summary = (f"CAST({count_present} AS INTEGER) AS n_facts, {SECTOR_FACT} AS sector, "
+               f"{f('SalesAndRevenue', 'D')} AS sales_text, {f('Assets')} AS assets_text")
+    q["replace_upsert_filings"] = (
+        f"WITH {fo}, {fn}\n"
+        f"SELECT ticker, tahun, triwulan, {summary} FROM ff_old o WHERE NOT EXISTS "
+        f"(SELECT 1 FROM ff_new n WHERE {_nsafe(keys).replace('IS NOT DISTINCT FROM', '=')})\n"
+        f"UNION ALL SELECT ticker, tahun, triwulan, {summary} FROM ff_new")
+    ident = ["entity_name", "emiten", "tahun", "triwulan", "report_date", "satuan", "pembulatan"]
+    coalesced = ", ".join(f"COALESCE(n.{c}, o.{c}) AS {c}" for c in ident + MONEY_ORDER)
+    q["set_upsert_rows"] = (
+        f"WITH {fo}, {fn}, old AS ({sector_all('ff_old')}), new AS ({sector_all('ff_new')})\n"
+        f"SELECT {coalesced} FROM old o FULL OUTER JOIN new n "
+        f"ON o.emiten = n.emiten AND o.tahun = n.tahun AND o.triwulan = n.triwulan")
+    q["replace_upsert_monthly"] = _replace(_monthly_from(OLD_TICKS), _monthly_from(NEW_TICKS), ["Year", "Month", "ticker"])
+    q["replace_upsert_yearly"] = _replace(_yearly_from(OLD_TICKS), _yearly_from(NEW_TICKS), ["Year", "ticker"])
+    mk = ["Year", "Month", "ticker"]
+    changed = " OR ".join(f"n.{c} IS DISTINCT FROM o.{c}" for _, c in AVG_NAMES)
+    q["merge_outcomes"] = (
+        f"WITH {TICKS}, old AS ({_monthly_from(OLD_TICKS)}), new AS ({_monthly_from(NEW_TICKS)})\n"
+        f"SELECT action, COUNT(*) AS n FROM (SELECT CASE WHEN o.ticker IS NULL AND o.\"Year\" IS NULL THEN 'inserted'"
+        f" WHEN n.ticker IS NULL AND n.\"Year\" IS NULL THEN 'untouched' WHEN {changed} THEN 'updated'"
+        f" ELSE 'unchanged' END AS action FROM old o FULL OUTER JOIN new n ON {_nsafe(mk)}) GROUP BY action")
+    q["last_write_wins"] = with_ticks(
+        'SELECT "Date", ticker, seq, "Open", "Close" FROM (SELECT *, row_number() OVER '
+        '(PARTITION BY "Date", ticker ORDER BY seq DESC) AS rn FROM ticks) WHERE rn = 1')
+    q["set_fold_batch"] = with_ticks(
+        'SELECT "Date", ticker, arg_max("Open", seq) FILTER (WHERE "Open" IS NOT NULL) AS "Open",'
+        ' arg_max(c2, seq) FILTER (WHERE c2 IS NOT NULL) AS "Close",'
+        ' arg_max(d2, seq) FILTER (WHERE d2 IS NOT NULL) AS "Dividends"'
+        ' FROM (SELECT *, CASE WHEN l_linenumber = 1 THEN NULL ELSE "Close" END AS c2,'
+        ' CASE WHEN l_returnflag = \'R\' THEN NULL ELSE "Dividends" END AS d2 FROM ticks)'
+        ' GROUP BY "Date", ticker')
+    appended = f"{_daily_from(OLD_TICKS)}\nUNION ALL {_daily_from(ALL_NEW_TICKS)}"
+    q["append_daily"] = with_ticks(appended)
+    q["duplicate_keys"] = with_ticks(
+        f'SELECT "Date", ticker, COUNT(*) AS n FROM ({appended}) GROUP BY "Date", ticker HAVING COUNT(*) > 1')
+    bad_day = 'TRY_CAST(CASE WHEN l_linenumber = 7 THEN \'n/a\' ELSE "Date" END AS DATE)'
+    q["required_keys"] = with_ticks(
+        f'SELECT CAST(year({bad_day}) AS INTEGER) AS "Year", CAST(month({bad_day}) AS INTEGER) AS "Month", ticker,'
+        f"\n  {_avgs()}\nFROM ticks GROUP BY 1, 2, 3 HAVING \"Year\" IS NOT NULL AND \"Month\" IS NOT NULL"
+        f" AND ticker IS NOT NULL")
     return q

@@ -60,17 +60,22 @@ def tick_columns(li: DataFrame) -> list[Column]:
     ]
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price ticks in the TICK shape, one per line item."""
-    return table(spark, sf_dir, "lineitem").select(*tick_columns(table(spark, sf_dir, "lineitem")))
+def ticks(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """Price ticks in the TICK shape, one per line item (optionally filtered)."""
+    li = table(spark, sf_dir, "lineitem")
+    if where is not None:
+        li = li.filter(where)
+    return li.select(*tick_columns(li))
 
 
-def ticks_with_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ticks_with_seq(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Ticks plus a unique write sequence `seq` and the return flag.
 
     `seq` stands for arrival order inside a batch (order key, then line).
     """
     li = table(spark, sf_dir, "lineitem")
+    if where is not None:
+        li = li.filter(where)
     return li.select(
         *tick_columns(li),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
@@ -157,13 +162,16 @@ def _conditions() -> list[Column]:
     ]
 
 
-def filing_fact_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def filing_fact_columns(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """One row per filing with one text column per fact key (NULL = absent).
 
     Column names are the fact keys. Grouping reduces the orders before the
-    join with customer, so the join sees one row per filing.
+    join with customer, so the join sees one row per filing. `where` filters
+    the orders first (used to build overlapping merge batches).
     """
     o = table(spark, sf_dir, "orders")
+    if where is not None:
+        o = o.filter(where)
     c = table(spark, sf_dir, "customer")
     amt = F.col("o_totalprice").cast(PRICE)
     aggs = []
@@ -221,7 +229,7 @@ def facts_map(keys: list[str]) -> Column:
     return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"]["value"].isNotNull()))
 
 
-def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def filings(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Filing documents: `ticker, tahun, triwulan, facts` (facts is a map)."""
-    flat = filing_fact_columns(spark, sf_dir)
+    flat = filing_fact_columns(spark, sf_dir, where)
     return flat.select("ticker", "tahun", "triwulan", facts_map(S.rule_keys()).alias("facts"))
