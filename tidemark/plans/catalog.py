@@ -178,7 +178,7 @@ def registry() -> dict[str, Query]:
         "sum_if_any", "guarded_difference", "sum_minus_required", "required_minus_optional", "first_present",
         "sector_banks", "sector_financing", "sector_investment", "sector_insurance", "sector_other",
         "sector_union", "sector_one_pass", "sector_null_dropped",
-    ] + MERGE_QUERIES
+    ] + MERGE_QUERIES + INGEST_QUERIES
     g = globals()
     return {n: g[n] for n in names}
 
@@ -298,3 +298,140 @@ MERGE_QUERIES = [
     "replace_upsert_filings", "set_upsert_rows", "replace_upsert_monthly", "replace_upsert_yearly",
     "last_write_wins", "set_fold_batch", "merge_outcomes", "append_daily", "duplicate_keys", "required_keys",
 ]
+
+
+# ---------------------------------------------------------------- ingest
+# These queries stage data that Spark derives from the tables into a fresh
+# folder under the session's checkpoint folder, then read it back with the
+# library's sources.
+
+
+def ticker_csv(spark, sf):
+    from tidemark.session import scratch_path
+    from tidemark.sources.staged import read_ticker_csv
+
+    path = scratch_path(spark, "tickers")
+    nation = V.table(spark, sf, "nation")
+    region = V.table(spark, sf, "region")
+    header = spark.range(1).select(F.lit(0).alias("_o"), F.lit(0).alias("_k"), F.lit("﻿emiten").alias("value"))
+    names = nation.select(
+        F.lit(1).alias("_o"), F.col("n_nationkey").alias("_k"),
+        F.when(F.col("n_nationkey") % 5 == 0, F.concat(F.lit(" "), F.col("n_name"), F.lit(",ignored")))
+        .otherwise(F.concat(F.lit("  "), F.col("n_name"), F.lit(" "))).alias("value"))
+    blanks = region.select(
+        F.lit(1).alias("_o"), (F.col("r_regionkey") * 5 + 2).alias("_k"),
+        F.when(F.col("r_regionkey") % 2 == 0, F.lit("")).otherwise(F.lit("   ")).alias("value"))
+    # The list is one small file with its header first: a bounded dimension.
+    (header.unionByName(names).unionByName(blanks).repartition(1)
+     .sortWithinPartitions("_o", "_k").select("value").write.text(path))
+    return read_ticker_csv(spark, path)
+
+
+def _stage_monthly(spark, sf, label):
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import write_json
+
+    path = scratch_path(spark, label)
+    write_json(R.monthly_average(V.ticks(spark, sf)), path)
+    return path
+
+
+def staged_json_strict(spark, sf):
+    from tidemark.schemas import MONTHLY_AGG
+    from tidemark.sources.staged import read_staged_json
+
+    return read_staged_json(spark, _stage_monthly(spark, sf, "strict"), MONTHLY_AGG, strict=True)
+
+
+def staged_json_lenient(spark, sf):
+    from tidemark.schemas import MONTHLY_AGG
+    from tidemark.sinks.writers import write_json
+    from tidemark.sources.staged import read_staged_json
+
+    path = _stage_monthly(spark, sf, "lenient")
+    # Records whose Year is not a number: malformed under the schema.
+    bad = V.table(spark, sf, "nation").select(F.col("n_name").alias("Year"), F.lit(1).alias("Month"),
+                                              F.col("n_name").alias("ticker"))
+    write_json(bad, path, mode="append")
+    return read_staged_json(spark, path, MONTHLY_AGG, strict=False)
+
+
+def staged_aggregates(spark, sf):
+    from tidemark.schemas import DAILY_AGG, MONTHLY_AGG, YEARLY_AGG
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import write_json
+    from tidemark.sources.staged import read_aggregate_folders
+
+    base = scratch_path(spark, "aggregates")
+    t = V.ticks(spark, sf)
+    write_json(R.daily_average(t), f"{base}/daily_aggregation")
+    write_json(R.monthly_average(t), f"{base}/monthly_aggregation")
+    write_json(R.yearly_average(t), f"{base}/yearly_aggregation")
+    df = read_aggregate_folders(
+        spark, base,
+        {"daily_aggregation": DAILY_AGG, "monthly_aggregation": MONTHLY_AGG, "yearly_aggregation": YEARLY_AGG})
+    return df.select("aggregation_type", "Date", "Year", "Month", "ticker", "avg_close")
+
+
+def staged_parquet(spark, sf):
+    from tidemark.schemas import SECTOR_ROW
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import write_parquet
+    from tidemark.sources.staged import read_staged_parquet
+
+    path = scratch_path(spark, "sector-parquet")
+    write_parquet(S.sector_rows(V.filings(spark, sf)), path, partition_by=["tahun", "triwulan"])
+    return present(read_staged_parquet(spark, path, SECTOR_ROW))
+
+
+def _archives(spark, sf):
+    return V.zip_archives(V.instance_xml(V.filings(spark, sf)))
+
+
+def archive_members(spark, sf):
+    from tidemark.sources import xbrl as XB
+
+    return XB.archive_members(_archives(spark, sf)).select("ticker", "tahun", "triwulan", "member", "status")
+
+
+def xbrl_facts(spark, sf):
+    from tidemark.sources import xbrl as XB
+
+    parsed = XB.parse_facts(V.instance_xml(V.filings(spark, sf)), last_wins=False)
+    return XB.facts_long(parsed, ["ticker", "tahun", "triwulan"]).select(
+        "ticker", "tahun", "triwulan", "key", "name", "context", "value")
+
+
+def xbrl_last_wins(spark, sf):
+    from tidemark.sources import xbrl as XB
+
+    parsed = XB.parse_facts(V.instance_xml(V.filings(spark, sf), stale_first=True), last_wins=True)
+    return XB.facts_long(parsed, ["ticker", "tahun", "triwulan"]).select(
+        "ticker", "tahun", "triwulan", "key", "value")
+
+
+def filing_documents(spark, sf):
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import write_json
+    from tidemark.sources import xbrl as XB
+    from tidemark.sources.staged import read_filings
+
+    members = XB.archive_members(_archives(spark, sf)).filter(F.col("status") == "ok")
+    parsed = XB.parse_facts(members.withColumn("quarter", F.substring("triwulan", 3, 1)).drop("triwulan"))
+    docs = XB.filing_documents(parsed, quarter="quarter")
+    path = scratch_path(spark, "filings")
+    write_json(docs, path)
+    back = read_filings(spark, path)
+    return back.select(
+        "ticker", "tahun", "triwulan",
+        F.size("facts").cast("int").alias("n_facts"),
+        F.col("file_info.instance_filename").alias("instance_filename"),
+        S.fact(S.SECTOR_KEY).alias("sector"),
+        S.fact(f"ProfitLoss_{S.D}").alias("net_profit_text"),
+    )
+
+
+INGEST_QUERIES = [
+    "ticker_csv", "staged_json_lenient", "staged_json_strict", "staged_aggregates", "staged_parquet",
+    "archive_members", "xbrl_facts", "xbrl_last_wins", "filing_documents",
+]

@@ -324,6 +324,7 @@ def queries_sql() -> dict[str, str]:
     q["sector_one_pass"] = with_filings(sector_all())
     q["sector_null_dropped"] = with_filings(f"SELECT {keys} FROM ff WHERE {SECTOR_FACT} IS NULL")
     q.update(merge_sql())
+    q.update(ingest_sql(q))
     return q
 
 
@@ -410,3 +411,48 @@ def merge_sql() -> dict[str, str]:
         f"\n  {_avgs()}\nFROM ticks GROUP BY 1, 2, 3 HAVING \"Year\" IS NOT NULL AND \"Month\" IS NOT NULL"
         f" AND ticker IS NOT NULL")
     return q
+
+
+# ----------------------------------------------------------------- ingest
+
+
+def _kind() -> str:
+    return ("((CAST(substr(ticker, 2) AS INTEGER) + CAST(tahun AS INTEGER)"
+            " + CAST(substr(triwulan, 3, 1) AS INTEGER)) % 4)")
+
+
+def _unpivot() -> str:
+    return ("(UNPIVOT ff ON COLUMNS(* EXCLUDE (ticker, tahun, triwulan)) INTO NAME key VALUE value)")
+
+
+def ingest_sql(base: dict[str, str]) -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["ticker_csv"] = "SELECT trim(n_name) AS ticker FROM nation"
+    q["staged_json_strict"] = base["avg_monthly"]
+    q["staged_json_lenient"] = base["avg_monthly"]
+    day = DAY
+    q["staged_aggregates"] = with_ticks(
+        f"SELECT 'daily_aggregation' AS aggregation_type, strftime({day}, '%Y-%m-%d') AS \"Date\","
+        f" CAST(NULL AS INTEGER) AS \"Year\", CAST(NULL AS INTEGER) AS \"Month\", ticker,"
+        f" CAST(SUM(CAST(\"Close\" AS DECIMAL(38,6))) AS DOUBLE) / COUNT(\"Close\") AS avg_close"
+        f" FROM ticks GROUP BY {day}, ticker\n"
+        f"UNION ALL SELECT 'monthly_aggregation', NULL, CAST(year({day}) AS INTEGER), CAST(month({day}) AS INTEGER),"
+        f" ticker, CAST(SUM(CAST(\"Close\" AS DECIMAL(38,6))) AS DOUBLE) / COUNT(\"Close\") FROM ticks GROUP BY 3, 4, 5\n"
+        f"UNION ALL SELECT 'yearly_aggregation', NULL, CAST(year({day}) AS INTEGER), NULL,"
+        f" ticker, CAST(SUM(CAST(\"Close\" AS DECIMAL(38,6))) AS DOUBLE) / COUNT(\"Close\") FROM ticks GROUP BY 3, 5")
+    q["staged_parquet"] = with_filings(sector_all())
+    q["archive_members"] = with_filings(
+        f"SELECT ticker, tahun, triwulan,"
+        f" CASE {_kind()} WHEN 0 THEN 'instance.xbrl' WHEN 1 THEN 'Report/Instance.XBRL' END AS member,"
+        f" CASE {_kind()} WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' WHEN 2 THEN 'no_instance' ELSE 'bad_zip' END AS status"
+        f" FROM ff")
+    split = ("regexp_extract(key, '^(.*)_([^_]*)$', 1) AS name, "
+             "regexp_extract(key, '^(.*)_([^_]*)$', 2) AS context")
+    q["xbrl_facts"] = with_filings(f"SELECT ticker, tahun, triwulan, key, {split}, value FROM {_unpivot()}")
+    q["xbrl_last_wins"] = with_filings(f"SELECT ticker, tahun, triwulan, key, value FROM {_unpivot()}")
+    count_present = " + ".join(f'(CASE WHEN "{k}" IS NOT NULL THEN 1 ELSE 0 END)' for k in S.rule_keys())
+    q["filing_documents"] = with_filings(
+        f"SELECT ticker, tahun, triwulan, CAST({count_present} AS INTEGER) AS n_facts,"
+        f" 'instance.xbrl' AS instance_filename, {SECTOR_FACT} AS sector,"
+        f" {f('ProfitLoss', 'D')} AS net_profit_text FROM ff WHERE {_kind()} IN (0, 1)")
+    return q

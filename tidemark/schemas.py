@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     DecimalType,
     DoubleType,
+    IntegerType,
     LongType,
     MapType,
     StringType,
@@ -108,3 +109,14 @@ SECTOR_KEYS = ["emiten", "tahun", "triwulan"]
 
 def aggregate_schema(keys: list[StructField]) -> StructType:
     return StructType(keys + [StructField(c, DoubleType()) for c in AVG_COLUMNS])
+
+
+def _fields(spec: list[tuple[str, object]]) -> list[StructField]:
+    return [StructField(n, t) for n, t in spec]
+
+
+# Staged aggregate schemas, as the JSON sink writes them (Date as ISO text).
+DAILY_AGG = aggregate_schema(_fields([("Date", StringType()), ("ticker", StringType())]))
+MONTHLY_AGG = aggregate_schema(
+    _fields([("Year", IntegerType()), ("Month", IntegerType()), ("ticker", StringType())]))
+YEARLY_AGG = aggregate_schema(_fields([("Year", IntegerType()), ("ticker", StringType())]))
