@@ -74,7 +74,15 @@ def count_malformed(spark: SparkSession, path: str, schema: StructType) -> DataF
     s = StructType(schema.fields + [StructField("_corrupt_record", StringType())])
     df = (spark.read.schema(s).option("pathGlobFilter", "part-*.json")
           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    return df.agg(F.count(F.col("_corrupt_record")).alias("malformed"))
+    # Reading the corrupt-record column alone is refused by Spark, so the
+    # first data column is read alongside it.
+    first = schema.fields[0].name
+    bad = F.col("_corrupt_record").isNotNull()
+    return df.agg(
+        F.sum(F.when(bad, 1).otherwise(0)).alias("malformed"),
+        F.sum(F.when(bad, 0).otherwise(1)).alias("good"),
+        F.count(F.col(f"`{first}`")).alias(f"with_{first}"),
+    )
 
 
 def read_aggregate_folders(spark: SparkSession, base: str, schemas: dict[str, StructType],
