@@ -1,30 +1,35 @@
 """Price roll-ups: daily, monthly and yearly averages per ticker (A1-A4).
 
 Averages are of raw ticks, never of daily averages. Each measure is
-accumulated as an exact decimal sum plus a count, so the result is the same
-however Spark splits and orders the rows across tasks (a double sum is not);
-the final value is `double(sum) / count`, a plain IEEE division. A group that
-holds a NaN or an infinite value falls back to the IEEE average, so such a
-value still poisons the group as it would with `avg`.
+accumulated in fixed point: the value in micro-units (x * 10^6, rounded to
+the nearest integer) is summed as a 64-bit integer, so the sum is exact and
+the result is the same however Spark splits and orders the rows across tasks
+(a double sum is not). The average is `double(sum) / 10^6 / count`. A group
+falls back to the IEEE average (`avg`) when the fixed-point path cannot be
+exact: a NaN or infinite value (which then poisons the group, as with
+`avg`), a value beyond the fixed-point range, or an overflowing sum.
+Long sums stay inside the hash aggregate's fixed-width buffers, so this
+costs little more than `avg` (a decimal(38) sum costs about three times).
 
 All three grains can come from one scan: the ticks are first reduced to one
-(sum, count) row per day and ticker (partial aggregation happens map-side,
-so a hot ticker is pre-combined in every task before the shuffle), and the
-monthly and yearly grains are re-aggregated from those partials, which are
-orders of magnitude smaller than the ticks.
+row of partial sums per day and ticker (partial aggregation happens
+map-side, so a hot ticker is pre-combined in every task before the
+shuffle), and the monthly and yearly grains are re-aggregated from those
+partials, which are orders of magnitude smaller than the ticks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType
+from pyspark.sql.types import DoubleType, LongType
 
 from tidemark.functions.periods import iso_to_date, month_of, year_of
 from tidemark.schemas import DAILY_KEYS, MEASURES, MONTHLY_KEYS, YEARLY_KEYS
 
-# Exact accumulator: 32 integer digits, 6 decimals.
-ACC = DecimalType(38, 6)
+# Fixed-point accumulator: micro-units in a 64-bit integer.
+SCALE = 6
+FACTOR = 10.0**SCALE
 
 
 def _q(name: str) -> Column:
@@ -36,11 +41,22 @@ def _not_finite(x: Column) -> Column:
     return F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
 
 
+def fixed_point(x: Column) -> Column:
+    """Value in micro-units as a long; NULL when absent or out of range."""
+    return F.rint(x.cast(DoubleType()) * F.lit(FACTOR)).try_cast(LongType())
+
+
+def _from_parts(total: Column, n_fixed: Column, n: Column, ieee_total: Column, bad: Column) -> Column:
+    exact_ok = total.isNotNull() & (n_fixed == n) & ~bad
+    exact = total.cast(DoubleType()) / F.lit(FACTOR) / n
+    return F.when(n == 0, F.lit(None).cast(DoubleType())).when(exact_ok, exact).otherwise(ieee_total / n)
+
+
 def exact_avg(x: Column) -> Column:
     """Order-independent average of one measure (see module doc)."""
-    exact = F.sum(x.try_cast(ACC)).cast(DoubleType()) / F.count(x)
-    ieee = F.avg(x.cast(DoubleType()))
-    return F.when(F.max(_not_finite(x)), ieee).otherwise(exact)
+    fx = fixed_point(x)
+    return _from_parts(F.try_sum(fx), F.count(fx), F.count(x), F.sum(x.cast(DoubleType())),
+                       F.coalesce(F.max(_not_finite(x)), F.lit(False)))
 
 
 def with_periods(ticks: DataFrame) -> DataFrame:
@@ -76,15 +92,17 @@ def yearly_average(ticks: DataFrame) -> DataFrame:
 
 
 def daily_partials(ticks: DataFrame) -> DataFrame:
-    """One row per (Date, ticker) with exact sums, counts and a non-finite flag."""
+    """One row per (Date, ticker): fixed-point sums, counts, IEEE sums, flags."""
     aggs = []
     for i, (src, _) in enumerate(MEASURES):
         x = _q(src)
+        fx = fixed_point(x)
         aggs += [
-            F.sum(x.try_cast(ACC)).alias(f"s{i}"),
+            F.try_sum(fx).alias(f"s{i}"),
+            F.count(fx).alias(f"m{i}"),
             F.count(x).alias(f"n{i}"),
             F.sum(x.cast(DoubleType())).alias(f"d{i}"),
-            F.max(_not_finite(x)).alias(f"f{i}"),
+            F.coalesce(F.max(_not_finite(x)), F.lit(False)).alias(f"f{i}"),
         ]
     t = with_periods(ticks)
     return t.groupBy("Date", "Year", "Month", "ticker").agg(*aggs)
@@ -96,14 +114,17 @@ def all_grains(ticks: DataFrame) -> DataFrame:
     Columns: `grain` ('daily' | 'monthly' | 'yearly'), `Date`, `Year`,
     `Month`, `ticker`, then the seven averages. Keys that do not belong to a
     grain are NULL. Grouping sets run over the daily partials, so the ticks
-    are read and shuffled once.
+    are read and shuffled once. A daily partial whose sum overflowed is NULL
+    and sends every grain above it to the IEEE path.
     """
     p = daily_partials(ticks)
     aggs = []
     for i, (_, out) in enumerate(MEASURES):
-        exact = F.sum(f"s{i}").cast(DoubleType()) / F.sum(f"n{i}")
-        ieee = F.sum(f"d{i}") / F.sum(f"n{i}")
-        aggs.append(F.when(F.max(f"f{i}"), ieee).otherwise(exact).alias(out))
+        overflowed = F.max(F.col(f"s{i}").isNull() & (F.col(f"m{i}") > 0))
+        aggs.append(
+            _from_parts(F.try_sum(f"s{i}"), F.sum(f"m{i}"), F.sum(f"n{i}"), F.sum(f"d{i}"),
+                        F.max(f"f{i}") | overflowed).alias(out)
+        )
     g = p.groupingSets(
         [[F.col("Date"), F.col("ticker")],
          [F.col("Year"), F.col("Month"), F.col("ticker")],
