@@ -139,3 +139,19 @@ def test_ansi_independent(spark, sf, ansi):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
     assert got == other
+
+
+def test_promoted_layout_gives_same_rows(spark, sf, tmp_path):
+    from tidemark.plans import views as V
+
+    fl = V.filings(spark, sf)
+    S.promote_rule_facts(fl).write.parquet(str(tmp_path / "promoted"))
+    promoted = spark.read.parquet(str(tmp_path / "promoted"))
+    a = S.sector_rows(fl)
+    b = S.sector_rows(promoted)
+    c = S.sector_rows_union(promoted)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and b.exceptAll(c).count() == 0
+    assert S.dropped_null_sector(promoted).count() == S.dropped_null_sector(fl).count()
+    scan = S.sector_rows(promoted)._jdf.queryExecution().executedPlan().toString()
+    read_schema = scan.split("ReadSchema: ")[1].split("\n")[0]
+    assert "facts:map" not in read_schema and "rule_facts:struct" in read_schema

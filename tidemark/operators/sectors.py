@@ -116,11 +116,36 @@ RULES: dict[str, dict[str, tuple]] = {
 }
 
 
+PROMOTED = "rule_facts"
+PROMOTED_SECTOR = "sector"
+
+
 def fact(key: str, facts: str = "facts") -> Column:
     """Raw text of one fact; NULL when the key is absent (any ANSI mode)."""
     return F.try_element_at(F.col(facts), F.lit(key))["value"]
 
 
+def promote_rule_facts(filings: DataFrame) -> DataFrame:
+    """Ingest-time layout for the rules: `sector` plus a `rule_facts` struct.
+
+    A map column is read whole and each lookup scans its keys; a struct of
+    the facts the rules use is column-pruned by Parquet (only the leaves a
+    job touches are read) and each access is a field offset. Write filings
+    in this shape (the `facts` map stays, for everything else) and the rule
+    job never reads the map. Promotion is lossless for the rules:
+    `sector_rows` gives the same rows on either shape.
+    """
+    return filings.withColumn(PROMOTED_SECTOR, fact(SECTOR_KEY)).withColumn(
+        PROMOTED, F.struct(*[fact(k).alias(k) for k in rule_keys()])
+    )
+
+
+def _getter(filings: DataFrame):
+    if PROMOTED in filings.columns:
+        return lambda key: F.col(PROMOTED)[key]
+    return fact
+
+
 def rule_keys() -> list[str]:
     """Every fact key the rules read, in first-use order."""
     out: list[str] = [SECTOR_KEY, *IDENTITY_FACTS.values()]
@@ -161,18 +186,20 @@ def rule_for(column: str, sector: str) -> tuple:
     return r.get("all") or r[sector]
 
 
-def sector_of(facts: str = "facts") -> Column:
-    return fact(SECTOR_KEY, facts)
+def sector_of(filings: DataFrame | None = None) -> Column:
+    if filings is not None and PROMOTED_SECTOR in filings.columns:
+        return F.col(PROMOTED_SECTOR)
+    return fact(SECTOR_KEY)
 
 
-def _identity(with_period: bool) -> list[Column]:
+def _identity(with_period: bool, get=fact) -> list[Column]:
     cols = [
-        fact(IDENTITY_FACTS["entity_name"]).alias("entity_name"),
+        get(IDENTITY_FACTS["entity_name"]).alias("entity_name"),
         F.col("ticker").alias("emiten"),
     ]
     if with_period:
         cols += [F.col("tahun").alias("tahun"), F.col("triwulan").alias("triwulan")]
-    cols += [fact(IDENTITY_FACTS[c]).alias(c) for c in ("report_date", "satuan", "pembulatan")]
+    cols += [get(IDENTITY_FACTS[c]).alias(c) for c in ("report_date", "satuan", "pembulatan")]
     return cols
 
 
@@ -181,28 +208,33 @@ def _output_columns(with_period: bool) -> list[str]:
 
 
 def sector_rows(filings: DataFrame, with_period: bool = True) -> DataFrame:
-    """R1-R13 in one pass: one row per filing with a non-NULL sector."""
-    sector = sector_of()
+    """R1-R13 in one pass: one row per filing with a non-NULL sector.
+
+    Works on the map (`facts`) or on the promoted layout (`rule_facts`).
+    """
+    sector = sector_of(filings)
+    get = _getter(filings)
     money_cols = []
     for col in SECTOR_MONEY_COLUMNS:
         r = RULES[col]
         if "all" in r:
-            expr = build(r["all"])
+            expr = build(r["all"], get)
         else:
-            expr = F.when(sector == F.lit(BANKS), build(r[BANKS]))
+            expr = F.when(sector == F.lit(BANKS), build(r[BANKS], get))
             for s in (FINANCING, INVESTMENT, INSURANCE):
-                expr = expr.when(sector == F.lit(s), build(r[s]))
-            expr = expr.otherwise(build(r[OTHER]))
+                expr = expr.when(sector == F.lit(s), build(r[s], get))
+            expr = expr.otherwise(build(r[OTHER], get))
         money_cols.append(expr.cast(MONEY).alias(col))
-    return filings.filter(sector.isNotNull()).select(*_identity(with_period), *money_cols)
+    return filings.filter(sector.isNotNull()).select(*_identity(with_period, get), *money_cols)
 
 
 def sector_branch(filings: DataFrame, sector: str, with_period: bool = True) -> DataFrame:
     """One sector's rows (F1-F5 then its select list)."""
-    s = sector_of()
+    s = sector_of(filings)
+    get = _getter(filings)
     pred = ~s.isin(SPECIAL_SECTORS) if sector == OTHER else (s == F.lit(sector))
-    money_cols = [build(rule_for(c, sector)).cast(MONEY).alias(c) for c in SECTOR_MONEY_COLUMNS]
-    return filings.filter(pred).select(*_identity(with_period), *money_cols)
+    money_cols = [build(rule_for(c, sector), get).cast(MONEY).alias(c) for c in SECTOR_MONEY_COLUMNS]
+    return filings.filter(pred).select(*_identity(with_period, get), *money_cols)
 
 
 def sector_rows_union(filings: DataFrame, with_period: bool = True) -> DataFrame:
@@ -216,7 +248,7 @@ def sector_rows_union(filings: DataFrame, with_period: bool = True) -> DataFrame
 
 def dropped_null_sector(filings: DataFrame) -> DataFrame:
     """Q4: the filings every branch drops, for counting."""
-    return filings.filter(sector_of().isNull())
+    return filings.filter(sector_of(filings).isNull())
 
 
 def sort_for_sink(rows: DataFrame) -> DataFrame:

@@ -166,6 +166,11 @@ def sector_one_pass(spark, sf):
     return present(S.sector_rows(V.filings(spark, sf)))
 
 
+def sector_one_pass_promoted(spark, sf):
+    """The rules on the ingest layout (promoted `sector` and `rule_facts`)."""
+    return present(S.sector_rows(S.promote_rule_facts(V.filings(spark, sf)).drop("facts")))
+
+
 def sector_null_dropped(spark, sf):
     return S.dropped_null_sector(V.filings(spark, sf)).select("ticker", "tahun", "triwulan")
 
@@ -177,7 +182,7 @@ def registry() -> dict[str, Query]:
         "reporting_period", "iso_to_date", "safe_float", "safe_int", "price_frame_rows", "fetch_manifest",
         "sum_if_any", "guarded_difference", "sum_minus_required", "required_minus_optional", "first_present",
         "sector_banks", "sector_financing", "sector_investment", "sector_insurance", "sector_other",
-        "sector_union", "sector_one_pass", "sector_null_dropped",
+        "sector_union", "sector_one_pass", "sector_one_pass_promoted", "sector_null_dropped",
     ] + MERGE_QUERIES + INGEST_QUERIES
     g = globals()
     return {n: g[n] for n in names}

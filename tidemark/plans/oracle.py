@@ -322,6 +322,7 @@ def queries_sql() -> dict[str, str]:
         q[name] = with_filings(sector_select(sector))
     q["sector_union"] = with_filings(sector_all())
     q["sector_one_pass"] = with_filings(sector_all())
+    q["sector_one_pass_promoted"] = with_filings(sector_all())
     q["sector_null_dropped"] = with_filings(f"SELECT {keys} FROM ff WHERE {SECTOR_FACT} IS NULL")
     q.update(merge_sql())
     q.update(ingest_sql(q))
