@@ -37,3 +37,7 @@ def test_month_to_date(spark):
     df = spark.sql("SELECT explode(sequence(DATE'2025-04-28', DATE'2025-05-22')) AS d")
     got = [r.d for r in df.filter(PD.month_to_date(F.col("d"), F.lit("2025-05-20"))).collect()]
     assert got[0] == dt.date(2025, 5, 1) and got[-1] == dt.date(2025, 5, 19) and len(got) == 19
+
+
+def test_target_name():
+    assert PD.target_name("filings_", "2024", 2, "_final") == "filings_2024TW2_final"

@@ -70,3 +70,13 @@ def month_to_date(d: Column | str, as_of: Column | str) -> Column:
     d = _c(d)
     as_of = _c(as_of).cast(DateType())
     return (d >= F.trunc(as_of, "MM")) & (d < as_of)
+
+
+def target_name(prefix: str, year: str | int, quarter: int, suffix: str = "") -> str:
+    """K8: per-period target name, `{prefix}{year}TW{quarter}{suffix}`.
+
+    Prefix and suffix are deployment settings (input and output targets of
+    one period differ only by them); inside Spark prefer the partition
+    columns `tahun` / `triwulan` over one target per period.
+    """
+    return f"{prefix}{period_suffix(year, quarter)}{suffix}"

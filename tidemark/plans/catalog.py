@@ -183,7 +183,7 @@ def registry() -> dict[str, Query]:
         "sum_if_any", "guarded_difference", "sum_minus_required", "required_minus_optional", "first_present",
         "sector_banks", "sector_financing", "sector_investment", "sector_insurance", "sector_other",
         "sector_union", "sector_one_pass", "sector_one_pass_promoted", "sector_null_dropped",
-    ] + MERGE_QUERIES + INGEST_QUERIES
+    ] + MERGE_QUERIES + INGEST_QUERIES + STREAM_QUERIES
     g = globals()
     return {n: g[n] for n in names}
 
@@ -440,3 +440,25 @@ INGEST_QUERIES = [
     "ticker_csv", "staged_json_lenient", "staged_json_strict", "staged_aggregates", "staged_parquet",
     "archive_members", "xbrl_facts", "xbrl_last_wins", "filing_documents",
 ]
+
+
+# ---------------------------------------------------------------- streaming
+
+
+def stream_monthly_average(spark, sf):
+    """The monthly averages built incrementally: ticks arrive as two file
+    drops (before / from 1998), each folded in by one scheduled run."""
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import write_json
+    from tidemark.streaming.prices import run_incremental
+
+    base = scratch_path(spark, "stream")
+    cut = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    write_json(V.ticks(spark, sf, cut), f"{base}/ticks/drop=1")
+    run_incremental(spark, f"{base}/ticks", f"{base}/monthly", f"{base}/_checkpoint")
+    write_json(V.ticks(spark, sf, ~cut), f"{base}/ticks/drop=2")
+    out = run_incremental(spark, f"{base}/ticks", f"{base}/monthly", f"{base}/_checkpoint")
+    return out.drop("drop")
+
+
+STREAM_QUERIES = ["stream_monthly_average"]

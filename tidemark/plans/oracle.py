@@ -326,6 +326,7 @@ def queries_sql() -> dict[str, str]:
     q["sector_null_dropped"] = with_filings(f"SELECT {keys} FROM ff WHERE {SECTOR_FACT} IS NULL")
     q.update(merge_sql())
     q.update(ingest_sql(q))
+    q["stream_monthly_average"] = q["avg_monthly"]
     return q
 
 

@@ -88,3 +88,13 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
 def sector_rows_for_sink(df: DataFrame) -> DataFrame:
     """The 20 standard fields first, any extra fields after."""
     return canonical_order(df, SECTOR_COLUMNS)
+
+
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, mode: str = "overwrite") -> None:
+    """A merge target laid out for repeated keyed merges.
+
+    Bucketing (and sorting) the target by its merge keys lets the next
+    merge's join read the target without shuffling it: only the incoming
+    batch is exchanged. Needs a catalog table (`saveAsTable`).
+    """
+    df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
