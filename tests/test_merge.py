@@ -86,3 +86,23 @@ def test_hot_key_dedup_is_partial_aggregate(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "partial_max_by" in plan
     assert out.collect()[0].a == "19999"
+
+
+def test_set_upsert_paths_agree(spark):
+    old = df(spark, [("x", 1, "a1", 1.0), ("y", 2, "a2", 2.0), (None, 5, "n", 5.0)])
+    new = df(spark, [("x", 1, None, 7.0), ("z", 3, "a3", None), (None, 5, "m", None)])
+    for null_safe in (False, True):
+        small = as_set(M.set_upsert(old, new, KEYS, null_safe=null_safe))
+        big = as_set(M.set_upsert(old, new, KEYS, null_safe=null_safe, broadcast_bytes=None))
+        assert small == big
+    plan = M.set_upsert(old, new, KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "FullOuter" not in plan
+
+
+def test_set_upsert_extra_columns(spark):
+    old = df(spark, [("x", 1, "a1", 1.0)])
+    new = spark.createDataFrame([("x", 1, "extra"), ("q", 9, "e2")], "k1 string, k2 int, c string")
+    for bb in (None, 1 << 20):
+        out = {(r.k1, r.k2): r.asDict() for r in M.set_upsert(old, new, KEYS, broadcast_bytes=bb).collect()}
+        assert out[("x", 1)] == {"k1": "x", "k2": 1, "a": "a1", "b": 1.0, "c": "extra"}
+        assert out[("q", 9)] == {"k1": "q", "k2": 9, "a": None, "b": None, "c": "e2"}

@@ -67,6 +67,32 @@ def _key_bytes(keys_df: DataFrame, keys: list[str]) -> int:
     return int(b) + 16 * len(keys) * int(n)
 
 
+def _row_bytes(df: DataFrame) -> int:
+    """Exact upper bound of a (small) DataFrame's size, from one aggregate pass.
+
+    Text and binary columns count their bytes, nested ones the bytes of their
+    JSON text, other columns 8 (16 for decimals), plus 16 bytes of overhead
+    per column.
+    """
+    from pyspark.sql.types import ArrayType, BinaryType, DecimalType, MapType, StringType, StructType
+
+    parts, fixed = [], 0
+    for f in df.schema.fields:
+        t = f.dataType
+        if isinstance(t, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(_q(f.name)), F.lit(0)))
+        elif isinstance(t, (ArrayType, MapType, StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(_q(f.name))), F.lit(0)))
+        elif isinstance(t, DecimalType):
+            fixed += 16
+        else:
+            fixed += 8
+    width = reduce(lambda a, b: a + b, parts) if parts else F.lit(0)
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    n, b = int(row["n"] or 0), int(row["b"] or 0)
+    return b + n * (fixed + 16 * len(df.columns))
+
+
 def _key_match(left: str, right: str, keys: list[str], null_safe: bool) -> Column:
     """Join condition between two aliased sides, by alias (lineage-safe)."""
     conds = []
@@ -103,26 +129,49 @@ def set_upsert(
     keys: list[str],
     seq: str | None = None,
     null_safe: bool = False,
+    broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """M2: `$set` upsert; a field absent (NULL) in the incoming row keeps the old value.
 
-    One full outer join on the keys (both sides shuffle on the keys once);
-    new keys are inserted, matched keys take each incoming non-NULL field.
+    Small batch (its exact size checked against `broadcast_bytes`): the
+    target streams through a left join with the broadcast batch (matched
+    keys take each incoming non-NULL field, other rows pass unchanged) and
+    new keys are the batch rows without a partner in a key-only semi join of
+    the target, so the target is never shuffled. Otherwise: one full outer
+    join on the keys, both sides shuffled once.
     """
     new = set_fold(incoming, keys, seq) if seq else incoming
+    cols = list(dict.fromkeys(target.columns + new.columns))
+
+    def merged(o_alias: str, n_alias: str) -> list[Column]:
+        out = []
+        for c in cols:
+            in_o, in_n = c in target.columns, c in new.columns
+            if in_o and in_n:
+                out.append(F.coalesce(F.col(f"{n_alias}.`{c}`"), F.col(f"{o_alias}.`{c}`")).alias(c))
+            elif in_n:
+                out.append(F.col(f"{n_alias}.`{c}`").alias(c))
+            else:
+                out.append(F.col(f"{o_alias}.`{c}`").alias(c))
+        return out
+
+    if broadcast_bytes is not None and _row_bytes(new) <= broadcast_bytes:
+        b = F.broadcast(new).alias("_n")
+        kept = target.alias("_o").join(b, _key_match("_o", "_n", keys, null_safe), "left") \
+            .select(*merged("_o", "_n"))
+        hit_keys = target.select(*[_q(k) for k in keys]).alias("_o").join(
+            F.broadcast(new.select(*[_q(k) for k in keys])).alias("_n"),
+            _key_match("_o", "_n", keys, null_safe), "left_semi")
+        # hit_keys holds at most the batch's keys: within the checked bound.
+        inserts = new.alias("_n").join(F.broadcast(hit_keys).alias("_o"), _key_match("_n", "_o", keys, null_safe),
+                                       "left_anti")
+        inserted = inserts.select(*[
+            _q(c) if c in new.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in cols])
+        return kept.unionByName(inserted)
+
     o, n = target.alias("_o"), new.alias("_n")
     j = o.join(n, _key_match("_o", "_n", keys, null_safe), "full_outer")
-    cols = list(dict.fromkeys(target.columns + new.columns))
-    out = []
-    for c in cols:
-        in_o, in_n = c in target.columns, c in new.columns
-        if in_o and in_n:
-            out.append(F.coalesce(F.col(f"_n.`{c}`"), F.col(f"_o.`{c}`")).alias(c))
-        elif in_n:
-            out.append(F.col(f"_n.`{c}`").alias(c))
-        else:
-            out.append(F.col(f"_o.`{c}`").alias(c))
-    return j.select(*out)
+    return j.select(*merged("_o", "_n"))
 
 
 def merge_outcomes(
