@@ -462,3 +462,35 @@ def stream_monthly_average(spark, sf):
 
 
 STREAM_QUERIES = ["stream_monthly_average"]
+
+
+def ticker_lines(spark, sf):
+    """A plain ticker list (lines may hold commas), header line skipped."""
+    from tidemark.session import scratch_path
+    from tidemark.sources.staged import read_ticker_lines
+
+    path = scratch_path(spark, "ticker-lines")
+    nation = V.table(spark, sf, "nation")
+    header = spark.range(1).select(F.lit(0).alias("_o"), F.lit(0).alias("_k"), F.lit("emiten").alias("value"))
+    lines = nation.select(F.lit(1).alias("_o"), F.col("n_nationkey").alias("_k"),
+                          F.concat(F.lit(" "), F.col("n_name"), F.lit(","), F.col("n_regionkey").cast("string"),
+                                   F.lit("  ")).alias("value"))
+    (header.unionByName(lines).repartition(1).sortWithinPartitions("_o", "_k")
+     .select("value").write.text(path))
+    return read_ticker_lines(spark, path)
+
+
+def tick_appends(spark, sf):
+    """K7 + S6: ticks appended per batch (two batches), read back with the TICK schema."""
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import append
+    from tidemark.sources.ticks import read_ticks
+
+    path = scratch_path(spark, "tick-appends")
+    cut = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    append(V.ticks(spark, sf, cut), path, fmt="json")
+    append(V.ticks(spark, sf, ~cut), path, fmt="json")
+    return read_ticks(spark, path).select("_id", "Date", "ticker", "Open", "Close", "Volume", "fetch_timestamp")
+
+
+INGEST_QUERIES += ["ticker_lines", "tick_appends"]

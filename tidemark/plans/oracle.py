@@ -430,6 +430,8 @@ def _unpivot() -> str:
 def ingest_sql(base: dict[str, str]) -> dict[str, str]:
     q: dict[str, str] = {}
     q["ticker_csv"] = "SELECT trim(n_name) AS ticker FROM nation"
+    q["ticker_lines"] = "SELECT n_name || ',' || CAST(n_regionkey AS VARCHAR) AS ticker FROM nation"
+    q["tick_appends"] = with_ticks('SELECT _id, "Date", ticker, "Open", "Close", "Volume", fetch_timestamp FROM ticks')
     q["staged_json_strict"] = base["avg_monthly"]
     q["staged_json_lenient"] = base["avg_monthly"]
     day = DAY
