@@ -155,3 +155,11 @@ def test_promoted_layout_gives_same_rows(spark, sf, tmp_path):
     scan = S.sector_rows(promoted)._jdf.queryExecution().executedPlan().toString()
     read_schema = scan.split("ReadSchema: ")[1].split("\n")[0]
     assert "facts:map" not in read_schema and "rule_facts:struct" in read_schema
+
+
+def test_blank_as_missing_option(spark):
+    f = base(S.BANKS) | {f"InterestIncome_{D}": "100", f"SubtotalShariaIncome_{D}": " "}
+    fl = filing(spark, "AAA", f)
+    assert S.sector_rows(fl).first().revenue is None  # default: blank present -> NULL sum
+    assert S.sector_rows(fl, blank_as_missing=True).first().revenue == Decimal("100")
+    assert S.sector_rows_union(fl, blank_as_missing=True).first().revenue == Decimal("100")

@@ -52,6 +52,12 @@ DEPRECIATION = "DepreciationOfInvestmentPropertyLeaseAssetsPropertyAndEquipmentF
 #   ("minus_sum", base, [deductions]) P6
 #   ("first", [keys])                 P7, first present raw value
 # Columns whose rule is the same for all five sectors use ("all", spec).
+# Inventory IDs: R1 revenue, R2 gross_profit, R3 operating_profit,
+# R4 net_profit, R5 cash, R6 total_assets, R7 short_term_borrowing,
+# R8 long_term_borrowing, R9 total_equity, R10 liabilities,
+# R11-R13 cash_dari_operasi / _investasi / _pendanaan. Kept quirks: Q6 (banks'
+# gross = operating profit), Q7 (G3 long-term = prior minus current loans),
+# Q8 (G2 splits third-party and related-party borrowings).
 RULES: dict[str, dict[str, tuple]] = {
     "revenue": {
         BANKS: ("sum", [f"InterestIncome_{D}", f"SubtotalShariaIncome_{D}"]),
@@ -140,10 +146,15 @@ def promote_rule_facts(filings: DataFrame) -> DataFrame:
     )
 
 
-def _getter(filings: DataFrame):
+def _getter(filings: DataFrame, blank_as_missing: bool = False):
     if PROMOTED in filings.columns:
-        return lambda key: F.col(PROMOTED)[key]
-    return fact
+        get = lambda key: F.col(PROMOTED)[key]
+    else:
+        get = fact
+    if not blank_as_missing:
+        return get
+    # Q2 option: a blank fact counts as absent instead of "present, not a number".
+    return lambda key: F.when(F.trim(get(key)) == F.lit(""), F.lit(None).cast("string")).otherwise(get(key))
 
 
 def rule_keys() -> list[str]:
@@ -207,13 +218,16 @@ def _output_columns(with_period: bool) -> list[str]:
     return [c for c in SECTOR_COLUMNS if with_period or c not in ("tahun", "triwulan")]
 
 
-def sector_rows(filings: DataFrame, with_period: bool = True) -> DataFrame:
-    """R1-R13 in one pass: one row per filing with a non-NULL sector.
+def sector_rows(filings: DataFrame, with_period: bool = True, blank_as_missing: bool = False) -> DataFrame:
+    """R1-R13 in one pass: one row per filing with a non-NULL sector.
 
     Works on the map (`facts`) or on the promoted layout (`rule_facts`).
+    P1 (nested access) and P2 (renaming to the standard names) happen here.
+    By default a blank fact is present-but-not-a-number, as in the original
+    rules (Q2); `blank_as_missing=True` treats it as absent instead.
     """
     sector = sector_of(filings)
-    get = _getter(filings)
+    get = _getter(filings, blank_as_missing)
     money_cols = []
     for col in SECTOR_MONEY_COLUMNS:
         r = RULES[col]
@@ -228,20 +242,21 @@ def sector_rows(filings: DataFrame, with_period: bool = True) -> DataFrame:
     return filings.filter(sector.isNotNull()).select(*_identity(with_period, get), *money_cols)
 
 
-def sector_branch(filings: DataFrame, sector: str, with_period: bool = True) -> DataFrame:
+def sector_branch(filings: DataFrame, sector: str, with_period: bool = True,
+                  blank_as_missing: bool = False) -> DataFrame:
     """One sector's rows (F1-F5 then its select list)."""
     s = sector_of(filings)
-    get = _getter(filings)
+    get = _getter(filings, blank_as_missing)
     pred = ~s.isin(SPECIAL_SECTORS) if sector == OTHER else (s == F.lit(sector))
     money_cols = [build(rule_for(c, sector), get).cast(MONEY).alias(c) for c in SECTOR_MONEY_COLUMNS]
     return filings.filter(pred).select(*_identity(with_period, get), *money_cols)
 
 
-def sector_rows_union(filings: DataFrame, with_period: bool = True) -> DataFrame:
-    """The five branches unioned by name (bag semantics)."""
+def sector_rows_union(filings: DataFrame, with_period: bool = True, blank_as_missing: bool = False) -> DataFrame:
+    """The five branches unioned by name (bag semantics, P15 alignment)."""
     out = None
     for s in SECTORS:
-        b = sector_branch(filings, s, with_period)
+        b = sector_branch(filings, s, with_period, blank_as_missing)
         out = b if out is None else out.unionByName(b)
     return out.select(*_output_columns(with_period))
 
