@@ -73,3 +73,17 @@ def test_exact_avg_is_order_independent(spark):
     ra = a.agg(R.exact_avg(F.col("x"))).first()[0]
     rb = b.agg(R.exact_avg(F.col("x"))).first()[0]
     assert ra == rb
+
+
+def test_ansi_modes_agree(spark, sf):
+    from tidemark.plans import views as V
+
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    out = []
+    try:
+        for mode in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", mode)
+            out.append(sorted(R.all_grains(V.ticks(spark, sf)).collect(), key=str))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert out[0] == out[1]

@@ -13,10 +13,10 @@ folder `v=<batch id>` next to the previous ones and never overwrites the
 folder it reads, so a lost executor or a retried batch cannot leave a
 half-merged target; a retried batch id rewrites its own version.
 
-State holds one row per (period, ticker). An optional watermark on the tick
-date (`late_days`) drops the state of periods older than that, bounding it
-for unbounded history; ticks later than the watermark are then ignored, so
-leave it unset to keep the original "recompute everything" semantics.
+State holds one row per (period, ticker). An optional watermark
+(`late_days`) drops the state of closed periods, bounding it for unbounded
+history; ticks of a period whose state was dropped are then ignored, so leave
+it unset to keep the original "recompute everything" semantics.
 """
 
 from __future__ import annotations
@@ -32,7 +32,11 @@ GRAIN_KEYS = {"monthly": MONTHLY_KEYS, "yearly": YEARLY_KEYS}
 
 
 def tick_stream(spark: SparkSession, path: str, fmt: str = "json", max_files_per_trigger: int | None = None):
-    """Streaming ticks from a folder of files, with the explicit TICK schema."""
+    """Streaming ticks from a folder of files, with the explicit TICK schema.
+
+    New files land in the folder itself or in partition-style subfolders
+    (`drop=<n>/`); other subfolders are not listed by the file source.
+    """
     r = spark.readStream.format(fmt).schema(TICK)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -40,12 +44,19 @@ def tick_stream(spark: SparkSession, path: str, fmt: str = "json", max_files_per
 
 
 def period_averages(ticks: DataFrame, grain: str = "monthly", late_days: int | None = None) -> DataFrame:
-    """Running averages per period key (streaming or batch input)."""
+    """Running averages per period key (streaming or batch input).
+
+    With `late_days`, the period's first day is an event-time grouping key
+    under a watermark, so the state of a period is dropped once a period
+    starting more than `late_days` later has been seen.
+    """
     t = R.with_periods(ticks)
-    if late_days is not None:
-        t = t.withColumn("_event_time", F.col("Date").cast("timestamp")).withWatermark(
-            "_event_time", f"{late_days} days")
-    return R.average_by(t, GRAIN_KEYS[grain])
+    keys = GRAIN_KEYS[grain]
+    if late_days is None:
+        return R.average_by(t, keys)
+    unit = "MM" if grain == "monthly" else "YYYY"
+    t = t.withColumn("_period", F.trunc("Date", unit).cast("timestamp")).withWatermark("_period", f"{late_days} days")
+    return R.average_by(t, ["_period", *keys]).drop("_period")
 
 
 def _versions(spark: SparkSession, target: str) -> list[int]:
