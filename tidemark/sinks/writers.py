@@ -47,17 +47,24 @@ def write_json(df: DataFrame, path: str, single_file: bool = False, mode: str =
     (df.coalesce(1) if single_file else df).write.mode(mode).json(path)
 
 
-def write_json_sorted(df: DataFrame, path: str, by: str = "emiten", single_file: bool = True) -> None:
+def write_json_sorted(df: DataFrame, path: str, by: str = "emiten", single_file: bool = True,
+                      count_rows: bool = False) -> int | None:
     """K1: JSON lines in global `by` order (range shuffle, then one file).
 
     `repartition(1).sortWithinPartitions` guarantees the order in the single
     file; with `single_file=False` the parts are range-partitioned and each
     part is sorted, so reading parts in name order gives the global order.
+    With `count_rows`, the written rows are counted by an observation placed
+    after the sort (the range sort's sampling pass does not count) and the
+    count is returned (A5).
     """
-    if single_file:
-        df.repartition(1).sortWithinPartitions(F.col(by).asc_nulls_first()).write.mode("overwrite").json(path)
-    else:
-        df.orderBy(F.col(by).asc_nulls_first()).write.mode("overwrite").json(path)
+    key = F.col(by).asc_nulls_first()
+    out = df.repartition(1).sortWithinPartitions(key) if single_file else df.orderBy(key)
+    obs = None
+    if count_rows:
+        out, obs = counted(out)
+    out.write.mode("overwrite").json(path)
+    return obs.get["rows"] if obs is not None else None
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
