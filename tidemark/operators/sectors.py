@@ -226,8 +226,12 @@ def sector_rows(filings: DataFrame, with_period: bool = True, blank_as_missing:
     By default a blank fact is present-but-not-a-number, as in the original
     rules (Q2); `blank_as_missing=True` treats it as absent instead.
     """
-    sector = sector_of(filings)
     get = _getter(filings, blank_as_missing)
+    # The sector is looked up once, in a projection of its own: a map lookup
+    # is not "cheap" to Catalyst, so the projection is not inlined into the
+    # CASE chains below (which would repeat the lookup in every column).
+    filings = filings.withColumn("_sector", sector_of(filings))
+    sector = F.col("_sector")
     money_cols = []
     for col in SECTOR_MONEY_COLUMNS:
         r = RULES[col]
