@@ -96,3 +96,9 @@ def test_manifest(spark):
     assert r.url == "https://example.invalid/r/Laporan%20Keuangan%20Tahun%202024/TW2/BBRI/instance.zip"
     assert r.symbol == "BBRI.JK" and r.document_name == "BBRI_2024_TW2.json"
     assert F is not None
+
+
+def test_missing_ticker_list_raises(spark, tmp_path):
+    # Documented difference: the original returned an empty list.
+    with pytest.raises(Exception):
+        ST.read_ticker_csv(spark, str(tmp_path / "nope")).collect()
