@@ -301,6 +301,9 @@ def zip_archives(xml_df: DataFrame) -> DataFrame:
     import pyarrow as pa
     from pyspark.sql.types import BinaryType, StructField, StructType
 
+    from tidemark.session import ship_package
+
+    ship_package(xml_df.sparkSession)
     df = xml_df.withColumn("_kind", archive_kind())
     schema = StructType([StructField("ticker", StringType()), StructField("tahun", StringType()),
                          StructField("triwulan", StringType()), StructField("content", BinaryType())])

@@ -54,3 +54,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tidemark-{label}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `tidemark` importable in the Python workers (once per application).
+
+    The per-task functions of the XBRL operators refer to this package's
+    helpers, which the workers import. The package is zipped and added with
+    `addPyFile`, the runtime form of `--py-files`; where the package is
+    installed on the executors this is harmless.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tidemark-pyfiles-"), "tidemark.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
