@@ -87,3 +87,16 @@ def test_ansi_modes_agree(spark, sf):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
     assert out[0] == out[1]
+
+
+def test_fixed_point_fallbacks(spark):
+    # out of the fixed-point range (1e14 * 1e6 > 2^63) and an overflowing sum
+    rows = [("2024-01-02T00:00:00", 1e14, 1, "A"), ("2024-01-02T00:00:00", 1.0, 1, "A"),
+            ("2024-01-02T00:00:00", 5e12, 1, "B"), ("2024-01-02T00:00:00", 5e12, 1, "B"),
+            ("2024-01-03T00:00:00", 5e12, 1, "B")]
+    t = ticks(spark, rows)
+    m = {r.ticker: r.avg_open for r in R.monthly_average(t).collect()}
+    assert m == {"A": (1e14 + 1.0) / 2, "B": 5e12}
+    g = {(r.grain, r.ticker): r.avg_open for r in R.all_grains(t).collect() if r.grain != "daily"}
+    assert g[("monthly", "A")] == (1e14 + 1.0) / 2 and g[("monthly", "B")] == 5e12
+    assert g[("yearly", "B")] == 5e12

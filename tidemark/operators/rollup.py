@@ -46,8 +46,13 @@ def fixed_point(x: Column) -> Column:
     return F.rint(x.cast(DoubleType()) * F.lit(FACTOR)).try_cast(LongType())
 
 
-def _from_parts(total: Column, n_fixed: Column, n: Column, ieee_total: Column, bad: Column) -> Column:
-    exact_ok = total.isNotNull() & (n_fixed == n) & ~bad
+def _needs_ieee(x: Column, fx: Column) -> Column:
+    """Row flag: the value cannot take the fixed-point path (non-finite or out of range)."""
+    return _not_finite(x) | (x.isNotNull() & fx.isNull())
+
+
+def _from_parts(total: Column, n: Column, ieee_total: Column, bad: Column) -> Column:
+    exact_ok = total.isNotNull() & ~bad
     exact = total.cast(DoubleType()) / F.lit(FACTOR) / n
     return F.when(n == 0, F.lit(None).cast(DoubleType())).when(exact_ok, exact).otherwise(ieee_total / n)
 
@@ -55,8 +60,8 @@ def _from_parts(total: Column, n_fixed: Column, n: Column, ieee_total: Column, b
 def exact_avg(x: Column) -> Column:
     """Order-independent average of one measure (see module doc)."""
     fx = fixed_point(x)
-    return _from_parts(F.try_sum(fx), F.count(fx), F.count(x), F.sum(x.cast(DoubleType())),
-                       F.coalesce(F.max(_not_finite(x)), F.lit(False)))
+    return _from_parts(F.try_sum(fx), F.count(x), F.sum(x.cast(DoubleType())),
+                       F.coalesce(F.max(_needs_ieee(x, fx)), F.lit(False)))
 
 
 def with_periods(ticks: DataFrame) -> DataFrame:
@@ -92,17 +97,16 @@ def yearly_average(ticks: DataFrame) -> DataFrame:
 
 
 def daily_partials(ticks: DataFrame) -> DataFrame:
-    """One row per (Date, ticker): fixed-point sums, counts, IEEE sums, flags."""
+    """One row per (Date, ticker): fixed-point sums, counts, IEEE sums, fallback flags."""
     aggs = []
     for i, (src, _) in enumerate(MEASURES):
         x = _q(src)
         fx = fixed_point(x)
         aggs += [
             F.try_sum(fx).alias(f"s{i}"),
-            F.count(fx).alias(f"m{i}"),
             F.count(x).alias(f"n{i}"),
             F.sum(x.cast(DoubleType())).alias(f"d{i}"),
-            F.coalesce(F.max(_not_finite(x)), F.lit(False)).alias(f"f{i}"),
+            F.coalesce(F.max(_needs_ieee(x, fx)), F.lit(False)).alias(f"f{i}"),
         ]
     t = with_periods(ticks)
     return t.groupBy("Date", "Year", "Month", "ticker").agg(*aggs)
@@ -120,9 +124,10 @@ def all_grains(ticks: DataFrame) -> DataFrame:
     p = daily_partials(ticks)
     aggs = []
     for i, (_, out) in enumerate(MEASURES):
-        overflowed = F.max(F.col(f"s{i}").isNull() & (F.col(f"m{i}") > 0))
+        # A daily sum that overflowed is NULL although the day has values.
+        overflowed = F.max(F.col(f"s{i}").isNull() & (F.col(f"n{i}") > 0) & ~F.col(f"f{i}"))
         aggs.append(
-            _from_parts(F.try_sum(f"s{i}"), F.sum(f"m{i}"), F.sum(f"n{i}"), F.sum(f"d{i}"),
+            _from_parts(F.try_sum(f"s{i}"), F.sum(f"n{i}"), F.sum(f"d{i}"),
                         F.max(f"f{i}") | overflowed).alias(out)
         )
     g = p.groupingSets(
