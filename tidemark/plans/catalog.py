@@ -171,6 +171,11 @@ def sector_one_pass_promoted(spark, sf):
     return present(S.sector_rows(S.promote_rule_facts(V.filings(spark, sf)).drop("facts")))
 
 
+def sector_rows_without_period(spark, sf):
+    """The older single-job variant: the same rules without `tahun` / `triwulan`."""
+    return present(S.sector_rows(V.filings(spark, sf), with_period=False))
+
+
 def sector_null_dropped(spark, sf):
     return S.dropped_null_sector(V.filings(spark, sf)).select("ticker", "tahun", "triwulan")
 
@@ -182,7 +187,8 @@ def registry() -> dict[str, Query]:
         "reporting_period", "iso_to_date", "safe_float", "safe_int", "price_frame_rows", "fetch_manifest",
         "sum_if_any", "guarded_difference", "sum_minus_required", "required_minus_optional", "first_present",
         "sector_banks", "sector_financing", "sector_investment", "sector_insurance", "sector_other",
-        "sector_union", "sector_one_pass", "sector_one_pass_promoted", "sector_null_dropped",
+        "sector_union", "sector_one_pass", "sector_one_pass_promoted", "sector_rows_without_period",
+        "sector_null_dropped",
     ] + MERGE_QUERIES + INGEST_QUERIES + STREAM_QUERIES
     g = globals()
     return {n: g[n] for n in names}

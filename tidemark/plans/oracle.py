@@ -323,6 +323,8 @@ def queries_sql() -> dict[str, str]:
     q["sector_union"] = with_filings(sector_all())
     q["sector_one_pass"] = with_filings(sector_all())
     q["sector_one_pass_promoted"] = with_filings(sector_all())
+    q["sector_rows_without_period"] = with_filings(
+        f"SELECT * EXCLUDE (tahun, triwulan) FROM ({sector_all()})")
     q["sector_null_dropped"] = with_filings(f"SELECT {keys} FROM ff WHERE {SECTOR_FACT} IS NULL")
     q.update(merge_sql())
     q.update(ingest_sql(q))
