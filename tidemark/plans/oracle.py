@@ -299,7 +299,7 @@ def queries_sql() -> dict[str, str]:
         f"WITH {raw}\nSELECT ticker || '.JK' AS symbol, ticker, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS \"Date\",\n"
         f"  {sf('open_txt')} AS \"Open\", {sf('high_txt')} AS \"High\", {sf('low_txt')} AS \"Low\",\n"
         f"  {sf('close_txt')} AS \"Close\", {si('volume_txt')} AS \"Volume\", {sf('div_txt')} AS \"Dividends\",\n"
-        f"  0.0 AS \"Stock Splits\" FROM raw")
+        f"  CAST(0.0 AS DOUBLE) AS \"Stock Splits\" FROM raw")
     q["fetch_manifest"] = with_filings(
         "SELECT ticker, tahun, triwulan, ticker || '.JK' AS symbol,\n"
         "  'https://example.invalid/reports/Laporan%20Keuangan%20Tahun%20' || tahun || '/' || triwulan || '/'"
