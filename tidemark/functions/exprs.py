@@ -91,8 +91,8 @@ def safe_float(x: Column | str, default: float = 0.0) -> Column:
 
 def safe_int(x: Column | str, default: int = 0) -> Column:
     """Parse through a double, truncate toward zero, default on failure."""
-    x = _c(x)
-    as_double = F.nanvl(x.try_cast(DoubleType()), F.lit(float("nan")))
+    as_double = _c(x).try_cast(DoubleType())
+    # NaN and values beyond the long range have no integer: default.
     truncated = F.when(F.isnan(as_double), F.lit(None)).otherwise(as_double.try_cast(LongType()))
     return F.coalesce(truncated, F.lit(default).cast(LongType()))
 
