@@ -163,3 +163,11 @@ def test_blank_as_missing_option(spark):
     assert S.sector_rows(fl).first().revenue is None  # default: blank present -> NULL sum
     assert S.sector_rows(fl, blank_as_missing=True).first().revenue == Decimal("100")
     assert S.sector_rows_union(fl, blank_as_missing=True).first().revenue == Decimal("100")
+
+
+def test_map_path_plan_narrows_once(spark):
+    fl = filing(spark, "AAA", base(S.BANKS) | {f"InterestIncome_{D}": "1"})
+    plan = S.sector_rows(fl)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("map_filter(") == 1 and "INSET" in plan
+    filt = [line for line in plan.splitlines() if "Filter" in line]
+    assert filt and all("map_filter" not in line for line in filt)
