@@ -41,3 +41,15 @@ def test_prices_transform_and_load(spark, sf, tmp_path):
     m = spark.read.parquet(new2["monthly"]).drop("aggregation_type", "load_timestamp")
     assert m.exceptAll(R.monthly_average(ticks)).count() == 0
     assert F is not None
+
+
+def test_filings_transform_on_promoted_parquet(spark, sf, tmp_path):
+    d = str(tmp_path)
+    S.promote_rule_facts(V.filings(spark, sf)).write.parquet(f"{d}/promoted")
+    summary = J.transform_filings(spark, f"{d}/promoted", f"{d}/staged", fmt="parquet", single_file=True)
+    expected = S.sector_rows(V.filings(spark, sf))
+    assert summary["rows"] == expected.count()
+    staged = spark.read.schema(expected.schema).json(f"{d}/staged")
+    assert staged.exceptAll(expected).count() == 0
+    emitens = [r.emiten for r in staged.select("emiten").collect()]
+    assert emitens == sorted(emitens)
