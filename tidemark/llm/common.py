@@ -61,3 +61,55 @@ def chunks(batches: Iterator[pa.RecordBatch], rows: int = CHUNK) -> Iterator[pa.
 def prepare(spark: SparkSession) -> None:
     """Make this package importable in the Python workers."""
     ship_package(spark)
+
+
+#: Bits of the fixed-size filter below: 512 pieces of 4 KB.
+_PIECES, _PIECE_BITS = 512, 32768
+
+
+def possibly_in(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of `df` whose `column` may be among `keys`: all that are, and few others.
+
+    The keys are folded into a bitmap of 2 MB at most, whatever their number,
+    so that it can be broadcast and spares shuffling the other rows. When the
+    keys are too many for it the filter lets more rows through; it never drops
+    a key, so an exact join must follow.
+    """
+    place = F.pmod(F.xxhash64(F.col(column).cast("string"), F.lit(5)), F.lit(_PIECES * _PIECE_BITS))
+    bits = (
+        keys.select(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(5)), F.lit(_PIECES * _PIECE_BITS)).alias("k"))
+        .groupBy(F.expr(f"k div {_PIECE_BITS}").alias("piece")).agg(F.expr(f"bitmap_construct_agg(k % {_PIECE_BITS})").alias("bits"))
+    )
+    marked = df.withColumn("k__", place).join(F.broadcast(bits), F.expr(f"k__ div {_PIECE_BITS}") == F.col("piece"))
+    byte = F.expr(f"CAST(conv(hex(substring(bits, CAST((k__ % {_PIECE_BITS}) div 8 AS INT) + 1, 1)), 16, 10) AS INT)")
+    return marked.where(byte.bitwiseAND(F.expr("shiftleft(1, CAST(k__ % 8 AS INT))")) != 0).drop("k__", "piece", "bits")
+
+
+def components(edges: DataFrame, label: str = "components") -> DataFrame:
+    """(v, c): every vertex of the edges (a, b) with the smallest vertex of its component.
+
+    Each round hooks every vertex to its smallest neighbour, follows the hooks
+    to their roots, and contracts the edges; what is left shrinks at least by
+    half a round. All state is in tables of the shared folder.
+    """
+    spark = edges.sparkSession
+    edges = staged(edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), label)
+    found = None
+    while not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hooks = staged(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("n")).select("v", F.least("v", "n").alias("c")), label)
+        while True:
+            up = hooks.select(F.col("v").alias("x"), F.col("c").alias("y"))
+            nxt = staged(hooks.join(up, hooks["c"] == up["x"]).select("v", F.col("c").alias("old"), F.col("y").alias("c")), label)
+            done = nxt.where("old != c").isEmpty()
+            hooks = nxt.select("v", "c")
+            if done:
+                break
+        step = hooks.select(F.col("v").alias("x"), F.col("c").alias("y"))
+        if found is None:
+            found = hooks
+        else:
+            found = staged(found.join(step, found["c"] == step["x"], "left").select("v", F.coalesce("y", "c").alias("c")), label)
+        left = edges.join(step.withColumnsRenamed({"x": "xa", "y": "ya"}), F.col("a") == F.col("xa")).join(step.withColumnsRenamed({"x": "xb", "y": "yb"}), F.col("b") == F.col("xb"))
+        edges = staged(left.where("ya != yb").select(F.least("ya", "yb").alias("a"), F.greatest("ya", "yb").alias("b")).distinct(), label)
+    return found if found is not None else spark.createDataFrame([], "v long, c long")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, quality_rules, token_counts
+from tidemark.llm import mixing, near_dedup, packing, quality_knn, quality_rules, token_counts, toxicity
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,10 +19,18 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -36,9 +44,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_source_mixing, op7_packing, op8_quality_rules, op9_token_counts)}
+    return {f.__name__: f for f in (op3_near_dedup, op5_source_mixing, op6_toxicity, op7_packing, op8_quality_rules, op9_token_counts, op10_quality_knn)}
 
 
 def registry_sql() -> dict[str, str]:
-    return {"op5_source_mixing": mixing.SQL, "op8_quality_rules": quality_rules.SQL}
+    return {"op3_near_dedup": near_dedup.SQL, "op5_source_mixing": mixing.SQL, "op8_quality_rules": quality_rules.SQL}
