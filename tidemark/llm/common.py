@@ -67,8 +67,8 @@ def prepare(spark: SparkSession) -> None:
 _PIECES, _PIECE_BITS = 512, 32768
 
 
-def possibly_in(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of `df` whose `column` may be among `keys`: all that are, and few others.
+def possibly_in(df: DataFrame, column: str, keys: DataFrame, key: str, keep: bool = True) -> DataFrame:
+    """Rows of `df` whose `column` may be among `keys`: all that are, and few others; without `keep`, the other rows.
 
     The keys are folded into a bitmap of 2 MB at most, whatever their number,
     so that it can be broadcast and spares shuffling the other rows. When the
@@ -80,9 +80,10 @@ def possibly_in(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFr
         keys.select(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(5)), F.lit(_PIECES * _PIECE_BITS)).alias("k"))
         .groupBy(F.expr(f"k div {_PIECE_BITS}").alias("piece")).agg(F.expr(f"bitmap_construct_agg(k % {_PIECE_BITS})").alias("bits"))
     )
-    marked = df.withColumn("k__", place).join(F.broadcast(bits), F.expr(f"k__ div {_PIECE_BITS}") == F.col("piece"))
+    marked = df.withColumn("k__", place).join(F.broadcast(bits), F.expr(f"k__ div {_PIECE_BITS}") == F.col("piece"), "left")
     byte = F.expr(f"CAST(conv(hex(substring(bits, CAST((k__ % {_PIECE_BITS}) div 8 AS INT) + 1, 1)), 16, 10) AS INT)")
-    return marked.where(byte.bitwiseAND(F.expr("shiftleft(1, CAST(k__ % 8 AS INT))")) != 0).drop("k__", "piece", "bits")
+    among = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, CAST(k__ % 8 AS INT))")) != 0, F.lit(False))
+    return marked.where(among if keep else ~among).drop("k__", "piece", "bits")
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
