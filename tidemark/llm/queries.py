@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_dedup, mixing, near_dedup, packing, quality_knn, quality_rules, token_counts, toxicity
+from tidemark.llm import line_dedup, lm_score, mixing, near_dedup, packing, quality_knn, quality_rules, token_counts, toxicity
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.split_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_classes(table(spark, sf_dir, "documents")).drop("h")
 
@@ -53,7 +57,7 @@ def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_line_dedup, op3_near_dedup, op5_source_mixing, op6_toxicity, op7_packing, op8_quality_rules, op9_token_counts, op10_quality_knn)}
+    return {f.__name__: f for f in (op1_lm_score, op2_line_dedup, op3_near_dedup, op5_source_mixing, op6_toxicity, op7_packing, op8_quality_rules, op9_token_counts, op10_quality_knn)}
 
 
 def registry_sql() -> dict[str, str]:
