@@ -61,15 +61,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_epoch
     )
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, copies (times taken) and taken (words).
-
-    `keep` names further columns to carry along.
-    """
+def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: Sequence[int], max_epochs: int, seed: str, carry: bool) -> DataFrame:
+    """(id, source, size, source_size, target, copies) per document, with the whole row as `carried` if asked for."""
     sized = staged(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text_of(text_col)).alias("size"),
-        F.struct(*[F.col(c) for c in keep] or [F.lit(0).alias("none")]).alias("carried"),
+        *[F.struct("*").alias("carried")] * carry,
     ).withColumn("order", F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary")))
      .withColumn("bucket", F.substring("order", 1, _BUCKET_HEX)), "mix-sizes")
 
@@ -94,10 +90,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     tight = joined.where(at_cut).withColumn("before", F.col("cut.before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     tight = tight.withColumn("extra", F.col("before") + F.col("size") / 2 <= F.col("rest")).drop("before")
     copies = (F.col("whole") + F.when(F.col("extra") & (F.col("rest") > 0), 1).otherwise(0)).cast("int")
-    return clear.unionByName(tight).select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-        copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"), *[F.col("carried")[c].alias(c) for c in keep],
-    )
+    return clear.unionByName(tight).select("id", "source", "size", "source_size", "target", copies.alias("copies"), *["carried"] * carry)
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """One row per document: id, source, size, source_size, target, copies (times taken) and taken (words)."""
+    plan = _planned(docs, id_col, text_col, source_col, weights, max_epochs, seed, False)
+    return plan.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+
+
+def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+            weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The mix itself: every document as often as it is taken, all columns as they are."""
+    plan = _planned(docs, id_col, text_col, source_col, weights, max_epochs, seed, True)
+    return plan.where("copies > 0").select("carried", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("carried.*")
 
 
 SQL = rf"""

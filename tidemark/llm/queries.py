@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, lm_score, mixing, near_dedup, packing, quality_knn, quality_rules, token_counts, toxicity
+from tidemark.llm import ann, line_dedup, lm_score, mixing, near_dedup, packing, quality_knn, quality_rules, token_counts, toxicity
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -57,7 +63,7 @@ def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_lm_score, op2_line_dedup, op3_near_dedup, op5_source_mixing, op6_toxicity, op7_packing, op8_quality_rules, op9_token_counts, op10_quality_knn)}
+    return {f.__name__: f for f in (op1_lm_score, op2_line_dedup, op3_near_dedup, op4_ann, op5_source_mixing, op6_toxicity, op7_packing, op8_quality_rules, op9_token_counts, op10_quality_knn)}
 
 
 def registry_sql() -> dict[str, str]:

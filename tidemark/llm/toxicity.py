@@ -155,20 +155,26 @@ def fit(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", text_
     return train_noisy_or(np.frombuffer(b"".join(rows.column("ids").to_pylist()), "<i4"), np.frombuffer(b"".join(sizes), "<i4"), np.array([len(x) // 4 for x in sizes]), rows.column("y").to_numpy().astype(int))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """id, score and the carried columns of every document."""
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id and score of every document."""
     prepare(docs.sparkSession)
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    source = docs.select(F.struct(F.col(id_col).alias("id"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(carry)]).alias("key"), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = model.scorer()
         for b in chunks(batches):
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([s.score(t) for t in b.column("text").to_pylist()], pa.float64())], names=["key", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([s.score(t) for t in b.column("text").to_pylist()], pa.float64())], names=["id", "score"])
+
+    schema = StructType([StructField("id", source.schema["id"].dataType), StructField("score", DoubleType())])
+    return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
 
-    out = source.mapInArrow(run, StructType([StructField("key", source.schema["key"].dataType), StructField("score", DoubleType())]))
-    return out.select(F.col("key.id").alias(id_col), "score", *[F.col(f"key.c{k}").alias(c) for k, c in enumerate(carry)])
+def reject(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, all columns as they are, that score under `threshold`."""
+    whole = docs.select(F.struct("*").alias("k"), F.col(text_col).alias("t"))
+    return score(whole, model, "k", "t").where(F.col("score") < threshold).select("k.*")
 
 
 def locate(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
