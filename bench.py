@@ -97,8 +97,6 @@ def main() -> None:
         inc_r = spark.read.parquet(f"{base}/incoming_rows_{pct}")
         q[f"replace_upsert_{pct}pct"] = timed(lambda: run_noop(M.replace_upsert(filings, inc_f, fkeys)), runs)
         q[f"set_upsert_{pct}pct"] = timed(lambda: run_noop(M.set_upsert(rows, inc_r, keys)), runs)
-        q[f"set_upsert_{pct}pct_shuffle_join"] = timed(
-            lambda: run_noop(M.set_upsert(rows, inc_r, keys, broadcast_bytes=None)), runs)
     # One run only: a single-task scaling reference, not a headline.
     q["xbrl_parse_1_partition"] = timed(lambda: run_noop(XB.parse_facts(xml.coalesce(1))), 1)
     q["xbrl_parse_all_cores"] = timed(lambda: run_noop(XB.parse_facts(xml.repartition(cpus))), runs)

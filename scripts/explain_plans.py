@@ -82,10 +82,8 @@ def main() -> None:
         ("R1-R13 one pass on the promoted layout, one period (`sectors.sector_rows`)",
          S.sector_rows(promoted.filter(F.col("tahun") == "1998"))),
         ("R1-R13 one pass on the map (`sectors.sector_rows`)", S.sector_rows(filings)),
-        ("M1 replace-upsert, small checked batch (`merge.replace_upsert`)", M.replace_upsert(rows, small, keys)),
-        ("M2 set-upsert, small checked batch (`merge.set_upsert`)", M.set_upsert(rows, small, keys)),
-        ("M2 set-upsert, shuffle path (`merge.set_upsert(broadcast_bytes=None)`)",
-         M.set_upsert(rows, small, keys, broadcast_bytes=None)),
+        ("M1 replace-upsert, small batch (`merge.replace_upsert`)", M.replace_upsert(rows, small, keys)),
+        ("M2 set-upsert, small batch (`merge.set_upsert`)", M.set_upsert(rows, small, keys)),
         ("M5 last write wins (`merge.last_write_wins`)",
          M.last_write_wins(V.ticks_with_seq(spark, sf).select("Date", "ticker", "seq", "Open"), ["Date", "ticker"])),
         ("S4 XBRL parse (`xbrl.parse_facts`)", XB.parse_facts(xml)),

@@ -1,6 +1,6 @@
 """The four scheduled steps end to end on derived data."""
 
-from pyspark.sql import functions as F
+from datetime import date
 
 from tidemark import jobs as J
 from tidemark.operators import rollup as R
@@ -14,14 +14,34 @@ def test_filings_transform_and_load(spark, sf, tmp_path):
     V.filings(spark, sf).write.json(f"{d}/filings")
     summary = J.transform_filings(spark, f"{d}/filings", f"{d}/staged")
     expected = S.sector_rows(V.filings(spark, sf))
-    assert summary["rows"] == expected.count() and summary["null_sector"] > 0
-    first = J.load_sector_rows(spark, f"{d}/staged", None, f"{d}/target_v1")
-    assert first == {"inserted": expected.count()}
-    again = J.load_sector_rows(spark, f"{d}/staged", f"{d}/target_v1", f"{d}/target_v2")
-    assert again == {"unchanged": expected.count()}
-    v2 = spark.read.parquet(f"{d}/target_v2")
-    assert v2.columns[:7] == ["entity_name", "emiten", "tahun", "triwulan", "report_date", "satuan", "pembulatan"]
-    assert v2.exceptAll(expected.select(*v2.columns)).count() == 0
+    assert summary["rows"] == expected.count() and summary["null_sector"] == S.dropped_null_sector(V.filings(spark, sf)).count() > 0
+    assert J.load_sector_rows(spark, f"{d}/staged", f"{d}/target") == {"inserted": expected.count()}
+    assert J.load_sector_rows(spark, f"{d}/staged", f"{d}/target") == {"unchanged": expected.count()}
+    stored = spark.read.schema(expected.schema).parquet(f"{d}/target")
+    assert stored.exceptAll(expected.select(*stored.columns)).count() == 0 and stored.count() == expected.count()
+
+
+def test_one_period_is_transformed_and_loaded(spark, sf, tmp_path):
+    d, day = str(tmp_path), date(1997, 8, 1)  # the closed period is 1997, quarter 2
+    V.filings(spark, sf).write.json(f"{d}/filings")
+    J.transform_filings(spark, f"{d}/filings", f"{d}/all")
+    J.load_sector_rows(spark, f"{d}/all", f"{d}/target")
+    before = {f: f.stat().st_mtime_ns for f in tmp_path.glob("target/tahun=*/triwulan=*/*.parquet")}
+    got = J.transform_filings(spark, f"{d}/filings", f"{d}/one", as_of=day)
+    n = S.sector_rows(V.filings(spark, sf)).filter("tahun = '1997' AND triwulan = 'TW2'").count()
+    assert got["rows"] == n > 0
+    assert J.load_sector_rows(spark, f"{d}/one", f"{d}/target", as_of=day) == {"unchanged": n}
+    after = {f: f.stat().st_mtime_ns for f in tmp_path.glob("target/tahun=*/triwulan=*/*.parquet")}
+    assert {f.parent for f in set(after.items()) ^ set(before.items()) for f in [f[0]]} == {tmp_path / "target/tahun=1997/triwulan=TW2"}
+
+
+def test_duplicate_staged_keys_become_one_row(spark, tmp_path):
+    (tmp_path / "staged").mkdir()
+    (tmp_path / "staged" / "part-0.json").write_text(
+        '{"emiten": "A", "tahun": "2024", "triwulan": "TW1", "revenue": 1.0}\n{"emiten": "A", "tahun": "2024", "triwulan": "TW1", "gross_profit": 2.0}\n')
+    assert J.load_sector_rows(spark, f"{tmp_path}/staged", f"{tmp_path}/target") == {"inserted": 1}
+    row = spark.read.parquet(f"{tmp_path}/target").first()
+    assert (row.revenue, row.gross_profit) == (1.0, 2.0)
 
 
 def test_prices_transform_and_load(spark, sf, tmp_path):
@@ -30,17 +50,61 @@ def test_prices_transform_and_load(spark, sf, tmp_path):
     write_json(ticks, f"{d}/ticks")
     counts = J.transform_prices(spark, f"{d}/ticks", f"{d}/staged")
     assert counts["monthly"] == R.monthly_average(ticks).count()
-    new = {k: f"{d}/{k}_v1" for k in ("daily", "monthly", "yearly")}
-    out = J.load_prices(spark, f"{d}/staged", {}, new)
-    assert out["monthly"] == {"inserted": counts["monthly"]}
-    new2 = {k: f"{d}/{k}_v2" for k in ("daily", "monthly", "yearly")}
-    out2 = J.load_prices(spark, f"{d}/staged", new, new2)
-    assert out2["yearly"] == {"unchanged": counts["yearly"]}
-    assert spark.read.parquet(new2["daily"]).count() == 2 * counts["daily"]  # append duplicates (M7)
-    assert spark.read.parquet(new2["monthly"]).count() == counts["monthly"]
-    m = spark.read.parquet(new2["monthly"]).drop("aggregation_type", "load_timestamp")
-    assert m.exceptAll(R.monthly_average(ticks)).count() == 0
-    assert F is not None
+    targets = {k: f"{d}/{k}" for k in ("daily", "monthly", "yearly")}
+    out = J.load_prices(spark, f"{d}/staged", targets)
+    assert out["monthly"] == {"inserted": counts["monthly"], "rejected": 0}
+    out2 = J.load_prices(spark, f"{d}/staged", targets)
+    assert out2["yearly"] == {"unchanged": counts["yearly"], "rejected": 0}
+    assert spark.read.parquet(targets["daily"]).count() == 2 * counts["daily"]  # append duplicates (M7)
+    m = R.in_single_precision(spark.read.parquet(targets["monthly"]).drop("aggregation_type", "load_timestamp"))
+    want = R.in_single_precision(R.monthly_average(ticks))
+    assert m.count() == counts["monthly"] and m.select(want.columns).exceptAll(want).count() == 0
+    daily = {**targets, "daily": f"{d}/daily_by_key"}
+    J.load_prices(spark, f"{d}/staged", daily, upsert_daily=True)
+    assert J.load_prices(spark, f"{d}/staged", daily, upsert_daily=True)["daily"]["unchanged"] == counts["daily"]
+
+
+def test_stored_rows_keep_their_load_time(spark, tmp_path):
+    d = str(tmp_path)
+    line = '{"Year": %d, "Month": 1, "ticker": "A", "avg_open": 1.0}\n'
+    folder = tmp_path / "staged" / "monthly_aggregation"
+    folder.mkdir(parents=True)
+    (folder / "part-0.json").write_text(line % 2023 + line % 2024 + "not json\n")
+    assert J.load_prices(spark, f"{d}/staged", {"monthly": f"{d}/m"})["monthly"] == {"inserted": 2, "rejected": 1}
+    first = {r.Year: r.load_timestamp for r in spark.read.parquet(f"{d}/m").collect()}
+    (folder / "part-0.json").write_text(line % 2024)
+    J.load_prices(spark, f"{d}/staged", {"monthly": f"{d}/m"})
+    then = {r.Year: r.load_timestamp for r in spark.read.parquet(f"{d}/m").collect()}
+    assert then[2023] == first[2023] and then[2024] > first[2024]
+
+
+def test_archives_are_ingested(spark, sf, tmp_path):
+    """Real archive files on shared storage, one of them with a malformed instance."""
+    import zipfile
+
+    docs = V.instance_xml(V.filings(spark, sf)).limit(4).collect()
+    for k, r in enumerate(docs):
+        folder = tmp_path / "archives" / "2024" / "TW1" / f"T{k}"
+        folder.mkdir(parents=True)
+        with zipfile.ZipFile(folder / "instance.zip", "w") as zf:
+            zf.writestr("instance.xbrl", "<broken" if k == 3 else r.xbrl)
+    got = J.ingest_filings(spark, f"{tmp_path}/archives", f"{tmp_path}/filings", f"{tmp_path}/status", as_of=date(2024, 5, 1))
+    assert got == {"inserted": 3, "status_ok": 3, "status_parse_error": 1}
+    again = J.ingest_filings(spark, f"{tmp_path}/archives", f"{tmp_path}/filings")
+    assert again["unchanged"] == 3
+    rows = J.transform_filings(spark, f"{tmp_path}/filings", f"{tmp_path}/staged", fmt="parquet", as_of=date(2024, 5, 1))
+    assert rows["rows"] + rows["null_sector"] == 3
+
+
+def test_prices_are_ingested_and_the_older_load(spark, sf, tmp_path):
+    frame = V.raw_ticks(spark, sf)
+    assert J.ingest_prices(spark, frame, f"{tmp_path}/ticks") == {"appended": frame.count()}
+    ids = [r._id for r in spark.read.json(f"{tmp_path}/ticks").select("_id").collect()]
+    assert len(set(ids)) == len(ids) and all(len(i) == 24 and int(i, 16) >= 0 for i in ids)
+    rows = S.sector_rows(V.filings(spark, sf))
+    rows.write.parquet(f"{tmp_path}/handoff")
+    assert J.load_single_job(spark, f"{tmp_path}/handoff", f"{tmp_path}/collection") == {"rows": rows.count()}
+    assert J.load_single_job(spark, f"{tmp_path}/none", f"{tmp_path}/collection") == {"rows": 0}
 
 
 def test_filings_transform_on_promoted_parquet(spark, sf, tmp_path):

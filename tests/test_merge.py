@@ -1,5 +1,8 @@
 """Keyed merges on toy rows, plus properties."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from tidemark.operators import merge as M
 
 KEYS = ["k1", "k2"]
@@ -21,13 +24,12 @@ def test_replace_upsert(spark):
     assert as_set(out) == [("x", 1, "a1", 1.0), ("y", 2, None, 9.0), ("z", 3, "a3", 3.0)]
 
 
-def test_replace_upsert_idempotent_and_no_broadcast_path(spark):
+def test_replace_upsert_idempotent(spark):
     old = df(spark, [("x", 1, "a1", 1.0), ("y", 2, "a2", 2.0)])
     new = df(spark, [("y", 2, "n", 9.0)])
     once = M.replace_upsert(old, new, KEYS)
     twice = M.replace_upsert(once, new, KEYS)
-    shuffled = M.replace_upsert(once, new, KEYS, broadcast_bytes=None)
-    assert as_set(once) == as_set(twice) == as_set(shuffled)
+    assert as_set(once) == as_set(twice)
 
 
 def test_null_safe_keys(spark):
@@ -88,21 +90,32 @@ def test_hot_key_dedup_is_partial_aggregate(spark):
     assert out.collect()[0].a == "19999"
 
 
-def test_set_upsert_paths_agree(spark):
-    old = df(spark, [("x", 1, "a1", 1.0), ("y", 2, "a2", 2.0), (None, 5, "n", 5.0)])
-    new = df(spark, [("x", 1, None, 7.0), ("z", 3, "a3", None), (None, 5, "m", None)])
-    for null_safe in (False, True):
-        small = as_set(M.set_upsert(old, new, KEYS, null_safe=null_safe))
-        big = as_set(M.set_upsert(old, new, KEYS, null_safe=null_safe, broadcast_bytes=None))
-        assert small == big
-    plan = M.set_upsert(old, new, KEYS)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and "FullOuter" not in plan
+def test_duplicate_incoming_keys_are_folded(spark):
+    old = df(spark, [("x", 1, "a1", 1.0)])
+    new = df(spark, [("x", 1, "a2", None), ("x", 1, None, 7.0), ("z", 3, "first", 1.0), ("z", 3, "last", None)]).coalesce(1)
+    assert as_set(M.set_upsert(old, new, KEYS)) == [("x", 1, "a2", 7.0), ("z", 3, "last", 1.0)]
+    assert as_set(M.replace_upsert(old, new, KEYS)) == [("x", 1, None, 7.0), ("z", 3, "last", None)]
+    for mode in ("set", "replace"):
+        assert {r.action: r.n for r in M.merge_outcomes(old, new, KEYS, mode).collect()} == {"updated": 1, "inserted": 1}
+
+
+def test_null_order_is_an_error(spark):
+    batch = df(spark, [("x", 1, "a", 1.0, None)], SCHEMA + ", seq int")
+    with pytest.raises(Exception, match="order of the batch"):
+        M.last_write_wins(batch, KEYS).collect()
+
+
+def test_merge_ignores_a_stamp(spark):
+    old = df(spark, [("x", 1, "a", 1.0), ("y", 1, "b", 1.0)])
+    new = df(spark, [("x", 1, "a", 2.0)])
+    got = {r.k1: (r.b, r[M.ACTION]) for r in M.merge(old, new, KEYS, ignore=("b",)).collect()}
+    assert got == {"x": (2.0, "unchanged"), "y": (1.0, "untouched")}
 
 
 def test_set_upsert_extra_columns(spark):
     old = df(spark, [("x", 1, "a1", 1.0)])
     new = spark.createDataFrame([("x", 1, "extra"), ("q", 9, "e2")], "k1 string, k2 int, c string")
-    for bb in (None, 1 << 20):
-        out = {(r.k1, r.k2): r.asDict() for r in M.set_upsert(old, new, KEYS, broadcast_bytes=bb).collect()}
+    for seq in (None, "c"):
+        out = {(r.k1, r.k2): r.asDict() for r in M.set_upsert(old, new.withColumn("s", F.lit(1)) if seq else new, KEYS, "s" if seq else None).collect()}
         assert out[("x", 1)] == {"k1": "x", "k2": 1, "a": "a1", "b": 1.0, "c": "extra"}
         assert out[("q", 9)] == {"k1": "q", "k2": 9, "a": None, "b": None, "c": "e2"}

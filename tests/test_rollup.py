@@ -39,13 +39,13 @@ def test_grouping_sets_equal_three_scans(spark, sf):
     from tidemark.plans import views as V
 
     t = V.ticks(spark, sf)
-    g = R.all_grains(t)
+    g = R.in_single_precision(R.all_grains(t))
     daily = g.filter("grain = 'daily'").select("Date", "ticker", "avg_open", "avg_close")
     monthly = g.filter("grain = 'monthly'").select("Year", "Month", "ticker", "avg_high", "avg_volume")
     yearly = g.filter("grain = 'yearly'").select("Year", "ticker", "avg_low", "avg_stock_splits")
-    d2 = R.daily_average(t).select("Date", "ticker", "avg_open", "avg_close")
-    m2 = R.monthly_average(t).select("Year", "Month", "ticker", "avg_high", "avg_volume")
-    y2 = R.yearly_average(t).select("Year", "ticker", "avg_low", "avg_stock_splits")
+    d2 = R.in_single_precision(R.daily_average(t)).select("Date", "ticker", "avg_open", "avg_close")
+    m2 = R.in_single_precision(R.monthly_average(t)).select("Year", "Month", "ticker", "avg_high", "avg_volume")
+    y2 = R.in_single_precision(R.yearly_average(t)).select("Year", "ticker", "avg_low", "avg_stock_splits")
     for a, b in ((daily, d2), (monthly, m2), (yearly, y2)):
         assert a.count() == b.count() and a.exceptAll(b).count() == 0
 
@@ -66,13 +66,16 @@ def test_latest_fetch_only(spark):
     assert sorted(r["_id"] for r in out.collect()) == ["x2", "x3"]
 
 
-def test_exact_avg_is_order_independent(spark):
-    vals = [0.1, 0.2, 0.3, 1e6 + 0.7, 3.3333]
-    a = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
-    b = spark.createDataFrame([(v,) for v in reversed(vals)], "x double").coalesce(1)
-    ra = a.agg(R.exact_avg(F.col("x"))).first()[0]
-    rb = b.agg(R.exact_avg(F.col("x"))).first()[0]
-    assert ra == rb
+def test_averages_are_of_the_doubles_as_they_are(spark):
+    vals = [0.1234567, 4e-7, 1.23456789012, 1e14]
+    t = ticks(spark, [("2024-01-02T00:00:00", v, 1, tk) for v, tk in zip(vals, "ABCD", strict=True)])
+    for out in (R.daily_average(t), R.monthly_average(t), R.all_grains(t)):
+        assert {r.ticker: r.avg_open for r in out.collect()} == dict(zip("ABCD", vals, strict=True))
+
+
+def test_unparsable_dates_are_kept_by_latest_fetch(spark):
+    full = [(i, d, 1.0, 1.0, 1.0, 1.0, 1, 0.0, 0.0, "A", "2024-01-02T10:00:00") for i, d in (("x1", "bad"), ("x2", "worse"), ("x3", None))]
+    assert R.latest_fetch_only(spark.createDataFrame(full, TICK)).count() == 3
 
 
 def test_ansi_modes_agree(spark, sf):
@@ -83,20 +86,7 @@ def test_ansi_modes_agree(spark, sf):
     try:
         for mode in ("true", "false"):
             spark.conf.set("spark.sql.ansi.enabled", mode)
-            out.append(sorted(R.all_grains(V.ticks(spark, sf)).collect(), key=str))
+            out.append(sorted(R.in_single_precision(R.all_grains(V.ticks(spark, sf))).collect(), key=str))
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
     assert out[0] == out[1]
-
-
-def test_fixed_point_fallbacks(spark):
-    # out of the fixed-point range (1e14 * 1e6 > 2^63) and an overflowing sum
-    rows = [("2024-01-02T00:00:00", 1e14, 1, "A"), ("2024-01-02T00:00:00", 1.0, 1, "A"),
-            ("2024-01-02T00:00:00", 5e12, 1, "B"), ("2024-01-02T00:00:00", 5e12, 1, "B"),
-            ("2024-01-03T00:00:00", 5e12, 1, "B")]
-    t = ticks(spark, rows)
-    m = {r.ticker: r.avg_open for r in R.monthly_average(t).collect()}
-    assert m == {"A": (1e14 + 1.0) / 2, "B": 5e12}
-    g = {(r.grain, r.ticker): r.avg_open for r in R.all_grains(t).collect() if r.grain != "daily"}
-    assert g[("monthly", "A")] == (1e14 + 1.0) / 2 and g[("monthly", "B")] == 5e12
-    assert g[("yearly", "B")] == 5e12

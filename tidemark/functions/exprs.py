@@ -25,11 +25,37 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: The white space that text is stripped of.
+WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+
+# What a text number looks like; a cast alone would also take the suffixes f and d.
+_NUMBER = r"^[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+(_[0-9]+)*)?$"
+_INFINITE = r"^[+-]?(inf|infinity)$"
+
+
+def strip(x: Column | str) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.btrim(_c(x), F.lit(WHITE_SPACE))
+
+
+def to_double(x: Column | str) -> Column:
+    """Text -> double where the text is a number and nothing else; other types are cast."""
+    x = _c(x)
+    t = strip(x.cast(StringType()))
+    number = F.when(t.rlike(_NUMBER), F.replace(t, F.lit("_"))).when(F.lower(t).rlike(_INFINITE), F.replace(F.lower(t), F.lit("infinity"), F.lit("inf")))
+    return number.try_cast(DoubleType())
+
+
 def num(x: Column | str, dtype: DataType = FACT_NUMBER) -> Column:
     """Text fact -> exact number; NULL when absent, blank or not a number."""
     return _c(x).try_cast(dtype)
 
 
+def not_a_number(x: Column | str) -> Column:
+    """A fact that is there, is not blank, and still does not become a number (text, or beyond the range)."""
+    return ~is_blank(x) & num(x).isNull()
+
+
 def part(x: Column | str) -> Column:
     """One term of a null-aware sum: absent counts as 0, present is parsed."""
     x = _c(x)
@@ -40,10 +66,6 @@ def any_present(*cols: Column | str) -> Column:
     return reduce(lambda a, b: a | b, [_c(c).isNotNull() for c in cols])
 
 
-def all_present(*cols: Column | str) -> Column:
-    return reduce(lambda a, b: a & b, [_c(c).isNotNull() for c in cols])
-
-
 def sum_if_any(*cols: Column | str) -> Column:
     """NULL when every input is absent, else the sum with absent as 0.
 
@@ -84,19 +106,23 @@ def money(x: Column | str) -> Column:
 
 def safe_float(x: Column | str, default: float = 0.0) -> Column:
     """NULL, NaN, 'nan', 'none', blank or unparseable -> default."""
-    x = _c(x)
-    as_double = x.try_cast(DoubleType())
-    return F.coalesce(F.nanvl(as_double, F.lit(default)), F.lit(default)).cast(DoubleType())
+    return F.coalesce(F.nanvl(to_double(x), F.lit(default)), F.lit(default)).cast(DoubleType())
 
 
 def safe_int(x: Column | str, default: int = 0) -> Column:
     """Parse through a double, truncate toward zero, default on failure."""
-    as_double = _c(x).try_cast(DoubleType())
-    # NaN and values beyond the long range have no integer: default.
+    as_double = to_double(x)
+    # NaN and values beyond the long range have no integer: default (`beyond_long` tells them).
     truncated = F.when(F.isnan(as_double), F.lit(None)).otherwise(as_double.try_cast(LongType()))
     return F.coalesce(truncated, F.lit(default).cast(LongType()))
 
 
+def beyond_long(x: Column | str) -> Column:
+    """A number that `safe_int` cannot hold, to be counted or flagged."""
+    as_double = to_double(x)
+    return F.coalesce(~F.isnan(as_double) & as_double.try_cast(LongType()).isNull(), F.lit(False))
+
+
 def with_default_column(df, name: str, default: float = 0.0):
     """P10: add an absent optional column, or fill its NULLs, with a default."""
     if name in df.columns:
@@ -124,5 +150,5 @@ def canonical_order(df, ordered: list[str]):
 
 
 def is_blank(x: Column | str) -> Column:
-    """NULL or only whitespace."""
-    return F.coalesce(F.trim(_c(x).cast(StringType())) == F.lit(""), F.lit(True))
+    """NULL or only white space."""
+    return F.coalesce(strip(_c(x).cast(StringType())) == F.lit(""), F.lit(True))

@@ -1,24 +1,32 @@
-"""The four scheduled steps of the original ETL, composed from the operators.
+"""The scheduled steps of the original ETL, composed from the operators.
 
-Each step takes paths (any Hadoop file system) and a format instead of
-database URIs, reads with explicit schemas, and writes a NEW output path; a
-merge never overwrites the target it reads. Steps return small summaries
-(row counts, merge outcomes) computed by Spark, never the data.
+Each step takes paths (any Hadoop file system) instead of database URIs, reads
+with explicit schemas, and returns small summaries (row counts, merge outcomes)
+counted while the data are written, never the data.
+
+Stores of filings and sector rows are partitioned by (`tahun`, `triwulan`),
+those of monthly and yearly averages by `Year`. A load folds its batch once,
+reads the target's partitions that the batch touches and no others, merges, and
+overwrites just those partitions. The daily store is appended to.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from tidemark.functions.exprs import canonical_order
+from tidemark.functions.periods import latest_closed_period_of
 from tidemark.operators import merge as M
 from tidemark.operators import rollup as R
 from tidemark.operators import sectors as S
 from tidemark.schemas import (
     AVG_COLUMNS,
     DAILY_AGG,
-    DAILY_KEYS,
+    FILING_KEYS,
     MONTHLY_AGG,
     MONTHLY_KEYS,
     SECTOR_COLUMNS,
@@ -27,46 +35,137 @@ from tidemark.schemas import (
     YEARLY_AGG,
     YEARLY_KEYS,
 )
+from tidemark.session import scratch_path
 from tidemark.sinks import writers as W
 from tidemark.sources import staged as ST
-from tidemark.sources.ticks import read_ticks
+from tidemark.sources import xbrl as XB
+from tidemark.sources.ticks import frame_to_ticks, read_ticks
+
+PERIOD = ["tahun", "triwulan"]
+STAMP = "load_timestamp"
+
+
+def period_filter(as_of: date | None) -> Column:
+    """Rows of the latest closed period of a day; all rows without one."""
+    if as_of is None:
+        return F.lit(True)
+    year, quarter = latest_closed_period_of(as_of)
+    return (F.col("tahun") == str(year)) & (F.col("triwulan") == f"TW{quarter}")
+
+
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _touched(batch: DataFrame, by: list[str]) -> Column:
+    """A static filter on the partitions of the batch (a few periods, not rows)."""
+    groups = batch.select(*by).distinct().collect()
+    out = F.lit(False)
+    for g in groups:
+        one = F.lit(True)
+        for c in by:
+            one = one & F.col(c).eqNullSafe(F.lit(g[c]))
+        out = out | one
+    return out
+
+
+def merge_into(batch: DataFrame, target_path: str, schema: StructType, keys: list[str], by: list[str], mode: str,
+               null_safe: bool = False, ignore: tuple[str, ...] = ()) -> dict:
+    """Merge a batch into a partitioned Parquet target; returns outcomes per key of the partitions touched."""
+    spark = batch.sparkSession
+    fold = M.set_fold if mode == "set" else M.last_write_wins
+    batch = _staged(fold(batch, keys, None), "batch")
+    if ST.exists(spark, target_path):
+        target = spark.read.schema(schema).parquet(target_path).filter(_touched(batch, by))
+    else:
+        target = spark.createDataFrame([], schema)
+    seen = Observation()
+    merged = M.merge(target, batch, keys, mode, None, null_safe, ignore)
+    actions = ["inserted", "updated", "unchanged", "untouched"]
+    merged = merged.observe(seen, *[F.count(F.when(F.col(M.ACTION) == a, 1)).alias(a) for a in actions]).drop(M.ACTION)
+    # A path cannot be overwritten while it is read, so the slice goes through the shared folder.
+    ready = _staged(canonical_order(merged, schema.fieldNames()), "merged")
+    ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(target_path)
+    return {a: n for a, n in seen.get.items() if n}
+
+
+def ingest_filings(spark: SparkSession, archives_path: str, filings_path: str, status_path: str | None = None, as_of: date | None = None) -> dict:
+    """Archives `<tahun>/<triwulan>/<ticker>/*.zip` -> facts -> documents in the promoted layout -> replace-upsert.
+
+    Every archive gets a status; those without a readable instance are kept
+    from the store and told apart in the returned counts (and in
+    `status_path`). A period limits the files that are read at all.
+    """
+    where = "*/*/*"
+    if as_of is not None:
+        year, quarter = latest_closed_period_of(as_of)
+        where = f"{year}/TW{quarter}/*"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(f"{archives_path.rstrip('/')}/{where}")
+    parts = F.split(F.col("path"), "/")
+    named = files.select(F.element_at(parts, -2).alias("ticker"), F.element_at(parts, -4).alias("tahun"), F.element_at(parts, -3).alias("triwulan"), "content")
+    members = XB.archive_members(named).withColumnRenamed("status", "archive_status").withColumnRenamed("error", "archive_error")
+    parsed = _staged(XB.parse_facts(members.drop("member")), "parsed")
+    status = parsed.select(*FILING_KEYS, F.when(F.col("archive_status") == "ok", F.col("status")).otherwise(F.col("archive_status")).alias("status"), F.coalesce("archive_error", "error").alias("error"))
+    if status_path:
+        status.write.mode("append").parquet(status_path)
+    documents = XB.filing_documents(parsed.withColumn("quarter", F.expr("substring(triwulan, 3)")), quarter="quarter")
+    promoted = S.promote_rule_facts(documents).drop("facts", "file_info", "processed_date")
+    out = merge_into(promoted, filings_path, promoted.schema, FILING_KEYS, PERIOD, "replace")
+    return {**out, **{f"status_{r['status']}": r["count"] for r in status.groupBy("status").count().collect()}}
+
+
+def ingest_prices(spark: SparkSession, frame: DataFrame, ticks_path: str) -> dict:
+    """A downloaded pricing frame -> ticks with ids -> appended."""
+    ticks, seen = W.counted(frame_to_ticks(frame))
+    W.append(ticks, ticks_path, fmt="json")
+    return {"appended": seen.get["rows"]}
 
 
 def transform_filings(spark: SparkSession, filings_path: str, out_path: str, fmt: str = "json",
-                      single_file: bool = False, on_empty: str = "skip") -> dict:
-    """Filing documents -> sector rows, sorted by `emiten`, staged as JSON lines.
+                      single_file: bool = False, on_empty: str = "skip", as_of: date | None = None) -> dict:
+    """Filing documents (of one period) -> sector rows, sorted by `emiten`, staged as JSON lines.
 
     Filings already in the promoted layout (`rule_facts`, `fmt="parquet"`)
-    are read without the map. Returns the written row count and the number
-    of filings dropped for a NULL sector.
+    are read without the map. The rules run once, over the period's filings;
+    rows and filings dropped for a NULL sector are counted as they are written.
     """
     filings = spark.read.parquet(filings_path) if fmt == "parquet" else ST.read_filings(spark, filings_path, fmt)
+    filings = filings.filter(period_filter(as_of))
     if not W.guard_empty(filings, on_empty):
         return {"rows": 0, "null_sector": 0}
-    dropped = S.dropped_null_sector(filings).count()
-    n = W.write_json_sorted(S.sector_rows(filings), out_path, by="emiten", single_file=single_file,
-                            count_rows=True)
-    return {"rows": n, "null_sector": dropped}
+    seen = Observation()
+    null_sector = F.col("sector").isNull() if "sector" in filings.columns else S.fact(S.SECTOR_KEY).isNull()
+    rows, written = W.counted(S.sector_rows(filings.observe(seen, F.count(F.when(null_sector, 1)).alias("null_sector"))))
+    rows = _staged(rows, "sector-rows")
+    W.write_json_sorted(rows, out_path, by="emiten", single_file=single_file)
+    return {"rows": written.get["rows"], "null_sector": seen.get["null_sector"]}
 
 
-def load_sector_rows(spark: SparkSession, staged_path: str, target_path: str | None, new_target_path: str) -> dict:
-    """Staged sector rows -> `$set` upsert into the target -> new target version.
+def load_sector_rows(spark: SparkSession, staged_path: str, target_path: str, as_of: date | None = None) -> dict:
+    """Staged sector rows -> `$set` upsert into the target, partitioned by period.
 
-    Records without `emiten`, `tahun` or `triwulan` are skipped (F8); fields
-    are written in the standard order (P14). Returns merge outcome counts.
+    Records without `emiten`, `tahun` or `triwulan` are skipped (F8); several
+    records of a key are folded in the order of reading; fields are written in
+    the standard order (P14). Returns merge outcome counts.
     """
     incoming = M.required_keys(ST.read_staged_json(spark, staged_path, SECTOR_ROW, strict=True), SECTOR_KEYS)
-    target = ST.read_staged_parquet(spark, target_path, SECTOR_ROW) if target_path else None
-    if target is None:
-        target = spark.createDataFrame([], SECTOR_ROW)
-    outcomes = {r.action: r.n for r in M.merge_outcomes(target, incoming, SECTOR_KEYS, mode="set").collect()}
-    merged = canonical_order(M.set_upsert(target, incoming, SECTOR_KEYS), SECTOR_COLUMNS)
-    W.write_parquet(merged, new_target_path)
-    return outcomes
+    return merge_into(incoming.filter(period_filter(as_of)), target_path, SECTOR_ROW, SECTOR_KEYS, PERIOD, "set")
+
+
+def load_single_job(spark: SparkSession, staged_parquet: str, collection_path: str) -> dict:
+    """The older single-job load: the Parquet hand-off, sorted, overwrites the collection."""
+    rows = ST.read_staged_parquet(spark, staged_parquet)
+    if rows is None or not W.guard_empty(rows):
+        return {"rows": 0}
+    rows, seen = W.counted(canonical_order(rows, SECTOR_COLUMNS))
+    W.write_collection(_staged(rows, "collection"), collection_path)
+    return {"rows": seen.get["rows"]}
 
 
 def transform_prices(spark: SparkSession, ticks_path: str, out_base: str, fmt: str = "json",
-                     on_empty: str = "fail") -> dict:
+                     on_empty: str = "fail", latest_fetch: bool = False) -> dict:
     """Ticks -> daily, monthly and yearly averages, staged as JSON folders.
 
     One scan of the ticks (grouping sets over daily partials); the small
@@ -75,6 +174,8 @@ def transform_prices(spark: SparkSession, ticks_path: str, out_base: str, fmt: s
     ticks = read_ticks(spark, ticks_path, fmt)
     if not W.guard_empty(ticks, on_empty):
         return {}
+    if latest_fetch:  # Q9: one tick per day and ticker
+        ticks = R.latest_fetch_only(ticks)
     grains = R.all_grains(ticks).persist()
     try:
         daily = grains.filter(F.col("grain") == "daily").select(
@@ -91,34 +192,32 @@ def transform_prices(spark: SparkSession, ticks_path: str, out_base: str, fmt: s
     return counts
 
 
-def load_prices(spark: SparkSession, staged_base: str, targets: dict[str, str | None],
-                new_targets: dict[str, str]) -> dict:
+def load_prices(spark: SparkSession, staged_base: str, targets: dict[str, str], upsert_daily: bool = False) -> dict:
     """Staged aggregates -> targets: daily appended, monthly / yearly replace-upserted.
 
-    `targets` maps 'daily' / 'monthly' / 'yearly' to the current target path
-    (or None); `new_targets` to the path of the new version. Monthly and
-    yearly keys match NULL to NULL. Returns outcome counts per kind.
+    `targets` maps 'daily' / 'monthly' / 'yearly' to the target path. Only
+    loaded rows get the load time; stored rows keep theirs. Lines that are not
+    JSON records are dropped and counted. `upsert_daily` (Q10) replaces daily
+    rows by key instead of appending. Monthly and yearly keys match NULL to NULL.
     """
     base = staged_base.rstrip("/")
-    schemas = {"daily": DAILY_AGG, "monthly": MONTHLY_AGG, "yearly": YEARLY_AGG}
-    keys = {"daily": DAILY_KEYS, "monthly": MONTHLY_KEYS, "yearly": YEARLY_KEYS}
+    kinds = {"daily": (DAILY_AGG, ["Date", "ticker"]), "monthly": (MONTHLY_AGG, MONTHLY_KEYS), "yearly": (YEARLY_AGG, YEARLY_KEYS)}
     out: dict[str, dict] = {}
-    for kind in ("daily", "monthly", "yearly"):
+    for kind, (schema, keys) in kinds.items():
         folder = f"{base}/{kind}_aggregation"
         if not ST.exists(spark, folder):
             continue
-        incoming = ST.read_staged_json(spark, folder, schemas[kind], strict=False)
-        incoming = incoming.withColumn("aggregation_type", F.lit(f"{kind}_aggregation"))
-        cur = targets.get(kind)
-        target: DataFrame | None = spark.read.parquet(cur) if cur and ST.exists(spark, cur) else None
-        if kind == "daily":
-            merged = incoming if target is None else M.append(target, incoming)
-            out[kind] = {"appended": incoming.count()}
+        incoming = ST.read_staged_json(spark, folder, schema, strict=False)
+        incoming = incoming.withColumn("aggregation_type", F.lit(f"{kind}_aggregation")).withColumn(STAMP, F.current_timestamp())
+        stored = StructType([*schema.fields, StructField("aggregation_type", StringType()), StructField(STAMP, TimestampType())])
+        if kind == "daily" and not upsert_daily:
+            rows, seen = W.counted(incoming)
+            W.append(rows, targets[kind])
+            out[kind] = {"appended": seen.get["rows"]}
+        elif kind == "daily":
+            incoming = incoming.withColumn("Year", F.substring("Date", 1, 4))
+            out[kind] = merge_into(incoming, targets[kind], StructType([*stored.fields, StructField("Year", StringType())]), keys, ["Year"], "replace", True, (STAMP,))
         else:
-            if target is None:
-                target = spark.createDataFrame([], incoming.schema)
-            out[kind] = {r.action: r.n for r in M.merge_outcomes(target, incoming, keys[kind],
-                                                                 null_safe=True).collect()}
-            merged = M.replace_upsert(target, incoming, keys[kind], null_safe=True)
-        merged.withColumn("load_timestamp", F.current_timestamp()).write.mode("overwrite").parquet(new_targets[kind])
+            out[kind] = merge_into(incoming, targets[kind], stored, keys, ["Year"], "replace", True, (STAMP,))
+        out[kind]["rejected"] = ST.count_malformed(spark, folder, schema).first()["malformed"]
     return out

@@ -1,17 +1,16 @@
 """Keyed merges as Spark joins and aggregates.
 
-Plain Parquet has no MERGE INTO, so a merge is a new version of the target:
-`replace_upsert` and `set_upsert` return the merged DataFrame; the caller
-writes it to a NEW path (never over the path it is reading) and swaps.
+Plain Parquet has no MERGE INTO, so a merge is a new version of (a slice of) the
+target: `replace_upsert` and `set_upsert` return the merged DataFrame and write
+nothing. The jobs restrict the target to the partitions that a batch touches.
 
-* In-batch order: Spark rows have no order, so the caller names a `seq`
-  column (file position, fetch time, ...). "Last write wins" is a `max_by`
+* In-batch order: the batch is always folded to one row per key first, in the
+  order of a `seq` column, or, without one, in the order in which Spark reads
+  the rows. A NULL order value is an error. "Last write wins" is a `max_by`
   aggregate, which combines map-side: a hot key that holds a third of the
-  batch is reduced inside every task before the shuffle, never gathered
-  whole in one task as a window over the key would be.
-* Broadcast: the incoming keys are broadcast into the anti join only after
-  an exact size check (one pass over the key columns of the incoming batch);
-  above the limit the join shuffles both sides.
+  batch is reduced inside every task before the shuffle.
+* Each merge is one join of the target with the folded batch; nothing runs while
+  the plan is built, and adaptive execution picks the join from real sizes.
 * NULL keys: `null_safe=True` matches NULL to NULL (`<=>`), the way a
   document store matches a null filter; grouping always treats NULLs as one
   key.
@@ -23,8 +22,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+ACTION = "_action"
+_ORDER = "_order"
 
 
 def _q(name: str) -> Column:
@@ -35,22 +36,34 @@ def _others(df: DataFrame, keys: list[str], drop: list[str] = ()) -> list[str]:
     return [c for c in df.columns if c not in keys and c not in drop]
 
 
-def last_write_wins(batch: DataFrame, keys: list[str], seq: str = "seq", keep_seq: bool = False) -> DataFrame:
+def _ordered(batch: DataFrame, seq: str | None) -> tuple[DataFrame, Column]:
+    """The batch and its order column; without `seq` the order of reading."""
+    if seq is None:
+        return batch.withColumn(_ORDER, F.monotonically_increasing_id()), F.col(_ORDER)
+    checked = F.when(_q(seq).isNull(), F.raise_error(F.lit(f"{seq} is NULL: the order of the batch is not known"))).otherwise(_q(seq))
+    return batch, checked
+
+
+def last_write_wins(batch: DataFrame, keys: list[str], seq: str | None = "seq", keep_seq: bool = False) -> DataFrame:
     """M5 (replace): one row per key, the row with the greatest `seq`."""
     rest = _others(batch, keys, [] if keep_seq else [seq])
-    payload = F.struct(*[_q(c) for c in rest]) if rest else F.lit(None)
-    out = batch.groupBy(*[_q(k) for k in keys]).agg(F.max_by(payload, _q(seq)).alias("_row"))
+    ordered, order = _ordered(batch, seq)
+    payload = F.struct(*[_q(c) for c in rest]) if rest else F.struct(F.lit(0).alias("none"))
+    out = ordered.groupBy(*[_q(k) for k in keys]).agg(F.max_by(payload, order).alias("_row"))
     return out.select(*[_q(k) for k in keys], *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def set_fold(batch: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
+def set_fold(batch: DataFrame, keys: list[str], seq: str | None = "seq") -> DataFrame:
     """M5 ($set): per key and per column, the latest non-NULL value.
 
     A later row's NULL (an absent field) does not erase an earlier value.
     """
     rest = _others(batch, keys, [seq])
-    return batch.groupBy(*[_q(k) for k in keys]).agg(
-        *[F.max_by(_q(c), F.when(_q(c).isNotNull(), _q(seq))).alias(c) for c in rest]
+    ordered, order = _ordered(batch, seq)
+    if not rest:
+        return ordered.select(*[_q(k) for k in keys]).distinct()
+    return ordered.groupBy(*[_q(k) for k in keys]).agg(
+        *[F.max_by(_q(c), F.when(_q(c).isNotNull(), order)).alias(c) for c in rest]
     )
 
 
@@ -59,40 +72,6 @@ def required_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.na.drop(how="any", subset=keys)
 
 
-def _key_bytes(keys_df: DataFrame, keys: list[str]) -> int:
-    """Exact upper bound of the key columns' size, from one aggregate pass."""
-    lens = [F.coalesce(F.octet_length(_q(k).cast("string")), F.lit(0)) for k in keys]
-    row = keys_df.agg(F.count(F.lit(1)).alias("n"), F.sum(reduce(lambda a, b: a + b, lens)).alias("b")).first()
-    n, b = row["n"] or 0, row["b"] or 0
-    return int(b) + 16 * len(keys) * int(n)
-
-
-def _row_bytes(df: DataFrame) -> int:
-    """Exact upper bound of a (small) DataFrame's size, from one aggregate pass.
-
-    Text and binary columns count their bytes, nested ones the bytes of their
-    JSON text, other columns 8 (16 for decimals), plus 16 bytes of overhead
-    per column.
-    """
-    from pyspark.sql.types import ArrayType, BinaryType, DecimalType, MapType, StringType, StructType
-
-    parts, fixed = [], 0
-    for f in df.schema.fields:
-        t = f.dataType
-        if isinstance(t, (StringType, BinaryType)):
-            parts.append(F.coalesce(F.octet_length(_q(f.name)), F.lit(0)))
-        elif isinstance(t, (ArrayType, MapType, StructType)):
-            parts.append(F.coalesce(F.octet_length(F.to_json(_q(f.name))), F.lit(0)))
-        elif isinstance(t, DecimalType):
-            fixed += 16
-        else:
-            fixed += 8
-    width = reduce(lambda a, b: a + b, parts) if parts else F.lit(0)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
-    n, b = int(row["n"] or 0), int(row["b"] or 0)
-    return b + n * (fixed + 16 * len(df.columns))
-
-
 def _key_match(left: str, right: str, keys: list[str], null_safe: bool) -> Column:
     """Join condition between two aliased sides, by alias (lineage-safe)."""
     conds = []
@@ -102,114 +81,64 @@ def _key_match(left: str, right: str, keys: list[str], null_safe: bool) -> Colum
     return reduce(lambda a, b: a & b, conds)
 
 
-def replace_upsert(
-    target: DataFrame,
-    incoming: DataFrame,
-    keys: list[str],
-    seq: str | None = None,
-    null_safe: bool = False,
-    broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
-) -> DataFrame:
+def merge(target: DataFrame, incoming: DataFrame, keys: list[str], mode: str = "replace", seq: str | None = None,
+          null_safe: bool = False, ignore: tuple[str, ...] = ()) -> DataFrame:
+    """The merged rows and what became of each key, from one join.
+
+    `mode` is "replace" (M1, M3, M4: an incoming row replaces the whole row) or
+    "set" (M2: a field absent (NULL) in the incoming row keeps the old value).
+    Column `_action` is `inserted`, `updated` (a value changes), `unchanged`, or
+    `untouched` (the key is not in the batch). Columns in `ignore`, such as a
+    load time, are merged but do not make a row `updated`.
+    """
+    new = (last_write_wins if mode == "replace" else set_fold)(incoming, keys, seq)
+    cols = list(dict.fromkeys(target.columns + new.columns))
+    o = target.withColumn("_o_hit", F.lit(1)).alias("_o")
+    n = new.withColumn("_n_hit", F.lit(1)).alias("_n")
+    old_there, new_there = F.col("_o_hit").isNotNull(), F.col("_n_hit").isNotNull()
+    out, diffs = [], []
+    for c in cols:
+        was = F.col(f"_o.`{c}`") if c in target.columns else F.lit(None).cast(new.schema[c].dataType)
+        now = F.col(f"_n.`{c}`") if c in new.columns else F.lit(None).cast(target.schema[c].dataType)
+        value = F.when(new_there, now).otherwise(was) if mode == "replace" else F.coalesce(now, was)
+        if c in keys:
+            value = F.when(new_there, now).otherwise(was)
+        elif c not in ignore and c in new.columns:
+            same = F.to_json(now).eqNullSafe(F.to_json(was)) if isinstance(new.schema[c].dataType, MapType) else now.eqNullSafe(was)
+            diffs.append(~same & (now.isNotNull() | F.lit(mode == "replace")))
+        elif c not in ignore and mode == "replace":
+            diffs.append(was.isNotNull())
+        out.append(value.alias(c))
+    any_diff = reduce(lambda a, b: a | b, diffs) if diffs else F.lit(False)
+    action = F.when(~old_there, "inserted").when(~new_there, "untouched").when(any_diff, "updated").otherwise("unchanged")
+    return o.join(n, _key_match("_o", "_n", keys, null_safe), "full_outer").select(*out, action.alias(ACTION))
+
+
+def replace_upsert(target: DataFrame, incoming: DataFrame, keys: list[str], seq: str | None = None, null_safe: bool = False) -> DataFrame:
     """M1 / M3 / M4: each incoming row replaces the whole target row of its key.
 
     Fields absent from the incoming row are NULL afterwards (replace, not
     update). Target rows whose key is not incoming are kept as they are.
     """
-    new = last_write_wins(incoming, keys, seq) if seq else incoming
-    new_keys = new.select(*[_q(k) for k in keys])
-    if broadcast_bytes is not None and _key_bytes(new_keys, keys) <= broadcast_bytes:
-        new_keys = F.broadcast(new_keys)
-    kept = target.alias("_o").join(new_keys.alias("_n"), _key_match("_o", "_n", keys, null_safe), "left_anti")
+    new = last_write_wins(incoming, keys, seq)
+    kept = target.alias("_o").join(new.select(*[_q(k) for k in keys]).alias("_n"), _key_match("_o", "_n", keys, null_safe), "left_anti")
     return kept.select(*[_q(c) for c in target.columns]).unionByName(new, allowMissingColumns=True)
 
 
-def set_upsert(
-    target: DataFrame,
-    incoming: DataFrame,
-    keys: list[str],
-    seq: str | None = None,
-    null_safe: bool = False,
-    broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
-) -> DataFrame:
-    """M2: `$set` upsert; a field absent (NULL) in the incoming row keeps the old value.
-
-    Small batch (its exact size checked against `broadcast_bytes`): the
-    target streams through a left join with the broadcast batch (matched
-    keys take each incoming non-NULL field, other rows pass unchanged) and
-    new keys are the batch rows without a partner in a key-only semi join of
-    the target, so the target is never shuffled. Otherwise: one full outer
-    join on the keys, both sides shuffled once.
-    """
-    new = set_fold(incoming, keys, seq) if seq else incoming
-    cols = list(dict.fromkeys(target.columns + new.columns))
+def set_upsert(target: DataFrame, incoming: DataFrame, keys: list[str], seq: str | None = None, null_safe: bool = False) -> DataFrame:
+    """M2: `$set` upsert; a field absent (NULL) in the incoming row keeps the old value."""
+    return merge(target, incoming, keys, "set", seq, null_safe).drop(ACTION)
+
+
+def merge_outcomes(target: DataFrame, incoming: DataFrame, keys: list[str], mode: str = "replace", null_safe: bool = False,
+                   seq: str | None = None, ignore: tuple[str, ...] = ()) -> DataFrame:
+    """What a merge does to each key, as counts per action (see `merge`).
 
-    def merged(o_alias: str, n_alias: str) -> list[Column]:
-        out = []
-        for c in cols:
-            in_o, in_n = c in target.columns, c in new.columns
-            if in_o and in_n:
-                out.append(F.coalesce(F.col(f"{n_alias}.`{c}`"), F.col(f"{o_alias}.`{c}`")).alias(c))
-            elif in_n:
-                out.append(F.col(f"{n_alias}.`{c}`").alias(c))
-            else:
-                out.append(F.col(f"{o_alias}.`{c}`").alias(c))
-        return out
-
-    if broadcast_bytes is not None and _row_bytes(new) <= broadcast_bytes:
-        b = F.broadcast(new).alias("_n")
-        kept = target.alias("_o").join(b, _key_match("_o", "_n", keys, null_safe), "left") \
-            .select(*merged("_o", "_n"))
-        hit_keys = target.select(*[_q(k) for k in keys]).alias("_o").join(
-            F.broadcast(new.select(*[_q(k) for k in keys])).alias("_n"),
-            _key_match("_o", "_n", keys, null_safe), "left_semi")
-        # hit_keys holds at most the batch's keys: within the checked bound.
-        inserts = new.alias("_n").join(F.broadcast(hit_keys).alias("_o"), _key_match("_n", "_o", keys, null_safe),
-                                       "left_anti")
-        inserted = inserts.select(*[
-            _q(c) if c in new.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in cols])
-        return kept.unionByName(inserted)
-
-    o, n = target.alias("_o"), new.alias("_n")
-    j = o.join(n, _key_match("_o", "_n", keys, null_safe), "full_outer")
-    return j.select(*merged("_o", "_n"))
-
-
-def merge_outcomes(
-    target: DataFrame,
-    incoming: DataFrame,
-    keys: list[str],
-    mode: str = "replace",
-    null_safe: bool = False,
-) -> DataFrame:
-    """What a merge does to each key, as counts per action.
-
-    Actions: `inserted` (new key), `updated` (key exists and a value
-    changes), `unchanged` (key exists, nothing changes), `untouched` (target
-    key not in the batch). In `set` mode only the incoming non-NULL fields are
-    compared; in `replace` mode every incoming column is.
+    In `set` mode only the incoming non-NULL fields are compared; in `replace`
+    mode every column is.
     """
-    o_present = F.col("_o_hit").isNotNull()
-    n_present = F.col("_n_hit").isNotNull()
-    diffs = []
-    for c in _others(incoming, keys):
-        if c not in target.columns:
-            changed = F.col(f"_n.`{c}`").isNotNull()
-        else:
-            changed = ~F.col(f"_n.`{c}`").eqNullSafe(F.col(f"_o.`{c}`"))
-            if mode == "set":
-                changed = F.col(f"_n.`{c}`").isNotNull() & changed
-        diffs.append(changed)
-    any_diff = reduce(lambda a, b: a | b, diffs) if diffs else F.lit(False)
-    action = (
-        F.when(~o_present, F.lit("inserted"))
-        .when(~n_present, F.lit("untouched"))
-        .when(any_diff, F.lit("updated"))
-        .otherwise(F.lit("unchanged"))
-    )
-    o2 = target.withColumn("_o_hit", F.lit(1)).alias("_o")
-    n2 = incoming.withColumn("_n_hit", F.lit(1)).alias("_n")
-    j = o2.join(n2, _key_match("_o", "_n", keys, null_safe), "full_outer")
-    return j.groupBy(action.alias("action")).agg(F.count(F.lit(1)).alias("n"))
+    merged = merge(target, incoming, keys, mode, seq, null_safe, ignore)
+    return merged.groupBy(F.col(ACTION).alias("action")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def append(target: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -1,67 +1,36 @@
 """Price roll-ups: daily, monthly and yearly averages per ticker (A1-A4).
 
-Averages are of raw ticks, never of daily averages. Each measure is
-accumulated in fixed point: the value in micro-units (x * 10^6, rounded to
-the nearest integer) is summed as a 64-bit integer, so the sum is exact and
-the result is the same however Spark splits and orders the rows across tasks
-(a double sum is not). The average is `double(sum) / 10^6 / count`. A group
-falls back to the IEEE average (`avg`) when the fixed-point path cannot be
-exact: a NaN or infinite value (which then poisons the group, as with
-`avg`), a value beyond the fixed-point range, or an overflowing sum.
-Long sums stay inside the hash aggregate's fixed-width buffers, so this
-costs little more than `avg` (a decimal(38) sum costs about three times).
+Averages are of raw ticks, never of daily averages, and of the doubles as they
+are: a plain sum and count per group, which combine map-side, so a hot ticker
+is reduced in every task before the shuffle.
 
 All three grains can come from one scan: the ticks are first reduced to one
-row of partial sums per day and ticker (partial aggregation happens
-map-side, so a hot ticker is pre-combined in every task before the
-shuffle), and the monthly and yearly grains are re-aggregated from those
-partials, which are orders of magnitude smaller than the ticks.
+row of sums and counts per day and ticker, and the monthly and yearly grains
+are re-aggregated from those partials, which are orders of magnitude smaller
+than the ticks.
+
+As with any sum of doubles, the last bit of a result may depend on the order in
+which tasks finish. Callers that compare results should compare them at a lower
+precision (`in_single_precision`).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType
+from pyspark.sql.types import DoubleType
 
 from tidemark.functions.periods import iso_to_date, month_of, year_of
-from tidemark.schemas import DAILY_KEYS, MEASURES, MONTHLY_KEYS, YEARLY_KEYS
-
-# Fixed-point accumulator: micro-units in a 64-bit integer.
-SCALE = 6
-FACTOR = 10.0**SCALE
+from tidemark.schemas import AVG_COLUMNS, DAILY_KEYS, MEASURES, MONTHLY_KEYS, YEARLY_KEYS
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _not_finite(x: Column) -> Column:
-    d = x.cast(DoubleType())
-    return F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
-
-
-def fixed_point(x: Column) -> Column:
-    """Value in micro-units as a long; NULL when absent or out of range."""
-    return F.rint(x.cast(DoubleType()) * F.lit(FACTOR)).try_cast(LongType())
-
-
-def _needs_ieee(x: Column, fx: Column) -> Column:
-    """Row flag: the value cannot take the fixed-point path (non-finite or out of range)."""
-    return _not_finite(x) | (x.isNotNull() & fx.isNull())
-
-
-def _from_parts(total: Column, n: Column, ieee_total: Column, bad: Column) -> Column:
-    exact_ok = total.isNotNull() & ~bad
-    exact = total.cast(DoubleType()) / F.lit(FACTOR) / n
-    return F.when(n == 0, F.lit(None).cast(DoubleType())).when(exact_ok, exact).otherwise(ieee_total / n)
-
-
-def exact_avg(x: Column) -> Column:
-    """Order-independent average of one measure (see module doc)."""
-    fx = fixed_point(x)
-    return _from_parts(F.try_sum(fx), F.count(x), F.sum(x.cast(DoubleType())),
-                       F.coalesce(F.max(_needs_ieee(x, fx)), F.lit(False)))
+def in_single_precision(df: DataFrame) -> DataFrame:
+    """The average columns in single precision, at which runs agree."""
+    return df.withColumns({c: F.col(c).cast("float") for c in AVG_COLUMNS if c in df.columns})
 
 
 def with_periods(ticks: DataFrame) -> DataFrame:
@@ -77,7 +46,7 @@ def with_periods(ticks: DataFrame) -> DataFrame:
 def average_by(ticks: DataFrame, keys: list[str]) -> DataFrame:
     """A1-A4 for any key list; `ticks` must already carry the key columns."""
     return ticks.groupBy(*[_q(k) for k in keys]).agg(
-        *[exact_avg(_q(src)).alias(out) for src, out in MEASURES]
+        *[F.avg(_q(src).cast(DoubleType())).alias(out) for src, out in MEASURES]
     )
 
 
@@ -97,17 +66,11 @@ def yearly_average(ticks: DataFrame) -> DataFrame:
 
 
 def daily_partials(ticks: DataFrame) -> DataFrame:
-    """One row per (Date, ticker): fixed-point sums, counts, IEEE sums, fallback flags."""
+    """One row per (Date, ticker): sum and count of every measure."""
     aggs = []
     for i, (src, _) in enumerate(MEASURES):
-        x = _q(src)
-        fx = fixed_point(x)
-        aggs += [
-            F.try_sum(fx).alias(f"s{i}"),
-            F.count(x).alias(f"n{i}"),
-            F.sum(x.cast(DoubleType())).alias(f"d{i}"),
-            F.coalesce(F.max(_needs_ieee(x, fx)), F.lit(False)).alias(f"f{i}"),
-        ]
+        x = _q(src).cast(DoubleType())
+        aggs += [F.sum(x).alias(f"s{i}"), F.count(x).alias(f"n{i}")]
     t = with_periods(ticks)
     return t.groupBy("Date", "Year", "Month", "ticker").agg(*aggs)
 
@@ -118,18 +81,11 @@ def all_grains(ticks: DataFrame) -> DataFrame:
     Columns: `grain` ('daily' | 'monthly' | 'yearly'), `Date`, `Year`,
     `Month`, `ticker`, then the seven averages. Keys that do not belong to a
     grain are NULL. Grouping sets run over the daily partials, so the ticks
-    are read and shuffled once. A daily partial whose sum overflowed is NULL
-    and sends every grain above it to the IEEE path.
+    are read and shuffled once.
     """
     p = daily_partials(ticks)
-    aggs = []
-    for i, (_, out) in enumerate(MEASURES):
-        # A daily sum that overflowed is NULL although the day has values.
-        overflowed = F.max(F.col(f"s{i}").isNull() & (F.col(f"n{i}") > 0) & ~F.col(f"f{i}"))
-        aggs.append(
-            _from_parts(F.try_sum(f"s{i}"), F.sum(f"n{i}"), F.sum(f"d{i}"),
-                        F.max(f"f{i}") | overflowed).alias(out)
-        )
+    # A group without a value has count 0 and a NULL sum: its average is NULL.
+    aggs = [(F.sum(f"s{i}") / F.nullif(F.sum(f"n{i}"), F.lit(0))).alias(out) for i, (_, out) in enumerate(MEASURES)]
     g = p.groupingSets(
         [[F.col("Date"), F.col("ticker")],
          [F.col("Year"), F.col("Month"), F.col("ticker")],
@@ -148,15 +104,18 @@ def all_grains(ticks: DataFrame) -> DataFrame:
 def latest_fetch_only(ticks: DataFrame) -> DataFrame:
     """Q9 option: keep one tick per (Date, ticker), the latest fetch.
 
-    A max_by aggregate (partial aggregation per task) instead of a window,
-    so a hot key never lands whole in one task.
+    The order values alone are reduced per key (a hash aggregate of small
+    fields, combined map-side), and the ticks that hold them are found by a
+    join, so wide rows are never sorted. Ticks whose date does not parse have
+    no day to be the latest of, and are kept as they are; ticks that agree in
+    key, fetch time and id are one.
     """
-    cols = [c for c in ticks.columns]
-    key_date = iso_to_date(_q("Date")) if dict(ticks.dtypes)["Date"] == "string" else _q("Date")
-    order = F.struct(_q("fetch_timestamp"), _q("_id")) if "_id" in cols else _q("fetch_timestamp")
-    return (
-        ticks.withColumn("_day", key_date)
-        .groupBy("_day", "ticker")
-        .agg(F.max_by(F.struct(*[_q(c) for c in cols]), order).alias("_t"))
-        .select(*[F.col("_t")[c].alias(c) for c in cols])
-    )
+    cols = ticks.columns
+    day = iso_to_date(_q("Date")) if dict(ticks.dtypes)["Date"] == "string" else _q("Date")
+    order = F.concat_ws("\x1f", F.coalesce(_q("fetch_timestamp").cast("string"), F.lit("")), *[F.coalesce(_q("_id").cast("string"), F.lit(""))] * ("_id" in cols))
+    t = ticks.withColumn("_day", day).withColumn("_order", order)
+    dated = t.filter(F.col("_day").isNotNull())
+    last = dated.groupBy(F.col("_day").alias("_d"), F.col("ticker").alias("_t")).agg(F.max("_order").alias("_last"))
+    kept = dated.join(last, (F.col("_day") == F.col("_d")) & F.col("ticker").eqNullSafe(F.col("_t")) & (F.col("_order") == F.col("_last")), "left_semi")
+    one = kept.dropDuplicates(["_day", "ticker", "_order"])
+    return one.unionByName(t.filter(F.col("_day").isNull())).select(*[_q(c) for c in cols])

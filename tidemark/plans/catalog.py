@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, DoubleType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType, TimestampNTZType, TimestampType
 
 from tidemark.functions import exprs as X
 from tidemark.functions import periods as PD
@@ -25,9 +25,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Dates -> 'yyyy-MM-dd', timestamps -> ISO text, decimals -> double."""
+    """Dates -> 'yyyy-MM-dd', timestamps -> ISO text, decimals -> double, averages at single precision."""
     cols = []
-    for fld in df.schema.fields:
+    for fld in R.in_single_precision(df).schema.fields:
         c = F.col(f"`{fld.name}`")
         if isinstance(fld.dataType, DateType):
             c = F.date_format(c, "yyyy-MM-dd")
@@ -35,6 +35,8 @@ def present(df: DataFrame) -> DataFrame:
             c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
         elif isinstance(fld.dataType, DecimalType):
             c = c.cast(DoubleType())
+        elif isinstance(fld.dataType, FloatType):
+            c = c.cast(FloatType()).cast(DoubleType())
         cols.append(c.alias(fld.name))
     return df.select(*cols)
 
@@ -196,14 +198,15 @@ def registry() -> dict[str, Query]:
 
 # ---------------------------------------------------------------- merge
 # Overlapping batches: the target holds everything before a cut, the
-# incoming batch everything after an earlier cut, recomputed from a subset,
-# so the overlap changes, the tail is new and the head is untouched.
+# incoming batch everything after an earlier cut with some values revised, so
+# the overlap changes, the tail is new and the head is untouched. Every order
+# and line item is in one batch at least.
 
 OLD_ORDERS = "o_orderdate < TIMESTAMP_NTZ'1998-01-01 00:00:00'"
-NEW_ORDERS = "o_orderdate >= TIMESTAMP_NTZ'1997-07-01 00:00:00' AND o_orderstatus <> 'P'"
+NEW_ORDERS = "o_orderdate >= TIMESTAMP_NTZ'1997-07-01 00:00:00'"
 OLD_TICKS = "l_shipdate < TIMESTAMP_NTZ'1999-07-01 00:00:00'"
-NEW_TICKS = "l_shipdate >= TIMESTAMP_NTZ'1999-01-01 00:00:00' AND l_returnflag <> 'R'"
-ALL_NEW_TICKS = "l_shipdate >= TIMESTAMP_NTZ'1999-01-01 00:00:00'"
+NEW_TICKS = "l_shipdate >= TIMESTAMP_NTZ'1999-01-01 00:00:00'"
+ALL_NEW_TICKS = NEW_TICKS
 
 
 def _filing_summary(fl: DataFrame) -> DataFrame:
@@ -220,7 +223,7 @@ def replace_upsert_filings(spark, sf):
     from tidemark.operators import merge as M
 
     old = V.filings(spark, sf, F.expr(OLD_ORDERS))
-    new = V.filings(spark, sf, F.expr(NEW_ORDERS))
+    new = V.filings(spark, sf, F.expr(NEW_ORDERS), revised=True)
     return _filing_summary(M.replace_upsert(old, new, ["ticker", "tahun", "triwulan"]))
 
 
@@ -228,13 +231,13 @@ def set_upsert_rows(spark, sf):
     from tidemark.operators import merge as M
 
     old = S.sector_rows(V.filings(spark, sf, F.expr(OLD_ORDERS)))
-    new = S.sector_rows(V.filings(spark, sf, F.expr(NEW_ORDERS)))
+    new = S.sector_rows(V.filings(spark, sf, F.expr(NEW_ORDERS), revised=True))
     return present(M.set_upsert(old, new, ["emiten", "tahun", "triwulan"]))
 
 
 def _monthly_pair(spark, sf):
     old = R.monthly_average(V.ticks(spark, sf, F.expr(OLD_TICKS)))
-    new = R.monthly_average(V.ticks(spark, sf, F.expr(NEW_TICKS)))
+    new = R.monthly_average(V.revised_ticks(spark, sf, F.expr(NEW_TICKS)))
     return old, new
 
 
@@ -249,14 +252,14 @@ def replace_upsert_yearly(spark, sf):
     from tidemark.operators import merge as M
 
     old = R.yearly_average(V.ticks(spark, sf, F.expr(OLD_TICKS)))
-    new = R.yearly_average(V.ticks(spark, sf, F.expr(NEW_TICKS)))
+    new = R.yearly_average(V.revised_ticks(spark, sf, F.expr(NEW_TICKS)))
     return present(M.replace_upsert(old, new, ["Year", "ticker"], null_safe=True))
 
 
 def merge_outcomes(spark, sf):
     from tidemark.operators import merge as M
 
-    old, new = _monthly_pair(spark, sf)
+    old, new = (R.in_single_precision(x) for x in _monthly_pair(spark, sf))
     return M.merge_outcomes(old, new, ["Year", "Month", "ticker"], mode="replace", null_safe=True)
 
 
@@ -351,7 +354,7 @@ def staged_json_strict(spark, sf):
     from tidemark.schemas import MONTHLY_AGG
     from tidemark.sources.staged import read_staged_json
 
-    return read_staged_json(spark, _stage_monthly(spark, sf, "strict"), MONTHLY_AGG, strict=True)
+    return present(read_staged_json(spark, _stage_monthly(spark, sf, "strict"), MONTHLY_AGG, strict=True))
 
 
 def staged_json_lenient(spark, sf):
@@ -364,7 +367,7 @@ def staged_json_lenient(spark, sf):
     bad = V.table(spark, sf, "nation").select(F.col("n_name").alias("Year"), F.lit(1).alias("Month"),
                                               F.col("n_name").alias("ticker"))
     write_json(bad, path, mode="append")
-    return read_staged_json(spark, path, MONTHLY_AGG, strict=False)
+    return present(read_staged_json(spark, path, MONTHLY_AGG, strict=False))
 
 
 def staged_aggregates(spark, sf):
@@ -381,7 +384,7 @@ def staged_aggregates(spark, sf):
     df = read_aggregate_folders(
         spark, base,
         {"daily_aggregation": DAILY_AGG, "monthly_aggregation": MONTHLY_AGG, "yearly_aggregation": YEARLY_AGG})
-    return df.select("aggregation_type", "Date", "Year", "Month", "ticker", "avg_close")
+    return present(df.select("aggregation_type", "Date", "Year", "Month", "ticker", "avg_close"))
 
 
 def staged_parquet(spark, sf):
@@ -464,7 +467,7 @@ def stream_monthly_average(spark, sf):
     run_incremental(spark, f"{base}/ticks", f"{base}/monthly", f"{base}/_checkpoint")
     write_json(V.ticks(spark, sf, ~cut), f"{base}/ticks/drop=2")
     out = run_incremental(spark, f"{base}/ticks", f"{base}/monthly", f"{base}/_checkpoint")
-    return out.drop("drop")
+    return present(out.drop("drop"))
 
 
 STREAM_QUERIES = ["stream_monthly_average"]

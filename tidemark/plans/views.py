@@ -68,6 +68,14 @@ def ticks(spark: SparkSession, sf_dir: str, where: Column | None = None) -> Data
     return li.select(*tick_columns(li))
 
 
+def revised_ticks(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """Ticks of a later fetch: some opens doubled, the first line's dividend missing."""
+    t = ticks_with_seq(spark, sf_dir, where)
+    other = (F.col("l_returnflag") != "N") | (F.col("l_linenumber") > 3)
+    return (t.withColumn("Open", F.when(other, F.col("Open") * 2).otherwise(F.col("Open")))
+            .withColumn("Dividends", F.when(F.col("l_linenumber") == 1, F.lit(None)).otherwise(F.col("Dividends"))))
+
+
 def ticks_with_seq(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Ticks plus a unique write sequence `seq` and the return flag.
 
@@ -162,12 +170,13 @@ def _conditions() -> list[Column]:
     ]
 
 
-def filing_fact_columns(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+def filing_fact_columns(spark: SparkSession, sf_dir: str, where: Column | None = None, revised: bool = False) -> DataFrame:
     """One row per filing with one text column per fact key (NULL = absent).
 
     Column names are the fact keys. Grouping reduces the orders before the
     join with customer, so the join sees one row per filing. `where` filters
-    the orders first (used to build overlapping merge batches).
+    the orders first (used to build overlapping merge batches); `revised`
+    states every third fact anew, as a later filing of a period does.
     """
     o = table(spark, sf_dir, "orders")
     if where is not None:
@@ -204,7 +213,7 @@ def filing_fact_columns(spark: SparkSession, sf_dir: str, where: Column | None =
     ]
     for k, key in enumerate(numeric_fact_keys()):
         kind = k % CONDITION_KINDS
-        mult = k % MULTIPLIERS + 1
+        mult = k % MULTIPLIERS + 1 + (revised and k % 3 == 0)
         val = (
             F.when(F.col(f"_n{kind}") == 0, F.lit(None).cast(StringType()))
             .when((F.col("o_custkey") + k) % BLANK_EVERY == 0, F.lit(""))
@@ -229,9 +238,9 @@ def facts_map(keys: list[str]) -> Column:
     return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"]["value"].isNotNull()))
 
 
-def filings(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+def filings(spark: SparkSession, sf_dir: str, where: Column | None = None, revised: bool = False) -> DataFrame:
     """Filing documents: `ticker, tahun, triwulan, facts` (facts is a map)."""
-    flat = filing_fact_columns(spark, sf_dir, where)
+    flat = filing_fact_columns(spark, sf_dir, where, revised)
     return flat.select("ticker", "tahun", "triwulan", facts_map(S.rule_keys()).alias("facts"))
 
 

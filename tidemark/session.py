@@ -37,13 +37,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
     On a cluster this is set by the deployment and is read as is. Only when it
-    is unset (local runs, tests) a fresh private folder is made and set.
+    is unset (local runs, tests) a fresh private folder is made and set; on a
+    cluster that folder would exist on one machine only, so it is an error.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)

@@ -1,8 +1,7 @@
 """Sinks and staging.
 
-Writers are the only actions in the library. Single-file output
-(`coalesce(1)`) removes write parallelism, so it is an option, off by
-default; order is only imposed where a reader can see it.
+Single-file output (one task) removes write parallelism, so it is an option,
+off by default; order is only imposed where a reader can see it.
 """
 
 from __future__ import annotations
@@ -10,9 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import canonical_order
-from tidemark.schemas import SECTOR_COLUMNS
-
 
 class EmptyInput(RuntimeError):
     """Raised by `guard_empty(..., on_empty="fail")`."""
@@ -47,13 +43,13 @@ def write_json(df: DataFrame, path: str, single_file: bool = False, mode: str =
     (df.coalesce(1) if single_file else df).write.mode(mode).json(path)
 
 
-def write_json_sorted(df: DataFrame, path: str, by: str = "emiten", single_file: bool = True,
+def write_json_sorted(df: DataFrame, path: str, by: str = "emiten", single_file: bool = False,
                       count_rows: bool = False) -> int | None:
-    """K1: JSON lines in global `by` order (range shuffle, then one file).
+    """K1: JSON lines in global `by` order.
 
-    `repartition(1).sortWithinPartitions` guarantees the order in the single
-    file; with `single_file=False` the parts are range-partitioned and each
-    part is sorted, so reading parts in name order gives the global order.
+    The parts are range-partitioned and each part is sorted, so reading parts
+    in name order gives the global order; with `single_file=True` (a small
+    period slice) one task sorts and writes all.
     With `count_rows`, the written rows are counted by an observation placed
     after the sort (the range sort's sampling pass does not count) and the
     count is returned (A5).
@@ -90,18 +86,3 @@ def write_documents(df: DataFrame, path: str) -> None:
 def append(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
     """K6 / K7: batch append; the writer batches, a failed task is retried whole."""
     df.write.format(fmt).mode("append").options(**options).save(path)
-
-
-def sector_rows_for_sink(df: DataFrame) -> DataFrame:
-    """The 20 standard fields first, any extra fields after."""
-    return canonical_order(df, SECTOR_COLUMNS)
-
-
-def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, mode: str = "overwrite") -> None:
-    """A merge target laid out for repeated keyed merges.
-
-    Bucketing (and sorting) the target by its merge keys lets the next
-    merge's join read the target without shuffling it: only the incoming
-    batch is exchanged. Needs a catalog table (`saveAsTable`).
-    """
-    df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)

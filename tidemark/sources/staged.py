@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from tidemark.functions.exprs import with_load_metadata
+from tidemark.functions.exprs import is_blank, strip, with_load_metadata
 from tidemark.schemas import FILING
 
 # The three staged aggregate folders.
@@ -34,8 +34,7 @@ def read_ticker_csv(spark: SparkSession, path: str) -> DataFrame:
     filter (F9). Extra columns on a line are ignored.
     """
     df = spark.read.option("header", True).option("encoding", "UTF-8").schema("emiten string").csv(path)
-    t = F.trim(F.col("emiten"))
-    return df.select(t.alias("ticker")).filter(t.isNotNull() & (t != ""))
+    return df.select(strip("emiten").alias("ticker")).filter(~is_blank("ticker"))
 
 
 def read_ticker_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -46,8 +45,7 @@ def read_ticker_lines(spark: SparkSession, path: str) -> DataFrame:
     """
     df = (spark.read.option("header", True).option("sep", _NUL).option("quote", _NUL)
           .schema("line string").csv(path))
-    t = F.trim(F.col("line"))
-    return df.select(t.alias("ticker")).filter(t.isNotNull() & (t != ""))
+    return df.select(strip("line").alias("ticker")).filter(~is_blank("ticker"))
 
 
 def read_filings(spark: SparkSession, path: str, fmt: str = "json", **options) -> DataFrame:
@@ -55,34 +53,42 @@ def read_filings(spark: SparkSession, path: str, fmt: str = "json", **options) -
     return spark.read.format(fmt).schema(FILING).options(**options).load(path)
 
 
+def _parsed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Every line with its text, whether it is JSON, and its record under `schema`.
+
+    A line that is not JSON has no variant form; a value of another type than
+    the schema's is a record all the same, with that field NULL, whichever
+    columns are selected later.
+    """
+    lines = spark.read.option("pathGlobFilter", "part-*.json").text(path).filter(F.col("value") != "")
+    return lines.select("value", F.expr("try_parse_json(value)").alias("json")).select(
+        "value", (F.col("json").isNotNull() & (F.expr("schema_of_variant(json)").startswith("OBJECT"))).alias("good"), F.col("json"),
+        *[F.expr(f"try_variant_get(json, '$[\"{f.name}\"]', '{f.dataType.simpleString()}')").alias(f"f{k}") for k, f in enumerate(schema.fields)])
+
+
 def read_staged_json(spark: SparkSession, path: str, schema: StructType | str, strict: bool = True) -> DataFrame:
     """S7 (strict) / S8 (lenient): the `part-*.json` files of a staging folder.
 
     Strict: a malformed line fails the read (no half-read file is kept).
-    Lenient: malformed lines are dropped, good lines kept.
+    Lenient: lines that are not JSON records are dropped (`count_malformed` has
+    their number), all others kept, also where a value has another type than
+    the schema's: that field is NULL then.
     """
-    return (
-        spark.read.schema(schema)
-        .option("pathGlobFilter", "part-*.json")
-        .option("mode", "FAILFAST" if strict else "DROPMALFORMED")
-        .json(path)
-    )
+    if strict:
+        return spark.read.schema(schema).option("pathGlobFilter", "part-*.json").option("mode", "FAILFAST").json(path)
+    s = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return _parsed(spark, path, s).filter("good").select(*[F.col(f"f{k}").alias(f.name) for k, f in enumerate(s.fields)])
 
 
 def count_malformed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """S8 reject count: PERMISSIVE read with a corrupt-record column."""
-    s = StructType(schema.fields + [StructField("_corrupt_record", StringType())])
-    df = (spark.read.schema(s).option("pathGlobFilter", "part-*.json")
-          .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    # Reading the corrupt-record column alone is refused by Spark, so the
-    # first data column is read alongside it.
-    first = schema.fields[0].name
-    bad = F.col("_corrupt_record").isNotNull()
-    return df.agg(
-        F.sum(F.when(bad, 1).otherwise(0)).alias("malformed"),
-        F.sum(F.when(bad, 0).otherwise(1)).alias("good"),
-        F.count(F.col(f"`{first}`")).alias(f"with_{first}"),
-    )
+    """S8 reject count: lines that are not JSON records, records, and records with a value of another type."""
+    typed = None
+    for k, f in enumerate(schema.fields):
+        there = F.expr(f"try_variant_get(json, '$[\"{f.name}\"]', 'string')").isNotNull() & F.col(f"f{k}").isNull()
+        typed = there if typed is None else typed | there
+    rows = _parsed(spark, path, schema)
+    return rows.agg(F.count(F.when(~F.coalesce("good", F.lit(False)), 1)).alias("malformed"), F.count(F.when(F.col("good"), 1)).alias("good"),
+                    F.count(F.when(F.col("good") & typed, 1)).alias("mistyped"))
 
 
 def read_aggregate_folders(spark: SparkSession, base: str, schemas: dict[str, StructType],
