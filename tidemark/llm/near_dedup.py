@@ -2,7 +2,7 @@
 
 A document is the set of its distinct `size`-word shingles. Equal sets form
 one class, named by a 64-bit hash, before anything is compared. A class enters
-`TREES` sorted orders, each by `DEPTH` MinHash values of its own. Candidates are
+some sorted orders, each by `DEPTH` MinHash values of its own. Candidates are
 neighbours by longest common prefix: a region is a run of rows that share the
 first `FIRST` values. In a small region (up to `REGION` rows) all are neighbours;
 in a larger one the depth grows: a row's neighbours are the nearest before it in
@@ -17,8 +17,8 @@ that were too large, or that a partition boundary cut, are compared in blocks of
 the links that join components. Dense regions therefore cost blocks, spread over
 tasks, and give at most as many rows as they have members.
 
-A link of similarity 0.85 shares `FIRST` values in one of the 10 orders with
-probability 0.9999, a closer one more often.
+There are as many orders as leave a link just at the threshold unfound with
+probability `MISSED` (10 at 0.85, 13 at 0.8); closer links are missed less.
 
 Scale: exact copies collapse map-side; orders are range-partitioned, which is
 even whatever the groups; only small rows are shuffled until the confirmation,
@@ -33,6 +33,7 @@ table gives an empty result; other columns are carried only where asked for.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,17 +47,23 @@ from tidemark.llm.common import WORD, chunks, components, possibly_in, prepare,
 
 SHINGLE = 3
 PERCENT = 85
-TREES, DEPTH, FIRST = 10, 8, 3
+DEPTH, FIRST, MOST_ORDERS = 8, 3, 40
 REGION, NEIGHBOURS, BLOCK = 48, 4, 256
 REMEMBERED = 400_000
-HASHES = TREES * DEPTH
+MISSED = 1e-4
 
 _rng = np.random.default_rng(20240229)
-_MULTIPLY = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
-_FLIP = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
+_MULTIPLY = (_rng.integers(0, 1 << 31, MOST_ORDERS * DEPTH, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
+_FLIP = _rng.integers(0, 1 << 32, MOST_ORDERS * DEPTH, dtype=np.uint32)
 _ODD = _rng.integers(0, 1 << 62, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def orders(percent: int) -> int:
+    """How many orders leave a link just at the threshold unfound with probability `MISSED` at most."""
+    together = (percent / 100) ** FIRST
+    return min(MOST_ORDERS, max(4, math.ceil(math.log(MISSED) / math.log(1 - together)))) if together < 1 else 1
+
+
 class WordHashes(dict):
     """Word -> 64-bit hash, remembered up to a bound."""
 
@@ -82,39 +89,39 @@ def shingles(text: str | None, hashes: WordHashes, size: int = SHINGLE) -> np.nd
     return np.unique(x)
 
 
-def signature(s: np.ndarray) -> np.ndarray:
+def signature(s: np.ndarray, hashes: int) -> np.ndarray:
     x = ((s ^ (s >> np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    low = np.full(HASHES, 0xFFFFFFFF, np.uint32)
+    low = np.full(hashes, 0xFFFFFFFF, np.uint32)
     for k in range(0, len(x), 4096):
-        low = np.minimum(low, ((x[None, k:k + 4096] * _MULTIPLY[:, None]) ^ _FLIP[:, None]).min(axis=1))
+        low = np.minimum(low, ((x[None, k:k + 4096] * _MULTIPLY[:hashes, None]) ^ _FLIP[:hashes, None]).min(axis=1))
     return low
 
 
-def signed(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(key, n, h, keys): per document its set's size and class, and 16 bits of each MinHash value."""
+def signed(docs: DataFrame, size: int, trees: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_hash, n, h, keys): per document its set's size and class, and 16 bits of each MinHash value."""
     from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in chunks(batches):
             sets = [shingles(t, hashes, size) for t in b.column("text").to_pylist()]
             names = [xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
-            keys = [(signature(s) >> np.uint32(16)).astype(">u2").tobytes() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(keys, pa.binary())], names=["id", "n", "h", "keys"])
+            keys = [(signature(s, trees * DEPTH) >> np.uint32(16)).astype(">u2").tobytes() if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array(keys, pa.binary())], names=["id", "text_hash", "n", "h", "keys"])
 
-    schema = StructType([StructField("id", source.schema["id"].dataType), StructField("n", LongType()), StructField("h", LongType()), StructField("keys", BinaryType())])
+    schema = StructType([StructField("id", source.schema["id"].dataType), StructField("text_hash", LongType()), StructField("n", LongType()), StructField("h", LongType()), StructField("keys", BinaryType())])
     return source.mapInArrow(run, schema)
 
 
-def forest(classes: DataFrame) -> DataFrame:
+def forest(classes: DataFrame, trees: int) -> DataFrame:
     """One row per class and order: (tree, key, h, keys)."""
-    each = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
+    each = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
     return classes.select("h", "keys", each.alias("tree")).withColumn("key", F.expr(f"substring(keys, tree * {2 * DEPTH} + 1, {2 * DEPTH})"))
 
 
-def _neighbours(least: float):
+def _neighbours(least: float, hashes: int):
     """Scan of one partition of sorted orders -> candidate pairs (a, b) and members (a, NULL, region) of regions to do in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +133,7 @@ def _neighbours(least: float):
                     region = tree
                     for k in range(FIRST):
                         region = (region << np.uint64(16)) | key[:, k]
-                    yield region, b.column("h").to_numpy(), np.frombuffer(b"".join(b.column("keys").to_pylist()), np.uint8).reshape(-1, 2 * HASHES)[:, 1::2]
+                    yield region, b.column("h").to_numpy(), np.frombuffer(b"".join(b.column("keys").to_pylist()), np.uint8).reshape(-1, 2 * hashes)[:, 1::2]
 
         def pairs(h, sketch, window):
             """Rows against up to `window` rows before them."""
@@ -220,16 +227,17 @@ def block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component_id (smallest id reachable), kept, and set_hash (the class)."""
+    """One row per document: id, n_shingles, component_id (smallest id reachable), kept, text_hash and set_hash (the class)."""
     spark = docs.sparkSession
     prepare(spark)
-    sig = staged(signed(docs, shingle, id_col, text_col), "near-signatures")
+    trees = orders(percent)
+    sig = staged(signed(docs, shingle, trees, id_col, text_col), "near-signatures")
     classes = staged(sig.where("n > 0").groupBy("h").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "near-classes")
 
-    least = percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / HASHES) ** 0.5
+    least = percent / 100 - 4 * (percent / 100 * (1 - percent / 100) / (trees * DEPTH)) ** 0.5
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = forest(classes).repartitionByRange(parts, "tree", "key").sortWithinPartitions("tree", "key")
-    found = staged(ordered.mapInArrow(_neighbours(least), "a long, b long, region long"), "near-candidates")
+    ordered = forest(classes, trees).repartitionByRange(parts, "tree", "key").sortWithinPartitions("tree", "key")
+    found = staged(ordered.mapInArrow(_neighbours(least, trees * DEPTH), "a long, b long, region long"), "near-candidates")
     pairs = found.where("b IS NOT NULL AND a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     members = found.where("region IS NOT NULL").select("region", F.col("a").alias("h"))
     # A region of one row has nothing to compare.
@@ -263,7 +271,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     lookup = smallest.join(by_component, "c").select(F.col("h").alias("class"), "component")
     out = sig.join(lookup, (sig["h"] == lookup["class"]) & (sig["n"] > 0), "left")
     component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"), F.col("h").alias("set_hash"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), "text_hash", F.col("h").alias("set_hash"))
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they are, without those that are a near duplicate of one that stays.
+
+    Rows that repeat both id and text are one document and go or stay together.
+    """
+    gone = staged(near_duplicates(docs, percent, shingle, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("gone_id"), "text_hash").distinct(), "near-gone")
+    marked = docs.withColumn("key__", F.coalesce(F.col(id_col).cast("string"), F.lit("-")))
+    names = gone.select(F.coalesce(F.col("gone_id").cast("string"), F.lit("-")).alias("name"))
+    maybe = possibly_in(marked, "key__", names, "name")
+    rest = possibly_in(marked, "key__", names, "name", keep=False)
+    left = maybe.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")) & (F.xxhash64(text_col) == F.col("text_hash")), "left_anti")
+    return rest.unionByName(left).select(docs.columns)
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, involved: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
