@@ -39,6 +39,7 @@ BUCKETS = 1 << 18
 FIT_DOCS = 4000
 FIT_CHARS = 20_000
 THRESHOLD = 0.3
+PLAIN = 0.02
 REMEMBERED = 400_000
 
 _sentences = re.compile(r"[.!?\n]+").split
@@ -99,42 +100,57 @@ def sentence_features(sentence: str) -> list[int]:
     return sorted(b for w in set(_words(sentence)) for b in buckets(w))
 
 
-def train_noisy_or(ids: np.ndarray, sizes: np.ndarray, n_sentences: np.ndarray, y: np.ndarray, least: int = 4, shrink: float = 1e-3, phases: tuple[tuple[int, float], ...] = ((40, 1.0), (120, 0.5), (300, 0.1))) -> Model:
-    """Gradient descent (Adagrad, soft thresholding) on the documents' log loss.
+def telling(ids: np.ndarray, doc: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Features that occur in toxic documents too often for chance.
+
+    The bar is a likelihood ratio above what one in as many features as there are
+    would reach by chance; features whose documents are mostly clean never do.
+    A small sample may have none, and then nothing is called toxic.
+    """
+    pairs = np.unique(doc.astype(np.int64) * BUCKETS + ids)
+    inside, feature = y[pairs // BUCKETS], pairs % BUCKETS
+    bad, all_ = np.bincount(feature, inside, BUCKETS), np.bincount(feature, minlength=BUCKETS)
+    rate = y.mean()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        part = bad / all_
+        ratio = 2 * (bad * np.log(part / rate) + np.where(bad < all_, (all_ - bad) * np.log((1 - part) / (1 - rate)), 0.0))
+    return np.flatnonzero((all_ > 0) & (part > max(rate, 0.5)) & (ratio > 2 * np.log((all_ > 0).sum()) + 4))
+
+
+def train_noisy_or(ids: np.ndarray, sizes: np.ndarray, n_sentences: np.ndarray, y: np.ndarray, rounds: int = 600) -> Model:
+    """Gradient descent (Adam) on the documents' log loss, over the telling features.
 
     `ids` has the features of all sentences one after the other, `sizes` their
-    number by sentence, `n_sentences` the sentences by document. Each phase
-    (rounds, part of `shrink`) goes on with the features that still have weight.
+    number by sentence, `n_sentences` the sentences by document. The number of
+    rounds bounds the weights of separable data. The bias is set so that plain sentences give the longest text of the sample a
+    score of `PLAIN`: no text is toxic by its length alone.
     """
     if not len(y) or not y.any():
         return Model(-30.0, {})
-    first = np.concatenate([[0], np.cumsum(n_sentences)[:-1]])
     doc = np.repeat(np.arange(len(y)), n_sentences)
-    flat, sentence = ids, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-    used = np.flatnonzero(np.bincount(ids, minlength=BUCKETS) >= least)
-    weights, b = np.zeros(BUCKETS), float(np.log(y.mean() / n_sentences.mean()))
-    for rounds, part in phases:
-        place = np.full(BUCKETS, -1, np.int32)
-        place[used] = np.arange(len(used))
-        at = place[flat]
-        flat, sentence, at = flat[at >= 0], sentence[at >= 0], at[at >= 0]
-        w, seen_w, seen_b = weights[used], np.full(len(used), 1e-8), 1e-8
-        for _ in range(rounds):
-            z = b + np.bincount(sentence, w[at], len(sizes))
-            total = np.add.reduceat(np.logaddexp(0.0, z), first)
-            blame = np.where(y == 1, -1.0 / np.expm1(np.clip(total, 1e-9, 500)), 1.0) / len(y)
-            g = blame[doc] / (1.0 + np.exp(-z))
-            gw, gb = np.bincount(at, g[sentence], len(used)), float(g.sum())
-            seen_w += gw * gw
-            seen_b += gb * gb
-            step = 0.4 / np.sqrt(seen_w)
-            w -= step * gw
-            w = np.sign(w) * np.maximum(np.abs(w) - step * shrink * part, 0.0)
-            b -= 0.4 / np.sqrt(seen_b) * gb
-        weights[:] = 0.0
-        weights[used] = w
-        used = used[np.abs(w) > 1e-4]
-    return Model(b, {int(k): float(weights[k]) for k in used})
+    sentence = np.repeat(np.arange(len(sizes)), sizes)
+    used = telling(ids, doc[sentence], y) if not y.all() else np.unique(ids)
+    if not len(used):
+        return Model(-30.0, {})
+    place = np.full(BUCKETS, -1)
+    place[used] = np.arange(len(used))
+    at = place[ids]
+    sentence, at = sentence[at >= 0], at[at >= 0]
+    # Plain sentences, which have no telling feature, count as a constant.
+    some, sentence = np.unique(sentence, return_inverse=True)
+    doc = doc[some]
+    bias = float(np.log(PLAIN / n_sentences.max()))
+    plain = (n_sentences - np.bincount(doc, minlength=len(y))) * np.logaddexp(0.0, bias)
+    w, mean, square = np.zeros(len(used)), np.zeros(len(used)), np.zeros(len(used))
+    for step in range(1, rounds + 1):
+        z = bias + np.bincount(sentence, w[at], len(some))
+        total = plain + np.bincount(doc, np.logaddexp(0.0, z), len(y))
+        blame = np.where(y == 1, -1.0 / np.expm1(np.clip(total, 1e-9, 500)), 1.0) / len(y)
+        g = blame[doc] / (1.0 + np.exp(-z))
+        gw = np.bincount(at, g[sentence], len(used))
+        mean, square = 0.9 * mean + 0.1 * gw, 0.999 * square + 0.001 * gw * gw
+        w -= 0.05 * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-9)
+    return Model(bias, dict(zip(used.tolist(), w.tolist(), strict=True)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS) -> Model:
