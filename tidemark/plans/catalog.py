@@ -308,7 +308,48 @@ def required_keys(spark, sf):
     return present(M.required_keys(monthly, ["Year", "Month", "ticker"]))
 
 
+def _sector_batches(spark, sf):
+    """Stored rows, and a batch that states each of its keys twice: revised first, as filed last."""
+    old = S.sector_rows(V.filings(spark, sf, F.expr(OLD_ORDERS)))
+    first = S.sector_rows(V.filings(spark, sf, F.expr(NEW_ORDERS), revised=True)).withColumn("seq", F.lit(1))
+    last = S.sector_rows(V.filings(spark, sf, F.expr(NEW_ORDERS))).withColumn("seq", F.lit(2))
+    return old, last.unionByName(first)
+
+
+SECTOR_KEYS = ["emiten", "tahun", "triwulan"]
+
+
+def set_upsert_duplicate_keys(spark, sf):
+    from tidemark.operators import merge as M
+
+    old, batch = _sector_batches(spark, sf)
+    return present(M.set_upsert(old, batch, SECTOR_KEYS, "seq"))
+
+
+def replace_upsert_duplicate_keys(spark, sf):
+    from tidemark.operators import merge as M
+
+    old, batch = _sector_batches(spark, sf)
+    return present(M.replace_upsert(old, batch, SECTOR_KEYS, "seq"))
+
+
+def merge_outcomes_set(spark, sf):
+    from tidemark.operators import merge as M
+
+    old, batch = _sector_batches(spark, sf)
+    return M.merge_outcomes(old, batch.filter("seq = 1").drop("seq"), SECTOR_KEYS, mode="set")
+
+
+def load_keeps_old_stamp(spark, sf):
+    from tidemark.operators import merge as M
+
+    old, new = _monthly_pair(spark, sf)
+    merged = M.merge(old.withColumn("stamp", F.lit("stored")), new.withColumn("stamp", F.lit("loaded")), ["Year", "Month", "ticker"], null_safe=True, ignore=("stamp",))
+    return merged.select("Year", "Month", "ticker", "stamp")
+
+
 MERGE_QUERIES = [
+    "set_upsert_duplicate_keys", "replace_upsert_duplicate_keys", "merge_outcomes_set", "load_keeps_old_stamp",
     "replace_upsert_filings", "set_upsert_rows", "replace_upsert_monthly", "replace_upsert_yearly",
     "last_write_wins", "set_fold_batch", "merge_outcomes", "append_daily", "duplicate_keys", "required_keys",
 ]
@@ -357,17 +398,30 @@ def staged_json_strict(spark, sf):
     return present(read_staged_json(spark, _stage_monthly(spark, sf, "strict"), MONTHLY_AGG, strict=True))
 
 
+def _stage_with_bad_lines(spark, sf):
+    """Monthly averages, records whose Year is text (mistyped), and lines that are not JSON."""
+    from tidemark.sinks.writers import write_json
+
+    path = _stage_monthly(spark, sf, "lenient")
+    mistyped = V.table(spark, sf, "nation").select(F.col("n_name").alias("Year"), F.lit(1).alias("Month"), F.col("n_name").alias("ticker"))
+    write_json(mistyped, path, mode="append")
+    broken = V.table(spark, sf, "region").select(F.concat(F.lit('{"Year": 1995, "ticker": "'), F.col("r_name")).alias("value"))
+    broken.write.mode("append").text(path)
+    return path
+
+
 def staged_json_lenient(spark, sf):
     from tidemark.schemas import MONTHLY_AGG
-    from tidemark.sinks.writers import write_json
     from tidemark.sources.staged import read_staged_json
 
-    path = _stage_monthly(spark, sf, "lenient")
-    # Records whose Year is not a number: malformed under the schema.
-    bad = V.table(spark, sf, "nation").select(F.col("n_name").alias("Year"), F.lit(1).alias("Month"),
-                                              F.col("n_name").alias("ticker"))
-    write_json(bad, path, mode="append")
-    return present(read_staged_json(spark, path, MONTHLY_AGG, strict=False))
+    return present(read_staged_json(spark, _stage_with_bad_lines(spark, sf), MONTHLY_AGG, strict=False, files="part-*"))
+
+
+def staged_json_rejects(spark, sf):
+    from tidemark.schemas import MONTHLY_AGG
+    from tidemark.sources.staged import count_malformed
+
+    return count_malformed(spark, _stage_with_bad_lines(spark, sf), MONTHLY_AGG, files="part-*")
 
 
 def staged_aggregates(spark, sf):
@@ -502,4 +556,101 @@ def tick_appends(spark, sf):
     return read_ticks(spark, path).select("_id", "Date", "ticker", "Open", "Close", "Volume", "fetch_timestamp")
 
 
-INGEST_QUERIES += ["ticker_lines", "tick_appends"]
+def unparsed_facts(spark, sf):
+    """Facts beyond a plain amount: one of 10^12 times the assets, one of six decimals, and one that is no number."""
+    fl = V.filings(spark, sf)
+    whole = F.split_part(S.fact(f"Assets_{S.I}"), F.lit("."), F.lit(1))
+    wide, text = F.concat(whole, F.lit("0" * 12)), F.when(whole != "", F.concat(whole, F.lit(" million")))
+    facts = F.array(wide, F.lit("1.234567"), text)
+    count = F.size(F.filter(facts, X.not_a_number))
+    return present(fl.select("ticker", "tahun", "triwulan", X.money(wide).alias("wide"), X.money(F.lit("1.234567")).alias("fine"),
+                             count.cast("int").alias("n_unparsed"), F.when(X.num(wide).isNotNull(), 1).cast("int").alias("n_parsed")))
+
+
+def avg_fine_grained(spark, sf):
+    """Averages of values below 10^-6 and of twelve decimals."""
+    t = V.ticks(spark, sf)
+    t = t.withColumn("High", F.col("Open") * 0.123456789123).withColumn("Open", F.col("Open") * 0.0000000012345)
+    return present(R.daily_average(t)).select("Date", "ticker", F.col("avg_open").alias("tiny"), F.col("avg_high").alias("fine"))
+
+
+def target_names(spark, sf):
+    """K8: the names of all periods the orders fall in."""
+    y, q = PD.latest_closed_period(F.col("o_orderdate").cast("date"))
+    periods = V.table(spark, sf, "orders").select(y.cast("long").alias("year"), q.cast("int").alias("quarter")).distinct()
+    return periods.withColumn("name", F.concat(F.lit("filings_"), "year", F.lit("TW"), "quarter", F.lit("_raw")))
+
+
+def surrogate_ids(spark, sf):
+    """How many ids, how many distinct, how many not of 24 hex characters."""
+    ids = V.table(spark, sf, "lineitem").select(X.surrogate_id().alias("id"))
+    return ids.agg(F.count("*").alias("n"), F.countDistinct("id").alias("n_distinct"), F.count(F.when(~F.col("id").rlike("^[0-9a-f]{24}$"), 1)).cast("int").alias("n_bad"))
+
+
+def canonical_columns(spark, sf):
+    """The columns of sector rows that come in another order, with one more."""
+    from tidemark.schemas import SECTOR_COLUMNS
+
+    rows = S.sector_rows(V.filings(spark, sf)).withColumn("extra", F.lit(1))
+    names = X.canonical_order(rows.select(*reversed(rows.columns)), SECTOR_COLUMNS).columns
+    any_row = V.table(spark, sf, "orders").limit(1).select(F.lit(1))
+    return any_row.select(F.posexplode(F.array(*[F.lit(c) for c in names])).alias("position", "name"))
+
+
+def sorted_staging(spark, sf):
+    """K1, K4, O1: the sorted collection, read back by place: rows before which a greater name stands."""
+    from pyspark.sql import Window
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import write_collection
+
+    path = scratch_path(spark, "sorted")
+    write_collection(S.sector_rows(V.filings(spark, sf)), path)
+    back = spark.read.parquet(path).select("emiten", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    inside = F.lag("emiten").over(Window.partitionBy("file").orderBy("at"))
+    files = back.groupBy("file").agg(F.min("emiten").alias("low"), F.max("emiten").alias("high"))
+    # The files, some per task, in the order of their names.
+    files = files.withColumn("before", F.lag("high").over(Window.orderBy("file"))).select(F.col("file").alias("f"), "before")
+    placed = back.withColumn("last", inside).join(files, F.col("file") == F.col("f"))
+    wrong = F.coalesce(F.col("last") > F.col("emiten"), F.lit(False)) | F.coalesce(F.col("before") > F.col("emiten"), F.lit(False))
+    return placed.groupBy("emiten").agg(F.count(F.when(wrong, 1)).cast("int").alias("out_of_order"), F.count("*").alias("n"))
+
+
+def counted_writes(spark, sf):
+    """Rows counted as they are written, and what empty inputs do."""
+    from tidemark.session import scratch_path
+    from tidemark.sinks import writers as W
+
+    rows = S.sector_rows(V.filings(spark, sf))
+    counted, seen = W.counted(rows)
+    W.write_parquet(counted, scratch_path(spark, "counted"))
+    none = V.table(spark, sf, "region").filter("r_regionkey < 0")
+    try:
+        refused = int(W.guard_empty(none, on_empty="fail"))
+    except W.EmptyInput:
+        refused = 1
+    result = [("rows", seen.get["rows"]), ("empty skipped", int(W.guard_empty(none))), ("empty refused", refused)]
+    return spark.createDataFrame(result, "step string, n long")
+
+
+def processed_dates(spark, sf):
+    """Documents, and those whose processing time is ISO text."""
+    from tidemark.sources import xbrl as XB
+
+    members = XB.archive_members(_archives(spark, sf)).filter(F.col("status") == "ok")
+    docs = XB.filing_documents(XB.parse_facts(members.withColumn("quarter", F.substring("triwulan", 3, 1)).drop("triwulan")), quarter="quarter")
+    iso = F.col("processed_date")["$date"].rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\\.[0-9]{6}$")
+    return docs.agg(F.count("*").alias("n"), F.count(F.when(iso, 1)).alias("n_iso"))
+
+
+def malformed_instances(spark, sf):
+    """Instances of every fifth customer are cut short; what the parse says of them."""
+    from tidemark.sources import xbrl as XB
+
+    xml = V.instance_xml(V.filings(spark, sf))
+    cut = F.substring("ticker", 2, 5).cast("int") % 5 == 0
+    parsed = XB.parse_facts(xml.withColumn("xbrl", F.when(cut, F.expr("substring(xbrl, 1, length(xbrl) - 5)")).otherwise(F.col("xbrl"))))
+    return parsed.groupBy("status").agg(F.count("*").alias("n"))
+
+
+INGEST_QUERIES += ["ticker_lines", "tick_appends", "staged_json_rejects", "unparsed_facts", "avg_fine_grained", "target_names", "surrogate_ids",
+                   "canonical_columns", "sorted_staging", "counted_writes", "processed_dates", "malformed_instances"]

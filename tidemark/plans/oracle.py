@@ -100,7 +100,7 @@ def f(name: str, ctx: str = "I") -> str:
 
 
 def n(x: str) -> str:
-    return f"TRY_CAST({x} AS DECIMAL(28,4))"
+    return f"TRY_CAST({x} AS DECIMAL(38,6))"
 
 
 def sum_if(*xs: str) -> str:
@@ -115,7 +115,7 @@ def both_minus(a: str, b: str) -> str:
 
 
 def dbl(x: str) -> str:
-    return f"CAST(CAST({x} AS DECIMAL(38,4)) AS DOUBLE)"
+    return f"CAST(CAST({x} AS DECIMAL(38,6)) AS DOUBLE)"
 
 
 G3_INCOME = [f("IncomeFromBrokerageActivity", "D"), f("IncomeFromUnderwritingActivitiesAndSellingFees", "D"),
@@ -272,14 +272,14 @@ def queries_sql() -> dict[str, str]:
         " WHEN event_type = 'view' THEN strftime(ts, '%Y-%m-%d')"
         " ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS txt FROM events)")
     raw = ("raw AS (SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) AS ticker,\n"
-           "  CASE l_linenumber WHEN 7 THEN 'nan' WHEN 6 THEN '' WHEN 5 THEN 'None' WHEN 4 THEN NULL"
+           "  CASE l_linenumber WHEN 7 THEN 'nan' WHEN 6 THEN CASE WHEN l_orderkey % 2 = 1 THEN '' WHEN l_orderkey % 4 = 0 THEN '1.5f' ELSE '2d' END WHEN 5 THEN 'None' WHEN 4 THEN NULL"
            " ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS open_txt,\n"
-           "  CASE l_linenumber WHEN 7 THEN 'nan' WHEN 6 THEN '' WHEN 5 THEN 'None' WHEN 4 THEN NULL"
+           "  CASE l_linenumber WHEN 7 THEN 'nan' WHEN 6 THEN CASE WHEN l_orderkey % 2 = 1 THEN '' WHEN l_orderkey % 4 = 0 THEN '1.5f' ELSE '2d' END WHEN 5 THEN 'None' WHEN 4 THEN NULL"
            " ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 + CAST(l_tax AS DECIMAL(18,2))) AS VARCHAR) END AS high_txt,\n"
-           "  CASE l_linenumber WHEN 7 THEN 'nan' WHEN 6 THEN '' WHEN 5 THEN 'None' WHEN 4 THEN NULL"
+           "  CASE l_linenumber WHEN 7 THEN 'nan' WHEN 6 THEN CASE WHEN l_orderkey % 2 = 1 THEN '' WHEN l_orderkey % 4 = 0 THEN '1.5f' ELSE '2d' END WHEN 5 THEN 'None' WHEN 4 THEN NULL"
            " ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))) AS VARCHAR) END AS low_txt,\n"
            "  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))) AS VARCHAR) AS close_txt,\n"
-           "  CASE l_linenumber WHEN 7 THEN 'nan' WHEN 6 THEN '' WHEN 5 THEN 'None' WHEN 4 THEN NULL"
+           "  CASE l_linenumber WHEN 7 THEN 'nan' WHEN 6 THEN CASE WHEN l_orderkey % 2 = 1 THEN '' WHEN l_orderkey % 4 = 0 THEN '1.5f' ELSE '2d' END WHEN 5 THEN 'None' WHEN 4 THEN NULL"
            " WHEN 3 THEN '-' || CAST(CAST(l_tax AS DECIMAL(18,2)) + CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR)"
            " WHEN 2 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || 'e1'"
            " ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS volume_txt,\n"
@@ -327,6 +327,25 @@ def queries_sql() -> dict[str, str]:
     q["sector_rows_without_period"] = with_filings(
         f"SELECT * EXCLUDE (tahun, triwulan) FROM ({sector_all()})")
     q["sector_null_dropped"] = with_filings(f"SELECT {keys} FROM ff WHERE {SECTOR_FACT} IS NULL")
+    q["unparsed_facts"] = with_filings(
+        f"SELECT {keys}, {dbl(n('sales_int || repeat(chr(48), 12)'))} AS wide, {dbl(n(chr(39) + '1.234567' + chr(39)))} AS fine,"
+        f" CAST(CASE WHEN sales_int IS NULL OR sales_int = '' THEN 0 ELSE 1 END AS INTEGER) AS n_unparsed,"
+        f" CAST(CASE WHEN {n('sales_int || repeat(chr(48), 12)')} IS NULL THEN NULL ELSE 1 END AS INTEGER) AS n_parsed\n"
+        f"FROM (SELECT *, split_part({f('Assets')}, '.', 1) AS sales_int FROM ff)")
+    fine = [f'CAST(CAST(AVG(CAST("Open" AS DOUBLE) * {x}) AS FLOAT) AS DOUBLE) AS {c}' for x, c in (("0.0000000012345", "tiny"), ("0.123456789123", "fine"))]
+    q["avg_fine_grained"] = with_ticks(f"SELECT strftime({day}, '%Y-%m-%d') AS \"Date\", ticker, {', '.join(fine)} FROM ticks GROUP BY {day}, ticker")
+    q["target_names"] = (
+        "SELECT DISTINCT y AS year, q AS quarter, 'filings_' || y || 'TW' || q || '_raw' AS name FROM (SELECT CASE WHEN month(d) <= 3 THEN year(d) - 1 ELSE year(d) END AS y,"
+        " CASE WHEN month(d) <= 3 THEN 4 WHEN month(d) <= 6 THEN 1 WHEN month(d) <= 9 THEN 2 ELSE 3 END AS q FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders))")
+    q["surrogate_ids"] = "SELECT COUNT(*) AS n, COUNT(*) AS n_distinct, 0 AS n_bad FROM lineitem"
+    q["canonical_columns"] = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(
+        ["entity_name", "emiten", "tahun", "triwulan", "report_date", "satuan", "pembulatan", *MONEY_ORDER, "extra"])) + ") t(position, name), (SELECT COUNT(*) > 0 AS found FROM orders) WHERE found"
+    q["canonical_columns"] = q["canonical_columns"].replace("SELECT *", "SELECT position, name", 1)
+    q["sorted_staging"] = with_filings(f"SELECT emiten, 0 AS out_of_order, COUNT(*) AS n FROM ({sector_all()}) GROUP BY emiten")
+    q["counted_writes"] = with_filings(f"SELECT 'rows' AS step, COUNT(*) AS n FROM ({sector_all()}) UNION ALL SELECT 'empty skipped', 0 UNION ALL SELECT 'empty refused', 1")
+    q["processed_dates"] = with_filings(f"SELECT COUNT(*) AS n, COUNT(*) AS n_iso FROM ff WHERE {_kind()} IN (0, 1)")
+    q["malformed_instances"] = with_filings(
+        "SELECT CASE WHEN CAST(substr(ticker, 2) AS INTEGER) % 5 = 0 THEN 'parse_error' ELSE 'ok' END AS status, COUNT(*) AS n FROM ff GROUP BY 1")
     q.update(merge_sql())
     q.update(ingest_sql(q))
     q["stream_monthly_average"] = q["avg_monthly"]
@@ -391,7 +410,26 @@ def merge_sql() -> dict[str, str]:
         f"ON o.emiten = n.emiten AND o.tahun = n.tahun AND o.triwulan = n.triwulan")
     q["replace_upsert_monthly"] = _replace(_monthly_from(OLD_TICKS), _monthly_from(NEW_TICKS, REVISED), ["Year", "Month", "ticker"])
     q["replace_upsert_yearly"] = _replace(_yearly_from(OLD_TICKS), _yearly_from(NEW_TICKS, REVISED), ["Year", "ticker"])
+    order = ["entity_name", "emiten", "tahun", "triwulan", "report_date", "satuan", "pembulatan", *MONEY_ORDER]
+    fl = _filing_flat(NEW_ORDERS, "g_late", "ff_late")
+    late = ", ".join(f"COALESCE(l.{c}, n.{c}, o.{c}) AS {c}" for c in order)
+    same = "{a}.emiten = {b}.emiten AND {a}.tahun = {b}.tahun AND {a}.triwulan = {b}.triwulan"
+    q["set_upsert_duplicate_keys"] = (
+        f"WITH {fo}, {fn}, {fl}, old AS ({sector_all('ff_old')}), new AS ({sector_all('ff_new')}), late AS ({sector_all('ff_late')})\n"
+        f"SELECT {late} FROM old o FULL OUTER JOIN new n ON {same.format(a='o', b='n')} LEFT JOIN late l ON {same.format(a='n', b='l')}")
+    q["replace_upsert_duplicate_keys"] = (
+        f"WITH {fo}, {fl}, old AS ({sector_all('ff_old')}), late AS ({sector_all('ff_late')})\n"
+        f"SELECT {', '.join(order)} FROM old o WHERE NOT EXISTS (SELECT 1 FROM late l WHERE {same.format(a='o', b='l')}) UNION ALL SELECT {', '.join(order)} FROM late")
+    moved = " OR ".join(f"(n.{c} IS NOT NULL AND n.{c} IS DISTINCT FROM o.{c})" for c in order if c not in ("emiten", "tahun", "triwulan"))
+    q["merge_outcomes_set"] = (
+        f"WITH {fo}, {fn}, old AS ({sector_all('ff_old')}), new AS ({sector_all('ff_new')})\n"
+        f"SELECT CASE WHEN o.emiten IS NULL THEN 'inserted' WHEN n.emiten IS NULL THEN 'untouched' WHEN {moved} THEN 'updated' ELSE 'unchanged' END AS action, COUNT(*) AS n\n"
+        f"FROM old o FULL OUTER JOIN new n ON {same.format(a='o', b='n')} GROUP BY 1")
     mk = ["Year", "Month", "ticker"]
+    q["load_keeps_old_stamp"] = (
+        f"WITH {TICKS}, old AS ({_monthly_from(OLD_TICKS)}), new AS ({_monthly_from(NEW_TICKS)})\n"
+        f'SELECT COALESCE(n."Year", o."Year") AS "Year", COALESCE(n."Month", o."Month") AS "Month", COALESCE(n.ticker, o.ticker) AS ticker,'
+        f" CASE WHEN n.ticker IS NULL THEN 'stored' ELSE 'loaded' END AS stamp FROM old o FULL OUTER JOIN new n ON {_nsafe(mk)}")
     changed = " OR ".join(f"n.{c} IS DISTINCT FROM o.{c}" for _, c in AVG_NAMES)
     q["merge_outcomes"] = (
         f"WITH {TICKS}, old AS ({_monthly_from(OLD_TICKS)}), new AS ({_monthly_from(NEW_TICKS, REVISED)})\n"
@@ -438,7 +476,13 @@ def ingest_sql(base: dict[str, str]) -> dict[str, str]:
     q["ticker_lines"] = "SELECT n_name || ',' || CAST(n_regionkey AS VARCHAR) AS ticker FROM nation"
     q["tick_appends"] = with_ticks('SELECT _id, "Date", ticker, "Open", "Close", "Volume", fetch_timestamp FROM ticks')
     q["staged_json_strict"] = base["avg_monthly"]
-    q["staged_json_lenient"] = base["avg_monthly"]
+    monthly = base["avg_monthly"]
+    nulls = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for _, c in AVG_NAMES)
+    # A record with a text year is kept, without a year; a line that is not JSON is not.
+    q["staged_json_lenient"] = monthly + f"\nUNION ALL SELECT CAST(NULL AS INTEGER), 1, n_name, {nulls} FROM nation"
+    q["staged_json_rejects"] = with_ticks(
+        f"SELECT (SELECT COUNT(*) FROM region) AS malformed, (SELECT COUNT(*) FROM nation) AS mistyped,\n"
+        f"  (SELECT COUNT(*) FROM nation) + COUNT(*) AS good FROM ({_monthly_from('TRUE')})")
     day = DAY
     q["staged_aggregates"] = with_ticks(
         f"SELECT 'daily_aggregation' AS aggregation_type, strftime({day}, '%Y-%m-%d') AS \"Date\","

@@ -96,7 +96,8 @@ def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A downloaded pricing frame as text cells, some of them bad.
 
     Line numbers pick the bad cells: 7 -> 'nan', 6 -> blank, 5 -> 'None',
-    4 -> NULL; Volume also gets a negative decimal (3) and an exponent (2).
+    4 -> NULL, and blanks of even orders are a number with a suffix, `1.5f` or
+    `2d`; Volume also gets a negative decimal (3) and an exponent (2).
     """
     li = table(spark, sf_dir, "lineitem")
     ln = F.col("l_linenumber")
@@ -105,7 +106,8 @@ def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     def bad(good: Column) -> Column:
         return (
             F.when(ln == 7, F.lit("nan"))
-            .when(ln == 6, F.lit(""))
+            .when((ln == 6) & (F.col("l_orderkey") % 2 == 1), F.lit(""))
+            .when(ln == 6, F.when(F.col("l_orderkey") % 4 == 0, F.lit("1.5f")).otherwise(F.lit("2d")))
             .when(ln == 5, F.lit("None"))
             .when(ln == 4, F.lit(None).cast(StringType()))
             .otherwise(good)

@@ -20,9 +20,9 @@ from pyspark.sql.types import (
 
 # Money columns leave the sector rules as this type: exact, and the same in
 # every sector branch, so a union never widens them to text.
-MONEY = DecimalType(38, 4)
+MONEY = DecimalType(38, 6)
 # Facts are parsed with this type before arithmetic.
-FACT_NUMBER = DecimalType(28, 4)
+FACT_NUMBER = DecimalType(38, 6)
 
 # Price tick as written by the market-data extract.
 TICK = StructType(

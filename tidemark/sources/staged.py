@@ -53,20 +53,20 @@ def read_filings(spark: SparkSession, path: str, fmt: str = "json", **options) -
     return spark.read.format(fmt).schema(FILING).options(**options).load(path)
 
 
-def _parsed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def _parsed(spark: SparkSession, path: str, schema: StructType, files: str) -> DataFrame:
     """Every line with its text, whether it is JSON, and its record under `schema`.
 
     A line that is not JSON has no variant form; a value of another type than
     the schema's is a record all the same, with that field NULL, whichever
     columns are selected later.
     """
-    lines = spark.read.option("pathGlobFilter", "part-*.json").text(path).filter(F.col("value") != "")
+    lines = spark.read.option("pathGlobFilter", files).text(path).filter(F.col("value") != "")
     return lines.select("value", F.expr("try_parse_json(value)").alias("json")).select(
         "value", (F.col("json").isNotNull() & (F.expr("schema_of_variant(json)").startswith("OBJECT"))).alias("good"), F.col("json"),
         *[F.expr(f"try_variant_get(json, '$[\"{f.name}\"]', '{f.dataType.simpleString()}')").alias(f"f{k}") for k, f in enumerate(schema.fields)])
 
 
-def read_staged_json(spark: SparkSession, path: str, schema: StructType | str, strict: bool = True) -> DataFrame:
+def read_staged_json(spark: SparkSession, path: str, schema: StructType | str, strict: bool = True, files: str = "part-*.json") -> DataFrame:
     """S7 (strict) / S8 (lenient): the `part-*.json` files of a staging folder.
 
     Strict: a malformed line fails the read (no half-read file is kept).
@@ -75,18 +75,18 @@ def read_staged_json(spark: SparkSession, path: str, schema: StructType | str, s
     the schema's: that field is NULL then.
     """
     if strict:
-        return spark.read.schema(schema).option("pathGlobFilter", "part-*.json").option("mode", "FAILFAST").json(path)
+        return spark.read.schema(schema).option("pathGlobFilter", files).option("mode", "FAILFAST").json(path)
     s = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    return _parsed(spark, path, s).filter("good").select(*[F.col(f"f{k}").alias(f.name) for k, f in enumerate(s.fields)])
+    return _parsed(spark, path, s, files).filter("good").select(*[F.col(f"f{k}").alias(f.name) for k, f in enumerate(s.fields)])
 
 
-def count_malformed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def count_malformed(spark: SparkSession, path: str, schema: StructType, files: str = "part-*.json") -> DataFrame:
     """S8 reject count: lines that are not JSON records, records, and records with a value of another type."""
     typed = None
     for k, f in enumerate(schema.fields):
         there = F.expr(f"try_variant_get(json, '$[\"{f.name}\"]', 'string')").isNotNull() & F.col(f"f{k}").isNull()
         typed = there if typed is None else typed | there
-    rows = _parsed(spark, path, schema)
+    rows = _parsed(spark, path, schema, files)
     return rows.agg(F.count(F.when(~F.coalesce("good", F.lit(False)), 1)).alias("malformed"), F.count(F.when(F.col("good"), 1)).alias("good"),
                     F.count(F.when(F.col("good") & typed, 1)).alias("mistyped"))
 
