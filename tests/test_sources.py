@@ -64,7 +64,7 @@ def test_staged_parquet_missing_and_guard(spark, tmp_path):
 def test_json_sorted_single_file_and_observed_count(spark, tmp_path):
     df = spark.createDataFrame([("B",), ("A",), (None,), ("C",)], "emiten string").repartition(3)
     obs_df, obs = W.counted(df)
-    W.write_json_sorted(obs_df, str(tmp_path / "out"))
+    W.write_json_sorted(obs_df, str(tmp_path / "out"), single_file=True)
     files = sorted((tmp_path / "out").glob("part-*.json"))
     lines = [json.loads(x) for x in files[0].read_text().splitlines()]
     assert len(files) == 1 and [x.get("emiten") for x in lines] == [None, "A", "B", "C"]

@@ -41,11 +41,6 @@ def period_suffix(year: str | int, quarter: int) -> str:
     return f"{year}TW{quarter}"
 
 
-def quarter_label(quarter: Column | str) -> Column:
-    """`TW{q}` from a quarter number."""
-    return F.concat(F.lit("TW"), _c(quarter).cast("string"))
-
-
 def iso_to_date(x: Column | str) -> Column:
     """ISO text -> date; bad text gives NULL under any ANSI setting.
 

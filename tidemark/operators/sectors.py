@@ -174,7 +174,7 @@ def _getter(filings: DataFrame, blank_as_missing: bool = False):
     if not blank_as_missing:
         return get
     # Q2 option: a blank fact counts as absent instead of "present, not a number".
-    return lambda key: F.when(F.trim(get(key)) == F.lit(""), F.lit(None).cast("string")).otherwise(get(key))
+    return lambda key: F.when(X.strip(get(key)) == F.lit(""), F.lit(None).cast("string")).otherwise(get(key))
 
 
 def rule_keys() -> list[str]:
@@ -294,8 +294,3 @@ def sector_rows_union(filings: DataFrame, with_period: bool = True, blank_as_mis
 def dropped_null_sector(filings: DataFrame) -> DataFrame:
     """Q4: the filings every branch drops, for counting."""
     return filings.filter(sector_of(filings).isNull())
-
-
-def sort_for_sink(rows: DataFrame) -> DataFrame:
-    """O1: global order by `emiten` ascending (range shuffle; only at a sink)."""
-    return rows.orderBy(F.col("emiten").asc_nulls_first())
