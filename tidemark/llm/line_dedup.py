@@ -10,7 +10,7 @@ characters or more are linked when their edit distance is `DISTANCE` (d) or less
 * a line probes the index for lines of its own length and up to d shorter, with
   the substrings at which such a segment can start (multi-match-aware: i edits
   at most shift segment i, and the rest of the edits the tail behind it);
-* pairs that meet are dropped if the counts of seven letters differ by more than
+* pairs that meet are dropped if the counts of their letters differ by more than
   d edits can explain, and verified by a banded bit-parallel edit distance: per
   column, the 2 d + 1 cells around the diagonal are a few bits of one integer.
 
@@ -38,8 +38,8 @@ from tidemark.llm.common import SPACES, possibly_in, staged, text_of
 
 DISTANCE = 2
 MIN_CHARS = 30
-#: Seven frequent letters of Latin scripts; any would be right, frequent ones tell more.
-LETTERS = "eantrsi"
+#: Frequent letters of Latin scripts, nine to an integer; any would be right, frequent ones tell more.
+LETTERS = ("eantrsiol", "hdcumpbgf")
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -50,39 +50,44 @@ def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def letter_counts() -> Column:
-    """Seven counts, each modulo 128, in one integer."""
+def letter_counts(letters: str) -> Column:
+    """Nine counts, each modulo 128, in one integer."""
     packed = F.lit(0).cast("long")
-    for k, c in enumerate(LETTERS):
+    for k, c in enumerate(letters):
         packed = packed + F.shiftleft((F.length("line") - F.length(F.replace("line", F.lit(c)))).cast("long") % 128, 7 * k)
     return packed
 
 
 def _letters_apart(a: str, b: str) -> str:
-    """SQL: a lower bound of twice the edits that explain the counts."""
+    """SQL: the sum of the differences of the counts; an edit changes it by two at most."""
     each = []
-    for k in range(len(LETTERS)):
+    for k in range(len(LETTERS[0])):
         gap = f"abs((shiftright({a}, {7 * k}) & 127) - (shiftright({b}, {7 * k}) & 127))"
         each.append(f"least({gap}, 128 - {gap})")
     return " + ".join(each)
 
 
-def segment_keys(d: int) -> Column:
-    """Index rows (whole: true) and further probes of a line, as an array of (key, whole)."""
-    def start(n: str, i: int) -> str:
-        return f"({i} * (({n}) div {d + 1}) + greatest(0, {i} - ({d + 1} - ({n}) % {d + 1})))"
+def probes(d: int) -> list[tuple[int, int, int, bool]]:
+    """(how much shorter the other line is, segment, shift of its start, whether it is the line's own segment)."""
+    return [
+        (delta, i, shift, delta == 0 and shift == 0)
+        for delta in range(d + 1) for i in range(d + 1)
+        for shift in range(max(-i, delta - (d - i)), min(i, delta + (d - i)) + 1)
+    ]
 
-    rows = []
-    for delta in range(d + 1):
-        size = f"n - {delta}"
-        for i in range(d + 1):
-            length = f"(({size}) div {d + 1} + CASE WHEN {i} >= {d + 1} - ({size}) % {d + 1} THEN 1 ELSE 0 END)"
-            low, high = max(-i, delta - (d - i)), min(i, delta + (d - i))
-            for shift in range(low, high + 1):
-                at = f"({start(size, i)} + {shift})"
-                whole = "true" if delta == 0 and shift == 0 else "false"
-                rows.append(f"named_struct('key', xxhash64({size}, {i}, substring(line, {at} + 1, {length})), 'whole', {whole})")
-    return F.expr(f"array({', '.join(rows)})")
+
+def segment_keys(texts: DataFrame, d: int) -> DataFrame:
+    """(key, h, f, g, whole): index rows (whole) and further probes of every line (h, line, n).
+
+    The letters are counted once a line, below the explode; the key is a short
+    expression above it, which compiles well.
+    """
+    spec = F.array(*[F.struct(*[F.lit(x).alias(c) for c, x in zip(("delta", "i", "shift", "whole"), p, strict=True)]) for p in probes(d)])
+    counted = texts.select("h", "line", "n", letter_counts(LETTERS[0]).alias("f"), letter_counts(LETTERS[1]).alias("g"))
+    each = counted.select("h", "line", "n", "f", "g", F.explode(spec).alias("p")).select("h", "line", "f", "g", "p.i", "p.shift", "p.whole", F.expr("n - p.delta").alias("m"))
+    start = f"i * (m div {d + 1}) + greatest(0, i - ({d + 1} - m % {d + 1})) + shift"
+    size = f"m div {d + 1} + CASE WHEN i >= {d + 1} - m % {d + 1} THEN 1 ELSE 0 END"
+    return each.select(F.expr(f"xxhash64(m, i, substring(line, CAST({start} + 1 AS INT), CAST({size} AS INT)))").alias("key"), "h", "f", "g", "whole")
 
 
 def edit_distance(a: str, b: str, d: int) -> Column:
@@ -113,10 +118,10 @@ def linked_classes(texts: DataFrame, repeated: DataFrame, d: int) -> DataFrame:
     # Lines of repeated classes are taken once; all others are single and need no shuffle.
     some = possibly_in(texts, "h", repeated, "h").dropDuplicates(["h"]).select(once)
     single = possibly_in(texts, "h", repeated, "h", keep=False).select(once)
-    keyed = staged(single.unionByName(some).select("h", letter_counts().alias("f"), F.explode(segment_keys(d)).alias("k")).select("k.key", "h", "f", "k.whole"), "line-keys")
-    index = keyed.where("whole").select("key", F.col("h").alias("a"), F.col("f").alias("fa"))
-    probe = keyed.select("key", F.col("h").alias("b"), F.col("f").alias("fb"), "whole")
-    near = F.expr(f"(a < b OR (a > b AND NOT whole)) AND {_letters_apart('fa', 'fb')} <= {2 * d}")
+    keyed = staged(segment_keys(single.unionByName(some), d), "line-keys")
+    index = keyed.where("whole").select("key", F.col("h").alias("a"), F.col("f").alias("fa"), F.col("g").alias("ga"))
+    probe = keyed.select("key", F.col("h").alias("b"), F.col("f").alias("fb"), F.col("g").alias("gb"), "whole")
+    near = F.expr(f"(a < b OR (a > b AND NOT whole)) AND {_letters_apart('fa', 'fb')} + {_letters_apart('ga', 'gb')} <= {2 * d}")
     pairs = staged(index.join(probe, "key").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
     involved = pairs.select(F.explode(F.array("a", "b")).alias("x")).distinct()
     known = staged(possibly_in(texts, "h", involved, "x").join(involved, F.col("h") == F.col("x"), "left_semi").dropDuplicates(["h"]).select("h", "line", "n"), "line-texts")
