@@ -293,8 +293,8 @@ def full_sets(docs: DataFrame, classes: DataFrame, involved: DataFrame, size: in
     wanted = staged(classes.join(involved, classes["h"] == involved["x"]).select("h", F.col("id").alias("wanted")), "near-wanted")
     texts = possibly_in(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), "id", wanted.where("wanted IS NOT NULL"), "wanted")
     texts = texts.join(wanted.where("wanted IS NOT NULL").select("wanted").distinct(), F.col("id") == F.col("wanted")).select("text")
-    nameless = wanted.where("wanted IS NULL").limit(1)
-    texts = texts.unionByName(docs.where(F.col(id_col).isNull()).select(F.col(text_col).cast("string").alias("text")).join(F.broadcast(nameless.select(F.lit(1).alias("one")))).drop("one"))
+    if not wanted.where("wanted IS NULL").isEmpty():  # classes of which no row has an id
+        texts = texts.unionByName(docs.where(F.col(id_col).isNull()).select(F.col(text_col).cast("string").alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
