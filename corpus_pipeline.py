@@ -9,9 +9,9 @@ shared checkpoint folder and read again, so that a lost executor repeats one
 stage at most.
 
 Empty texts, and tables without rows, go through every stage: an empty text is
-not toxic, has no lines, is nobody's duplicate, is never taken by the mix (it has
-no words of which its source could need more, but is repeated as its source is)
-and packs to its end token.
+not toxic, has no lines, is nobody's duplicate, is repeated by the mix as its
+place in its source's order says, and packs to its end token. A NULL text counts
+as empty, a NULL source is a source of its own; other columns are carried along.
 """
 
 from __future__ import annotations
