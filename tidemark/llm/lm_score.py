@@ -282,7 +282,19 @@ def train(docs: DataFrame, table: Table, text_col: str, id_col: str, rounds: int
 
 
 def frequent(counts: DataFrame, size: int = TABLE) -> Table:
-    top = counts.where("c > 1").orderBy(F.col("c").desc(), "word").limit(size).collect()  # `size` rows at most
+    """The words above the lowest count, in steps of a sixteenth of an octave, that leaves `size` of them at most.
+
+    The steps' histogram has some hundred rows, so the driver gets `size` words
+    and no more, whatever the number of partitions.
+    """
+    step = F.floor(F.log2("c") * 16)
+    steps = counts.where("c > 1").groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.min("c").alias("c")).orderBy(F.col("step").desc()).collect()
+    least, held = None, 0
+    for r in steps:
+        if held + r["n"] > size:
+            break
+        least, held = r["c"], held + r["n"]
+    top = sorted(counts.where(F.col("c") >= least).collect(), key=lambda r: (-r["c"], bytes(r["word"]))) if held else []
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count(F.when(F.col("c") == 1, 1)).alias("n1"), F.count(F.when(F.col("c") == 2, 1)).alias("n2")).first()
     c = np.array([r["c"] for r in top], np.float64)
     total = int(sums["n"] or 0)
