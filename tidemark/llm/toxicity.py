@@ -100,21 +100,23 @@ def sentence_features(sentence: str) -> list[int]:
     return sorted(b for w in set(_words(sentence)) for b in buckets(w))
 
 
-def telling(ids: np.ndarray, doc: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Features that occur in toxic documents too often for chance.
+def telling(ids: np.ndarray, ends: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Features that occur in toxic documents too often for chance. `ends` says where each document's ids end.
 
     The bar is a likelihood ratio above what one in as many features as there are
     would reach by chance; features whose documents are mostly clean never do.
     A small sample may have none, and then nothing is called toxic.
     """
-    pairs = np.unique(doc.astype(np.int64) * BUCKETS + ids)
-    inside, feature = y[pairs // BUCKETS], pairs % BUCKETS
-    bad, all_ = np.bincount(feature, inside, BUCKETS), np.bincount(feature, minlength=BUCKETS)
+    bad, all_ = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for start, end, toxic in zip(np.append(0, ends[:-1]), ends, y, strict=True):
+        once = np.unique(ids[start:end])
+        all_[once] += 1
+        bad[once] += toxic
     rate = y.mean()
     with np.errstate(divide="ignore", invalid="ignore"):
         part = bad / all_
         ratio = 2 * (bad * np.log(part / rate) + np.where(bad < all_, (all_ - bad) * np.log((1 - part) / (1 - rate)), 0.0))
-    return np.flatnonzero((all_ > 0) & (part > max(rate, 0.5)) & (ratio > 2 * np.log((all_ > 0).sum()) + 4))
+        return np.flatnonzero((all_ > 0) & (part > max(rate, 0.5)) & (ratio > 2 * np.log((all_ > 0).sum()) + 4))
 
 
 def train_noisy_or(ids: np.ndarray, sizes: np.ndarray, n_sentences: np.ndarray, y: np.ndarray, rounds: int = 600) -> Model:
@@ -122,20 +124,22 @@ def train_noisy_or(ids: np.ndarray, sizes: np.ndarray, n_sentences: np.ndarray,
 
     `ids` has the features of all sentences one after the other, `sizes` their
     number by sentence, `n_sentences` the sentences by document. The number of
-    rounds bounds the weights of separable data. The bias is set so that plain sentences give the longest text of the sample a
-    score of `PLAIN`: no text is toxic by its length alone.
+    rounds bounds the weights of separable data. The bias is set so that plain
+    sentences give the longest text of the sample a score of `PLAIN`: no text is
+    toxic by its length alone.
     """
     if not len(y) or not y.any():
         return Model(-30.0, {})
-    doc = np.repeat(np.arange(len(y)), n_sentences)
-    sentence = np.repeat(np.arange(len(sizes)), sizes)
-    used = telling(ids, doc[sentence], y) if not y.all() else np.unique(ids)
+    # Most features tell nothing; only places of those that do become arrays.
+    ends = np.cumsum(sizes, dtype=np.int64)
+    used = telling(ids, np.append(0, ends)[np.cumsum(n_sentences)], y) if not y.all() else np.unique(ids)
     if not len(used):
         return Model(-30.0, {})
-    place = np.full(BUCKETS, -1)
+    place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
-    at = place[ids]
-    sentence, at = sentence[at >= 0], at[at >= 0]
+    where = np.flatnonzero(place[ids] >= 0)
+    at, sentence = place[ids[where]], np.searchsorted(ends, where, side="right")
+    doc = np.repeat(np.arange(len(y)), n_sentences)
     # Plain sentences, which have no telling feature, count as a constant.
     some, sentence = np.unique(sentence, return_inverse=True)
     doc = doc[some]
@@ -167,8 +171,10 @@ def fit(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", text_
     rows = sample.mapInArrow(to_ids, "id string, y int, ids binary, sizes binary").toArrow().sort_by("id")
     if not len(rows):
         return train_noisy_or(*[np.zeros(0, np.int64)] * 4)
-    sizes = rows.column("sizes").to_pylist()
-    return train_noisy_or(np.frombuffer(b"".join(rows.column("ids").to_pylist()), "<i4"), np.frombuffer(b"".join(sizes), "<i4"), np.array([len(x) // 4 for x in sizes]), rows.column("y").to_numpy().astype(int))
+    sizes, y = rows.column("sizes").to_pylist(), rows.column("y").to_numpy().astype(int)
+    ids = np.frombuffer(b"".join(x.as_py() for x in rows.column("ids")), "<i4")
+    del rows
+    return train_noisy_or(ids, np.frombuffer(b"".join(sizes), "<i4"), np.array([len(x) // 4 for x in sizes]), y)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
