@@ -69,6 +69,23 @@ def test_noisy_or():
     assert np.argmax(p(text)) == 1
 
 
+def test_length_alone_is_not_toxic(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    s = X.fit(docs, labels, F.lit(True)).scorer()
+    plain = "all fine here.\n"
+    assert s.score(plain * 70_000) == s.score(plain) == s.score("") == 0
+    rows = docs.join(labels, "doc_id").select("doc_id", "text", "toxic").orderBy("doc_id").collect()
+    scored = [(r["text"], r["toxic"], s.score(r["text"])) for r in rows if r["text"]]
+    clean = [t for t, toxic, p in scored if not toxic and p < 0.3]
+    whole = "\n".join(clean)
+    million = whole[: whole.rindex("\n", 0, 1_100_000)]
+    assert len(million) > 1_000_000 and s.score(million) < 0.1
+    toxic = [t for t, toxic, p in scored if toxic and p >= 0.3 and len(t) < 2000][:40]
+    found = [s.score(f"{million}\n{t}") >= 0.3 for t in toxic]
+    assert len(found) == 40 and sum(found) >= 38
+
+
 def test_vote_is_exact():
     rng = np.random.default_rng(0)
     counts, y = rng.random((300, K.TERMS)).astype(np.float32), (rng.random(300) < 0.5).astype(int)

@@ -2,7 +2,9 @@
 
 A document is a bag of sentences. A sentence scores sigmoid(bias + weights of
 its distinct words), where a word weighs the sum of its hashed features: the
-word, its first four and five letters and its last four. A document is toxic if any sentence is, which
+word, its first four and five letters and its last four. A sentence whose words
+do not add up to more than nothing scores 0, however many there are: length
+alone makes no text toxic. A document is toxic if any sentence is, which
 noisy-or expresses: 1 - prod(1 - p). Labels exist for documents only; the
 gradient of the noisy-or gives each sentence its part of the blame, so the
 trained sentence scores also locate the offending sentences (`locate`).
@@ -15,9 +17,9 @@ problem. Only the weights that are not zero are sent back, at most `BUCKETS`.
 Scale: scoring is one narrow pass over the whole texts, no shuffle. The labels'
 sample is broadcast (at most `FIT_DOCS` ids), so no text moves for the fit.
 
-Cases: NULL and empty texts are one empty sentence and score the sentence prior;
-documents without label are scored like any other; several labels of one id
-count as the highest; without usable labels the prior is 0; an empty table gives
+Cases: NULL and empty texts are one empty sentence and score 0, as any text does
+that has no telling word; documents without label are scored like any other; several labels of one id
+count as the highest; without usable labels every score is 0; an empty table gives
 an empty result; other columns are not looked at.
 """
 
@@ -59,6 +61,7 @@ def sentences(text: str | None) -> list[str]:
 class Model:
     bias: float
     weights: dict[int, float]
+    longest: float = np.inf  # sentences of the longest text of the fit
 
     def scorer(self) -> Scorer:
         return Scorer(self)
@@ -78,12 +81,21 @@ class Scorer(dict):
         return w
 
     def logits(self, text: str | None) -> np.ndarray:
-        get, bias = self.__getitem__, self.model.bias
-        return np.array([bias + sum(map(get, set(_words(s)))) for s in sentences(text)])
+        """By sentence; minus infinity where the words weigh nothing or less."""
+        get = self.__getitem__
+        w = np.array([sum(map(get, set(_words(s)))) for s in sentences(text)], float)
+        return np.where(w > 0, self.model.bias + w, -np.inf)
 
     def score(self, text: str | None) -> float:
-        """Noisy-or over the sentences: 1 - exp(-sum of softplus)."""
-        return float(-np.expm1(-np.logaddexp(0.0, self.logits(text)).sum()))
+        """Noisy-or over the sentences: 1 - exp(-sum of softplus).
+
+        Words that tell little turn up by chance, the more the longer a text is.
+        In texts longer than those of the fit a sentence therefore adds to others
+        by its share of the text; by itself it counts in full at any length.
+        """
+        z = self.logits(text)
+        over = np.log(max(1.0, len(z) / self.model.longest))
+        return float(-np.expm1(-max(np.logaddexp(0.0, z - over).sum(), np.logaddexp(0.0, z.max()))))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, train, fit_docs: int, fit_chars: int, id_col: str, text_col: str) -> DataFrame:
@@ -124,9 +136,10 @@ def train_noisy_or(ids: np.ndarray, sizes: np.ndarray, n_sentences: np.ndarray,
 
     `ids` has the features of all sentences one after the other, `sizes` their
     number by sentence, `n_sentences` the sentences by document. The number of
-    rounds bounds the weights of separable data. The bias is set so that plain
-    sentences give the longest text of the sample a score of `PLAIN`: no text is
-    toxic by its length alone.
+    rounds bounds the weights of separable data. The bias is where telling
+    sentences start from: as many as the longest text of the sample has, with
+    next to no weight, would score `PLAIN`. Sentences without telling features
+    count neither here nor in `Scorer`.
     """
     if not len(y) or not y.any():
         return Model(-30.0, {})
@@ -140,21 +153,19 @@ def train_noisy_or(ids: np.ndarray, sizes: np.ndarray, n_sentences: np.ndarray,
     where = np.flatnonzero(place[ids] >= 0)
     at, sentence = place[ids[where]], np.searchsorted(ends, where, side="right")
     doc = np.repeat(np.arange(len(y)), n_sentences)
-    # Plain sentences, which have no telling feature, count as a constant.
     some, sentence = np.unique(sentence, return_inverse=True)
     doc = doc[some]
     bias = float(np.log(PLAIN / n_sentences.max()))
-    plain = (n_sentences - np.bincount(doc, minlength=len(y))) * np.logaddexp(0.0, bias)
     w, mean, square = np.zeros(len(used)), np.zeros(len(used)), np.zeros(len(used))
     for step in range(1, rounds + 1):
         z = bias + np.bincount(sentence, w[at], len(some))
-        total = plain + np.bincount(doc, np.logaddexp(0.0, z), len(y))
+        total = np.bincount(doc, np.logaddexp(0.0, z), len(y))
         blame = np.where(y == 1, -1.0 / np.expm1(np.clip(total, 1e-9, 500)), 1.0) / len(y)
         g = blame[doc] / (1.0 + np.exp(-z))
         gw = np.bincount(at, g[sentence], len(used))
         mean, square = 0.9 * mean + 0.1 * gw, 0.999 * square + 0.001 * gw * gw
         w -= 0.05 * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-9)
-    return Model(bias, dict(zip(used.tolist(), w.tolist(), strict=True)))
+    return Model(bias, dict(zip(used.tolist(), w.tolist(), strict=True)), float(n_sentences.max()))
 
 
 def fit(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS) -> Model:
