@@ -33,7 +33,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.drop_lines(docs, line_dedup.line_classes(docs))
+    out = line_dedup.drop_repeated(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns) if "n_chars" in docs.columns else out
 
 

@@ -59,6 +59,21 @@ def test_one_of_each_group_stays(inputs):
     assert sorted(r["doc_id"] for r in inputs[3].collect()) == [i for i, _, _, kept in brute_groups(rows, 80, 5) if kept]
 
 
+def test_rows_without_an_id_of_their_own(spark, sf):
+    """Copies whose ids are missing or repeat: one row stays, in either stage."""
+    body = " ".join(f"word{k}" for k in range(60))
+    near, alone = body + " end", " ".join(f"other{k}" for k in range(60))
+    rows = [(None, body), (None, body), (None, near), (None, alone), (7, alone), (7, alone), (8, "x y z"), (8, "x y z"), (9, None), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = [(None, 1), (7, 1), (8, 1), (9, 2)]
+    kept = Counter(r["doc_id"] for r in P.drop_near_duplicates(spark, df, sf).collect())
+    assert sorted(kept.items(), key=str) == sorted(want, key=str)
+    left = P.drop_repeated_lines(spark, df.where("coalesce(doc_id, 0) < 8"), sf)
+    assert left.columns == df.columns
+    # The lines of `body` and `near` differ by more than the distance.
+    assert sorted(r["text"] for r in left.collect()) == sorted([body, near, alone])
+
+
 def test_sources_are_mixed(inputs):
     size = lambda r: len((r["text"] or "").encode().split())
     before, after, largest = Counter(), Counter(), Counter()

@@ -32,6 +32,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROW = "row__"
+
+
+def numbered(df: DataFrame, label: str) -> DataFrame:
+    """The rows with a number of their own (`ROW`), fixed by writing them: ids may be missing or repeat."""
+    return staged(df.withColumn(ROW, F.monotonically_increasing_id()), label)
+
+
 def remainder(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; a NULL id counts as empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

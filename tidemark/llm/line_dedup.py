@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, possibly_in, staged, text_of
+from tidemark.llm.common import ROW, SPACES, numbered, possibly_in, staged, text_of
 
 DISTANCE = 2
 MIN_CHARS = 30
@@ -158,6 +158,14 @@ def drop_lines(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text
     return changed.where(F.col("gone").isNull() | (F.btrim(F.col(text_col), F.lit(SPACES)) != "")).select(docs.columns)
 
 
+def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without lines that occurred before, by id and, where ids are missing or repeat, by row."""
+    rows = numbered(docs, "line-rows")
+    keyed = rows.select(F.struct(F.col(id_col).alias("id"), F.col(ROW).alias("r")).alias("place"), text_col)
+    classes = line_classes(keyed, id_col="place", text_col=text_col).select(F.col("place.r").alias(ROW), "line_no", "h", "kept")
+    return drop_lines(rows, classes, ROW, text_col).select(docs.columns)
+
+
 _TRIM = "trim(x.raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 SQL = f"""
 WITH pieces AS (

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, chunks, components, possibly_in, prepare, staged, words
+from tidemark.llm.common import ROW, WORD, chunks, components, numbered, possibly_in, prepare, staged, words
 
 SHINGLE = 3
 PERCENT = 85
@@ -277,15 +277,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
 def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns as they are, without those that are a near duplicate of one that stays.
 
-    Rows that repeat both id and text are one document and go or stay together.
+    Of each group the row with the smallest id stays, and one only: rows are told
+    apart by a number of their own, which breaks ties. A row without id stays only
+    in a group that has no id at all.
     """
-    gone = staged(near_duplicates(docs, percent, shingle, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("gone_id"), "text_hash").distinct(), "near-gone")
-    marked = docs.withColumn("key__", F.coalesce(F.col(id_col).cast("string"), F.lit("-")))
-    names = gone.select(F.coalesce(F.col("gone_id").cast("string"), F.lit("-")).alias("name"))
-    maybe = possibly_in(marked, "key__", names, "name")
-    rest = possibly_in(marked, "key__", names, "name", keep=False)
-    left = maybe.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")) & (F.xxhash64(text_col) == F.col("text_hash")), "left_anti")
-    return rest.unionByName(left).select(docs.columns)
+    rows = numbered(docs, "near-rows")
+    found = near_duplicates(rows, percent, shingle, ROW, text_col).select(F.col(ROW).alias("r"), F.col("component_id").alias("c"))
+    places = staged(rows.select(ROW, F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), F.col(ROW).alias("r")).alias("place")).join(found, F.col(ROW) == F.col("r")).select("c", "place"), "near-places")
+    stays = places.groupBy("c").agg(F.min("place").alias("place"), F.count("*").alias("n")).where("n > 1").select(F.col("c").alias("group"), F.col("place.r").alias("stays"))
+    gone = staged(places.join(stays, F.col("c") == F.col("group")).where("place.r != stays").select(F.col("place.r").alias("r")), "near-gone")
+    maybe = possibly_in(rows, ROW, gone, "r").join(gone, F.col(ROW) == F.col("r"), "left_anti")
+    return possibly_in(rows, ROW, gone, "r", keep=False).unionByName(maybe).select(docs.columns)
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, involved: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
