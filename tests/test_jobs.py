@@ -96,6 +96,29 @@ def test_archives_are_ingested(spark, sf, tmp_path):
     assert rows["rows"] + rows["null_sector"] == 3
 
 
+def test_whole_documents_are_stored(spark, sf, tmp_path):
+    """Facts that no rule reads are stored too, and a change of one is an update."""
+    import io
+    import zipfile
+
+    def ingest(xml):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as zf:
+            zf.writestr("instance.xbrl", xml)
+        rows = spark.createDataFrame([("T", "2024", "TW1", bytearray(buffer.getvalue()))], "ticker string, tahun string, triwulan string, content binary")
+        return J.ingest_archives(rows, f"{tmp_path}/filings")
+
+    xml = V.instance_xml(V.filings(spark, sf)).limit(1).first().xbrl
+    end = xml.rindex("</")
+    other = lambda v: xml[:end] + f'<SomeOtherFact contextRef="CurrentYearInstant">{v}</SomeOtherFact>' + xml[end:]
+    assert ingest(other("1")) == {"inserted": 1, "status_ok": 1}
+    assert ingest(other("1")) == {"unchanged": 1, "status_ok": 1}
+    assert ingest(other("2")) == {"updated": 1, "status_ok": 1}
+    row = spark.read.parquet(f"{tmp_path}/filings").first()
+    assert row.file_info.instance_filename == "instance.xbrl" and row.processed_date and row.rule_facts
+    assert [v.value for k, v in row.facts.items() if "SomeOtherFact" in k] == ["2"]
+
+
 def test_prices_are_ingested_and_the_older_load(spark, sf, tmp_path):
     frame = V.raw_ticks(spark, sf)
     assert J.ingest_prices(spark, frame, f"{tmp_path}/ticks") == {"appended": frame.count()}

@@ -105,14 +105,23 @@ def ingest_filings(spark: SparkSession, archives_path: str, filings_path: str, s
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(f"{archives_path.rstrip('/')}/{where}")
     parts = F.split(F.col("path"), "/")
     named = files.select(F.element_at(parts, -2).alias("ticker"), F.element_at(parts, -4).alias("tahun"), F.element_at(parts, -3).alias("triwulan"), "content")
+    return ingest_archives(named, filings_path, status_path)
+
+
+def ingest_archives(named: DataFrame, filings_path: str, status_path: str | None = None) -> dict:
+    """The same for archives in hand: ticker, tahun, triwulan, content.
+
+    The whole document is stored, its facts and file info beside the promoted
+    columns. When it was processed does not make a document another one.
+    """
     members = XB.archive_members(named).withColumnRenamed("status", "archive_status").withColumnRenamed("error", "archive_error")
     parsed = _staged(XB.parse_facts(members.drop("member")), "parsed")
     status = parsed.select(*FILING_KEYS, F.when(F.col("archive_status") == "ok", F.col("status")).otherwise(F.col("archive_status")).alias("status"), F.coalesce("archive_error", "error").alias("error"))
     if status_path:
         status.write.mode("append").parquet(status_path)
     documents = XB.filing_documents(parsed.withColumn("quarter", F.expr("substring(triwulan, 3)")), quarter="quarter")
-    promoted = S.promote_rule_facts(documents).drop("facts", "file_info", "processed_date")
-    out = merge_into(promoted, filings_path, promoted.schema, FILING_KEYS, PERIOD, "replace")
+    promoted = S.promote_rule_facts(documents)
+    out = merge_into(promoted, filings_path, promoted.schema, FILING_KEYS, PERIOD, "replace", ignore=("processed_date",))
     return {**out, **{f"status_{r['status']}": r["count"] for r in status.groupBy("status").count().collect()}}
 
 

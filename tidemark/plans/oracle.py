@@ -504,6 +504,7 @@ def ingest_sql(base: dict[str, str]) -> dict[str, str]:
     q["xbrl_facts"] = with_filings(f"SELECT ticker, tahun, triwulan, key, {split}, value FROM {_unpivot()}")
     q["xbrl_last_wins"] = with_filings(f"SELECT ticker, tahun, triwulan, key, value FROM {_unpivot()}")
     count_present = " + ".join(f'(CASE WHEN "{k}" IS NOT NULL THEN 1 ELSE 0 END)' for k in S.rule_keys())
+    q["filing_ingest"] = with_filings(f"SELECT ticker, tahun, triwulan, key, value FROM {_unpivot()} WHERE {_kind()} IN (0, 1)")
     q["filing_documents"] = with_filings(
         f"SELECT ticker, tahun, triwulan, CAST({count_present} AS INTEGER) AS n_facts,"
         f" 'instance.xbrl' AS instance_filename, {SECTOR_FACT} AS sector,"
