@@ -86,6 +86,16 @@ def test_length_alone_is_not_toxic(spark):
     assert len(found) == 40 and sum(found) >= 38
 
 
+def test_whole_of_long_words_counts():
+    start, shapes = "日本語、" * 20, K.Shapes()
+    one, other = K.term_counts(start + "日本語。" * 500, shapes), K.term_counts(start + "A1$b;" * 500, shapes)
+    assert not np.array_equal(one, other)
+    assert (one[:K.SHAPES] ** 2).sum() == pytest.approx(1) and not any(len(w) > K.SHORT for w in shapes)
+    late = K.term_counts(start + "日本語、" * 500 + "x9?" * 40, shapes)
+    assert not np.array_equal(late, K.term_counts(start + "日本語、" * 530, shapes))
+    assert K.shape("Hello,") == "Ul," and shapes["Hello,"] == shapes["World,"] and len(shapes["Hello,"]) == 1
+
+
 def test_vote_is_exact():
     rng = np.random.default_rng(0)
     counts, y = rng.random((300, K.TERMS)).astype(np.float32), (rng.random(300) < 0.5).astype(int)

@@ -2,7 +2,7 @@
 
 A document's terms are what its writing looks like rather than what it says:
 the shapes of its words (runs of capitals, letters, digits and each mark, as in
-`Ul.` or `l$`), how often a word repeats the one before, how many words are
+`Ul.` or `l$`, longer ones in pieces of `PIECE`), how often a word repeats the one before, how many words are
 distinct, and its length. Term counts are dampened and weighed by rarity, then
 projected on the leading singular directions of a labelled sample. Each document
 takes exact cosines with all labelled vectors, in blocks, and its `NEIGHBOURS`
@@ -29,6 +29,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ FIT_DOCS = 4000
 FIT_CHARS = 20_000
 THRESHOLD = 0.3
 REMEMBERED = 400_000
+PIECE, SHORT = 12, 64
 
 _runs = [(re.compile(r"[0-9]+"), "0"), (re.compile(r"[^\W\d_]+"), None), (re.compile(r"(\W|_)\1+"), r"\1")]
 
@@ -53,17 +55,19 @@ _runs = [(re.compile(r"[0-9]+"), "0"), (re.compile(r"[^\W\d_]+"), None), (re.com
 def shape(word: str) -> str:
     """Runs of letters as U (capitals), l (small) or Ul (capitalised), digits as 0, marks as they are."""
     kind = lambda m: "U" if (s := m[0]).isupper() and len(s) > 1 else "l" if s.islower() else "Ul" if s[:1].isupper() and s[1:].islower() or len(s) == 1 else "lU"
-    out = _runs[2][0].sub(r"\1", _runs[0][0].sub("0", _runs[1][0].sub(kind, word)))
-    return out[:12]
+    return _runs[2][0].sub(r"\1", _runs[0][0].sub("0", _runs[1][0].sub(kind, word)))
 
 
 class Shapes(dict):
-    """Word -> shape's term, remembered up to a bound."""
+    """Word -> terms of its shape's pieces; short words are remembered, up to a bound."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str) -> list[int]:
         if len(self) >= REMEMBERED:
             self.clear()
-        t = self[word] = zlib.crc32(shape(word[:64]).encode("utf-8", "surrogatepass")) % SHAPES
+        s = shape(word)
+        t = [zlib.crc32(s[k:k + PIECE].encode("utf-8", "surrogatepass")) % SHAPES for k in range(0, len(s), PIECE)]
+        if len(word) <= SHORT:
+            self[word] = t
         return t
 
 
@@ -76,7 +80,8 @@ def term_counts(text: str | None, shapes: Shapes) -> np.ndarray:
     words = _split(text or "")
     n = len(words)
     if n:
-        v[:SHAPES] = np.sqrt(np.bincount(np.fromiter(map(shapes.__getitem__, words), np.int64, n), minlength=SHAPES) / n)
+        pieces = np.fromiter(chain.from_iterable(map(shapes.__getitem__, words)), np.int64)
+        v[:SHAPES] = np.sqrt(np.bincount(pieces, minlength=SHAPES) / len(pieces))
         again = sum(map(operator.eq, words, words[1:])) / n
         v[SHAPES] = 2 * np.sqrt(again)
         v[SHAPES + 1 + min(9, int(10 * len(set(words)) / n))] = 0.3
