@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path, ship_package
@@ -40,6 +40,26 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
     return staged(df.withColumn(ROW, F.monotonically_increasing_id()), label)
 
 
+def positioned(df: DataFrame, order: list[Column], label: str) -> DataFrame:
+    """The rows sorted by `order`, written, with `position`: their place from 0, without gaps.
+
+    Sorted in ranges, each numbered by itself; only the sizes of the ranges (one
+    number each) are added up in one place.
+    """
+    return placed(df.repartitionByRange(*order).sortWithinPartitions(*order), label)
+
+
+def placed(df: DataFrame, label: str) -> DataFrame:
+    """The rows as they come, written, with `position`: their place from 0, without gaps."""
+    rows = numbered(df, label)
+    part = F.shiftright(F.col(ROW), 33)
+    sizes = rows.groupBy(part.alias("p__")).agg(F.count("*").alias("n__"))
+    before = F.sum("n__").over(Window.orderBy("p__").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("p__", F.coalesce(before, F.lit(0)).alias("start__"))
+    out = rows.withColumn("p__", part).join(F.broadcast(starts), "p__")
+    return out.withColumn("position", F.col("start__") + F.col(ROW).bitwiseAND((1 << 33) - 1)).drop("p__", "start__", ROW)
+
+
 def remainder(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; a NULL id counts as empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
