@@ -60,6 +60,12 @@ def placed(df: DataFrame, label: str) -> DataFrame:
     return out.withColumn("position", F.col("start__") + F.col(ROW).bitwiseAND((1 << 33) - 1)).drop("p__", "start__", ROW)
 
 
+def commonest_length(df: DataFrame, vector: str) -> int:
+    """The length most vectors have (of equally common ones the largest), 0 without rows."""
+    sizes = df.groupBy(F.size(vector).alias("d")).count()
+    return sizes.agg(F.max(F.struct("count", "d"))["d"]).first()[0] or 0
+
+
 def remainder(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; a NULL id counts as empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
