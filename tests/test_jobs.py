@@ -56,8 +56,8 @@ def test_prices_transform_and_load(spark, sf, tmp_path):
     out2 = J.load_prices(spark, f"{d}/staged", targets)
     assert out2["yearly"] == {"unchanged": counts["yearly"], "rejected": 0}
     assert spark.read.parquet(targets["daily"]).count() == 2 * counts["daily"]  # append duplicates (M7)
-    m = R.in_single_precision(spark.read.parquet(targets["monthly"]).drop("aggregation_type", "load_timestamp"))
-    want = R.in_single_precision(R.monthly_average(ticks))
+    m = spark.read.parquet(targets["monthly"]).drop("aggregation_type", "load_timestamp")
+    want = R.monthly_average(ticks)
     assert m.count() == counts["monthly"] and m.select(want.columns).exceptAll(want).count() == 0
     daily = {**targets, "daily": f"{d}/daily_by_key"}
     J.load_prices(spark, f"{d}/staged", daily, upsert_daily=True)

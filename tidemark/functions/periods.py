@@ -36,9 +36,16 @@ def latest_closed_period_of(as_of: _dt.date | None = None) -> tuple[str, int]:
     return str(d.year), (d.month - 1) // 3
 
 
-def period_suffix(year: str | int, quarter: int) -> str:
+def _text(*parts: Column | str | int) -> Column | str:
+    """The parts one after the other: a column if any of them is one."""
+    if any(isinstance(p, Column) for p in parts):
+        return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts])
+    return "".join(str(p) for p in parts)
+
+
+def period_suffix(year: str | int | Column, quarter: int | Column) -> str | Column:
     """K8: `{year}TW{quarter}`, the suffix of the per-period targets."""
-    return f"{year}TW{quarter}"
+    return _text(year, "TW", quarter)
 
 
 def iso_to_date(x: Column | str) -> Column:
@@ -67,11 +74,11 @@ def month_to_date(d: Column | str, as_of: Column | str) -> Column:
     return (d >= F.trunc(as_of, "MM")) & (d < as_of)
 
 
-def target_name(prefix: str, year: str | int, quarter: int, suffix: str = "") -> str:
-    """K8: per-period target name, `{prefix}{year}TW{quarter}{suffix}`.
+def target_name(prefix: str, year: str | int | Column, quarter: int | Column, suffix: str = "") -> str | Column:
+    """K8: per-period target name, `{prefix}{year}TW{quarter}{suffix}`, of one period or of a column of them.
 
     Prefix and suffix are deployment settings (input and output targets of
     one period differ only by them); inside Spark prefer the partition
     columns `tahun` / `triwulan` over one target per period.
     """
-    return f"{prefix}{period_suffix(year, quarter)}{suffix}"
+    return _text(prefix, period_suffix(year, quarter), suffix)

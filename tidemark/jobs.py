@@ -5,9 +5,10 @@ with explicit schemas, and returns small summaries (row counts, merge outcomes)
 counted while the data are written, never the data.
 
 Stores of filings and sector rows are partitioned by (`tahun`, `triwulan`),
-those of monthly and yearly averages by `Year`. A load folds its batch once,
+those of monthly and yearly averages by `Year`. A load stores its batch once,
 reads the target's partitions that the batch touches and no others, merges, and
-overwrites just those partitions. The daily store is appended to.
+overwrites just those partitions. The daily store is appended to. What the steps
+store in between lies in the session's checkpoint folder, which is the session's to clean.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 from tidemark.functions.exprs import canonical_order
 from tidemark.functions.periods import latest_closed_period_of
 from tidemark.operators import merge as M
+from tidemark.operators import partials as PT
 from tidemark.operators import rollup as R
 from tidemark.operators import sectors as S
 from tidemark.schemas import (
@@ -39,7 +41,7 @@ from tidemark.session import scratch_path
 from tidemark.sinks import writers as W
 from tidemark.sources import staged as ST
 from tidemark.sources import xbrl as XB
-from tidemark.sources.ticks import frame_to_ticks, read_ticks
+from tidemark.sources.ticks import append_ticks, frame_to_ticks, read_ticks
 
 PERIOD = ["tahun", "triwulan"]
 STAMP = "load_timestamp"
@@ -72,63 +74,80 @@ def _touched(batch: DataFrame, by: list[str]) -> Column:
 
 
 def merge_into(batch: DataFrame, target_path: str, schema: StructType, keys: list[str], by: list[str], mode: str,
-               null_safe: bool = False, ignore: tuple[str, ...] = ()) -> dict:
-    """Merge a batch into a partitioned Parquet target; returns outcomes per key of the partitions touched."""
+               null_safe: bool = False, ignore: tuple[str, ...] = (), seq: str | None = None) -> dict:
+    """Merge a stored batch into a partitioned Parquet target; returns outcomes per key of the partitions touched.
+
+    The batch is folded in the order of `seq`. The merge reads the partitions that
+    the batch touches, and replaces them when all of it is done, so it writes
+    straight to them. A key that the target holds twice makes the load fail before that
+    (`DuplicateKeys`), with the target as it was.
+    """
     spark = batch.sparkSession
-    fold = M.set_fold if mode == "set" else M.last_write_wins
-    batch = _staged(fold(batch, keys, None), "batch")
     if ST.exists(spark, target_path):
         target = spark.read.schema(schema).parquet(target_path).filter(_touched(batch, by))
     else:
         target = spark.createDataFrame([], schema)
     seen = Observation()
-    merged = M.merge(target, batch, keys, mode, None, null_safe, ignore)
+    merged = M.merge(target, batch, keys, mode, seq, null_safe, ignore, check_target=True)
     actions = ["inserted", "updated", "unchanged", "untouched"]
     merged = merged.observe(seen, *[F.count(F.when(F.col(M.ACTION) == a, 1)).alias(a) for a in actions]).drop(M.ACTION)
-    # A path cannot be overwritten while it is read, so the slice goes through the shared folder.
-    ready = _staged(canonical_order(merged, schema.fieldNames()), "merged")
-    ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(target_path)
+    ready = canonical_order(merged, schema.fieldNames())
+    try:
+        ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(target_path)
+    except Exception as e:
+        if M.REFUSAL in str(e):
+            raise M.DuplicateKeys(str(e)[str(e).index(M.REFUSAL):].splitlines()[0]) from e
+        raise
     return {a: n for a, n in seen.get.items() if n}
 
 
-def ingest_filings(spark: SparkSession, archives_path: str, filings_path: str, status_path: str | None = None, as_of: date | None = None) -> dict:
-    """Archives `<tahun>/<triwulan>/<ticker>/*.zip` -> facts -> documents in the promoted layout -> replace-upsert.
+def ingest_filings(spark: SparkSession, archives_path: str, filings_path: str, status_path: str | None = None, as_of: date | None = None, pattern: str = "*.zip") -> dict:
+    """Archives `<tahun>/<triwulan>/<ticker>/*.zip` (or `tahun=<tahun>/...`) -> facts -> documents in the promoted layout -> replace-upsert.
 
     Every archive gets a status; those without a readable instance are kept
     from the store and told apart in the returned counts (and in
     `status_path`). A period limits the files that are read at all.
     """
-    where = "*/*/*"
+    path = archives_path.rstrip("/")
     if as_of is not None:
         year, quarter = latest_closed_period_of(as_of)
-        where = f"{year}/TW{quarter}/*"
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(f"{archives_path.rstrip('/')}/{where}")
+        bare = f"{path}/{year}/TW{quarter}"
+        path = bare if ST.exists(spark, bare) else f"{path}/tahun={year}/triwulan=TW{quarter}"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
     parts = F.split(F.col("path"), "/")
-    named = files.select(F.element_at(parts, -2).alias("ticker"), F.element_at(parts, -4).alias("tahun"), F.element_at(parts, -3).alias("triwulan"), "content")
-    return ingest_archives(named, filings_path, status_path)
+    # Folders may be bare values or `name=value`, as a partitioned writer leaves them.
+    value = lambda at: F.regexp_replace(F.element_at(parts, at), "^[a-z]+=", "")
+    named = files.select(value(-2).alias("ticker"), value(-4).alias("tahun"), value(-3).alias("triwulan"), F.col("path").alias(ST.ORDER), "content")
+    return ingest_archives(named, filings_path, status_path, ST.ORDER)
 
 
-def ingest_archives(named: DataFrame, filings_path: str, status_path: str | None = None) -> dict:
+def ingest_archives(named: DataFrame, filings_path: str, status_path: str | None = None, seq: str | None = None) -> dict:
     """The same for archives in hand: ticker, tahun, triwulan, content.
 
     The whole document is stored, its facts and file info beside the promoted
-    columns. When it was processed does not make a document another one.
+    columns. When it was processed does not make a document another one. Of several
+    archives of one key the last in the order of `seq` (the path, for files) counts.
+    Instances are parsed as they are unpacked, in bounded memory.
     """
-    members = XB.archive_members(named).withColumnRenamed("status", "archive_status").withColumnRenamed("error", "archive_error")
-    parsed = _staged(XB.parse_facts(members.drop("member")), "parsed")
-    status = parsed.select(*FILING_KEYS, F.when(F.col("archive_status") == "ok", F.col("status")).otherwise(F.col("archive_status")).alias("status"), F.coalesce("archive_error", "error").alias("error"))
+    parsed = _staged(XB.archive_facts(named), "parsed")
+    status = parsed.filter("last").select(*FILING_KEYS, "status", "error")
     if status_path:
         status.write.mode("append").parquet(status_path)
-    documents = XB.filing_documents(parsed.withColumn("quarter", F.expr("substring(triwulan, 3)")), quarter="quarter")
-    promoted = S.promote_rule_facts(documents)
-    out = merge_into(promoted, filings_path, promoted.schema, FILING_KEYS, PERIOD, "replace", ignore=("processed_date",))
+    order = [seq] * (seq is not None)
+    documents = XB.filing_documents(XB.whole_facts(parsed).withColumn("quarter", F.expr("substring(triwulan, 3)")), quarter="quarter", keep=order)
+    promoted = _staged(S.promote_rule_facts(documents), "documents")
+    schema = StructType([f for f in promoted.schema.fields if f.name != seq])
+    out = merge_into(promoted, filings_path, schema, FILING_KEYS, PERIOD, "replace", ignore=("processed_date",), seq=seq)
     return {**out, **{f"status_{r['status']}": r["count"] for r in status.groupBy("status").count().collect()}}
 
 
-def ingest_prices(spark: SparkSession, frame: DataFrame, ticks_path: str) -> dict:
-    """A downloaded pricing frame -> ticks with ids -> appended."""
+def ingest_prices(spark: SparkSession, frame: DataFrame, ticks_path: str, partitioned: bool = False) -> dict:
+    """A downloaded pricing frame -> ticks with ids -> appended (S11, P13, K7); `partitioned`: to a store by month."""
     ticks, seen = W.counted(frame_to_ticks(frame))
-    W.append(ticks, ticks_path, fmt="json")
+    if partitioned:
+        append_ticks(ticks, ticks_path)
+    else:
+        W.append(ticks, ticks_path, fmt="json")
     return {"appended": seen.get["rows"]}
 
 
@@ -156,11 +175,12 @@ def load_sector_rows(spark: SparkSession, staged_path: str, target_path: str, as
     """Staged sector rows -> `$set` upsert into the target, partitioned by period.
 
     Records without `emiten`, `tahun` or `triwulan` are skipped (F8); several
-    records of a key are folded in the order of reading; fields are written in
-    the standard order (P14). Returns merge outcome counts.
+    records of a key are folded in the order of file names, then of lines; fields are
+    written in the standard order (P14). Returns merge outcome counts.
     """
-    incoming = M.required_keys(ST.read_staged_json(spark, staged_path, SECTOR_ROW, strict=True), SECTOR_KEYS)
-    return merge_into(incoming.filter(period_filter(as_of)), target_path, SECTOR_ROW, SECTOR_KEYS, PERIOD, "set")
+    incoming = M.required_keys(ST.read_staged_json(spark, staged_path, SECTOR_ROW, strict=True, ordered=True), SECTOR_KEYS)
+    batch = _staged(incoming.filter(period_filter(as_of)), "batch")
+    return merge_into(batch, target_path, SECTOR_ROW, SECTOR_KEYS, PERIOD, "set", seq=ST.ORDER)
 
 
 def load_single_job(spark: SparkSession, staged_parquet: str, collection_path: str) -> dict:
@@ -201,13 +221,15 @@ def transform_prices(spark: SparkSession, ticks_path: str, out_base: str, fmt: s
     return counts
 
 
-def load_prices(spark: SparkSession, staged_base: str, targets: dict[str, str], upsert_daily: bool = False) -> dict:
+def load_prices(spark: SparkSession, staged_base: str, targets: dict[str, str], upsert_daily: bool = False, rejects_path: str | None = None, files: str = "part-*.json") -> dict:
     """Staged aggregates -> targets: daily appended, monthly / yearly replace-upserted.
 
     `targets` maps 'daily' / 'monthly' / 'yearly' to the target path. Only
-    loaded rows get the load time; stored rows keep theirs. Lines that are not
-    JSON records are dropped and counted. `upsert_daily` (Q10) replaces daily
-    rows by key instead of appending. Monthly and yearly keys match NULL to NULL.
+    loaded rows get the load time; stored rows keep theirs. Each folder is read
+    and parsed once: lines that are not JSON records are counted, and kept aside in
+    `rejects_path` with their file, place and reason. `upsert_daily` (Q10) replaces daily
+    rows by key instead of appending. Monthly and yearly keys match NULL to NULL;
+    several records of a key are folded in the order of file names, then of lines.
     """
     base = staged_base.rstrip("/")
     kinds = {"daily": (DAILY_AGG, ["Date", "ticker"]), "monthly": (MONTHLY_AGG, MONTHLY_KEYS), "yearly": (YEARLY_AGG, YEARLY_KEYS)}
@@ -216,17 +238,29 @@ def load_prices(spark: SparkSession, staged_base: str, targets: dict[str, str],
         folder = f"{base}/{kind}_aggregation"
         if not ST.exists(spark, folder):
             continue
-        incoming = ST.read_staged_json(spark, folder, schema, strict=False)
-        incoming = incoming.withColumn("aggregation_type", F.lit(f"{kind}_aggregation")).withColumn(STAMP, F.current_timestamp())
+        seen = Observation()
+        parsed = ST.parse_lenient(spark, folder, schema, files).observe(seen, *ST.lenient_counts())
+        parsed = _staged(parsed.withColumn(STAMP, F.current_timestamp()), "parsed")
+        counts = seen.get
+        if rejects_path and counts["malformed"]:
+            ST.rejects(parsed).withColumn("aggregation_type", F.lit(f"{kind}_aggregation")).write.mode("append").parquet(rejects_path)
+        incoming = ST.accepted(parsed, ordered=True).withColumn("aggregation_type", F.lit(f"{kind}_aggregation"))
         stored = StructType([*schema.fields, StructField("aggregation_type", StringType()), StructField(STAMP, TimestampType())])
         if kind == "daily" and not upsert_daily:
-            rows, seen = W.counted(incoming)
-            W.append(rows, targets[kind])
-            out[kind] = {"appended": seen.get["rows"]}
+            W.append(incoming.select(*stored.fieldNames()), targets[kind])
+            out[kind] = {"appended": counts["good"]}
         elif kind == "daily":
             incoming = incoming.withColumn("Year", F.substring("Date", 1, 4))
-            out[kind] = merge_into(incoming, targets[kind], StructType([*stored.fields, StructField("Year", StringType())]), keys, ["Year"], "replace", True, (STAMP,))
+            out[kind] = merge_into(incoming, targets[kind], StructType([*stored.fields, StructField("Year", StringType())]), keys, ["Year"], "replace", True, (STAMP,), ST.ORDER)
         else:
-            out[kind] = merge_into(incoming, targets[kind], stored, keys, ["Year"], "replace", True, (STAMP,))
-        out[kind]["rejected"] = ST.count_malformed(spark, folder, schema).first()["malformed"]
+            out[kind] = merge_into(incoming, targets[kind], stored, keys, ["Year"], "replace", True, (STAMP,), ST.ORDER)
+        out[kind] |= {"rejected": counts["malformed"], "mistyped": counts["mistyped"]}
     return out
+
+
+def refresh_prices(spark: SparkSession, ticks: DataFrame, store: str, targets: dict[str, str], batch: int) -> None:
+    """New ticks -> the store of daily sums -> the monthly and yearly averages they touch (`operators.partials`)."""
+    PT.fold(ticks, store, batch)
+    for grain in ("monthly", "yearly"):
+        if grain in targets:
+            PT.refresh(spark, store, batch, targets[grain], grain)

@@ -4,11 +4,15 @@ Plain Parquet has no MERGE INTO, so a merge is a new version of (a slice of) the
 target: `replace_upsert` and `set_upsert` return the merged DataFrame and write
 nothing. The jobs restrict the target to the partitions that a batch touches.
 
-* In-batch order: the batch is always folded to one row per key first, in the
-  order of a `seq` column, or, without one, in the order in which Spark reads
-  the rows. A NULL order value is an error. "Last write wins" is a `max_by`
-  aggregate, which combines map-side: a hot key that holds a third of the
-  batch is reduced inside every task before the shuffle.
+* In-batch order: the batch is folded to one row per key first, in the
+  order of a `seq` column (staged files have one: `sources.staged.ORDER`), or,
+  without one, in the order in which Spark reads the rows. A NULL order value is
+  an error. "Last write wins" is a `max_by` aggregate, which combines map-side: a
+  hot key that holds a third of the batch is reduced inside every task before the
+  shuffle. A batch that states each key once by its making need not be folded
+  (`unique=True`).
+* Key check (M8): `check_target` makes the merge itself fail where a key of the
+  target occurs twice, in the pass that writes, before anything is published.
 * Each merge is one join of the target with the folded batch; nothing runs while
   the plan is built, and adaptive execution picks the join from real sizes.
 * NULL keys: `null_safe=True` matches NULL to NULL (`<=>`), the way a
@@ -20,7 +24,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
@@ -81,17 +85,39 @@ def _key_match(left: str, right: str, keys: list[str], null_safe: bool) -> Colum
     return reduce(lambda a, b: a & b, conds)
 
 
+class DuplicateKeys(RuntimeError):
+    """A load was refused because a key of its target, or of a batch said to be unique, occurs more than once."""
+
+
+REFUSAL = "duplicate key: "
+
+
+def one_row_per_key(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """M8 as a gate: the rows as they are; reading a row whose key occurs again is an error.
+
+    The rows of a key meet where the merge's join needs them anyway (same keys, same
+    order), so the check adds no shuffle or sort to it.
+    """
+    named = F.concat_ws(", ", *[F.coalesce(_q(k).cast("string"), F.lit("NULL")) for k in keys])
+    fault = F.raise_error(F.concat(F.lit(f"{REFUSAL}{what} has more than one row of "), named))
+    rows = df.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*[_q(k) for k in keys])))
+    return rows.filter(F.when(F.col("_rows") > 1, fault.cast("boolean")).otherwise(F.lit(True))).drop("_rows")
+
+
 def merge(target: DataFrame, incoming: DataFrame, keys: list[str], mode: str = "replace", seq: str | None = None,
-          null_safe: bool = False, ignore: tuple[str, ...] = ()) -> DataFrame:
+          null_safe: bool = False, ignore: tuple[str, ...] = (), unique: bool = False, check_target: bool = False) -> DataFrame:
     """The merged rows and what became of each key, from one join.
 
     `mode` is "replace" (M1, M3, M4: an incoming row replaces the whole row) or
     "set" (M2: a field absent (NULL) in the incoming row keeps the old value).
     Column `_action` is `inserted`, `updated` (a value changes), `unchanged`, or
     `untouched` (the key is not in the batch). Columns in `ignore`, such as a
-    load time, are merged but do not make a row `updated`.
+    load time, are merged but do not make a row `updated`. `unique` says that the
+    batch states each key once.
     """
-    new = (last_write_wins if mode == "replace" else set_fold)(incoming, keys, seq)
+    new = _folded(incoming, keys, mode, seq, unique)
+    if check_target:
+        target = one_row_per_key(target, keys, "the target")
     cols = list(dict.fromkeys(target.columns + new.columns))
     o = target.withColumn("_o_hit", F.lit(1)).alias("_o")
     n = new.withColumn("_n_hit", F.lit(1)).alias("_n")
@@ -114,20 +140,26 @@ def merge(target: DataFrame, incoming: DataFrame, keys: list[str], mode: str = "
     return o.join(n, _key_match("_o", "_n", keys, null_safe), "full_outer").select(*out, action.alias(ACTION))
 
 
-def replace_upsert(target: DataFrame, incoming: DataFrame, keys: list[str], seq: str | None = None, null_safe: bool = False) -> DataFrame:
+def _folded(incoming: DataFrame, keys: list[str], mode: str, seq: str | None, unique: bool) -> DataFrame:
+    if unique:
+        return incoming.drop(*[seq] * (seq is not None))
+    return (last_write_wins if mode == "replace" else set_fold)(incoming, keys, seq)
+
+
+def replace_upsert(target: DataFrame, incoming: DataFrame, keys: list[str], seq: str | None = None, null_safe: bool = False, unique: bool = False) -> DataFrame:
     """M1 / M3 / M4: each incoming row replaces the whole target row of its key.
 
     Fields absent from the incoming row are NULL afterwards (replace, not
     update). Target rows whose key is not incoming are kept as they are.
     """
-    new = last_write_wins(incoming, keys, seq)
+    new = _folded(incoming, keys, "replace", seq, unique)
     kept = target.alias("_o").join(new.select(*[_q(k) for k in keys]).alias("_n"), _key_match("_o", "_n", keys, null_safe), "left_anti")
     return kept.select(*[_q(c) for c in target.columns]).unionByName(new, allowMissingColumns=True)
 
 
-def set_upsert(target: DataFrame, incoming: DataFrame, keys: list[str], seq: str | None = None, null_safe: bool = False) -> DataFrame:
+def set_upsert(target: DataFrame, incoming: DataFrame, keys: list[str], seq: str | None = None, null_safe: bool = False, unique: bool = False) -> DataFrame:
     """M2: `$set` upsert; a field absent (NULL) in the incoming row keeps the old value."""
-    return merge(target, incoming, keys, "set", seq, null_safe).drop(ACTION)
+    return merge(target, incoming, keys, "set", seq, null_safe, unique=unique).drop(ACTION)
 
 
 def merge_outcomes(target: DataFrame, incoming: DataFrame, keys: list[str], mode: str = "replace", null_safe: bool = False,

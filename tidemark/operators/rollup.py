@@ -1,38 +1,29 @@
 """Price roll-ups: daily, monthly and yearly averages per ticker (A1-A4).
 
-Averages are of raw ticks, never of daily averages, and of the doubles as they
-are: a plain sum and count per group, which combine map-side, so a hot ticker
-is reduced in every task before the shuffle.
+Averages are of raw ticks, never of daily averages: the exact sum of the doubles,
+rounded once, over their count (`functions.exact`). Sums combine map-side, so a hot
+ticker is reduced in every task before the shuffle, and every result is the same to
+the last bit whatever the partitioning.
 
 All three grains can come from one scan: the ticks are first reduced to one
-row of sums and counts per day and ticker, and the monthly and yearly grains
-are re-aggregated from those partials, which are orders of magnitude smaller
-than the ticks.
-
-As with any sum of doubles, the last bit of a result may depend on the order in
-which tasks finish. Callers that compare results should compare them at a lower
-precision (`in_single_precision`).
+row of sum states per day and ticker, months are merged from days and years from
+months. `operators.partials` stores the days' states between runs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
+from tidemark.functions.exact import merge_states, sum_state, with_sums
 from tidemark.functions.periods import iso_to_date, month_of, year_of
-from tidemark.schemas import AVG_COLUMNS, DAILY_KEYS, MEASURES, MONTHLY_KEYS, YEARLY_KEYS
+from tidemark.schemas import DAILY_KEYS, MEASURES, MONTHLY_KEYS, YEARLY_KEYS
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def in_single_precision(df: DataFrame) -> DataFrame:
-    """The average columns in single precision, at which runs agree."""
-    return df.withColumns({c: F.col(c).cast("float") for c in AVG_COLUMNS if c in df.columns})
-
-
 def with_periods(ticks: DataFrame) -> DataFrame:
     """Typed `Date` plus `Year` and `Month`."""
     d = iso_to_date(_q("Date")) if dict(ticks.dtypes)["Date"] == "string" else _q("Date").cast("date")
@@ -43,11 +34,22 @@ def with_periods(ticks: DataFrame) -> DataFrame:
     )
 
 
+#: The state column of each measure.
+STATES = {f"s{i}": out for i, (_, out) in enumerate(MEASURES)}
+
+
+def _states() -> list[Column]:
+    return [sum_state(src).alias(s) for s, (src, _) in zip(STATES, MEASURES, strict=True)]
+
+
+def averages(states: DataFrame) -> DataFrame:
+    """The averages in place of the state columns."""
+    return with_sums(states, STATES, averages=True)
+
+
 def average_by(ticks: DataFrame, keys: list[str]) -> DataFrame:
     """A1-A4 for any key list; `ticks` must already carry the key columns."""
-    return ticks.groupBy(*[_q(k) for k in keys]).agg(
-        *[F.avg(_q(src).cast(DoubleType())).alias(out) for src, out in MEASURES]
-    )
+    return averages(ticks.groupBy(*[_q(k) for k in keys]).agg(*_states()))
 
 
 def daily_average(ticks: DataFrame) -> DataFrame:
@@ -66,13 +68,8 @@ def yearly_average(ticks: DataFrame) -> DataFrame:
 
 
 def daily_partials(ticks: DataFrame) -> DataFrame:
-    """One row per (Date, ticker): sum and count of every measure."""
-    aggs = []
-    for i, (src, _) in enumerate(MEASURES):
-        x = _q(src).cast(DoubleType())
-        aggs += [F.sum(x).alias(f"s{i}"), F.count(x).alias(f"n{i}")]
-    t = with_periods(ticks)
-    return t.groupBy("Date", "Year", "Month", "ticker").agg(*aggs)
+    """One row per (Date, ticker): the sum state of every measure."""
+    return with_periods(ticks).groupBy("Date", "Year", "Month", "ticker").agg(*_states())
 
 
 def all_grains(ticks: DataFrame) -> DataFrame:
@@ -80,25 +77,19 @@ def all_grains(ticks: DataFrame) -> DataFrame:
 
     Columns: `grain` ('daily' | 'monthly' | 'yearly'), `Date`, `Year`,
     `Month`, `ticker`, then the seven averages. Keys that do not belong to a
-    grain are NULL. Grouping sets run over the daily partials, so the ticks
-    are read and shuffled once.
+    grain are NULL. Months are merged from the days' sums, years from the months',
+    so the ticks are read and shuffled once, and the rest is smaller each time.
     """
-    p = daily_partials(ticks)
-    # A group without a value has count 0 and a NULL sum: its average is NULL.
-    aggs = [(F.sum(f"s{i}") / F.nullif(F.sum(f"n{i}"), F.lit(0))).alias(out) for i, (_, out) in enumerate(MEASURES)]
-    g = p.groupingSets(
-        [[F.col("Date"), F.col("ticker")],
-         [F.col("Year"), F.col("Month"), F.col("ticker")],
-         [F.col("Year"), F.col("ticker")]],
-        "Date", "Year", "Month", "ticker",
-    ).agg(F.grouping("Date").alias("_gd"), F.grouping("Month").alias("_gm"), *aggs)
-    grain = (
-        F.when(F.col("_gd") == 0, F.lit("daily"))
-        .when(F.col("_gm") == 0, F.lit("monthly"))
-        .otherwise(F.lit("yearly"))
-    )
-    return g.select(grain.alias("grain"), "Date", "Year", "Month", "ticker",
-                    *[out for _, out in MEASURES])
+    states = list(STATES)
+    merged = [merge_states(s).alias(s) for s in states]
+    day = daily_partials(ticks)
+    month = day.groupBy("Year", "Month", "ticker").agg(*merged)
+    year = month.groupBy("Year", "ticker").agg(*merged)
+    none = F.lit(None)
+    daily = averages(day.select(F.lit("daily").alias("grain"), "Date", none.cast("int").alias("Year"), none.cast("int").alias("Month"), "ticker", *states))
+    monthly = averages(month.select(F.lit("monthly").alias("grain"), none.cast("date").alias("Date"), "Year", "Month", "ticker", *states))
+    yearly = averages(year.select(F.lit("yearly").alias("grain"), none.cast("date").alias("Date"), "Year", none.cast("int").alias("Month"), "ticker", *states))
+    return daily.unionByName(monthly).unionByName(yearly)
 
 
 def latest_fetch_only(ticks: DataFrame) -> DataFrame:

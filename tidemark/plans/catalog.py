@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, DoubleType, TimestampNTZType, TimestampType
 
 from tidemark.functions import exprs as X
 from tidemark.functions import periods as PD
@@ -25,9 +25,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Dates -> 'yyyy-MM-dd', timestamps -> ISO text, decimals -> double, averages at single precision."""
+    """Dates -> 'yyyy-MM-dd', timestamps -> ISO text, decimals -> double."""
     cols = []
-    for fld in R.in_single_precision(df).schema.fields:
+    for fld in df.schema.fields:
         c = F.col(f"`{fld.name}`")
         if isinstance(fld.dataType, DateType):
             c = F.date_format(c, "yyyy-MM-dd")
@@ -35,8 +35,6 @@ def present(df: DataFrame) -> DataFrame:
             c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
         elif isinstance(fld.dataType, DecimalType):
             c = c.cast(DoubleType())
-        elif isinstance(fld.dataType, FloatType):
-            c = c.cast(FloatType()).cast(DoubleType())
         cols.append(c.alias(fld.name))
     return df.select(*cols)
 
@@ -191,7 +189,7 @@ def registry() -> dict[str, Query]:
         "sector_banks", "sector_financing", "sector_investment", "sector_insurance", "sector_other",
         "sector_union", "sector_one_pass", "sector_one_pass_promoted", "sector_rows_without_period",
         "sector_null_dropped",
-    ] + MERGE_QUERIES + INGEST_QUERIES + STREAM_QUERIES
+    ] + MERGE_QUERIES + INGEST_QUERIES + STREAM_QUERIES + JOB_QUERIES
     g = globals()
     return {n: g[n] for n in names}
 
@@ -235,6 +233,21 @@ def set_upsert_rows(spark, sf):
     return present(M.set_upsert(old, new, ["emiten", "tahun", "triwulan"]))
 
 
+def bucketed_upsert_rows(spark, sf):
+    """M2 over a target bucketed by its keys, which the merge does not shuffle; the result as a bucketed table again."""
+    from tidemark.operators import merge as M
+    from tidemark.schemas import SECTOR_ROW
+    from tidemark.session import scratch_path
+    from tidemark.sources.keyed import read_keyed, write_keyed
+
+    old, merged = scratch_path(spark, "keyed"), scratch_path(spark, "keyed-merged")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_keyed(S.sector_rows(V.filings(spark, sf, F.expr(OLD_ORDERS))), old, SECTOR_KEYS, n)
+    new = S.sector_rows(V.filings(spark, sf, F.expr(NEW_ORDERS), revised=True))
+    write_keyed(M.set_upsert(read_keyed(spark, old, SECTOR_ROW, SECTOR_KEYS, n), new, SECTOR_KEYS), merged, SECTOR_KEYS, n)
+    return present(read_keyed(spark, merged, SECTOR_ROW, SECTOR_KEYS, n))
+
+
 def _monthly_pair(spark, sf):
     old = R.monthly_average(V.ticks(spark, sf, F.expr(OLD_TICKS)))
     new = R.monthly_average(V.revised_ticks(spark, sf, F.expr(NEW_TICKS)))
@@ -259,7 +272,7 @@ def replace_upsert_yearly(spark, sf):
 def merge_outcomes(spark, sf):
     from tidemark.operators import merge as M
 
-    old, new = (R.in_single_precision(x) for x in _monthly_pair(spark, sf))
+    old, new = _monthly_pair(spark, sf)
     return M.merge_outcomes(old, new, ["Year", "Month", "ticker"], mode="replace", null_safe=True)
 
 
@@ -349,6 +362,7 @@ def load_keeps_old_stamp(spark, sf):
 
 
 MERGE_QUERIES = [
+    "bucketed_upsert_rows",
     "set_upsert_duplicate_keys", "replace_upsert_duplicate_keys", "merge_outcomes_set", "load_keeps_old_stamp",
     "replace_upsert_filings", "set_upsert_rows", "replace_upsert_monthly", "replace_upsert_yearly",
     "last_write_wins", "set_fold_batch", "merge_outcomes", "append_daily", "duplicate_keys", "required_keys",
@@ -382,11 +396,11 @@ def ticker_csv(spark, sf):
     return read_ticker_csv(spark, path)
 
 
-def _stage_monthly(spark, sf, label):
+def _stage_monthly(spark, sf, label, path=None):
     from tidemark.session import scratch_path
     from tidemark.sinks.writers import write_json
 
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     write_json(R.monthly_average(V.ticks(spark, sf)), path)
     return path
 
@@ -398,11 +412,11 @@ def staged_json_strict(spark, sf):
     return present(read_staged_json(spark, _stage_monthly(spark, sf, "strict"), MONTHLY_AGG, strict=True))
 
 
-def _stage_with_bad_lines(spark, sf):
+def _stage_with_bad_lines(spark, sf, path=None):
     """Monthly averages, records whose Year is text (mistyped), and lines that are not JSON."""
     from tidemark.sinks.writers import write_json
 
-    path = _stage_monthly(spark, sf, "lenient")
+    path = _stage_monthly(spark, sf, "lenient", path)
     mistyped = V.table(spark, sf, "nation").select(F.col("n_name").alias("Year"), F.lit(1).alias("Month"), F.col("n_name").alias("ticker"))
     write_json(mistyped, path, mode="append")
     broken = V.table(spark, sf, "region").select(F.concat(F.lit('{"Year": 1995, "ticker": "'), F.col("r_name")).alias("value"))
@@ -424,6 +438,17 @@ def staged_json_rejects(spark, sf):
     return count_malformed(spark, _stage_with_bad_lines(spark, sf), MONTHLY_AGG, files="part-*")
 
 
+def load_rejects(spark, sf):
+    """S8 in the load: the lines it kept aside, from one read of each folder."""
+    from tidemark import jobs as J
+    from tidemark.session import scratch_path
+
+    base = scratch_path(spark, "load-rejects")
+    _stage_with_bad_lines(spark, sf, f"{base}/staged/monthly_aggregation")
+    J.load_prices(spark, f"{base}/staged", {"monthly": f"{base}/monthly"}, rejects_path=f"{base}/rejects", files="part-*")
+    return spark.read.parquet(f"{base}/rejects").select("aggregation_type", "reason", "line")
+
+
 def staged_aggregates(spark, sf):
     from tidemark.schemas import DAILY_AGG, MONTHLY_AGG, YEARLY_AGG
     from tidemark.session import scratch_path
@@ -529,15 +554,202 @@ def stream_monthly_average(spark, sf):
     from tidemark.streaming.prices import run_incremental
 
     base = scratch_path(spark, "stream")
+    where = [f"{base}/{x}" for x in ("ticks", "store", "monthly", "_checkpoint")]
     cut = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     write_json(V.ticks(spark, sf, cut), f"{base}/ticks/drop=1")
-    run_incremental(spark, f"{base}/ticks", f"{base}/monthly", f"{base}/_checkpoint")
+    run_incremental(spark, *where)
     write_json(V.ticks(spark, sf, ~cut), f"{base}/ticks/drop=2")
-    out = run_incremental(spark, f"{base}/ticks", f"{base}/monthly", f"{base}/_checkpoint")
-    return present(out.drop("drop"))
+    return present(run_incremental(spark, *where))
+
+
+def incremental_averages(spark, sf):
+    """A2, A3 between runs: two batches of ticks, of overlapping months, folded into the store of daily sums."""
+    from tidemark import jobs as J
+    from tidemark.schemas import MONTHLY_AGG, YEARLY_AGG
+    from tidemark.session import scratch_path
+
+    base = scratch_path(spark, "partials")
+    targets = {g: f"{base}/{g}" for g in ("monthly", "yearly")}
+    cut = F.col("l_shipdate") < F.lit("1998-08-15").cast("timestamp_ntz")
+    for batch, where in enumerate((cut, ~cut)):
+        J.refresh_prices(spark, V.ticks(spark, sf, where), f"{base}/store", targets, batch)
+    monthly = spark.read.schema(MONTHLY_AGG).parquet(targets["monthly"]).withColumn("grain", F.lit("monthly"))
+    yearly = spark.read.schema(YEARLY_AGG).parquet(targets["yearly"]).withColumn("grain", F.lit("yearly"))
+    return monthly.unionByName(yearly, allowMissingColumns=True)
+
+
+STREAM_QUERIES = ["stream_monthly_average", "incremental_averages"]
+
+
+# ------------------------------------------------------------------- jobs
+# The load jobs end to end, over folders staged from the tables.
+
+
+def month_to_date_store(spark, sf):
+    """The month's ticks from the store that prunes by date, filled by two appends."""
+    from datetime import date
+
+    from tidemark.session import scratch_path
+    from tidemark.sources import ticks as T
+
+    path = scratch_path(spark, "tick-store")
+    cut = F.col("l_shipdate") < F.lit("1998-08-10").cast("timestamp_ntz")
+    T.append_ticks(V.ticks(spark, sf, cut), path)
+    T.append_ticks(V.ticks(spark, sf, ~cut), path)
+    rows = T.month_to_date_ticks(spark, path, date.fromisoformat(MONTH_TO_DATE_AS_OF))
+    return present(rows.select("_id", F.col("day").alias("Date"), "ticker", "Close"))
+
+
+def ingest_prices_job(spark, sf):
+    """The pricing frame ingested into the partitioned store, read back without its random ids."""
+    from tidemark import jobs as J
+    from tidemark.session import scratch_path
+    from tidemark.sources.ticks import read_tick_store
+
+    path = scratch_path(spark, "ingest-prices")
+    J.ingest_prices(spark, V.raw_ticks(spark, sf), path, partitioned=True)
+    ids = F.col("_id").rlike("^[0-9a-f]{24}$") & F.col("fetch_timestamp").isNotNull()
+    return read_tick_store(spark, path).select("ticker", "Date", "Open", "High", "Low", "Close", "Volume", "Dividends", "Stock Splits", ids.alias("has_id"))
+
+
+def _staged_in_order(spark, sf, path):
+    """Sector rows of the new batch, each stated twice, over files of very different sizes.
+
+    As filed, every tenth customer's lie in the first files and all others' in the
+    last, the revised rows of all between them: so the last statement of every tenth
+    is the revised one. A writer names its files by the order of its tasks.
+    """
+    from tidemark.sinks.writers import write_json
+
+    filed = S.sector_rows(V.filings(spark, sf, F.expr(NEW_ORDERS)))
+    revised = S.sector_rows(V.filings(spark, sf, F.expr(NEW_ORDERS), revised=True))
+    tenth = F.substring("emiten", 2, 10).cast("int") % 10 == 0
+    stated = filed.withColumn("at", F.when(tenth, 0).otherwise(2)).unionByName(revised.withColumn("at", F.lit(1)))
+    write_json(stated.repartitionByRange(7, "at", "emiten").sortWithinPartitions("at", "emiten", "tahun", "triwulan").drop("at"), path)
+
+
+def load_sector_rows_job(spark, sf):
+    """M2, M5, F8, P14 end to end: a first load, then one whose keys are stated twice over several files."""
+    from tidemark import jobs as J
+    from tidemark.schemas import SECTOR_ROW
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import write_json
+
+    base = scratch_path(spark, "load-rows")
+    write_json(S.sector_rows(V.filings(spark, sf, F.expr(OLD_ORDERS))), f"{base}/first")
+    J.load_sector_rows(spark, f"{base}/first", f"{base}/target")
+    _staged_in_order(spark, sf, f"{base}/second")
+    J.load_sector_rows(spark, f"{base}/second", f"{base}/target")
+    return present(spark.read.schema(SECTOR_ROW).parquet(f"{base}/target"))
+
+
+def _stage_prices(spark, sf, base, where, revised=False):
+    from tidemark.sinks.writers import write_json
+
+    ticks = (V.revised_ticks if revised else V.ticks)(spark, sf, F.expr(where))
+    for kind, rows in (("daily", R.daily_average(ticks)), ("monthly", R.monthly_average(ticks)), ("yearly", R.yearly_average(ticks))):
+        write_json(rows.withColumn("Date", F.date_format("Date", "yyyy-MM-dd")) if kind == "daily" else rows, f"{base}/{kind}_aggregation")
+
+
+def _two_price_loads(spark, sf):
+    from tidemark import jobs as J
+    from tidemark.session import scratch_path
+
+    base = scratch_path(spark, "load-prices")
+    targets = {k: f"{base}/{k}" for k in ("daily", "monthly", "yearly")}
+    _stage_prices(spark, sf, f"{base}/first", OLD_TICKS)
+    J.load_prices(spark, f"{base}/first", targets)
+    _stage_prices(spark, sf, f"{base}/second", NEW_TICKS, revised=True)
+    J.load_prices(spark, f"{base}/second", targets)
+    return {k: spark.read.parquet(p) for k, p in targets.items()}
+
+
+def load_prices_job(spark, sf):
+    """M3, M4, M7, K6 end to end: two loads of daily, monthly and yearly averages; the targets."""
+    from tidemark.schemas import AVG_COLUMNS
+
+    stored = _two_price_loads(spark, sf)
+    return present(stored["daily"].unionByName(stored["monthly"], allowMissingColumns=True).unionByName(stored["yearly"], allowMissingColumns=True)
+                   .select("aggregation_type", "Date", F.col("Year").cast("int").alias("Year"), F.col("Month").cast("int").alias("Month"), "ticker", *AVG_COLUMNS))
+
+
+def load_stamps(spark, sf):
+    """The load times that two loads wrote; whether a row has the later one."""
+    monthly = _two_price_loads(spark, sf)["monthly"]
+    first, n = monthly.agg(F.min("load_timestamp"), F.countDistinct("load_timestamp")).first()
+    later = F.col("load_timestamp") > F.lit(first)
+    return monthly.select("Year", "Month", "ticker", "aggregation_type", F.lit(n).cast("long").alias("n_stamps"), later.alias("later"))
+
+
+def transform_filings_job(spark, sf):
+    """The transform of one period: filings stored by period, the sector rows of the quarter closed on a day, staged and read back."""
+    from datetime import date
+
+    from tidemark import jobs as J
+    from tidemark.schemas import SECTOR_ROW
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import write_parquet
+    from tidemark.sources.staged import read_staged_json
 
+    base = scratch_path(spark, "transform")
+    write_parquet(S.promote_rule_facts(V.filings(spark, sf)), f"{base}/filings", partition_by=["tahun", "triwulan"])
+    seen = J.transform_filings(spark, f"{base}/filings", f"{base}/rows", fmt="parquet", as_of=date(1997, 8, 1))
+    rows = present(read_staged_json(spark, f"{base}/rows", SECTOR_ROW))
+    return rows.withColumn("counted", F.lit(seen["rows"]).cast("long")).withColumn("null_sector", F.lit(seen["null_sector"]).cast("long"))
 
-STREAM_QUERIES = ["stream_monthly_average"]
+
+def documents_per_ticker(spark, sf):
+    """K5: every filing's document in a folder of its own, read back, with the files that hold it."""
+    from tidemark.schemas import FILING
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import read_documents, write_documents
+
+    path = scratch_path(spark, "documents")
+    write_documents(V.filings(spark, sf), path)
+    back = read_documents(spark, path, FILING).select("ticker", "tahun", "triwulan", "facts", F.col("_metadata.file_path").alias("file"))
+    net = S.fact(f"ProfitLoss_{S.D}")
+    return back.groupBy("ticker", "tahun", "triwulan").agg(
+        F.countDistinct("file").alias("n_files"), F.count("*").alias("n_documents"), F.max(F.size("facts")).cast("int").alias("n_facts"),
+        F.max(S.fact(S.SECTOR_KEY)).alias("sector"), F.max(net).alias("net_profit_text"))
+
+
+def archive_files_ingest(spark, sf):
+    """S3 through `binaryFile`: every archive as a file of its own, ingested from the files; the facts and statuses stored."""
+    from tidemark import jobs as J
+    from tidemark.session import scratch_path
+
+    base = scratch_path(spark, "archive-files")
+    V.write_archive_files(_archives(spark, sf), f"{base}/archives")
+    J.ingest_filings(spark, f"{base}/archives", f"{base}/filings", f"{base}/status", pattern="part-*")
+    kept = spark.read.parquet(f"{base}/filings").select("ticker", F.col("tahun").cast("string").alias("tahun"), "triwulan", F.size("facts").cast("int").alias("n_facts"), F.col("file_info.file_size").alias("file_size"))
+    status = spark.read.parquet(f"{base}/status").select("ticker", "tahun", "triwulan", "status")
+    return status.join(kept, ["ticker", "tahun", "triwulan"], "left").select("ticker", "tahun", "triwulan", "status", "n_facts", (F.col("file_size") > 0).alias("has_size"))
+
+
+def load_refuses_duplicates(spark, sf):
+    """M8: a target in which every tenth customer's rows stand twice; the load is refused, and the target is as it was."""
+    from tidemark import jobs as J
+    from tidemark.operators.merge import DuplicateKeys
+    from tidemark.schemas import SECTOR_ROW
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import write_json, write_parquet
+
+    base = scratch_path(spark, "load-refused")
+    rows = S.sector_rows(V.filings(spark, sf, F.expr(OLD_ORDERS)))
+    twice = rows.unionByName(rows.filter(F.substring("emiten", 2, 10).cast("int") % 10 == 0))
+    write_parquet(twice, f"{base}/target", partition_by=["tahun", "triwulan"])
+    write_json(S.sector_rows(V.filings(spark, sf, F.expr(NEW_ORDERS), revised=True)), f"{base}/staged")
+    refused = False
+    try:
+        J.load_sector_rows(spark, f"{base}/staged", f"{base}/target")
+    except DuplicateKeys:
+        refused = True
+    stored = spark.read.schema(SECTOR_ROW).parquet(f"{base}/target")
+    return present(stored.groupBy("emiten", "tahun", "triwulan").agg(F.count("*").alias("n"), F.max("total_assets").alias("total_assets")).withColumn("refused", F.lit(refused)))
+
+
+JOB_QUERIES = ["month_to_date_store", "ingest_prices_job", "load_sector_rows_job", "load_prices_job", "load_stamps", "load_rejects", "load_refuses_duplicates",
+               "transform_filings_job", "documents_per_ticker", "archive_files_ingest", "sorted_json"]
 
 
 def ticker_lines(spark, sf):
@@ -591,7 +803,7 @@ def target_names(spark, sf):
     """K8: the names of all periods the orders fall in."""
     y, q = PD.latest_closed_period(F.col("o_orderdate").cast("date"))
     periods = V.table(spark, sf, "orders").select(y.cast("long").alias("year"), q.cast("int").alias("quarter")).distinct()
-    return periods.withColumn("name", F.concat(F.lit("filings_"), "year", F.lit("TW"), "quarter", F.lit("_raw")))
+    return periods.withColumn("name", PD.target_name("filings_", F.col("year"), F.col("quarter"), "_raw"))
 
 
 def surrogate_ids(spark, sf):
@@ -601,24 +813,19 @@ def surrogate_ids(spark, sf):
 
 
 def canonical_columns(spark, sf):
-    """The columns of sector rows that come in another order, with one more."""
+    """All sector rows, their columns in another order and one more between them, put in order again; each row as text."""
     from tidemark.schemas import SECTOR_COLUMNS
 
-    rows = S.sector_rows(V.filings(spark, sf)).withColumn("extra", F.lit(1))
-    names = X.canonical_order(rows.select(*reversed(rows.columns)), SECTOR_COLUMNS).columns
-    any_row = V.table(spark, sf, "orders").limit(1).select(F.lit(1))
-    return any_row.select(F.posexplode(F.array(*[F.lit(c) for c in names])).alias("position", "name"))
+    rows = S.sector_rows(V.filings(spark, sf)).withColumn("extra", F.lit("end"))
+    shuffled = rows.select(*sorted(rows.columns, key=lambda c: c[::-1]))
+    back = X.canonical_order(shuffled, SECTOR_COLUMNS)
+    return back.select("emiten", "tahun", "triwulan", F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in back.columns]).alias("row_text"))
 
 
-def sorted_staging(spark, sf):
-    """K1, K4, O1: the sorted collection, read back by place: rows before which a greater name stands."""
+def _out_of_order(back: DataFrame) -> DataFrame:
+    """Rows (emiten, file, at): by name, how many stand behind a greater one, within their file or in the files before."""
     from pyspark.sql import Window
-    from tidemark.session import scratch_path
-    from tidemark.sinks.writers import write_collection
 
-    path = scratch_path(spark, "sorted")
-    write_collection(S.sector_rows(V.filings(spark, sf)), path)
-    back = spark.read.parquet(path).select("emiten", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
     inside = F.lag("emiten").over(Window.partitionBy("file").orderBy("at"))
     files = back.groupBy("file").agg(F.min("emiten").alias("low"), F.max("emiten").alias("high"))
     # The files, some per task, in the order of their names.
@@ -628,21 +835,52 @@ def sorted_staging(spark, sf):
     return placed.groupBy("emiten").agg(F.count(F.when(wrong, 1)).cast("int").alias("out_of_order"), F.count("*").alias("n"))
 
 
+def sorted_json(spark, sf):
+    """K1: sector rows as sorted JSON, read back by file and line: rows before which a greater name stands."""
+    from tidemark.schemas import SECTOR_ROW
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import write_json_sorted
+    from tidemark.sources.staged import ORDER, read_staged_json
+
+    path = scratch_path(spark, "sorted-json")
+    write_json_sorted(S.sector_rows(V.filings(spark, sf)), path)
+    back = read_staged_json(spark, path, SECTOR_ROW, ordered=True)
+    return _out_of_order(back.select("emiten", F.col(ORDER)["file"].alias("file"), F.col(ORDER).alias("at")))
+
+
+def sorted_staging(spark, sf):
+    """K4, O1: the sorted collection, read back by place: rows before which a greater name stands."""
+    from tidemark.session import scratch_path
+    from tidemark.sinks.writers import write_collection
+
+    path = scratch_path(spark, "sorted")
+    write_collection(S.sector_rows(V.filings(spark, sf)), path)
+    return _out_of_order(spark.read.parquet(path).select("emiten", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")))
+
+
 def counted_writes(spark, sf):
-    """Rows counted as they are written, and what empty inputs do."""
+    """Each sector's rows, counted as they are written and again where they are; a sector nobody has is refused."""
     from tidemark.session import scratch_path
     from tidemark.sinks import writers as W
-
-    rows = S.sector_rows(V.filings(spark, sf))
-    counted, seen = W.counted(rows)
-    W.write_parquet(counted, scratch_path(spark, "counted"))
-    none = V.table(spark, sf, "region").filter("r_regionkey < 0")
-    try:
-        refused = int(W.guard_empty(none, on_empty="fail"))
-    except W.EmptyInput:
-        refused = 1
-    result = [("rows", seen.get["rows"]), ("empty skipped", int(W.guard_empty(none))), ("empty refused", refused)]
-    return spark.createDataFrame(result, "step string, n long")
+    from tidemark.sources.staged import exists
+
+    filings, out = V.filings(spark, sf), None
+    base = scratch_path(spark, "counted")
+    for k, sector in enumerate([*S.SECTORS, "nobody's"]):
+        path = f"{base}/{k}"
+        branch = S.sector_branch(filings, sector) if sector in S.SECTORS else S.sector_rows(filings.filter(S.fact(S.SECTOR_KEY) == sector))
+        written = 0
+        try:
+            W.guard_empty(branch, on_empty="fail")
+            counted, seen = W.counted(branch)
+            W.write_parquet(counted, path)
+            written = seen.get["rows"]
+        except W.EmptyInput:
+            pass
+        stored = spark.read.parquet(path) if exists(spark, path) else branch
+        one = stored.agg(F.lit(sector).alias("sector"), F.lit(written).cast("long").alias("counted"), F.count("*").alias("stored"), F.lit(exists(spark, path)).alias("written"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def processed_dates(spark, sf):

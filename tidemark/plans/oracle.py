@@ -7,8 +7,8 @@ Only the list of fact keys and the view-derivation constants are shared,
 because they define the test input rather than the logic under test.
 
 Results are presented the way the JSON staging sink writes them: dates as
-ISO text, money as DOUBLE. Averages are plain averages of the doubles, presented
-at single precision: the order of a sum shows in the last bits of a double.
+ISO text, money as DOUBLE. An average is the exact sum of the doubles, rounded once,
+over their count: here a sum of whole 128-bit numbers, in units that hold every bit.
 """
 
 from __future__ import annotations
@@ -44,11 +44,13 @@ AVG_NAMES = [("Open", "avg_open"), ("High", "avg_high"), ("Low", "avg_low"), ("C
              ("Volume", "avg_volume"), ("Dividends", "avg_dividends"), ("Stock Splits", "avg_stock_splits")]
 
 
+def exact_avg(x: str, bits: int = 70) -> str:
+    """The exact sum of doubles whose last bit is 2^-bits at least, rounded once (text to DOUBLE rounds correctly), over their count."""
+    return f"CAST(CAST(SUM(CAST(CAST({x} AS DOUBLE) * {2 ** bits}::DOUBLE AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {2 ** bits}::DOUBLE / COUNT({x})"
+
+
 def _avgs(prefix: str = "") -> str:
-    return ",\n  ".join(
-        f'CAST(CAST(AVG(CAST({prefix}"{m}" AS DOUBLE)) AS FLOAT) AS DOUBLE) AS {out}'
-        for m, out in AVG_NAMES
-    )
+    return ",\n  ".join(f'{exact_avg(f"""{prefix}"{m}\"""")} AS {out}' for m, out in AVG_NAMES)
 
 
 def _filing_flat(where: str = "TRUE", g: str = "g", ff: str = "ff", revised: bool = False) -> str:
@@ -91,6 +93,21 @@ def _filing_flat(where: str = "TRUE", g: str = "g", ff: str = "ff", revised: boo
 
 FILINGS = _filing_flat()
 
+
+def with_parts(parts: dict[str, tuple[str, bool]], body: str) -> str:
+    """`part`s of the orders, by filter and whether revised, as one table `ff` of filings and one `rows` of sector rows, each with its part."""
+    one = _filing_flat()
+    chosen = " UNION ALL ".join(f"SELECT '{name}' AS part, * FROM orders WHERE {where}" for name, (where, _) in parts.items())
+    anew = ", ".join(f"'{name}'" for name, (_, revised) in parts.items() if revised)
+    one = one.replace("SELECT o_custkey, year", "SELECT part, o_custkey, year").replace("FROM orders WHERE TRUE GROUP BY 1, 2, 3", f"FROM ({chosen}) GROUP BY ALL")
+    one = one.replace("SELECT 'C' ||", "SELECT part, 'C' ||", 1)
+    if anew:
+        for k, key in enumerate(V.numeric_fact_keys()):
+            if k % 3 == 0:
+                one = one.replace(f'* {k % V.MULTIPLIERS + 1} AS VARCHAR) END AS "{key}"', f'* ({k % V.MULTIPLIERS + 1} + (part IN ({anew}))::INT) AS VARCHAR) END AS "{key}"')
+    rows = sector_all().replace("SELECT ", "SELECT part, ")
+    return f"WITH {one},\nrows AS ({rows})\n{body}"
+
 # ------------------------------------------------------- rule restatement
 
 
@@ -332,23 +349,27 @@ def queries_sql() -> dict[str, str]:
         f" CAST(CASE WHEN sales_int IS NULL OR sales_int = '' THEN 0 ELSE 1 END AS INTEGER) AS n_unparsed,"
         f" CAST(CASE WHEN {n('sales_int || repeat(chr(48), 12)')} IS NULL THEN NULL ELSE 1 END AS INTEGER) AS n_parsed\n"
         f"FROM (SELECT *, split_part({f('Assets')}, '.', 1) AS sales_int FROM ff)")
-    fine = [f'CAST(CAST(AVG(CAST("Open" AS DOUBLE) * {x}) AS FLOAT) AS DOUBLE) AS {c}' for x, c in (("0.0000000012345", "tiny"), ("0.123456789123", "fine"))]
+    fine = [f"{exact_avg(x, bits)} AS {c}" for x, bits, c in (('(CAST("Open" AS DOUBLE) * 0.0000000012345::DOUBLE)', 100, "tiny"), ('(CAST("Open" AS DOUBLE) * 0.123456789123::DOUBLE)', 70, "fine"))]
     q["avg_fine_grained"] = with_ticks(f"SELECT strftime({day}, '%Y-%m-%d') AS \"Date\", ticker, {', '.join(fine)} FROM ticks GROUP BY {day}, ticker")
     q["target_names"] = (
         "SELECT DISTINCT y AS year, q AS quarter, 'filings_' || y || 'TW' || q || '_raw' AS name FROM (SELECT CASE WHEN month(d) <= 3 THEN year(d) - 1 ELSE year(d) END AS y,"
         " CASE WHEN month(d) <= 3 THEN 4 WHEN month(d) <= 6 THEN 1 WHEN month(d) <= 9 THEN 2 ELSE 3 END AS q FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders))")
     q["surrogate_ids"] = "SELECT COUNT(*) AS n, COUNT(*) AS n_distinct, 0 AS n_bad FROM lineitem"
-    q["canonical_columns"] = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(
-        ["entity_name", "emiten", "tahun", "triwulan", "report_date", "satuan", "pembulatan", *MONEY_ORDER, "extra"])) + ") t(position, name), (SELECT COUNT(*) > 0 AS found FROM orders) WHERE found"
-    q["canonical_columns"] = q["canonical_columns"].replace("SELECT *", "SELECT position, name", 1)
+    as_text = [f"coalesce({c}, '')" for c in ("entity_name", "emiten", "tahun", "triwulan", "report_date", "satuan", "pembulatan")]
+    as_text += [f"coalesce(CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR), '')" for c in MONEY_ORDER]
+    q["canonical_columns"] = with_filings(f"SELECT emiten, tahun, triwulan, concat_ws('|', {', '.join(as_text)}, 'end') AS row_text FROM ({sector_all()})")
     q["sorted_staging"] = with_filings(f"SELECT emiten, 0 AS out_of_order, COUNT(*) AS n FROM ({sector_all()}) GROUP BY emiten")
-    q["counted_writes"] = with_filings(f"SELECT 'rows' AS step, COUNT(*) AS n FROM ({sector_all()}) UNION ALL SELECT 'empty skipped', 0 UNION ALL SELECT 'empty refused', 1")
+    q["sorted_json"] = q["sorted_staging"]
+    q["counted_writes"] = with_filings("\nUNION ALL ".join(
+        f"SELECT '{sector}' AS sector, COUNT(*) AS counted, COUNT(*) AS stored, COUNT(*) > 0 AS written FROM ({sector_select(sector)})" for sector in S.SECTORS)
+        + "\nUNION ALL SELECT 'nobody''s', 0, 0, false")
     q["processed_dates"] = with_filings(f"SELECT COUNT(*) AS n, COUNT(*) AS n_iso FROM ff WHERE {_kind()} IN (0, 1)")
     q["malformed_instances"] = with_filings(
         "SELECT CASE WHEN CAST(substr(ticker, 2) AS INTEGER) % 5 = 0 THEN 'parse_error' ELSE 'ok' END AS status, COUNT(*) AS n FROM ff GROUP BY 1")
     q.update(merge_sql())
     q.update(ingest_sql(q))
     q["stream_monthly_average"] = q["avg_monthly"]
+    q.update(job_sql(q))
     return q
 
 
@@ -408,6 +429,7 @@ def merge_sql() -> dict[str, str]:
         f"WITH {fo}, {fn}, old AS ({sector_all('ff_old')}), new AS ({sector_all('ff_new')})\n"
         f"SELECT {coalesced} FROM old o FULL OUTER JOIN new n "
         f"ON o.emiten = n.emiten AND o.tahun = n.tahun AND o.triwulan = n.triwulan")
+    q["bucketed_upsert_rows"] = q["set_upsert_rows"]
     q["replace_upsert_monthly"] = _replace(_monthly_from(OLD_TICKS), _monthly_from(NEW_TICKS, REVISED), ["Year", "Month", "ticker"])
     q["replace_upsert_yearly"] = _replace(_yearly_from(OLD_TICKS), _yearly_from(NEW_TICKS, REVISED), ["Year", "ticker"])
     order = ["entity_name", "emiten", "tahun", "triwulan", "report_date", "satuan", "pembulatan", *MONEY_ORDER]
@@ -417,9 +439,8 @@ def merge_sql() -> dict[str, str]:
     q["set_upsert_duplicate_keys"] = (
         f"WITH {fo}, {fn}, {fl}, old AS ({sector_all('ff_old')}), new AS ({sector_all('ff_new')}), late AS ({sector_all('ff_late')})\n"
         f"SELECT {late} FROM old o FULL OUTER JOIN new n ON {same.format(a='o', b='n')} LEFT JOIN late l ON {same.format(a='n', b='l')}")
-    q["replace_upsert_duplicate_keys"] = (
-        f"WITH {fo}, {fl}, old AS ({sector_all('ff_old')}), late AS ({sector_all('ff_late')})\n"
-        f"SELECT {', '.join(order)} FROM old o WHERE NOT EXISTS (SELECT 1 FROM late l WHERE {same.format(a='o', b='l')}) UNION ALL SELECT {', '.join(order)} FROM late")
+    parts = {"old": (OLD_ORDERS, False), "late": (NEW_ORDERS, False)}
+    q["replace_upsert_duplicate_keys"] = with_parts(parts, f"SELECT {', '.join(order)} FROM rows QUALIFY row_number() OVER (PARTITION BY emiten, tahun, triwulan ORDER BY part) = 1")
     moved = " OR ".join(f"(n.{c} IS NOT NULL AND n.{c} IS DISTINCT FROM o.{c})" for c in order if c not in ("emiten", "tahun", "triwulan"))
     q["merge_outcomes_set"] = (
         f"WITH {fo}, {fn}, old AS ({sector_all('ff_old')}), new AS ({sector_all('ff_new')})\n"
@@ -487,12 +508,12 @@ def ingest_sql(base: dict[str, str]) -> dict[str, str]:
     q["staged_aggregates"] = with_ticks(
         f"SELECT 'daily_aggregation' AS aggregation_type, strftime({day}, '%Y-%m-%d') AS \"Date\","
         f" CAST(NULL AS INTEGER) AS \"Year\", CAST(NULL AS INTEGER) AS \"Month\", ticker,"
-        f" CAST(CAST(AVG(\"Close\") AS FLOAT) AS DOUBLE) AS avg_close"
+        f" {exact_avg('"Close"')} AS avg_close"
         f" FROM ticks GROUP BY {day}, ticker\n"
         f"UNION ALL SELECT 'monthly_aggregation', NULL, CAST(year({day}) AS INTEGER), CAST(month({day}) AS INTEGER),"
-        f" ticker, CAST(CAST(AVG(\"Close\") AS FLOAT) AS DOUBLE) FROM ticks GROUP BY 3, 4, 5\n"
+        f" ticker, {exact_avg('"Close"')} FROM ticks GROUP BY 3, 4, 5\n"
         f"UNION ALL SELECT 'yearly_aggregation', NULL, CAST(year({day}) AS INTEGER), NULL,"
-        f" ticker, CAST(CAST(AVG(\"Close\") AS FLOAT) AS DOUBLE) FROM ticks GROUP BY 3, 5")
+        f" ticker, {exact_avg('"Close"')} FROM ticks GROUP BY 3, 5")
     q["staged_parquet"] = with_filings(sector_all())
     q["archive_members"] = with_filings(
         f"SELECT ticker, tahun, triwulan,"
@@ -510,3 +531,50 @@ def ingest_sql(base: dict[str, str]) -> dict[str, str]:
         f" 'instance.xbrl' AS instance_filename, {SECTOR_FACT} AS sector,"
         f" {f('ProfitLoss', 'D')} AS net_profit_text FROM ff WHERE {_kind()} IN (0, 1)")
     return q
+
+
+# ------------------------------------------------------------------- jobs
+
+
+def job_sql(base: dict[str, str]) -> dict[str, str]:
+    q: dict[str, str] = {}
+    keys = "emiten, tahun, triwulan"
+    order = ["entity_name", "emiten", "tahun", "triwulan", "report_date", "satuan", "pembulatan", *MONEY_ORDER]
+    avgs = ", ".join(out for _, out in AVG_NAMES)
+    tenth = "CAST(substr(emiten, 2) AS INTEGER) % 10 = 0"
+    q["month_to_date_store"] = base["month_to_date_ticks"]
+    q["ingest_prices_job"] = f"SELECT * EXCLUDE (symbol), true AS has_id FROM ({base['price_frame_rows']})"
+    # The later statement of a key counts per column: revised for every tenth customer, as filed for the others.
+    parts = {"old": (OLD_ORDERS, False), "filed": (NEW_ORDERS, False), "revised": (NEW_ORDERS, True)}
+    place = f"CASE part WHEN 'old' THEN 0 WHEN 'revised' THEN 2 ELSE CASE WHEN {tenth} THEN 1 ELSE 3 END END"
+    last = ", ".join(f"arg_max({c}, {place}) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in order if c not in ("emiten", "tahun", "triwulan"))
+    q["load_sector_rows_job"] = with_parts(parts, f"SELECT {keys}, {last} FROM rows GROUP BY {keys}")
+    daily = f"{_daily_from(OLD_TICKS)} UNION ALL {_daily_from(NEW_TICKS).replace('FROM ticks', 'FROM ' + REVISED)}"
+
+    def replaced(old: str, new: str, by: list[str], kind: str, month: str) -> str:
+        return (f"SELECT '{kind}_aggregation' AS aggregation_type, NULL AS \"Date\", \"Year\", {month} AS \"Month\", ticker, {avgs} FROM"
+                f" (SELECT * FROM ({old}) o WHERE NOT EXISTS (SELECT 1 FROM ({new}) n WHERE {_nsafe(by)}) UNION ALL SELECT * FROM ({new}))")
+
+    q["load_prices_job"] = with_ticks(
+        f"SELECT 'daily_aggregation' AS aggregation_type, \"Date\", CAST(NULL AS INTEGER) AS \"Year\", CAST(NULL AS INTEGER) AS \"Month\", ticker, {avgs} FROM ({daily})"
+        f"\nUNION ALL {replaced(_monthly_from(OLD_TICKS), _monthly_from(NEW_TICKS, REVISED), ['Year', 'Month', 'ticker'], 'monthly', chr(34) + 'Month' + chr(34))}"
+        f"\nUNION ALL {replaced(_yearly_from(OLD_TICKS), _yearly_from(NEW_TICKS, REVISED), ['Year', 'ticker'], 'yearly', 'NULL')}")
+    mk = ["Year", "Month", "ticker"]
+    q["load_stamps"] = (
+        f"WITH {TICKS}, old AS ({_monthly_from(OLD_TICKS)}), new AS ({_monthly_from(NEW_TICKS)})\n"
+        f'SELECT COALESCE(n."Year", o."Year") AS "Year", COALESCE(n."Month", o."Month") AS "Month", COALESCE(n.ticker, o.ticker) AS ticker,'
+        f" 'monthly_aggregation' AS aggregation_type, 2 AS n_stamps, n.ticker IS NOT NULL AS later FROM old o FULL OUTER JOIN new n ON {_nsafe(mk)}")
+    q["load_rejects"] = "SELECT 'monthly_aggregation' AS aggregation_type, 'not JSON' AS reason, '{\"Year\": 1995, \"ticker\": \"' || r_name AS line FROM region"
+    q["load_refuses_duplicates"] = with_parts({"old": (OLD_ORDERS, False)}, f"SELECT {keys}, CASE WHEN {tenth} THEN 2 ELSE 1 END AS n, total_assets, true AS refused FROM rows")
+    period = "tahun = '1997' AND triwulan = 'TW2'"
+    q["transform_filings_job"] = with_filings(
+        f"SELECT *, COUNT(*) OVER () AS counted, (SELECT COUNT(*) FROM ff WHERE {period} AND {SECTOR_FACT} IS NULL) AS null_sector FROM ({sector_all()}) WHERE {period}")
+    count_present = " + ".join(f'(CASE WHEN "{k}" IS NOT NULL THEN 1 ELSE 0 END)' for k in S.rule_keys())
+    q["documents_per_ticker"] = with_filings(
+        f"SELECT ticker, tahun, triwulan, 1 AS n_files, 1 AS n_documents, CAST({count_present} AS INTEGER) AS n_facts, {SECTOR_FACT} AS sector, {f('ProfitLoss', 'D')} AS net_profit_text FROM ff")
+    q["archive_files_ingest"] = with_filings(
+        f"SELECT ticker, tahun, triwulan, CASE {_kind()} WHEN 2 THEN 'no_instance' WHEN 3 THEN 'bad_zip' ELSE 'ok' END AS status,"
+        f" CASE WHEN {_kind()} IN (0, 1) THEN CAST({count_present} AS INTEGER) END AS n_facts, CASE WHEN {_kind()} IN (0, 1) THEN true END AS has_size FROM ff")
+    q["incremental_averages"] = with_ticks(
+        f"SELECT 'monthly' AS grain, * FROM ({_monthly_from('TRUE')})\nUNION ALL SELECT 'yearly', \"Year\", CAST(NULL AS INTEGER), * EXCLUDE (\"Year\") FROM ({_yearly_from('TRUE')})")
+    return q

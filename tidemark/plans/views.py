@@ -338,3 +338,13 @@ def zip_archives(xml_df: DataFrame) -> DataFrame:
             )
 
     return df.select("ticker", "tahun", "triwulan", "xbrl", "_kind").mapInArrow(run, schema)
+
+
+def write_archive_files(archives: DataFrame, path: str) -> None:
+    """Each archive's bytes as a file of its own, `tahun=<t>/triwulan=<q>/ticker=<k>/part-*`.
+
+    The text writer puts a value's bytes as they are and ends the line, which a ZIP
+    reader passes over.
+    """
+    rows = archives.select("tahun", "triwulan", "ticker", F.col("content").cast("string").alias("value"))
+    rows.repartition("tahun", "triwulan", "ticker").write.partitionBy("tahun", "triwulan", "ticker").text(path)

@@ -6,8 +6,9 @@ off by default; order is only imposed where a reader can see it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 class EmptyInput(RuntimeError):
@@ -78,9 +79,29 @@ def write_collection(df: DataFrame, path: str, fmt: str = "parquet", sort_by: st
     out.write.format(fmt).mode(mode).options(**options).save(path)
 
 
-def write_documents(df: DataFrame, path: str) -> None:
-    """K5: one folder per (tahun, triwulan, ticker) holding that filing's JSON."""
-    df.write.mode("overwrite").partitionBy("tahun", "triwulan", "ticker").json(path)
+DOCUMENT_PARTITIONS = ["tahun", "triwulan", "ticker"]
+
+
+def write_documents(df: DataFrame, path: str, files_per_document: int = 1) -> None:
+    """K5: one folder per (tahun, triwulan, ticker) holding that filing's JSON, in one file.
+
+    The rows are first dealt out by those columns, so a folder is written by one
+    task and has one file, however many tasks there are. `files_per_document`
+    spreads the rows of each over so many tasks and files, for tickers of very many
+    documents.
+    """
+    keys = [F.col(c) for c in DOCUMENT_PARTITIONS]
+    salt = [F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]), F.lit(files_per_document))] * (files_per_document > 1)
+    df.repartition(*keys, *salt).write.mode("overwrite").partitionBy(*DOCUMENT_PARTITIONS).json(path)
+
+
+def _has_map(kind) -> bool:
+    return "map<" in kind.simpleString()
+
+
+def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """K5 read back; the folder names give the partition columns, with the types `schema` has for them."""
+    return spark.read.schema(schema).json(path)
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:

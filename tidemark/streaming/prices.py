@@ -1,37 +1,21 @@
 """The weekday price job as an incremental Structured Streaming query.
 
-The original job re-reads every stored tick each weekday, recomputes the
-period averages and upserts them. Here the stored ticks are a file stream:
-each run (`trigger(availableNow=True)`, i.e. a scheduled batch with
-exactly-once bookkeeping in the checkpoint) reads only the new files, a
-stateful aggregation keeps the running fixed-point sums per period key, and
-the groups that changed in the micro-batch are replace-upserted into the
-target (M3 / M4) inside `foreachBatch`.
-
-The target is versioned: every micro-batch writes a complete new version
-folder `v=<batch id>` next to the previous ones and never overwrites the
-folder it reads, so a lost executor or a retried batch cannot leave a
-half-merged target; a retried batch id rewrites its own version.
-
-State holds one row per (period, ticker). An optional watermark
-(`late_days`) drops the state of closed periods, bounding it for unbounded
-history; ticks of a period whose state was dropped are then ignored, so leave
-it unset to keep the original "recompute everything" semantics.
+The stored ticks are a file stream: each run (`trigger(availableNow=True)`, a
+scheduled batch with exactly-once bookkeeping in the checkpoint) reads only the new
+files, folds them into the store of daily sums (`operators.partials`) and
+recomputes the months or years they touch. A micro-batch that is
+repeated overwrites its own part of the store.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.operators import merge as M
-from tidemark.operators import rollup as R
-from tidemark.schemas import MONTHLY_KEYS, TICK, YEARLY_KEYS
+from tidemark.operators import partials as P
+from tidemark.schemas import TICK, aggregate_schema
 
-GRAIN_KEYS = {"monthly": MONTHLY_KEYS, "yearly": YEARLY_KEYS}
 
-
-def tick_stream(spark: SparkSession, path: str, fmt: str = "json", max_files_per_trigger: int | None = None):
+def tick_stream(spark: SparkSession, path: str, fmt: str = "json", max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming ticks from a folder of files, with the explicit TICK schema.
 
     New files land in the folder itself or in partition-style subfolders
@@ -43,75 +27,16 @@ def tick_stream(spark: SparkSession, path: str, fmt: str = "json", max_files_per
     return r.load(path)
 
 
-def period_averages(ticks: DataFrame, grain: str = "monthly", late_days: int | None = None) -> DataFrame:
-    """Running averages per period key (streaming or batch input).
-
-    With `late_days`, the period's first day is an event-time grouping key
-    under a watermark, so the state of a period is dropped once a period
-    starting more than `late_days` later has been seen.
-    """
-    t = R.with_periods(ticks)
-    keys = GRAIN_KEYS[grain]
-    if late_days is None:
-        return R.average_by(t, keys)
-    unit = "MM" if grain == "monthly" else "YYYY"
-    t = t.withColumn("_period", F.trunc("Date", unit).cast("timestamp")).withWatermark("_period", f"{late_days} days")
-    return R.average_by(t, ["_period", *keys]).drop("_period")
-
-
-def _versions(spark: SparkSession, target: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(target)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            done = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-            if fs.exists(done):
-                out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_latest(spark: SparkSession, target: str) -> DataFrame | None:
-    """The newest complete version of a versioned target, or None."""
-    v = _versions(spark, target)
-    return spark.read.parquet(f"{target.rstrip('/')}/v={v[-1]}") if v else None
-
-
-def upsert_batch(spark: SparkSession, target: str, keys: list[str]):
-    """`foreachBatch` function: replace-upsert the changed groups into a new version."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        done = [v for v in _versions(spark, target) if v < batch_id]
-        new = batch
-        if done:
-            old = spark.read.parquet(f"{target.rstrip('/')}/v={done[-1]}")
-            new = M.replace_upsert(old, batch, keys, null_safe=True)
-        new.write.mode("overwrite").parquet(f"{target.rstrip('/')}/v={batch_id}")
-
-    return run
+def run_incremental(spark: SparkSession, source: str, store: str, target: str, checkpoint: str, grain: str = "monthly",
+                    fmt: str = "json", max_files_per_trigger: int | None = None) -> DataFrame:
+    """One scheduled run: folds the new tick files into store and target; returns the target."""
 
+    def batch(ticks: DataFrame, number: int) -> None:
+        P.fold(ticks, store, number)
+        P.refresh(spark, store, number, target, grain)
 
-def run_incremental(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    checkpoint: str,
-    grain: str = "monthly",
-    fmt: str = "json",
-    late_days: int | None = None,
-) -> DataFrame | None:
-    """One scheduled run: fold the new tick files into the target; returns it."""
-    q = (
-        period_averages(tick_stream(spark, source, fmt), grain, late_days)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(upsert_batch(spark, target, GRAIN_KEYS[grain]))
-        .trigger(availableNow=True)
-        .start()
-    )
+    q = (tick_stream(spark, source, fmt, max_files_per_trigger).writeStream.option("checkpointLocation", checkpoint)
+         .foreachBatch(batch).trigger(availableNow=True).start())
     q.awaitTermination()
-    return read_latest(spark, target)
+    keys = [P.STORE[k] for k in P.GRAIN_KEYS[grain]]
+    return spark.read.schema(aggregate_schema(keys)).parquet(target)
