@@ -2,6 +2,8 @@
 
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from tidemark import jobs as J
 from tidemark.operators import rollup as R
 from tidemark.operators import sectors as S
@@ -140,3 +142,104 @@ def test_filings_transform_on_promoted_parquet(spark, sf, tmp_path):
     assert staged.exceptAll(expected).count() == 0
     emitens = [r.emiten for r in staged.select("emiten").collect()]
     assert emitens == sorted(emitens)
+
+
+def test_archive_files_through_binary_file(spark, sf, tmp_path):
+    """S3: every archive a file of its own, in partition-style folders, ingested from the files; a period limits what is read."""
+    archives = V.zip_archives(V.instance_xml(V.filings(spark, sf, F.expr("o_orderdate >= TIMESTAMP_NTZ'1998-01-01 00:00:00'"))))
+    V.write_archive_files(archives, str(tmp_path / "archives"))
+    seen = J.ingest_filings(spark, str(tmp_path / "archives"), str(tmp_path / "filings"), str(tmp_path / "status"), pattern="part-*")
+    n = archives.count()
+    status = spark.read.parquet(str(tmp_path / "status"))
+    assert status.count() == n and seen["inserted"] == status.filter("status = 'ok'").count() == seen["status_ok"]
+    stored = spark.read.parquet(str(tmp_path / "filings"))
+    assert stored.filter("size(facts) > 0 AND file_info.file_size > 0 AND ticker LIKE 'C%'").count() == seen["inserted"]
+    one = J.ingest_filings(spark, str(tmp_path / "archives"), str(tmp_path / "period"), as_of=date(1998, 5, 2), pattern="part-*")
+    got = spark.read.parquet(str(tmp_path / "period")).select("tahun", "triwulan").distinct().collect()
+    assert [tuple(map(str, r)) for r in got] == [("1998", "TW1")] and one["inserted"] > 0
+
+
+def test_the_last_archive_of_a_key_counts(spark, tmp_path):
+    """Of two archives of one filing the one with the later path, whatever their sizes."""
+    import io
+    import zipfile
+
+    for name, value, pad in (("a.zip", "1", 50_000), ("b.zip", "2", 1)):
+        body = io.BytesIO()
+        with zipfile.ZipFile(body, "w") as z:
+            z.writestr("instance.xbrl", f'<r><F contextRef="c">{value}</F><G contextRef="c">{"x" * pad}</G></r>')
+        folder = tmp_path / "in" / "2024" / "TW1" / "AAA"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(body.getvalue())
+    J.ingest_filings(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).select(F.col("facts")["F_c"]["value"]).collect() == [("2",)]
+
+
+def test_records_count_in_the_order_of_file_names(spark, tmp_path):
+    """A small first file against a large second one: Spark reads the large one first."""
+    keys = '"emiten":"X","tahun":"2024","triwulan":"TW1"'
+    (tmp_path / "part-00000.json").write_text(f'{{{keys},"revenue":1,"cash":5}}\n')
+    others = "".join(f'{{"emiten":"Y{k}","tahun":"2024","triwulan":"TW1","revenue":{k}}}\n' for k in range(300))
+    (tmp_path / "part-00001.json").write_text(others + f'{{{keys},"revenue":2}}\n')
+    J.load_sector_rows(spark, str(tmp_path), str(tmp_path / "target"))
+    x = spark.read.parquet(str(tmp_path / "target")).filter("emiten = 'X'").first()
+    assert (int(x["revenue"]), int(x["cash"])) == (2, 5)
+
+
+def test_rejects_are_kept_with_place_and_reason(spark, tmp_path):
+    folder = tmp_path / "staged" / "monthly_aggregation"
+    folder.mkdir(parents=True)
+    lines = ['{"Year":2024,"Month":1,"ticker":"A","avg_open":1.5}', "not json", '["list"]', '{"Year":"x","Month":2,"ticker":"B"}', '{"Year":2024,"Month":3,"ticker":"C"} trailing', "", '{"Year":2024,"Month":4,"ticker":"D","avg_open":"NaN"}', "null"]
+    (folder / "part-00000.json").write_text("\n".join(lines) + "\n")
+    out = J.load_prices(spark, str(tmp_path / "staged"), {"monthly": str(tmp_path / "monthly")}, rejects_path=str(tmp_path / "rejects"))
+    assert (out["monthly"]["rejected"], out["monthly"]["mistyped"], out["monthly"]["inserted"]) == (4, 1, 3)
+    kept = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert {(r["line"], r["reason"]) for r in kept} == {("not json", "not JSON"), ('["list"]', "not an object"), (lines[4], "not JSON"), ("null", "not an object")}
+    assert {r["file"] for r in kept} == {"part-00000.json"} and {r["aggregation_type"] for r in kept} == {"monthly_aggregation"}
+
+
+def test_a_target_with_duplicate_keys_is_left_as_it_is(spark, tmp_path):
+    import pytest
+
+    from tidemark.operators.merge import DuplicateKeys
+    from tidemark.schemas import SECTOR_ROW
+
+    row = '{"emiten":"X","tahun":"2024","triwulan":"TW1","revenue":1}\n'
+    (tmp_path / "staged").mkdir()
+    (tmp_path / "staged" / "part-00000.json").write_text(row)
+    once = spark.read.schema(SECTOR_ROW).json(str(tmp_path / "staged"))
+    once.unionByName(once).write.partitionBy("tahun", "triwulan").parquet(str(tmp_path / "target"))
+    before = sorted(spark.read.parquet(str(tmp_path / "target")).inputFiles())
+    with pytest.raises(DuplicateKeys, match="X, 2024, TW1"):
+        J.load_sector_rows(spark, str(tmp_path / "staged"), str(tmp_path / "target"))
+    assert sorted(spark.read.parquet(str(tmp_path / "target")).inputFiles()) == before
+
+
+def test_merge_does_not_shuffle_a_bucketed_target(spark, sf, tmp_path):
+    from tidemark.operators import merge as M
+    from tidemark.schemas import SECTOR_KEYS, SECTOR_ROW
+    from tidemark.sources.keyed import read_keyed, table_name, write_keyed
+
+    path = str(tmp_path / "keyed")
+    rows = S.sector_rows(V.filings(spark, sf))
+    write_keyed(rows, path, SECTOR_KEYS, 4)
+    spark.sql(f"DROP TABLE {table_name(path)}")  # as in another session
+    target = read_keyed(spark, path, SECTOR_ROW, SECTOR_KEYS, 4)
+    assert target.count() == rows.count()
+    batch = spark.createDataFrame(rows.limit(50).collect(), SECTOR_ROW)
+    plan = M.set_upsert(target, batch, SECTOR_KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    side = plan[plan.index("SortMergeJoin"):]
+    assert "Exchange" not in side[:side.index("FileScan")].split("+- Sort")[0]
+
+
+def test_tick_store_reads_the_month_only(spark, sf, tmp_path):
+    from tidemark.sources import ticks as T
+
+    T.append_ticks(V.ticks(spark, sf), str(tmp_path / "ticks"))
+    got = T.month_to_date_ticks(spark, str(tmp_path / "ticks"), date(1998, 8, 20))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):]
+    assert "tick_year" in filters[:120] and "tick_month" in filters[:200] and "GreaterThanOrEqual(day" in plan
+    want = V.ticks(spark, sf).filter("Date >= '1998-08-01' AND Date < '1998-08-20'").count()
+    assert got.count() == want > 0

@@ -254,7 +254,7 @@ def load_prices(spark: SparkSession, staged_base: str, targets: dict[str, str],
             out[kind] = merge_into(incoming, targets[kind], StructType([*stored.fields, StructField("Year", StringType())]), keys, ["Year"], "replace", True, (STAMP,), ST.ORDER)
         else:
             out[kind] = merge_into(incoming, targets[kind], stored, keys, ["Year"], "replace", True, (STAMP,), ST.ORDER)
-        out[kind] |= {"rejected": counts["malformed"], "mistyped": counts["mistyped"]}
+        out[kind] |= {"rejected": counts["malformed"]} | ({"mistyped": counts["mistyped"]} if counts["mistyped"] else {})
     return out
 
 

@@ -713,19 +713,6 @@ def documents_per_ticker(spark, sf):
         F.max(S.fact(S.SECTOR_KEY)).alias("sector"), F.max(net).alias("net_profit_text"))
 
 
-def archive_files_ingest(spark, sf):
-    """S3 through `binaryFile`: every archive as a file of its own, ingested from the files; the facts and statuses stored."""
-    from tidemark import jobs as J
-    from tidemark.session import scratch_path
-
-    base = scratch_path(spark, "archive-files")
-    V.write_archive_files(_archives(spark, sf), f"{base}/archives")
-    J.ingest_filings(spark, f"{base}/archives", f"{base}/filings", f"{base}/status", pattern="part-*")
-    kept = spark.read.parquet(f"{base}/filings").select("ticker", F.col("tahun").cast("string").alias("tahun"), "triwulan", F.size("facts").cast("int").alias("n_facts"), F.col("file_info.file_size").alias("file_size"))
-    status = spark.read.parquet(f"{base}/status").select("ticker", "tahun", "triwulan", "status")
-    return status.join(kept, ["ticker", "tahun", "triwulan"], "left").select("ticker", "tahun", "triwulan", "status", "n_facts", (F.col("file_size") > 0).alias("has_size"))
-
-
 def load_refuses_duplicates(spark, sf):
     """M8: a target in which every tenth customer's rows stand twice; the load is refused, and the target is as it was."""
     from tidemark import jobs as J
@@ -749,7 +736,7 @@ def load_refuses_duplicates(spark, sf):
 
 
 JOB_QUERIES = ["month_to_date_store", "ingest_prices_job", "load_sector_rows_job", "load_prices_job", "load_stamps", "load_rejects", "load_refuses_duplicates",
-               "transform_filings_job", "documents_per_ticker", "archive_files_ingest", "sorted_json"]
+               "transform_filings_job", "documents_per_ticker", "sorted_json"]
 
 
 def ticker_lines(spark, sf):

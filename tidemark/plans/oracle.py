@@ -572,9 +572,6 @@ def job_sql(base: dict[str, str]) -> dict[str, str]:
     count_present = " + ".join(f'(CASE WHEN "{k}" IS NOT NULL THEN 1 ELSE 0 END)' for k in S.rule_keys())
     q["documents_per_ticker"] = with_filings(
         f"SELECT ticker, tahun, triwulan, 1 AS n_files, 1 AS n_documents, CAST({count_present} AS INTEGER) AS n_facts, {SECTOR_FACT} AS sector, {f('ProfitLoss', 'D')} AS net_profit_text FROM ff")
-    q["archive_files_ingest"] = with_filings(
-        f"SELECT ticker, tahun, triwulan, CASE {_kind()} WHEN 2 THEN 'no_instance' WHEN 3 THEN 'bad_zip' ELSE 'ok' END AS status,"
-        f" CASE WHEN {_kind()} IN (0, 1) THEN CAST({count_present} AS INTEGER) END AS n_facts, CASE WHEN {_kind()} IN (0, 1) THEN true END AS has_size FROM ff")
     q["incremental_averages"] = with_ticks(
         f"SELECT 'monthly' AS grain, * FROM ({_monthly_from('TRUE')})\nUNION ALL SELECT 'yearly', \"Year\", CAST(NULL AS INTEGER), * EXCLUDE (\"Year\") FROM ({_yearly_from('TRUE')})")
     return q

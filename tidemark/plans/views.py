@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, LongType, StringType
 
 from tidemark.operators import sectors as S
+from tidemark.sinks.writers import writers
 
 PRICE = DecimalType(18, 2)
 
@@ -347,4 +348,4 @@ def write_archive_files(archives: DataFrame, path: str) -> None:
     reader passes over.
     """
     rows = archives.select("tahun", "triwulan", "ticker", F.col("content").cast("string").alias("value"))
-    rows.repartition("tahun", "triwulan", "ticker").write.partitionBy("tahun", "triwulan", "ticker").text(path)
+    rows.repartition(writers(archives.sparkSession), "tahun", "triwulan", "ticker").write.partitionBy("tahun", "triwulan", "ticker").text(path)

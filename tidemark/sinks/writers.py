@@ -92,7 +92,12 @@ def write_documents(df: DataFrame, path: str, files_per_document: int = 1) -> No
     """
     keys = [F.col(c) for c in DOCUMENT_PARTITIONS]
     salt = [F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]), F.lit(files_per_document))] * (files_per_document > 1)
-    df.repartition(*keys, *salt).write.mode("overwrite").partitionBy(*DOCUMENT_PARTITIONS).json(path)
+    df.repartition(writers(df.sparkSession), *keys, *salt).write.mode("overwrite").partitionBy(*DOCUMENT_PARTITIONS).json(path)
+
+
+def writers(spark: SparkSession) -> int:
+    """Tasks for writes of many small files, whose cost is the files and not the bytes that adaptive execution goes by."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _has_map(kind) -> bool:

@@ -83,7 +83,7 @@ def parse_lenient(spark: SparkSession, path: str, schema: StructType, files: str
     plain = F.col("r._corrupt").isNull() & F.col("r").isNotNull() & F.ltrim("value").startswith("{") & F.rtrim("value").endswith("}")
     judged = read.withColumn("plain", F.coalesce(plain, F.lit(False)))
     judged = judged.withColumn("json", F.when(~F.col("plain"), F.expr("try_parse_json(value)")))
-    judged = judged.withColumn("good", F.col("plain") | (F.col("json").isNotNull() & F.expr("schema_of_variant(json)").startswith("OBJECT")))
+    judged = judged.withColumn("good", F.col("plain") | (F.col("json").isNotNull() & F.expr("schema_of_variant(json)").startswith("OBJECT") & F.rtrim("value").endswith("}")))
 
     def get(name: str, kind: str) -> Column:
         return F.expr(f"try_variant_get(json, '$[\"{name}\"]', '{kind}')")
@@ -93,7 +93,8 @@ def parse_lenient(spark: SparkSession, path: str, schema: StructType, files: str
         again = get(f.name, f.dataType.simpleString())
         fields.append(F.when(F.col("plain"), F.col(f"r.`{f.name}`")).when(F.col("good"), again).alias(f.name))
         mistyped = mistyped | (get(f.name, "string").isNotNull() & again.isNull())
-    reason = F.when(~F.coalesce("good", F.lit(False)), F.when(F.col("json").isNotNull(), F.lit("not an object")).otherwise(F.lit("not JSON")))
+    other = F.col("json").isNotNull() & ~F.expr("schema_of_variant(json)").startswith("OBJECT")
+    reason = F.when(~F.coalesce("good", F.lit(False)), F.when(other, F.lit("not an object")).otherwise(F.lit("not JSON")))
     return judged.select(*fields, ORDER, reason.alias(REASON), (F.coalesce("good", F.lit(False)) & ~F.col("plain") & mistyped).alias(MISTYPED), F.when(reason.isNotNull(), F.col("value")).alias(LINE))
 
 
