@@ -54,8 +54,9 @@ def test_refresh_prunes_the_store(spark, sf, tmp_path):
     P.fold(V.ticks(spark, sf, F.col("l_shipdate") >= F.lit("1998-10-01").cast("timestamp_ntz")), store, 1)
     states = P.read_store(spark, store).filter(P.touched(spark, store, 1, ["Year", "Month"]))
     plan = P.averages_of(states, "monthly")._jdf.queryExecution().executedPlan().toString()
-    filters = plan[plan.index("PartitionFilters: [") + 19:]
-    assert "Year#" in filters[:40] and "Month#" in filters[:filters.index("PushedFilters")]
+    filters = plan[plan.index("PartitionFilters: [("):]
+    filters = filters[:filters.index("PushedFilters")]
+    assert "Year#" in filters and "Month#" in filters
 
 
 def test_no_ticks_and_bad_dates(spark, sf, tmp_path):
