@@ -13,17 +13,21 @@ from __future__ import annotations
 import os
 import re
 import sys
+from datetime import date
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.operators import merge as M  # noqa: E402
+from tidemark.operators import partials as PT  # noqa: E402
 from tidemark.operators import rollup as R  # noqa: E402
 from tidemark.operators import sectors as S  # noqa: E402
 from tidemark.plans import views as V  # noqa: E402
 from tidemark.session import local_session, scratch_path  # noqa: E402
+from tidemark.sources import ticks as T  # noqa: E402
 from tidemark.sources import xbrl as XB  # noqa: E402
+from tidemark.sources.keyed import read_keyed, write_keyed  # noqa: E402
 
 KEEP = re.compile(r"(Scan|Exchange|Join|Aggregate|Expand|Window|Sort|Project|Filter|Union|MapInArrow|"
                   r"BroadcastExchange|AdaptiveSparkPlan|WholeStageCodegen|Coalesce|AQEShuffleRead)")
@@ -46,11 +50,12 @@ def trimmed(plan: str) -> str:
         line = re.sub(r"#\d+L?", "", line)
         if "FileScan" in line:
             head = line.split(" Batched:")[0]
+            bucketed = " Bucketed: true" if "Bucketed: true" in line else ""
             pushed = re.search(r"PushedFilters: (\[[^\]]*\])", line)
             parts = re.search(r"PartitionFilters: (\[[^\]]+\])", line)
             schema = re.search(r"ReadSchema: (\S+)", line)
             indent = " " * (len(line) - len(line.lstrip()) + 3)
-            out.append(head)
+            out.append(head + bucketed)
             out.append(f"{indent}PushedFilters: {pushed.group(1) if pushed else '[]'}")
             if parts:
                 out.append(f"{indent}PartitionFilters: {parts.group(1)}")
@@ -83,6 +88,13 @@ def main() -> None:
     V.instance_xml(filings).write.parquet(f"{base}/xml")
     xml = spark.read.parquet(f"{base}/xml")
 
+    write_keyed(rows, f"{base}/keyed", keys, 8)
+    keyed = read_keyed(spark, f"{base}/keyed", rows.schema, keys, 8)
+    T.append_ticks(V.ticks(spark, sf), f"{base}/tick_store")
+    PT.fold(V.ticks(spark, sf), f"{base}/sums", 0)
+    PT.fold(V.ticks(spark, sf, F.expr("l_shipdate >= TIMESTAMP_NTZ'1998-11-01 00:00:00'")), f"{base}/sums", 1)
+    months = PT.read_store(spark, f"{base}/sums").filter(PT.touched(spark, f"{base}/sums", 1, ["Year", "Month"]))
+
     cases = [
         ("A1-A3 in one scan (`rollup.all_grains`)", R.all_grains(ticks)),
         ("R1-R13 one pass on the promoted layout, one period (`sectors.sector_rows`)",
@@ -92,6 +104,9 @@ def main() -> None:
         ("M2 set-upsert, small batch (`merge.set_upsert`)", M.set_upsert(rows, small, keys)),
         ("A load's merge: the target's touched partitions only (`jobs.merge_into`)",
          M.merge(stored.filter("tahun = '1997' AND triwulan = 'TW2'"), batch, keys, "set")),
+        ("M2 set-upsert into a bucketed target, which is not shuffled (`sources.keyed`, `merge.set_upsert`)", M.set_upsert(keyed, small, keys)),
+        ("D5 month to date on the partitioned tick store (`ticks.month_to_date_ticks`)", T.month_to_date_ticks(spark, f"{base}/tick_store", date(1998, 8, 20))),
+        ("A2 from stored sums: the months a batch touched (`partials.refresh`)", PT.averages_of(months, "monthly")),
         ("M5 last write wins (`merge.last_write_wins`)",
          M.last_write_wins(V.ticks_with_seq(spark, sf).select("Date", "ticker", "seq", "Open"), ["Date", "ticker"])),
         ("S4 XBRL parse (`xbrl.parse_facts`)", XB.parse_facts(xml)),
