@@ -29,7 +29,23 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*done: DataFrame) -> None:
+    """Removes what `staged` wrote for these DataFrames.
+
+    For tables whose every reader has itself been written by now: neither a result nor
+    a lost executor needs them again.
+    """
+    for df in done:
+        path = getattr(df, "scratch_path", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 ROW = "row__"
@@ -132,12 +148,13 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     found = None
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hooks = staged(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("n")).select("v", F.least("v", "n").alias("c")), label)
+        hooks = last = staged(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("n")).select("v", F.least("v", "n").alias("c")), label)
         while True:
             up = hooks.select(F.col("v").alias("x"), F.col("c").alias("y"))
             nxt = staged(hooks.join(up, hooks["c"] == up["x"]).select("v", F.col("c").alias("old"), F.col("y").alias("c")), label)
             done = nxt.where("old != c").isEmpty()
-            hooks = nxt.select("v", "c")
+            discard(last)
+            last, hooks = nxt, nxt.select("v", "c")
             if done:
                 break
         step = hooks.select(F.col("v").alias("x"), F.col("c").alias("y"))

@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROW, SPACES, numbered, possibly_in, staged, text_of
+from tidemark.llm.common import ROW, SPACES, discard, numbered, possibly_in, staged, text_of
 
 DISTANCE = 2
 MIN_CHARS = 30
@@ -123,6 +123,7 @@ def linked_classes(texts: DataFrame, repeated: DataFrame, d: int) -> DataFrame:
     probe = keyed.select("key", F.col("h").alias("b"), F.col("f").alias("fb"), F.col("g").alias("gb"), "whole")
     near = F.expr(f"(a < b OR (a > b AND NOT whole)) AND {_letters_apart('fa', 'fb')} + {_letters_apart('ga', 'gb')} <= {2 * d}")
     pairs = staged(index.join(probe, "key").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
+    discard(keyed)
     involved = pairs.select(F.explode(F.array("a", "b")).alias("x")).distinct()
     known = staged(possibly_in(texts, "h", involved, "x").join(involved, F.col("h") == F.col("x"), "left_semi").dropDuplicates(["h"]).select("h", "line", "n"), "line-texts")
     both = pairs.join(known.toDF("a", "la", "na"), "a").join(known.toDF("b", "lb", "nb"), "b")

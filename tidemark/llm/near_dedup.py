@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROW, WORD, chunks, components, numbered, possibly_in, prepare, staged, words
+from tidemark.llm.common import ROW, WORD, chunks, components, discard, numbered, possibly_in, prepare, staged, words
 
 SHINGLE = 3
 PERCENT = 85
@@ -249,6 +249,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
     sets = staged(full_sets(docs, classes, involved, shingle, id_col, text_col), "near-sets")
     a, b = sets.toDF("a", "na", "sa"), sets.toDF("b", "nb", "sb")
     links = staged(pairs.join(a, "a").join(b, "b").mapInArrow(_confirm(percent), "a long, b long"), "near-links")
+    discard(found, pairs)
     names = components(links, "near-components")
 
     placed = members.join(names, members["h"] == names["v"], "left").select("region", "h", F.coalesce("c", "h").alias("c"), "rows")
@@ -263,8 +264,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, shingle: int = SHIN
         )
         more = spread.groupBy("region", "p", "q").applyInPandas(lambda rows: block_links(rows, percent), "a long, b long")
         more = staged(more, "near-links")
+        discard(sets, placed)
         if not more.isEmpty():
             names = components(links.unionByName(more), "near-components")
+    else:
+        discard(sets, placed)
+    discard(members)
 
     smallest = classes.select("h", "id").join(names, classes["h"] == names["v"], "left").select("h", "id", F.coalesce("c", "h").alias("c"))
     by_component = smallest.groupBy("c").agg(F.min("id").alias("component"))
