@@ -186,7 +186,7 @@ def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
             na, nb = b.column("na").to_numpy(), b.column("nb").to_numpy()
-            both = np.array([len(np.intersect1d(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), assume_unique=True)) for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True)], np.int64)
+            both = np.array([len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True)) for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True)], np.int64)
             ok = pa.array(100 * both >= percent * (na + nb - both))
             yield pa.RecordBatch.from_arrays([b.column("a").filter(ok), b.column("b").filter(ok)], names=["a", "b"])
 
@@ -196,7 +196,7 @@ def _confirm(percent: int):
 def block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links that join components, among the rows (h, c, n, s) of two blocks of a region."""
     rows = rows.drop_duplicates("h")
-    sets = [np.frombuffer(s, "<u4") for s in rows["s"]]
+    sets = [np.frombuffer(s, "<u8") for s in rows["s"]]
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     value, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = times[place] > 1  # a shingle of one row only adds nothing
@@ -296,7 +296,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, id
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, involved: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(h, n, s): the whole shingle set of every class of `involved` (x), as sorted 32-bit values of the 64-bit hashes."""
+    """(h, n, s): the whole shingle set of every class of `involved` (x), as sorted 64-bit hashes."""
     wanted = staged(classes.join(involved, classes["h"] == involved["x"]).select("h", F.col("id").alias("wanted")), "near-wanted")
     texts = possibly_in(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), "id", wanted.where("wanted IS NOT NULL"), "wanted")
     texts = texts.join(wanted.where("wanted IS NOT NULL").select("wanted").distinct(), F.col("id") == F.col("wanted")).select("text")
@@ -307,8 +307,7 @@ def full_sets(docs: DataFrame, classes: DataFrame, involved: DataFrame, size: in
         hashes = WordHashes()
         for b in chunks(batches):
             sets = [shingles(t, hashes, size) for t in b.column("text").to_pylist()]
-            small = [np.unique((s >> np.uint64(16)).astype(np.uint32)).astype("<u4").tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(small, pa.binary())], names=["h", "n", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["h", "n", "s"])
 
     return texts.mapInArrow(run, "h long, n long, s binary").dropDuplicates(["h"])
 
