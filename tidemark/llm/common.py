@@ -96,9 +96,16 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def words(text: str | None) -> list[bytes]:
+def words(text: str | bytes | None) -> list[bytes]:
     """Lower-cased (A-Z only) words: bytes.lower and bytes.split know ASCII only."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    if not text:
+        return []
+    return (text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text).lower().split()
+
+
+def utf8(column: pa.Array) -> list[bytes | None]:
+    """The texts of a column as their bytes, which need not be decoded to be split."""
+    return column.cast(pa.binary()).to_pylist()
 
 
 def chunks(batches: Iterator[pa.RecordBatch], rows: int = CHUNK) -> Iterator[pa.RecordBatch]:

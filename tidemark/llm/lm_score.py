@@ -35,6 +35,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, prepare, remainder, staged, words
+from tidemark.llm.common import chunks, prepare, remainder, staged, utf8, words
 
 END = b""
 TABLE = 65_536
@@ -64,8 +65,10 @@ SKIP_AT, PAIR_AT, WORD_AT = CONTEXTS, 2 * CONTEXTS, 2 * CONTEXTS + PAIR_ROWS
 ROWS = WORD_AT + WORD_ROWS
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return [*words(text), END]
+def tokens(text: str | bytes | None) -> list[bytes]:
+    out = words(text)
+    out.append(END)
+    return out
 
 
 def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -79,7 +82,7 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
             return out
 
         for b in chunks(batches):
-            for t in b.column(0).to_pylist():
+            for t in utf8(b.column(0)):
                 seen.update(tokens(t))
             if len(seen) > _FLUSH:
                 yield flush()
@@ -225,7 +228,7 @@ def train_on(model: Weights, codes: np.ndarray, first: np.ndarray, arrays: dict[
 def _coded(texts: list[str | None], codes: Codes) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
     split = [tokens(t) for t in texts]
     sizes = np.array([len(s) for s in split])
-    flat = np.fromiter((codes[w] for s in split for w in s), np.int64, int(sizes.sum()))
+    flat = np.fromiter(map(codes.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
     return split, flat, np.cumsum(sizes) - sizes
 
 
@@ -249,7 +252,7 @@ def train(docs: DataFrame, table: Table, text_col: str, id_col: str, rounds: int
             own, arrays, codes = Weights(start.table, start.rows.copy()), start.table.arrays(), Codes(start.table.words)
             used, seen = np.zeros(ROWS), np.full(ROWS, 1e-6, np.float32)
             for b in chunks(batches):
-                _, flat, first = _coded(b.column(0).to_pylist(), codes)
+                _, flat, first = _coded(utf8(b.column(0)), codes)
                 train_on(own, flat, first, arrays, used, seen)
             moved = (own.rows - start.rows).astype(np.float32)
             blocks = [j for j in range(0, ROWS, _BLOCK) if used[j:j + _BLOCK].any()]
@@ -315,7 +318,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
         model = shared.value
         arrays, codes, size = model.table.arrays(), Codes(model.table.words), len(model.table.words)
         for b in chunks(batches):
-            split, flat, first = _coded(b.column("text").to_pylist(), codes)
+            split, flat, first = _coded(utf8(b.column("text")), codes)
             log = token_logs(model, flat, first, arrays)
             known = flat < size
             rare = [np.array([xxhash.xxh64_intdigest(w, 42) for w, c in zip(s, flat[k:k + len(s)].tolist(), strict=True) if c >= size], np.uint64).astype(np.int64) for s, k in zip(split, first.tolist(), strict=True)]
