@@ -49,7 +49,7 @@ SHINGLE = 3
 PERCENT = 85
 DEPTH, FIRST, MOST_ORDERS = 8, 3, 40
 REGION, NEIGHBOURS, BLOCK = 48, 4, 256
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 MISSED = 1e-4
 
 _rng = np.random.default_rng(20240229)

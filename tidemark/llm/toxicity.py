@@ -42,7 +42,7 @@ FIT_DOCS = 4000
 FIT_CHARS = 20_000
 THRESHOLD = 0.3
 PLAIN = 0.02
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 _sentences = re.compile(r"[.!?\n]+").split
 _words = re.compile(r"[^\W_]+").findall
