@@ -3,8 +3,10 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import sectors as S
+from tidemark.plans import views as V
 from tidemark.schemas import FILING, SECTOR_COLUMNS
 
 D, I, P = S.D, S.I, S.P
@@ -171,3 +173,20 @@ def test_map_path_plan_narrows_once(spark):
     assert plan.count("map_filter(") == 1 and "INSET" in plan
     filt = [line for line in plan.splitlines() if "Filter" in line]
     assert filt and all("map_filter" not in line for line in filt)
+
+
+def test_filings_agree_with_their_columns_and_no_filter_repeats_the_map(spark, tmp_path):
+    sf = str(tmp_path)
+    # Every customer remainder of the blank rule; prices that are NULL, alone in their period and beside others.
+    spark.range(1, 25).selectExpr("id c_custkey", "concat('N', id) c_name", "id c_nationkey", "id - 5D c_acctbal", "element_at(array('MACHINERY', 'BUILDING', 'HOUSEHOLD'), int(id % 3) + 1) c_mktsegment").write.parquet(f"{sf}/customer.parquet")
+    spark.range(200).selectExpr("id o_orderkey", "id % 24 + 1 o_custkey", "element_at(array('F', 'O', 'P'), int(id % 3) + 1) o_orderstatus", "CASE WHEN id % 4 > 0 THEN id * 1.25D END o_totalprice",
+                                "date_add(DATE'1996-01-01', int(id % 5) * 80) o_orderdate", "element_at(array('1-URGENT', '5-LOW'), int(id % 2) + 1) o_orderpriority").write.parquet(f"{sf}/orders.parquet")
+    for revised in (False, True):
+        flat = {(r["ticker"], r["tahun"], r["triwulan"]): r.asDict() for r in V.filing_fact_columns(spark, sf, revised=revised).collect()}
+        made = V.filings(spark, sf, revised=revised).select("ticker", "tahun", "triwulan", F.map_entries("facts").alias("facts")).collect()
+        assert len(made) == len(flat)
+        for r in made:
+            want = {k: v for k, v in flat[r["ticker"], r["tahun"], r["triwulan"]].items() if k in S.rule_keys() and v is not None}
+            assert [(k, f["value"], (f["name"], f["context"])) for k, f in r["facts"]] == [(k, want[k], V.split_key(k)) for k in S.rule_keys() if k in want]
+    plan = S.sector_rows(V.filings(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_from_entries") == 1  # a pushed filter made the map again in the join
