@@ -243,3 +243,20 @@ def test_tick_store_reads_the_month_only(spark, sf, tmp_path):
     assert "tick_year" in filters[:120] and "tick_month" in filters[:200] and "GreaterThanOrEqual(day" in plan
     want = V.ticks(spark, sf).filter("Date >= '1998-08-01' AND Date < '1998-08-20'").count()
     assert got.count() == want > 0
+
+
+def test_a_sorted_sink_runs_its_input_once(spark, tmp_path):
+    from tidemark.sinks import writers as W
+
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    rows = spark.range(1000).selectExpr("CAST(id * 7 % 1000 AS STRING) AS emiten").repartition(4).mapInArrow(seen, "emiten string")
+    W.write_json_sorted(rows, str(tmp_path / "json"))
+    assert runs.value == 1000 and spark.read.json(str(tmp_path / "json")).count() == 1000
+    W.write_collection(rows, str(tmp_path / "collection"))
+    assert runs.value == 2000 and spark.read.parquet(str(tmp_path / "collection")).count() == 1000

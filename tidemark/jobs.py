@@ -166,7 +166,6 @@ def transform_filings(spark: SparkSession, filings_path: str, out_path: str, fmt
     seen = Observation()
     null_sector = F.col("sector").isNull() if "sector" in filings.columns else S.fact(S.SECTOR_KEY).isNull()
     rows, written = W.counted(S.sector_rows(filings.observe(seen, F.count(F.when(null_sector, 1)).alias("null_sector"))))
-    rows = _staged(rows, "sector-rows")
     W.write_json_sorted(rows, out_path, by="emiten", single_file=single_file)
     return {"rows": written.get["rows"], "null_sector": seen.get["null_sector"]}
 
@@ -189,7 +188,7 @@ def load_single_job(spark: SparkSession, staged_parquet: str, collection_path: s
     if rows is None or not W.guard_empty(rows):
         return {"rows": 0}
     rows, seen = W.counted(canonical_order(rows, SECTOR_COLUMNS))
-    W.write_collection(_staged(rows, "collection"), collection_path)
+    W.write_collection(rows, collection_path)
     return {"rows": seen.get["rows"]}
 
 
