@@ -92,3 +92,14 @@ def test_ansi_modes_agree(spark, sf):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
     assert out[0] == out[1]
+
+
+def test_ticks_are_shuffled_once_and_not_their_states(spark, sf):
+    from tidemark.plans import views as V
+
+    t = V.ticks(spark, sf)
+    for df, shuffles in ((R.daily_average(t), 1), (R.monthly_average(t), 1), (R.yearly_average(t), 2)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == shuffles
+        first = plan[plan.rindex("Exchange hashpartitioning"):]
+        assert "Aggregate" not in first  # below the first shuffle there are ticks
