@@ -102,3 +102,37 @@ def test_missing_ticker_list_raises(spark, tmp_path):
     # Documented difference: the original returned an empty list.
     with pytest.raises(Exception):
         ST.read_ticker_csv(spark, str(tmp_path / "nope")).collect()
+
+
+def test_compressed_staging_folders_are_read(spark, tmp_path):
+    from tidemark.schemas import YEARLY_AGG
+    from tidemark.sinks.writers import write_json
+    from tidemark.sources.staged import read_aggregate_folders
+
+    rows = spark.createDataFrame([(1997, f"T{i}", float(i)) for i in range(50)], "Year int, ticker string, avg_close double")
+    write_json(rows, str(tmp_path / "yearly_aggregation"), compression="gzip")
+    assert list(tmp_path.glob("yearly_aggregation/part-*.json.gz")) and not list(tmp_path.glob("yearly_aggregation/part-*.json"))
+    back = read_aggregate_folders(spark, str(tmp_path), {"yearly_aggregation": YEARLY_AGG})
+    assert back.select("Year", "ticker", "avg_close").exceptAll(rows).count() == 0 and back.count() == 50
+
+
+def test_documents_folders_are_listed_by_pattern(spark, tmp_path):
+    from tidemark.sinks.writers import read_documents, write_documents
+
+    rows = [(f"T{i}", "1997", f"TW{i % 4 + 1}", i) for i in range(9)]
+    kind = "ticker string, tahun string, triwulan string, n int"
+    docs = spark.createDataFrame([*rows, (None, "1997", "TW1", 9)], kind)
+    write_documents(docs, str(tmp_path / "docs"))
+    back = read_documents(spark, str(tmp_path / "docs"), docs.schema)
+    assert sorted(back.select(docs.columns).collect(), key=str) == sorted(docs.collect(), key=str)
+    assert "InMemoryFileIndex(10 paths)" in back._jdf.queryExecution().executedPlan().toString()
+    write_documents(docs.limit(0), str(tmp_path / "none"))
+    assert read_documents(spark, str(tmp_path / "none"), docs.schema).count() == 0
+
+
+def test_whole_filings_can_be_written_smaller(spark, tmp_path):
+    from tidemark.sinks.writers import write_parquet
+
+    rows = spark.createDataFrame([(1997, "TW1")], "tahun int, triwulan string")
+    write_parquet(rows, str(tmp_path / "out"), partition_by=["tahun"], compression="zstd")
+    assert list(tmp_path.glob("out/tahun=1997/*.zstd.parquet")) and spark.read.parquet(str(tmp_path / "out")).count() == 1

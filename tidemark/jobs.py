@@ -220,7 +220,7 @@ def transform_prices(spark: SparkSession, ticks_path: str, out_base: str, fmt: s
     return counts
 
 
-def load_prices(spark: SparkSession, staged_base: str, targets: dict[str, str], upsert_daily: bool = False, rejects_path: str | None = None, files: str = "part-*.json") -> dict:
+def load_prices(spark: SparkSession, staged_base: str, targets: dict[str, str], upsert_daily: bool = False, rejects_path: str | None = None, files: str = ST.PART_FILES) -> dict:
     """Staged aggregates -> targets: daily appended, monthly / yearly replace-upserted.
 
     `targets` maps 'daily' / 'monthly' / 'yearly' to the target path. Only
