@@ -1,6 +1,7 @@
 """The four scheduled steps end to end on derived data."""
 
 from datetime import date
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -260,3 +261,17 @@ def test_a_sorted_sink_runs_its_input_once(spark, tmp_path):
     assert runs.value == 1000 and spark.read.json(str(tmp_path / "json")).count() == 1000
     W.write_collection(rows, str(tmp_path / "collection"))
     assert runs.value == 2000 and spark.read.parquet(str(tmp_path / "collection")).count() == 1000
+
+
+def test_appended_rows_are_not_stored_before(spark, tmp_path):
+    folder = tmp_path / "staged" / "daily_aggregation"
+    folder.mkdir(parents=True)
+    (folder / "part-0.json").write_text('{"Date":"1997-01-02","ticker":"A","avg_close":1.5}\nnot json\n{"Date":"1997-01-03","ticker":"A","avg_close":"x"}\n')
+    scratch = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(scratch.glob("tidemark-parsed-*"))
+    seen = J.load_prices(spark, str(tmp_path / "staged"), {"daily": str(tmp_path / "daily")}, rejects_path=str(tmp_path / "rejects"))
+    assert seen["daily"] == {"appended": 2, "rejected": 1, "mistyped": 1}
+    assert set(scratch.glob("tidemark-parsed-*")) == before
+    stored = {r["Date"]: r for r in spark.read.parquet(str(tmp_path / "daily")).collect()}
+    assert set(stored) == {"1997-01-02", "1997-01-03"} and all(r["load_timestamp"] and r["aggregation_type"] == "daily_aggregation" for r in stored.values())
+    assert [r["line"] for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == ["not json"]

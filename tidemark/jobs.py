@@ -226,7 +226,8 @@ def load_prices(spark: SparkSession, staged_base: str, targets: dict[str, str],
     `targets` maps 'daily' / 'monthly' / 'yearly' to the target path. Only
     loaded rows get the load time; stored rows keep theirs. Each folder is read
     and parsed once: lines that are not JSON records are counted, and kept aside in
-    `rejects_path` with their file, place and reason. `upsert_daily` (Q10) replaces daily
+    `rejects_path` with their file, place and reason. Appended rows go straight to the target;
+    only where rejects among them are to be kept aside is their folder read again. `upsert_daily` (Q10) replaces daily
     rows by key instead of appending. Monthly and yearly keys match NULL to NULL;
     several records of a key are folded in the order of file names, then of lines.
     """
@@ -237,16 +238,20 @@ def load_prices(spark: SparkSession, staged_base: str, targets: dict[str, str],
         folder = f"{base}/{kind}_aggregation"
         if not ST.exists(spark, folder):
             continue
-        seen = Observation()
-        parsed = ST.parse_lenient(spark, folder, schema, files).observe(seen, *ST.lenient_counts())
-        parsed = _staged(parsed.withColumn(STAMP, F.current_timestamp()), "parsed")
+        seen, appended = Observation(), kind == "daily" and not upsert_daily
+        parsed = ST.parse_lenient(spark, folder, schema, files).observe(seen, *ST.lenient_counts()).withColumn(STAMP, F.current_timestamp())
+        stored = StructType([*schema.fields, StructField("aggregation_type", StringType()), StructField(STAMP, TimestampType())])
+        label = F.lit(f"{kind}_aggregation")
+        if appended:
+            W.append(ST.accepted(parsed).withColumn("aggregation_type", label).select(*stored.fieldNames()), targets[kind])
+            parsed = ST.parse_lenient(spark, folder, schema, files)
+        else:
+            parsed = _staged(parsed, "parsed")
         counts = seen.get
         if rejects_path and counts["malformed"]:
-            ST.rejects(parsed).withColumn("aggregation_type", F.lit(f"{kind}_aggregation")).write.mode("append").parquet(rejects_path)
-        incoming = ST.accepted(parsed, ordered=True).withColumn("aggregation_type", F.lit(f"{kind}_aggregation"))
-        stored = StructType([*schema.fields, StructField("aggregation_type", StringType()), StructField(STAMP, TimestampType())])
-        if kind == "daily" and not upsert_daily:
-            W.append(incoming.select(*stored.fieldNames()), targets[kind])
+            ST.rejects(parsed).withColumn("aggregation_type", label).write.mode("append").parquet(rejects_path)
+        incoming = ST.accepted(parsed, ordered=True).withColumn("aggregation_type", label)
+        if appended:
             out[kind] = {"appended": counts["good"]}
         elif kind == "daily":
             incoming = incoming.withColumn("Year", F.substring("Date", 1, 4))
