@@ -69,3 +69,13 @@ def test_no_ticks_and_bad_dates(spark, sf, tmp_path):
     P.fold(bad.limit(0), store, 1)
     P.refresh(spark, store, 1, tgt, "monthly")
     assert rows(spark.read.parquet(tgt)) == rows(got)
+
+
+def test_a_batch_is_shuffled_once_and_a_small_month_is_one_file(spark, sf, tmp_path):
+    from tidemark.operators import rollup as R
+
+    plan = R.daily_partials(V.ticks(spark, sf), P.SLICES)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan[plan.index("Exchange"):]
+    P.fold(V.ticks(spark, sf), str(tmp_path / "store"), 0)
+    for month in tmp_path.glob("store/Year=*/Month=*/batch=0"):
+        assert len(list(month.glob("*.parquet"))) == 1
