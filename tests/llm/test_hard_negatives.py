@@ -84,3 +84,31 @@ def test_tree_spans_and_bounds_spare_scores():
         fit = sorted((-exact[k, j], j) for j in range(1000) if chunk.lo[k, 0] <= exact[k, j] <= chunk.hi[k, 0])[:10]
         mine = [(-s, i) for key, s, i in zip(*best.held[:3]) if key == k]
         assert mine == fit
+
+
+def test_a_few_new_rows_do_not_sort_all_that_is_held(monkeypatch):
+    rng = np.random.default_rng(5)
+    key, score, ids = np.repeat(np.arange(300), 40), rng.integers(0, 30, 12_000), rng.permutation(12_000)
+    best, sizes, sort = H.Best(300, 10), [], np.lexsort
+    monkeypatch.setattr(H.np, "lexsort", lambda by: sizes.append(len(by[0])) or sort(by))
+    for part in np.array_split(rng.permutation(12_000), 7):
+        best.add(key[part], score[part], ids[part], ids[part])
+    best.add(np.array([7]), np.array([99]), np.array([0]), np.array([-1]))
+    assert sizes[-1] <= 11
+    held = list(zip(*(x.tolist() for x in best.held)))
+    want = [(k, *x) for k in range(300) for x in sorted([(s, i, i) for c, s, i in zip(key.tolist(), score.tolist(), ids.tolist()) if c == k] + [(99, 0, -1)] * (k == 7), key=lambda x: (-x[0], x[1], x[2]))[:10]]
+    assert held == want
+    assert all(best.least[k] == [x for x in want if x[0] == k][-1][1] for k in range(300))
+
+
+def test_a_tree_hands_over_once_a_batch(monkeypatch):
+    a = np.rint(np.random.default_rng(6).normal(size=(60, 8)) * 256)
+    v = np.rint(np.random.default_rng(7).normal(size=(500, 8)) * 256)
+    chunk = H.Chunk(a, np.zeros(60, np.int64), np.arange(-60, 0), [H.Tree(H.spanning_tree(a), 60)], [0], np.full((60, 2), 0), np.full((60, 2), 10**9), False, 10)
+    best, calls, add = H.Best(120, 10), [], H.Best.add
+    monkeypatch.setattr(H.Best, "add", lambda self, key, *x: calls.append(len(key)) or add(self, key, *x))
+    H.search(chunk, best, v, np.sqrt((v * v).sum(1)), np.ones(500, np.int64), np.arange(500), np.arange(500))
+    assert len(calls) == 1 and calls[0] < 60 * 2 * 40
+    exact = (a @ v.T).astype(np.int64)
+    want = [(k * 2 + w, *x) for k in range(60) for w in range(2) for x in sorted(((s, j, j) for j, s in enumerate(exact[k].tolist()) if s >= 0), key=lambda x: (-x[0], x[1]))[:10]]
+    assert list(zip(*(x.tolist() for x in best.held))) == want

@@ -75,24 +75,37 @@ def spanning_tree(a: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 class Best:
-    """The best k (score falling, id rising) of every key, of rows given in any order."""
+    """The best k (score falling, id rising) of every key, of rows given in any order; only the keys a call names are sorted again."""
 
     def __init__(self, keys: int, k: int):
-        self.k, self.keys = k, keys
-        self.held = tuple(np.zeros(0, np.int64) for _ in range(4))  # key, score, id, row
+        self.k = k
+        self.score, self.ids, self.row = (np.zeros((keys, k), np.int64) for _ in range(3))
+        self.count = np.zeros(keys, np.int64)
         self.least = np.full(keys, np.iinfo(np.int64).min)
 
     def add(self, key: np.ndarray, score: np.ndarray, ids: np.ndarray, row: np.ndarray) -> None:
         if not len(key):
             return
-        key, score, ids, row = (np.concatenate(x) for x in zip(self.held, (key, score, ids, row)))
+        named, key = np.unique(key, return_inverse=True)
+        old, at = np.nonzero(np.arange(self.k) < self.count[named][:, None])
+        key = np.concatenate([old, key])
+        score, ids, row = (np.concatenate([held[named[old], at], x]) for held, x in ((self.score, score), (self.ids, ids), (self.row, row)))
         order = np.lexsort((row, ids, -score, key))
         key, score, ids, row = key[order], score[order], ids[order], row[order]
-        place = np.arange(len(key)) - np.searchsorted(key, key)
+        many = np.bincount(key, minlength=len(named))
+        place = np.arange(len(key)) - (np.cumsum(many) - many)[key]
         keep = place < self.k
-        self.held = key[keep], score[keep], ids[keep], row[keep]
-        last = place == self.k - 1
-        self.least[key[last]] = score[last]
+        into = named[key[keep]], place[keep]
+        self.score[into], self.ids[into], self.row[into] = score[keep], ids[keep], row[keep]
+        self.count[named] = np.minimum(many, self.k)
+        full = named[many >= self.k]
+        self.least[full] = self.score[full, self.k - 1]
+
+    @property
+    def held(self) -> tuple[np.ndarray, ...]:
+        """(key, score, id, row) of all, by key, the best first."""
+        key, at = np.nonzero(np.arange(self.k) < self.count[:, None])
+        return key, self.score[key, at], self.ids[key, at], self.row[key, at]
 
 
 class Chunk(NamedTuple):
@@ -114,6 +127,7 @@ def search(chunk: Chunk, best: Best, v: np.ndarray, norms: np.ndarray, labels: n
     windows, scored = chunk.lo.shape[1], 0
     for tree, start in zip(chunk.trees, chunk.starts):
         low, high = np.empty((tree.size, len(v))), np.empty((tree.size, len(v)))
+        found = []  # an anchor is met once, so what its tree finds can wait to be sorted in at once
         for level, (at, parent, edge) in enumerate(tree.levels):
             who = start + at
             wanted = (chunk.labels[who][:, None] == labels) == chunk.same
@@ -137,8 +151,14 @@ def search(chunk: Chunk, best: Best, v: np.ndarray, norms: np.ndarray, labels: n
             low[inside] = high[inside] = exact
             for w in range(windows):
                 floor, top = np.maximum(chunk.lo[who[down], w], best.least[who[down] * windows + w]), chunk.hi[who[down], w]
-                i, j = np.nonzero(wanted[np.ix_(down, across)] & (exact >= floor[:, None]) & (exact <= top[:, None]))
-                best.add(who[down[i]] * windows + w, exact[i, j], ids[across[j]], rows[across[j]])
+                fits = wanted[np.ix_(down, across)] & (exact >= floor[:, None]) & (exact <= top[:, None])
+                if len(across) > chunk.k and np.count_nonzero(fits) > 4 * chunk.k * len(down):  # at first nearly all fit
+                    last = np.partition(np.where(fits, exact, np.iinfo(np.int64).min), -chunk.k, axis=1)[:, -chunk.k]
+                    fits &= exact >= last[:, None]
+                i, j = np.nonzero(fits)
+                found.append((who[down[i]] * windows + w, exact[i, j], ids[across[j]], rows[across[j]]))
+        if found:
+            best.add(*(np.concatenate(x) for x in zip(*found)))
     return scored
 
 
