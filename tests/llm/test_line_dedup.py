@@ -88,3 +88,21 @@ def test_large_group_of_equal_lines(spark):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the very same line in all documents here\nown line of document "), F.format_number("id", 0)).alias("text"))
     got = L.line_classes(df, 1)
     assert got.where("line_no = 0 AND kept").count() == 1 and got.where("line_no = 0").agg(F.min("n_copies")).first()[0] == 3000
+
+
+def test_few_keys_a_line(spark):
+    rows = [(k, "".join(random.Random(k).choice("abcdefgh ") for _ in range(n)), n) for k, n in enumerate(range(30, 330))]
+    keys = L.segment_keys(spark.createDataFrame(rows, "h long, line string, n int"), 2)
+    many = keys.groupBy("h").count().collect()
+    assert len(many) == 300 and {r["count"] for r in many} == {4, 8}
+    assert sum(r["count"] for r in many) <= 5.5 * 300
+
+
+def test_links_across_length_classes(spark):
+    rng = random.Random(11)
+    for d in (1, 2, 3):
+        seeds = ["".join(rng.choice("abcde é") for _ in range(n)).strip() + "x" for n in (28, 31, 32, 33, 63, 64, 65, 71, 72, 79)]
+        rows = [(k, "\n".join(edited(rng, rng.choice(seeds), rng.randrange(d + 2)) for _ in range(5)), "clash", 1) for k in range(24)]
+        got = L.line_classes(spark.createDataFrame(rows, SCHEMA), d, 20).drop("h").collect()
+        want = brute(rows, d, 20)
+        assert sorted(tuple(r) for r in got) == want and sum(r[6] for r in want) > 40

@@ -5,22 +5,29 @@ character left. Equal lines form a class, named by a 64-bit hash; its first line
 is the one with the smallest (id, line number). Classes of `MIN_CHARS`
 characters or more are linked when their edit distance is `DISTANCE` (d) or less:
 
-* a line is cut into d + 1 segments, of which d edits must leave one whole; the
-  index has (length, segment number, segment) of every line;
-* a line probes the index for lines of its own length and up to d shorter, with
-  the substrings at which such a segment can start (multi-match-aware: i edits
-  at most shift segment i, and the rest of the edits the tail behind it);
-* pairs that meet are dropped if the counts of their letters differ by more than
-  d edits can explain, and verified by a banded bit-parallel edit distance: per
-  column, the 2 d + 1 cells around the diagonal are a few bits of one integer.
+* lengths are dealt into short classes, each with d + 1 segments for the lines of
+  its lengths and of up to d more, so that two lines of nearly equal length share a
+  class: a line is in one class, or in two where it is among the shortest of its own.
+  Segments of the first half have their places from the line's start, others from its
+  end; the index has (class, segment number, segment) of every line;
+* of d + 1 segments d edits must leave one whole, with i edits before segment i and
+  at most d - i behind it, so that it lies at most that far from its place in the
+  other line, where a line probes for it. With d = 2 only the middle one
+  can shift, by one, and in one of the two lines it then lies one later: each line
+  probes for that;
+* keys that meet no other line are dropped first; of what is left,
+  pairs that meet are dropped if their lengths and the counts of their letters differ
+  by more than d edits can explain, and verified by a banded bit-parallel edit distance:
+  per column, the 2 d + 1 cells around the diagonal are a few bits of one integer.
 
 A line of `MIN_CHARS` or more is kept if it is the first of its class and its
 class is not linked to one whose first line comes before. Shorter lines say too
 little to be called copies; they are always kept.
 
-Scale: no text is shuffled for lines that occur once and meet no other: classes
-are found by hash with map-side sums, keys are made in the scan of the texts,
-and only lines that occur twice, or meet another, send their text. Keys and
+Scale: texts are split once, and the lines written. No text is shuffled for lines
+that occur once and meet no other: classes are found by hash with map-side sums, keys
+are made in the scan of the lines, and only lines that occur twice, or meet another,
+send their text. Keys and
 hashes are spread evenly; a line that fills a third of the table is one class
 before any join, and its rows meet that class in a join Spark can split.
 
@@ -51,10 +58,10 @@ def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def letter_counts(letters: str) -> Column:
-    """Nine counts, each modulo 128, in one integer."""
+    """Nine counts, each modulo 128, in one integer. An ASCII letter taken out is a byte less."""
     packed = F.lit(0).cast("long")
     for k, c in enumerate(letters):
-        packed = packed + F.shiftleft((F.length("line") - F.length(F.replace("line", F.lit(c)))).cast("long") % 128, 7 * k)
+        packed = packed + F.shiftleft((F.octet_length("line") - F.octet_length(F.replace("line", F.lit(c)))).cast("long") % 128, 7 * k)
     return packed
 
 
@@ -67,27 +74,26 @@ def _letters_apart(a: str, b: str) -> str:
     return " + ".join(each)
 
 
-def probes(d: int) -> list[tuple[int, int, int, bool]]:
-    """(how much shorter the other line is, segment, shift of its start, whether it is the line's own segment)."""
-    return [
-        (delta, i, shift, delta == 0 and shift == 0)
-        for delta in range(d + 1) for i in range(d + 1)
-        for shift in range(max(-i, delta - (d - i)), min(i, delta + (d - i)) + 1)
-    ]
+def probes(d: int) -> list[tuple[int, int]]:
+    """(segment, how far from its place in this line it is looked for); 0 is the line's own segment too."""
+    return [(i, shift) for i in range(d + 1) for most in [min(i, d - i)] for shift in range(0 if d == 2 else -most, most + 1)]
 
 
-def segment_keys(texts: DataFrame, d: int) -> DataFrame:
-    """(key, h, f, g, whole): index rows (whole) and further probes of every line (h, line, n).
+def _class(n: str, d: int) -> str:
+    """SQL: the least length of the class of length n; classes are wider than d, so that n and n - d are in neighbours at most."""
+    w = max(4, d + 1)
+    return f"{n} - {n} % CASE WHEN {n} < {16 * w} THEN {w} ELSE {2 * w} END"
 
-    The letters are counted once a line, below the explode; the key is a short
-    expression above it, which compiles well.
-    """
-    spec = F.array(*[F.struct(*[F.lit(x).alias(c) for c, x in zip(("delta", "i", "shift", "whole"), p, strict=True)]) for p in probes(d)])
-    counted = texts.select("h", "line", "n", letter_counts(LETTERS[0]).alias("f"), letter_counts(LETTERS[1]).alias("g"))
-    each = counted.select("h", "line", "n", "f", "g", F.explode(spec).alias("p")).select("h", "line", "f", "g", "p.i", "p.shift", "p.whole", F.expr("n - p.delta").alias("m"))
-    start = f"i * (m div {d + 1}) + greatest(0, i - ({d + 1} - m % {d + 1})) + shift"
+
+def segment_keys(texts: DataFrame, d: int) -> DataFrame:
+    """(key, h, whole): index rows (whole) and further probes of every line (h, line, n)."""
+    spec = lambda classes: F.array(*[F.struct(F.lit(low).alias("low"), F.lit(i).alias("i"), F.lit(shift).alias("shift")) for low in classes for i, shift in probes(d)])
+    dealt = texts.select("h", "line", "n", F.expr(_class("n", d)).alias("own"), F.expr(_class(f"greatest(n - {d}, 0)", d)).alias("lower"))
+    each = dealt.select("h", "line", "n", "own", "lower", F.explode(F.when(F.col("own") == F.col("lower"), spec([False])).otherwise(spec([False, True]))).alias("p"))
+    each = each.select("h", "line", "n", "p.i", "p.shift", F.expr("CASE WHEN p.low THEN lower ELSE own END").alias("m"))
+    start = f"i * (m div {d + 1}) + greatest(0, i - ({d + 1} - m % {d + 1})) + shift + CASE WHEN 2 * i > {d} THEN n - m ELSE 0 END"
     size = f"m div {d + 1} + CASE WHEN i >= {d + 1} - m % {d + 1} THEN 1 ELSE 0 END"
-    return each.select(F.expr(f"xxhash64(m, i, substring(line, CAST({start} + 1 AS INT), CAST({size} AS INT)))").alias("key"), "h", "f", "g", "whole")
+    return each.select(F.expr(f"xxhash64(m, i, substring(line, CAST({start} + 1 AS INT), CAST({size} AS INT)))").alias("key"), "h", F.expr("shift = 0").alias("whole"))
 
 
 def edit_distance(a: str, b: str, d: int) -> Column:
@@ -119,25 +125,34 @@ def linked_classes(texts: DataFrame, repeated: DataFrame, d: int) -> DataFrame:
     some = possibly_in(texts, "h", repeated, "h").dropDuplicates(["h"]).select(once)
     single = possibly_in(texts, "h", repeated, "h", keep=False).select(once)
     keyed = staged(segment_keys(single.unionByName(some), d), "line-keys")
-    index = keyed.where("whole").select("key", F.col("h").alias("a"), F.col("f").alias("fa"), F.col("g").alias("ga"))
-    probe = keyed.select("key", F.col("h").alias("b"), F.col("f").alias("fb"), F.col("g").alias("gb"), "whole")
-    near = F.expr(f"(a < b OR (a > b AND NOT whole)) AND {_letters_apart('fa', 'fb')} + {_letters_apart('ga', 'gb')} <= {2 * d}")
-    pairs = staged(index.join(probe, "key").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
+    # Most keys meet nothing: only those with an index row and a row of another line go on.
+    met = keyed.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("whole").alias("indexed")).where("lo != hi AND indexed").select("key")
+    meeting = staged(keyed.join(met, "key", "left_semi"), "line-meeting")
     discard(keyed)
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("x")).distinct()
-    known = staged(possibly_in(texts, "h", involved, "x").join(involved, F.col("h") == F.col("x"), "left_semi").dropDuplicates(["h"]).select("h", "line", "n"), "line-texts")
-    both = pairs.join(known.toDF("a", "la", "na"), "a").join(known.toDF("b", "lb", "nb"), "b")
+    involved = meeting.select(F.col("h").alias("x")).distinct()
+    counts = [letter_counts(x).alias(c) for c, x in zip("fg", LETTERS, strict=True)]
+    known = staged(possibly_in(texts, "h", involved, "x").join(involved, F.col("h") == F.col("x"), "left_semi").dropDuplicates(["h"]).select("h", "line", "n", *counts), "line-texts")
+    marked = staged(meeting.join(known.drop("line"), "h"), "line-marked")
+    index = marked.where("whole").select("key", *[F.col(c).alias(x) for c, x in (("h", "a"), ("n", "na"), ("f", "fa"), ("g", "ga"))])
+    probe = marked.select("key", *[F.col(c).alias(x) for c, x in (("h", "b"), ("n", "nb"), ("f", "fb"), ("g", "gb"))], "whole")
+    near = F.expr(f"(a < b OR (a > b AND NOT whole)) AND abs(na - nb) <= {d} AND {_letters_apart('fa', 'fb')} + {_letters_apart('ga', 'gb')} <= {2 * d}")
+    pairs = staged(index.join(probe, "key").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
+    discard(meeting, marked)
+    both = pairs.join(known.select("h", "line", "n").toDF("a", "la", "na"), "a").join(known.select("h", "line", "n").toDF("b", "lb", "nb"), "b")
     longer, shorter = F.when(F.col("na") >= F.col("nb"), F.col("la")).otherwise(F.col("lb")), F.when(F.col("na") >= F.col("nb"), F.col("lb")).otherwise(F.col("la"))
-    both = both.where(F.abs(F.col("na") - F.col("nb")) <= d).select("a", "b", longer.alias("long"), shorter.alias("short"))
-    return both.where(edit_distance("long", "short", d) <= d).select("a", "b")
+    both = both.select("a", "b", longer.alias("long"), shorter.alias("short"))
+    links = staged(both.where(edit_distance("long", "short", d) <= d).select("a", "b"), "line-links")
+    discard(pairs, known)
+    return links
 
 
 def line_classes(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per line: id, line_no, n_chars, first_<id> and first_line of its class, n_copies, n_links (other classes within `distance`), kept, h."""
-    all_lines = lines(docs, id_col, text_col)
-    here = staged(all_lines.select("id", "line_no", "n", "h"), "line-places")
+    # Split once: short lines are never compared, and leave only their places.
+    here = staged(lines(docs, id_col, text_col).select("id", "line_no", "n", "h", F.when(F.col("n") >= min_chars, F.col("line")).alias("line")), "line-places")
+    texts = here.where(F.col("n") >= min_chars).select("h", "line", "n")
     classes = staged(here.groupBy("h").agg(F.min(F.struct("id", "line_no")).alias("first"), F.count("*").alias("copies"), F.first("n").alias("n")), "line-classes")
-    links = staged(linked_classes(all_lines.where(F.col("n") >= min_chars), classes.where((F.col("copies") > 1) & (F.col("n") >= min_chars)).select("h"), distance), "line-links")
+    links = linked_classes(texts, classes.where((F.col("copies") > 1) & (F.col("n") >= min_chars)).select("h"), distance)
     ways = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     earliest = ways.join(classes.select("h", F.col("first").alias("other")), F.col("b") == F.col("h")).groupBy(F.col("a").alias("linked")).agg(F.count("*").alias("n_links"), F.min("other").alias("before"))
     classes = classes.join(earliest, F.col("h") == F.col("linked"), "left").withColumn("leads", F.coalesce(F.col("first") <= F.col("before"), F.lit(True)))
