@@ -4,11 +4,13 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tidemark.llm import packing
 from tidemark.llm import queries as Q
+from tidemark.llm.common import portions
 
 PATH = Q.vocabulary("word_bpe_49k.json")
 
@@ -85,3 +87,32 @@ def test_every_window_holds_the_mix(spark):
     for r in packing.pack(docs, PATH, targets={"a": 1.0, "b": 1.0}).collect():
         skewed[r["sequence_id"]][r["source"]] += r["length"]
     assert abs(skewed[0]["a"] - 2048) <= 1 and sum(s["a"] for s in skewed.values()) == sum(s["a"] for s in share.values())
+
+
+def test_columns_match_whole_texts():
+    tok, t = Tokenizer.from_file(PATH), packing.WordTokenizer(PATH)
+    rng = np.random.default_rng(8)
+    bits = ["Hello", "don't", "'s", "x!!y", "ÀÉß", "ŁÓ", "İ", "1234", "<|", "endoftext", "|>", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "é", "①", "@foo", "a" * 70, "''", ",,"]
+    texts = [None, "", " ", *("".join(rng.choice(bits, rng.integers(1, 12))) for _ in range(400))]
+    texts = [x for x in texts if not x or not {"\x1c", "\x85", "\xa0"} & set(x)] + ["a\x1cb", "a\xa0b"]
+    column = pa.array(["not looked at", *texts]).slice(1)
+    for _ in range(2):
+        got = [np.frombuffer(x, "<u2").tolist() for x in t.encode(column).to_pylist()]
+        assert got[:-2] == [tok.encode(x or "", add_special_tokens=False).ids for x in texts[:-2]]
+    assert t.encode(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_words_of_a_column_are_encoded_once(monkeypatch):
+    t, calls = packing.WordTokenizer(PATH), []
+    whole = t.encode(pa.array(["one two three four five"])).to_pylist() * 50
+    t.runs = packing.Remembered(lambda r: calls.append(r) or packing.WordTokenizer._run(t, r), 2)
+    assert t.encode(pa.array(["one two three four five"] * 50)).to_pylist() == whole
+    assert sorted(filter(None, calls)) == ["five", "four", "one", "three", "two"]
+    assert len(t.runs) <= 2 and len(t.runs.before) <= 2
+
+
+def test_portions_are_bounded():
+    batch = pa.RecordBatch.from_pydict({"text": ["ab", None, "", "c" * 50, "d", "e" * 9, "fg"]})
+    parts = [p.column("text").to_pylist() for p in portions([batch, batch.slice(0, 0)], "text", 10)]
+    assert [x for p in parts for x in p] == batch.column("text").to_pylist()
+    assert all(len(p) == 1 or sum(len(x or "") for x in p) <= 10 for p in parts) and len(parts) == 4

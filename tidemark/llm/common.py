@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +18,8 @@ from tidemark.session import scratch_path, ship_package
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 CHUNK = 256
+PORTION = 4 << 20
+_COLLECTED: ContextVar[list[str] | None] = ContextVar("collected", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,9 +37,27 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
+    if (paths := _COLLECTED.get()) is not None:
+        paths.append(path)
     return out
 
 
+@contextmanager
+def collected() -> Iterator[list[str]]:
+    """The folders that `staged` writes inside, as they come."""
+    paths: list[str] = []
+    token = _COLLECTED.set(paths)
+    try:
+        yield paths
+    finally:
+        _COLLECTED.reset(token)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(*done: DataFrame) -> None:
     """Removes what `staged` wrote for these DataFrames.
 
@@ -43,9 +67,7 @@ def discard(*done: DataFrame) -> None:
     for df in done:
         path = getattr(df, "scratch_path", None)
         if path:
-            jvm = df.sparkSession._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+            remove(df.sparkSession, path)
 
 
 ROW = "row__"
@@ -115,6 +137,17 @@ def chunks(batches: Iterator[pa.RecordBatch], rows: int = CHUNK) -> Iterator[pa.
             yield b.slice(k, rows)
 
 
+def portions(batches: Iterator[pa.RecordBatch], column: str, size: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """Slices of at most `size` bytes of a column of texts, or of one row."""
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            after = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+            yield b.slice(at, after - at)
+            at = after
+
+
 def prepare(spark: SparkSession) -> None:
     """Make this package importable in the Python workers."""
     ship_package(spark)

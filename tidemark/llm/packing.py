@@ -27,16 +27,17 @@ its own; repeated rows are packed each; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
+import struct
 import zlib
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, prepare, staged
+from tidemark.llm.common import chunks, portions, prepare, staged
 
 WINDOW = 4096
 END_ID = 2
@@ -45,15 +46,35 @@ REMEMBERED = 300_000
 #: Shares are whole numbers out of this; ticks of virtual time per share unit.
 SHARES = TICKS = 1 << 16
 
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)?([!-&(-/:-@\[-`{-~]+)?([A-Za-zÀ-ÖØ-öø-ÿ]+)?").fullmatch
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_RUNS = rf"^(?P<a>{_LETTERS})?(?:(?P<b>[!-&(-/:-@\[-`{{-~]+)(?P<c>{_LETTERS})?)?$"
+
+
+class Remembered(dict):
+    """What `work` gave for short strings, those asked for last: `limit` of them, and as many from before."""
+
+    def __init__(self, work: Callable[[str], bytes], limit: int = REMEMBERED):
+        self.work, self.limit, self.before = work, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.work(key)
+        if len(key) <= 64:
+            if len(self) >= self.limit:
+                self.before = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 class WordTokenizer:
     """Ids of whole texts by a tokenizer that never joins across white space.
 
-    Words are encoded once and remembered (bounded). A word of Latin letters
-    and ASCII punctuation is looked up run by run in the model; any other goes
-    through the whole tokenizer.
+    Texts are split in whole columns, and each distinct word of a column is looked
+    up once. A word of Latin letters and ASCII punctuation is made of runs, which
+    are encoded by the model and remembered (bounded); any other goes through the
+    whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -61,8 +82,7 @@ class WordTokenizer:
 
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
-        self.known: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.words, self.runs = Remembered(self._word), Remembered(self._run)
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         self.alias = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
@@ -70,37 +90,33 @@ class WordTokenizer:
         self.by_runs = self.tok.get_vocab_size() < 65536 and probe == [i for w in ["ab", ",", "c", "'s", "<|", "x", "é"] for i in self._model_ids(w)]
 
     def _model_ids(self, run: str) -> list[int]:
-        return [t.id for t in self.model.tokenize("".join(self.alias[b] for b in run.encode()))]
+        # Printable ASCII stands for itself.
+        return [t.id for t in self.model.tokenize(run if run.isascii() else "".join(self.alias[b] for b in run.encode()))]
 
     def _run(self, run: str) -> bytes:
-        got = self.runs.get(run)
-        if got is None:
-            if len(self.runs) >= REMEMBERED:
-                self.runs.clear()
-            got = self.runs[run] = np.array(self._model_ids(run), "<u2").tobytes()
-        return got
+        ids = self._model_ids(run)
+        return struct.pack(f"<{len(ids)}H", *ids)
 
     def _word(self, word: str) -> bytes:
-        m = _PLAIN(word) if self.by_runs and "<|" not in word else None
-        if m:
-            ids = b"".join(self._run(g.lower()) for g in m.groups() if g)
-        else:
-            ids = np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        if len(word) <= 64:
-            self.known[word] = ids
-        return ids
-
-    def ids(self, text: str | None) -> bytes:
-        """Little-endian 16-bit ids."""
-        if not text:
-            return b""
-        known = self.known
-        return b"".join([known.get(w) or self._word(w) for w in _ascii_split(text)])
-
-
-_ascii_split = re.compile(r"[^\x20\x09-\x0D]+").findall
+        return np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+
+    def _distinct(self, words: pa.StringArray) -> pa.BinaryArray:
+        if not self.by_runs:
+            return pa.array([self.words[w] for w in words.to_pylist()], pa.binary())
+        parts = pc.extract_regex(words, _RUNS)
+        other = pc.or_(parts.is_null(), pc.match_substring(words, "<|"))
+        runs = pa.concat_arrays([pc.utf8_lower(parts.field(k).fill_null("")) for k in range(3)]).dictionary_encode()
+        ids = pa.array([self.runs[r] for r in runs.dictionary.to_pylist()], pa.binary()).take(runs.indices)
+        joined = pc.binary_join_element_wise(*(ids.slice(k * len(words), len(words)) for k in range(3)), b"")
+        return pc.replace_with_mask(joined, other, pa.array([self.words[w] for w in words.filter(other).to_pylist()], pa.binary()))
+
+    def encode(self, texts: pa.Array) -> pa.BinaryArray:
+        """Little-endian 16-bit ids of each text; none for NULL."""
+        words = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
+        each = words.flatten().dictionary_encode()
+        return pc.binary_join(pa.ListArray.from_arrays(words.offsets, self._distinct(each.dictionary).take(each.indices)), b"")
+
+
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
@@ -119,9 +135,10 @@ def tokenized(docs: DataFrame, path: str, id_col: str, text_col: str, source_col
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
-        for b in chunks(batches):
-            ids = [t.ids(x) for x in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([len(x) // 2 + 1 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["key", "n", "ids"])
+        for b in portions(batches, "text"):
+            ids = t.encode(b.column("text"))
+            n = pc.add(pc.divide(pc.binary_length(ids).cast(pa.int64()), 2), 1)
+            yield pa.RecordBatch.from_arrays([b.column("key"), n, ids], names=["key", "n", "ids"])
 
     rows = docs.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source")).alias("key"), F.col(text_col).cast("string").alias("text"))
     from pyspark.sql.types import BinaryType, LongType, StructField, StructType
