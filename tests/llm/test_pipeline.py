@@ -97,3 +97,20 @@ def test_everything_is_packed(inputs):
     from tidemark.llm import packing
 
     round_trip(packing.pack(single, P.vocabulary("word_bpe_49k.json")).collect(), single.collect())
+
+
+def test_scratch_of_a_stage_goes_when_the_next_begins(spark, sf):
+    import os
+
+    docs = staged(spark.read.parquet(f"{sf}/documents.parquet").limit(20), "test-tidy")
+    app = spark.sparkContext.applicationId
+    stages = dict(P.STAGES)
+    lines = stages["line_dedup"](spark, docs, sf)
+    scratch = list(P._scratch[app, "line_dedup"])
+    there = lambda: [os.path.isdir(p.removeprefix("file:")) for p in scratch]
+    assert sum(there()) >= 2
+    stages["near_dedup"](spark, lines, sf)  # not written: still read from there
+    assert sum(there()) >= 2
+    lines = staged(lines, "test-tidy")
+    kept = stages["near_dedup"](spark, lines, sf)
+    assert not any(there()) and kept.count() == staged(kept, "test-tidy").count() > 0
