@@ -116,3 +116,33 @@ def test_portions_are_bounded():
     parts = [p.column("text").to_pylist() for p in portions([batch, batch.slice(0, 0)], "text", 10)]
     assert [x for p in parts for x in p] == batch.column("text").to_pylist()
     assert all(len(p) == 1 or sum(len(x or "") for x in p) <= 10 for p in parts) and len(parts) == 4
+
+
+def test_remembered_runs_take_little_memory():
+    """A worker keeps what it remembers to its end, beside the JVM: far less than Python's strings would take."""
+    import tracemalloc
+
+    t = packing.WordTokenizer(PATH)
+    letters = [chr(97 + k) for k in range(26)]
+    column = pa.array([" ".join(a + b + c + d for c in letters for d in letters) for a in "bcdf" for b in letters[:12]])
+    tracemalloc.start()
+    try:
+        ids = t.encode(column)
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(t.runs) > 30_000 and kept / len(t.runs) < 40
+    assert t.encode(column).equals(ids)
+
+
+def test_remembered_against_a_dict():
+    rng, calls = np.random.default_rng(4), []
+    held = packing.Remembered(lambda k: calls.append(k) or k.encode() * 2, 8)
+    for _ in range(60):
+        keys = [*{"x" * int(n) + str(n % 3) for n in rng.integers(0, 70, rng.integers(0, 12))}]
+        assert held.of(pa.array(keys, pa.string())).to_pylist() == [k.encode() * 2 for k in keys]
+        assert len(held) <= 8 and len(held.before) <= 8
+    before = len(calls)
+    for _ in range(2):
+        held.of(pa.array(["x0", "y", "z" * 65]))
+    assert calls[before:].count("y") == 1 and calls[before:].count("z" * 65) == 2

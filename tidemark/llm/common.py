@@ -18,7 +18,7 @@ from tidemark.session import scratch_path, ship_package
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 CHUNK = 256
-PORTION = 4 << 20
+PORTION = 2 << 20
 _COLLECTED: ContextVar[list[str] | None] = ContextVar("collected", default=None)
 
 

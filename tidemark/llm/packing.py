@@ -42,7 +42,7 @@ from tidemark.llm.common import chunks, portions, prepare, staged
 WINDOW = 4096
 END_ID = 2
 MAX_QUEUES = 1024
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Shares are whole numbers out of this; ticks of virtual time per share unit.
 SHARES = TICKS = 1 << 16
 
@@ -50,22 +50,35 @@ _LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
 _RUNS = rf"^(?P<a>{_LETTERS})?(?:(?P<b>[!-&(-/:-@\[-`{{-~]+)(?P<c>{_LETTERS})?)?$"
 
 
-class Remembered(dict):
-    """What `work` gave for short strings, those asked for last: `limit` of them, and as many from before."""
+class Remembered:
+    """What `work` gave for short strings, those asked for last: `limit` of them, and as many from before.
 
-    def __init__(self, work: Callable[[str], bytes], limit: int = REMEMBERED):
-        self.work, self.limit, self.before = work, limit, {}
+    Held and looked up as Arrow columns: some 20 bytes an entry, a tenth of what Python's objects take.
+    """
 
-    def __missing__(self, key: str) -> bytes:
-        value = self.before.get(key)
-        if value is None:
-            value = self.work(key)
-        if len(key) <= 64:
-            if len(self) >= self.limit:
-                self.before = dict(self)
-                self.clear()
-            self[key] = value
-        return value
+    def __init__(self, work: Callable[[str], bytes], limit: int = REMEMBERED):
+        self.work, self.limit = work, limit
+        self.now = self.before = pa.RecordBatch.from_arrays([pa.array([], pa.string()), pa.array([], pa.binary())], names=["key", "value"])
+
+    def __len__(self) -> int:
+        return len(self.now)
+
+    def of(self, keys: pa.StringArray) -> pa.BinaryArray:
+        """The value of each of some distinct keys."""
+        held = pa.concat_arrays([self.now["key"], self.before["key"]])
+        place = pc.index_in(keys, value_set=held).fill_null(-1).to_numpy().copy()
+        new = place < 0
+        place[new] = len(held) + np.arange(new.sum())
+        worked = pa.array([self.work(k) for k in keys.filter(pa.array(new)).to_pylist()], pa.binary())
+        values = pa.concat_arrays([self.now["value"], self.before["value"], worked]).take(pa.array(place))
+        # Those of the batch before move up, as they were asked for.
+        fresh = pa.array(np.flatnonzero((place >= len(self.now)) & (pc.binary_length(keys).to_numpy() <= 64))[-self.limit:])
+        more = pa.RecordBatch.from_arrays([keys.take(fresh), values.take(fresh)], names=["key", "value"])
+        if len(self.now) + len(more) > self.limit:
+            self.now, self.before = more, self.now
+        else:
+            self.now = pa.RecordBatch.from_arrays([pa.concat_arrays([self.now[c], more[c]]) for c in ("key", "value")], names=["key", "value"])
+        return values
 
 
 class WordTokenizer:
@@ -102,13 +115,13 @@ class WordTokenizer:
 
     def _distinct(self, words: pa.StringArray) -> pa.BinaryArray:
         if not self.by_runs:
-            return pa.array([self.words[w] for w in words.to_pylist()], pa.binary())
+            return self.words.of(words)
         parts = pc.extract_regex(words, _RUNS)
         other = pc.or_(parts.is_null(), pc.match_substring(words, "<|"))
         runs = pa.concat_arrays([pc.utf8_lower(parts.field(k).fill_null("")) for k in range(3)]).dictionary_encode()
-        ids = pa.array([self.runs[r] for r in runs.dictionary.to_pylist()], pa.binary()).take(runs.indices)
+        ids = self.runs.of(runs.dictionary).take(runs.indices)
         joined = pc.binary_join_element_wise(*(ids.slice(k * len(words), len(words)) for k in range(3)), b"")
-        return pc.replace_with_mask(joined, other, pa.array([self.words[w] for w in words.filter(other).to_pylist()], pa.binary()))
+        return pc.replace_with_mask(joined, other, self.words.of(words.filter(other)))
 
     def encode(self, texts: pa.Array) -> pa.BinaryArray:
         """Little-endian 16-bit ids of each text; none for NULL."""
@@ -139,6 +152,7 @@ def tokenized(docs: DataFrame, path: str, id_col: str, text_col: str, source_col
             ids = t.encode(b.column("text"))
             n = pc.add(pc.divide(pc.binary_length(ids).cast(pa.int64()), 2), 1)
             yield pa.RecordBatch.from_arrays([b.column("key"), n, ids], names=["key", "n", "ids"])
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source")).alias("key"), F.col(text_col).cast("string").alias("text"))
     from pyspark.sql.types import BinaryType, LongType, StructField, StructType
