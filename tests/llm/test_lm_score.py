@@ -77,3 +77,38 @@ def test_hash_of_words_is_the_same_on_both_sides(spark):
     ws = [b"a", "ü日".encode(), b"x" * 100, b""]
     got = [r[0] for r in spark.createDataFrame([(bytearray(w),) for w in ws], "w binary").select(F.xxhash64("w")).collect()]
     assert got == [int(np.uint64(xxhash.xxh64_intdigest(w, 42)).astype(np.int64)) for w in ws]
+
+
+def test_columns_give_the_tokens_of_each_text():
+    import pyarrow as pa
+
+    texts = ["not looked at", None, "", " ", "  \n", " A\tb B ", "x" * 100, "É Ⅷ A\x0b\x0cb\x1cc\r", "a\xa0b", "z Z z", " "]
+    codes = L.Codes([b"a", b"z", b"", b"no"])
+    for column in (pa.array(texts).slice(1), pa.array(texts).slice(4, 3), pa.array(["a"]).slice(0, 0)):
+        want = [L.tokens(None if t is None else t.encode()) for t in column.to_pylist()]
+        found, each, sizes = L.token_columns(column)
+        assert found.take(pa.array(each)).to_pylist() == [w for t in want for w in t] and sizes.tolist() == [len(t) for t in want]
+        assert codes.of(found).tolist() == [codes[w] for w in found.to_pylist()]
+
+
+def test_each_distinct_word_of_a_column_is_looked_up_once(monkeypatch):
+    import pyarrow as pa
+
+    asked = []
+    monkeypatch.setattr(L.zlib, "crc32", lambda w: asked.append(w) or 7)
+    column = pa.array(["one two three two"] * 500)
+    codes = L.Codes([b"one", b""])
+    flat = L._coded(column, codes)[2]
+    assert len(flat) == 2500 and sorted(asked) == [b"ree", b"two"] and not set(flat.tolist()) - {0, 1, 2 + 7}
+
+
+def test_sums_by_row_are_those_of_reduceat_to_the_bit():
+    rng = np.random.default_rng(6)
+    for n in (1, 7, 300, L.BATCH):
+        rows = np.minimum(rng.zipf(1.3, n), L.ROWS - 1).astype(np.int64)
+        gradient = rng.standard_normal((n, L.CLASSES)).astype(np.float32)
+        order = np.argsort(rows, kind="stable")
+        unique, starts, counts = np.unique(rows[order], return_index=True, return_counts=True)
+        got = L.row_sums(rows, gradient)
+        assert np.array_equal(got[0], unique) and np.array_equal(got[1], counts)
+        assert np.array_equal(got[2], np.add.reduceat(gradient[order], starts, axis=0))

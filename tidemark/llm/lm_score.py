@@ -32,19 +32,18 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, prepare, remainder, staged, utf8, words
+from tidemark.llm.common import chunks, portions, prepare, remainder, staged, words
 
 END = b""
 TABLE = 65_536
@@ -55,7 +54,7 @@ PAIR_ROWS, WORD_ROWS = 1 << 14, 1 << 15
 ROUNDS = 2
 BATCH = 8192
 RATE = 0.15
-_FLUSH = 300_000
+_FLUSH = 600_000
 HEAD = HEAD_CLASSES * SLOTS
 RARE = HEAD_CLASSES + BANDS  # the class of words outside the table
 CONTEXTS = HEAD + BANDS + SUFFIXES + 1
@@ -71,22 +70,45 @@ def tokens(text: str | bytes | None) -> list[bytes]:
     return out
 
 
+def token_columns(texts: pa.Array) -> tuple[pa.LargeBinaryArray, np.ndarray, np.ndarray]:
+    """The distinct tokens of a column of texts; for each token, in order, which of them it is; how many tokens each text has."""
+    large = pa.large_string()
+    ended = pc.binary_join_element_wise(texts.cast(large).fill_null(""), pa.scalar(" ", large), pa.scalar("", large))
+    split = pc.ascii_split_whitespace(pc.ascii_lower(ended))  # not of a slice: Arrow's lower case loses its offset
+    each = split.flatten().dictionary_encode()
+    found = each.dictionary.cast(pa.large_binary())
+    index = each.indices.to_numpy().astype(np.int64)
+    sizes = pc.list_value_length(split).to_numpy().astype(np.int64)
+    # The space behind each text leaves one empty string there, the end; spaces before a text leave another.
+    last = np.cumsum(sizes) - 1
+    keep = (pc.binary_length(found).to_numpy() > 0)[index]
+    keep[last] = True
+    return found, index[keep], np.diff(np.concatenate([[0], np.cumsum(keep)[last]]))
+
+
 def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, c) over all texts; each task sums before it sends."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"])
-            seen.clear()
-            return out
-
-        for b in chunks(batches):
-            for t in utf8(b.column(0)):
-                seen.update(tokens(t))
-            if len(seen) > _FLUSH:
-                yield flush()
-        yield flush()
+        seen, rows = [], 0
+
+        def summed() -> pa.Table:
+            found = pa.concat_tables(seen).group_by("word", use_threads=False).aggregate([("c", "sum")])
+            return pa.table([found["word"], found["c_sum"]], names=["word", "c"])
+
+        for b in portions(batches, "text"):
+            found, each, _ = token_columns(b.column(0))
+            counts = np.bincount(each, minlength=len(found))
+            used = pa.array(counts > 0)  # the empty strings before texts are no tokens
+            seen.append(pa.table([found.cast(pa.binary()).filter(used), pa.array(counts, pa.int64()).filter(used)], names=["word", "c"]))
+            rows += len(seen[-1])
+            if rows > _FLUSH:
+                seen = [summed()]
+                rows = len(seen[0])
+                if rows > _FLUSH // 2:
+                    yield from seen[0].to_batches()
+                    seen, rows = [], 0
+        if seen:
+            yield from summed().to_batches()
 
     parts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "word binary, c long")
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
@@ -140,6 +162,7 @@ class Codes(dict):
     def __init__(self, table: list[bytes]):
         super().__init__((w, k) for k, w in enumerate(table))
         self.base, self.bound = len(table), len(table) + 200_000
+        self.column = pa.array(table, pa.large_binary())
 
     def __missing__(self, word: bytes) -> int:
         code = self.base + zlib.crc32(word[-3:]) % SUFFIXES
@@ -147,6 +170,15 @@ class Codes(dict):
             self[word] = code
         return code
 
+    def of(self, found: pa.LargeBinaryArray) -> np.ndarray:
+        """The code of each of some distinct words."""
+        code = pc.index_in(found, value_set=self.column).fill_null(-1).to_numpy().astype(np.int64)
+        other = np.flatnonzero(code < 0)
+        ends = pc.binary_slice(found.take(pa.array(other)), -3).dictionary_encode()
+        hashed = np.array([zlib.crc32(e) % SUFFIXES for e in ends.dictionary.to_pylist()], np.int64)
+        code[other] = self.base + hashed[ends.indices.to_numpy()]
+        return code
+
 
 def features(codes: np.ndarray, first: np.ndarray, arrays: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
     """Rows of weights (3, n) for the classes and (2, n) for the words, with class and slot. `first` marks the first token of each text."""
@@ -178,10 +210,15 @@ class Weights:
 
     def logs(self, by_class: np.ndarray, by_word: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Log probabilities of the classes; of the slots, for tokens of head classes; which tokens those are."""
-        w = self.rows
-        classes = log_softmax(self.class_bias + w[by_class[0]] + w[by_class[1]] + w[by_class[2]])
+        classes = self.rows.take(by_class[0], axis=0)
+        classes += self.class_bias
+        for f in (1, 2):
+            classes += self.rows.take(by_class[f], axis=0)
         head = np.flatnonzero(cls < HEAD_CLASSES)
-        slots = log_softmax(self.slot_bias[cls[head]] + w[by_word[0, head]] + w[by_word[1, head]])
+        slots = self.slot_bias.take(cls[head], axis=0)
+        for f in (0, 1):
+            slots += self.rows.take(by_word[f, head], axis=0)
+        classes, slots = log_softmax(classes), log_softmax(slots)
         return classes, slots, head
 
 
@@ -198,17 +235,38 @@ def token_logs(model: Weights, codes: np.ndarray, first: np.ndarray, arrays: dic
     return out + arrays["part"][codes]
 
 
+def row_sums(rows: np.ndarray, gradient: np.ndarray, few: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rows, how many tokens each has, and the sums of their gradients: `np.add.reduceat` of the sorted tokens, to the bit.
+
+    Rows of `few` tokens or less are summed together, a token of each at a time; the others one by one.
+    """
+    order = np.argsort(rows.astype(np.uint16), kind="stable")  # ROWS fits; 16 bits are sorted by radix
+    sorted_rows = rows[order]
+    starts = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
+    counts = np.diff(np.append(starts, len(rows)))
+    sums = gradient.take(order[starts], axis=0)
+    by_count = np.argsort(-counts.astype(np.int32), kind="stable")
+    more = np.searchsorted(-counts[by_count], -np.arange(1, few + 1), "left")  # of how many rows there are over 1, 2, ... tokens
+    short = by_count[more[-1]:more[0]]
+    rest = gradient.take(order[starts[short] + 1], axis=0)
+    for k in range(2, few):
+        there = more[k - 1] - more[-1]
+        rest[:there] += gradient.take(order[starts[short[:there]] + k], axis=0)
+    sums[short] += rest
+    for g in by_count[:more[-1]].tolist():
+        long = gradient.take(order[starts[g] + 1:starts[g] + counts[g]], axis=0)
+        sums[g] += np.add.reduce(np.ascontiguousarray(long.T), axis=1)
+    return sorted_rows[starts], counts, sums
+
+
 def train_on(model: Weights, codes: np.ndarray, first: np.ndarray, arrays: dict[str, np.ndarray], used: np.ndarray, seen: np.ndarray) -> None:
     """Gradient steps (Adagrad by row) over the tokens, in place; `used` counts the tokens of each row."""
     by_class, by_word, cls, slot = features(codes, first, arrays)
 
     def move(rows: np.ndarray, gradient: np.ndarray) -> None:
-        order = np.argsort(rows, kind="stable")
-        sorted_rows = rows[order]
-        starts = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
-        unique, sums = sorted_rows[starts], np.add.reduceat(gradient[order], starts, axis=0)
+        unique, counts, sums = row_sums(rows, gradient)
         seen[unique] += (sums * sums).mean(axis=1)
-        used[unique] += np.diff(np.append(starts, len(rows)))
+        used[unique] += counts
         model.rows[unique] -= (RATE / np.sqrt(seen[unique]))[:, None] * sums
 
     for k in range(0, len(codes), BATCH):
@@ -225,11 +283,10 @@ def train_on(model: Weights, codes: np.ndarray, first: np.ndarray, arrays: dict[
                 move(by_word[f, at][head], g)
 
 
-def _coded(texts: list[str | None], codes: Codes) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    split = [tokens(t) for t in texts]
-    sizes = np.array([len(s) for s in split])
-    flat = np.fromiter(map(codes.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
-    return split, flat, np.cumsum(sizes) - sizes
+def _coded(texts: pa.Array, codes: Codes) -> tuple[pa.LargeBinaryArray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens and which each token is; the tokens' codes; how many tokens each text has, and where they begin."""
+    found, each, sizes = token_columns(texts)
+    return found, each, codes.of(found)[each], sizes, np.cumsum(sizes) - sizes
 
 
 _BLOCK = 64
@@ -252,7 +309,7 @@ def train(docs: DataFrame, table: Table, text_col: str, id_col: str, rounds: int
             own, arrays, codes = Weights(start.table, start.rows.copy()), start.table.arrays(), Codes(start.table.words)
             used, seen = np.zeros(ROWS), np.full(ROWS, 1e-6, np.float32)
             for b in chunks(batches):
-                _, flat, first = _coded(utf8(b.column(0)), codes)
+                _, _, flat, _, first = _coded(b.column(0), codes)
                 train_on(own, flat, first, arrays, used, seen)
             moved = (own.rows - start.rows).astype(np.float32)
             blocks = [j for j in range(0, ROWS, _BLOCK) if used[j:j + _BLOCK].any()]
@@ -318,13 +375,17 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
         model = shared.value
         arrays, codes, size = model.table.arrays(), Codes(model.table.words), len(model.table.words)
         for b in chunks(batches):
-            split, flat, first = _coded(utf8(b.column("text")), codes)
+            found, each, flat, sizes, first = _coded(b.column("text"), codes)
             log = token_logs(model, flat, first, arrays)
             known = flat < size
-            rare = [np.array([xxhash.xxh64_intdigest(w, 42) for w, c in zip(s, flat[k:k + len(s)].tolist(), strict=True) if c >= size], np.uint64).astype(np.int64) for s, k in zip(split, first.tolist(), strict=True)]
+            other = np.flatnonzero(~known)
+            asked = np.unique(each[other])
+            hashes = np.zeros(len(found), np.int64)
+            hashes[asked] = np.array([xxhash.xxh64_intdigest(w, 42) for w in found.take(pa.array(asked)).to_pylist()], np.uint64).astype(np.int64)
+            rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(other, np.append(first, len(flat))), pa.int32()), pa.array(hashes[each[other]]))
             yield pa.RecordBatch.from_arrays([
-                b.column("key"), pa.array([len(s) for s in split], pa.int64()), pa.array(np.add.reduceat(known.astype(np.int64), first)),
-                pa.array(np.add.reduceat(arrays["base"][flat], first)), pa.array(np.add.reduceat(log, first) / math.log(10)), pa.array(rare, pa.list_(pa.int64()))], names=["key", "n", "known", "base", "score", "rare"])
+                b.column("key"), pa.array(sizes), pa.array(np.add.reduceat(known.astype(np.int64), first)),
+                pa.array(np.add.reduceat(arrays["base"][flat], first)), pa.array(np.add.reduceat(log, first) / math.log(10)), rare], names=["key", "n", "known", "base", "score", "rare"])
 
     source = docs.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.coalesce(training, F.lit(False)).alias("training")).alias("key"), F.col(text_col).cast("string").alias("text"))
     from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
