@@ -136,3 +136,30 @@ def test_whole_filings_can_be_written_smaller(spark, tmp_path):
     rows = spark.createDataFrame([(1997, "TW1")], "tahun int, triwulan string")
     write_parquet(rows, str(tmp_path / "out"), partition_by=["tahun"], compression="zstd")
     assert list(tmp_path.glob("out/tahun=1997/*.zstd.parquet")) and spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_documents_are_written_and_read_in_the_tasks(spark, tmp_path):
+    from tidemark.sinks.writers import read_documents, write_documents
+
+    kind = "ticker string, tahun int, triwulan string, facts map<string,struct<value:string>>, n int"
+    names = [f"T{i}" for i in range(60)] + [None, "", "a/b c=%[é]'\"", "a:b*?"]
+    rows = [(x, 1997, f"TW{i % 4 + 1}", {"k": ("v\n\"é\"",)} if i % 3 else None, i) for i, x in enumerate(names)]
+    docs = spark.createDataFrame([*rows, ("T1", 1997, "TW2", None, 99)], kind)
+    ours, sparks = str(tmp_path / "ours"), str(tmp_path / "sparks")
+    write_documents(docs.limit(3), ours)  # is overwritten
+    write_documents(docs, ours)
+    docs.repartition(4, "tahun", "triwulan", "ticker").write.partitionBy("tahun", "triwulan", "ticker").json(sparks)
+
+    def files(top):
+        return {(str(f.parent.relative_to(top)), *sorted(f.read_text().splitlines())) for f in tmp_path.joinpath(top).rglob("part-*.json")}
+
+    assert files(tmp_path / "ours") == files(tmp_path / "sparks") and (tmp_path / "ours" / "_SUCCESS").exists()
+    # A file that Hadoop writes has a checksum beside it, and each of the two starts a process.
+    assert not list((tmp_path / "ours").rglob(".part-*"))
+    back = read_documents(spark, ours, docs.schema, file="file")
+    assert "FileIndex" not in back._jdf.queryExecution().executedPlan().toString()
+    other = spark.read.schema(docs.schema).option("basePath", ours).json(f"{ours}/*/*/*").select("*", F.col("_metadata.file_path").alias("file"))
+    assert back.dtypes == other.dtypes and sorted(map(str, back.collect())) == sorted(map(str, other.collect()))
+    with pytest.raises(Exception, match="(?i)overwrit"):
+        write_documents(spark.read.schema(docs.schema).json(ours), ours)
+    assert read_documents(spark, ours, docs.schema).count() == 65
