@@ -42,3 +42,11 @@ def test_counted_writes_makes_the_filings_once(spark, tables, scratch, monkeypat
         n = sum(f.sector is not None and (f.sector == sector if sector != C.S.OTHER else f.sector not in C.S.SPECIAL_SECTORS) for f in filings)
         assert n and rows[sector] == (n, n, True)
     assert rows["nobody's"] == (0, 0, False) and len(rows) == 6
+
+
+def test_filing_documents_are_stored_compressed(spark, tables, scratch):
+    rows = C.filing_documents(spark, tables).collect()
+    files = [f.name for f in (scratch / "filings").glob("part-*")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    facts = {(r.ticker, r.tahun, r.triwulan): len(r.facts) for r in V.filings(spark, tables).withColumn("kind", V.archive_kind()).filter("kind < 2").collect()}
+    assert {(r.ticker, r.tahun, r.triwulan): r.n_facts for r in rows} == facts and len(rows) == len(facts) > 0
