@@ -50,3 +50,15 @@ def test_filing_documents_are_stored_compressed(spark, tables, scratch):
     assert files and all(f.endswith(".json.gz") for f in files)
     facts = {(r.ticker, r.tahun, r.triwulan): len(r.facts) for r in V.filings(spark, tables).withColumn("kind", V.archive_kind()).filter("kind < 2").collect()}
     assert {(r.ticker, r.tahun, r.triwulan): r.n_facts for r in rows} == facts and len(rows) == len(facts) > 0
+
+
+def test_filings_are_made_in_compiled_methods(spark, tables):
+    for revised in (False, True):
+        made = V.filings(spark, tables, revised=revised)
+        line = next(x for x in made._jdf.queryExecution().executedPlan().toString().splitlines() if "map_from_entries(" in x)
+        # Not a lambda over the facts, and not in whole-stage code either, where Spark would not split the methods.
+        assert "map_from_entries(concat(" in line and "*(" not in line.split("Project")[0]
+        flat = {(r.ticker, r.tahun, r.triwulan): {k: v for k, v in r.asDict().items() if k not in ("ticker", "tahun", "triwulan") and v is not None} for r in V.filing_fact_columns(spark, tables, revised=revised).collect()}
+        facts = {(r.ticker, r.tahun, r.triwulan): r.facts for r in made.collect()}
+        assert {k: {x: f.value for x, f in v.items()} for k, v in facts.items()} == flat and facts
+        assert all((f.name, f.context) == V.split_key(k) for v in facts.values() for k, f in v.items())
