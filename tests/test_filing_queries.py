@@ -62,3 +62,20 @@ def test_filings_are_made_in_compiled_methods(spark, tables):
         facts = {(r.ticker, r.tahun, r.triwulan): r.facts for r in made.collect()}
         assert {k: {x: f.value for x, f in v.items()} for k, v in facts.items()} == flat and facts
         assert all((f.name, f.context) == V.split_key(k) for v in facts.values() for k, f in v.items())
+
+
+def test_archives_are_as_zipfile_writes_them(monkeypatch):
+    import io
+    import time
+    import zipfile
+
+    monkeypatch.setattr(time, "time", lambda: 1_000_000_000.0)
+    pack = V.zip_writer()
+    for name, data in (("instance.xbrl", "<r>é</r>".encode() * 999), ("Report/Instance.XBRL", b""), ("readme.txt", bytes(range(256)) * 40)):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr("Report/", b"")
+            zf.writestr("Taxonomy.xsd", b"<schema/>")
+            zf.writestr(name, data)
+        assert pack(name, data) == buf.getvalue()
+        assert zipfile.ZipFile(io.BytesIO(pack(name, data))).read(name) == data
